@@ -1,11 +1,11 @@
-"""Control-date labels: text written and read with a strftime pattern per row."""
+"""Control-date labels, written and read with a strftime pattern per row.
 
-from __future__ import annotations
+Arguments and results are SQL text, so calls nest and one ``expr`` builds the lot.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
-# Strftime directive -> Spark datetime letter.
+# Strftime directive -> Spark datetime letters.
 NUMERIC_DIRECTIVES = {
     "%Y": "yyyy",
     "%m": "MM",
@@ -32,52 +32,48 @@ DIRECTIVES = {**NUMERIC_DIRECTIVES, **TEXT_DIRECTIVES}
 TIME_ORDER = ["Yy", "UW", "m", "w", "d", "H", "M", "S", "f"]
 DEFAULT_PATTERN = "%Y%m%d"
 
-_ESCAPED = "\u0001"
 
+def pattern_or_default(pattern: str) -> str:
+    return f"coalesce({pattern}, '{DEFAULT_PATTERN}')"
 
-def pattern_or_default(pattern: Column) -> Column:
-    return F.coalesce(pattern, F.lit(DEFAULT_PATTERN))
 
-
-def is_supported(pattern: Column) -> Column:
+def is_supported(pattern: str) -> str:
     """Spark fails the whole job on a bad pattern, so only known directives get through."""
     letters = "".join(d[1] for d in DIRECTIVES)
-    return F.coalesce(pattern.rlike(rf"^(%[{letters}%]|[^%A-Za-z\[\]{{}}#'])*$"), F.lit(False))
+    return f"coalesce({pattern} RLIKE '^(%[{letters}%]|[^%A-Za-z{{}}#\"\\\\[\\\\]])*$', false)"
 
 
-def spark_pattern(pattern: Column) -> Column:
+def spark_pattern(pattern: str) -> str:
     """The Spark datetime pattern; null when the pattern is not supported."""
-    result = F.replace(pattern, F.lit("%%"), F.lit(_ESCAPED))
+    escaped = "unhex('01')"
+    result = f"replace({pattern}, '%%', cast({escaped} AS string))"
     for directive, letters in DIRECTIVES.items():
-        result = F.replace(result, F.lit(directive), F.lit(letters))
-    return F.when(is_supported(pattern), F.replace(result, F.lit(_ESCAPED), F.lit("%")))
+        result = f"replace({result}, '{directive}', '{letters}')"
+    result = f"replace({result}, cast({escaped} AS string), '%')"
+    return f"CASE WHEN {is_supported(pattern)} THEN {result} END"
 
 
-def render(ts: Column, pattern: Column) -> Column:
-    return F.call_function("date_format", ts, spark_pattern(pattern))
+def render(ts: str, pattern: str) -> str:
+    return f"date_format({ts}, {spark_pattern(pattern)})"
 
 
-def parse(label: Column, pattern: Column) -> Column:
+def parse(label: str, pattern: str) -> str:
     """Label to date-time, a date alone to its midnight, anything else to null."""
-    has_date = pattern.rlike("%[Yy]") & pattern.rlike("%[mBb]") & pattern.contains("%d")
-    return F.when(has_date, F.try_to_timestamp(label, spark_pattern(pattern)).cast("timestamp_ntz"))
+    return (
+        f"CASE WHEN {pattern} RLIKE '%[Yy]' AND {pattern} RLIKE '%[mBb]' "
+        f"AND contains({pattern}, '%d') THEN "
+        f"cast(try_to_timestamp({label}, {spark_pattern(pattern)}) AS timestamp_ntz) END"
+    )
 
 
-def sorts_chronologically(pattern: Column) -> Column:
+def sorts_chronologically(pattern: str) -> str:
     """True when the directives run from year to fraction and nothing else follows a ``%``."""
-    bare = F.replace(pattern, F.lit("%%"), F.lit(""))
-    ranks = F.transform(
-        F.regexp_extract_all(bare, F.lit("%(.?)")),
-        lambda letter: F.coalesce(
-            *[F.when((letter != "") & F.lit(group).contains(letter), F.lit(rank))
-              for rank, group in enumerate(TIME_ORDER)],
-            F.lit(-1),
-        ),
+    arms = " ".join(
+        f"WHEN letter <> '' AND contains('{group}', letter) THEN {rank}"
+        for rank, group in enumerate(TIME_ORDER)
     )
-    return ~F.array_contains(ranks, -1) & (ranks == F.array_sort(ranks))
-
-
-def orders_like_time(pattern: Column) -> Column:
-    """Stricter: label order provably equals time order (year first, no unit skipped)."""
-    letters = F.array_join(F.regexp_extract_all(pattern, F.lit("%(.?)")), "")
-    return (letters != "") & F.lit("YmdHMSf").startswith(letters)
+    ranks = (
+        f"transform(regexp_extract_all(replace({pattern}, '%%', ''), '%(.?)'), "
+        f"letter -> CASE {arms} ELSE -1 END)"
+    )
+    return f"(NOT array_contains({ranks}, -1) AND {ranks} = array_sort({ranks}))"

@@ -7,7 +7,7 @@ A check is a dependency at one reference date. Needed columns: ``frequency_check
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions import frequency as freq
@@ -23,98 +23,89 @@ TOLERANT = ("every_n_hour",)
 NEWEST = ("max_date",)
 # The checks each kind of consumer supports.
 INGEST_CHECKS = ("daily", "hourly", "24hours", "every_n_hour")
-TRANSFORM_CHECKS = tuple(
-    c for c in SINGLE + WINDOW + NEWEST if c != "24hours"
-)
+TRANSFORM_CHECKS = tuple(c for c in SINGLE + WINDOW + NEWEST if c != "24hours")
 HOURS_PER_DAY = 24
 
 
-def family(check: Column, consumer: Column) -> Column:
-    """single, window, tolerant or newest; null when the consumer has no such check."""
-    supported = F.when(consumer == "ingest", check.isin(*INGEST_CHECKS)).otherwise(
-        check.isin(*TRANSFORM_CHECKS)
-    )
-    return F.when(
-        supported,
-        F.when(check.isin(*SINGLE), "single")
-        .when(check.isin(*WINDOW), "window")
-        .when(check.isin(*TOLERANT), "tolerant")
-        .when(check.isin(*NEWEST), "newest"),
-    )
-
+def _in(names: tuple[str, ...]) -> str:
+    return "frequency_check IN (" + ", ".join(f"'{n}'" for n in names) + ")"
 
-def _days(n: Column) -> Column:
-    return F.make_dt_interval(n)
 
+# single, window, tolerant or newest; null when the consumer has no such check
+FAMILY = f"""CASE
+    WHEN NOT (CASE WHEN consumer = 'ingest' THEN {_in(INGEST_CHECKS)}
+                   ELSE {_in(TRANSFORM_CHECKS)} END) THEN NULL
+    WHEN {_in(SINGLE)} THEN 'single' WHEN {_in(WINDOW)} THEN 'window'
+    WHEN {_in(TOLERANT)} THEN 'tolerant' WHEN {_in(NEWEST)} THEN 'newest' END"""
 
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), n)
+V = "coalesce(try_cast(value AS int), 0)"
+_STEPPED = _in(("daily_period", "date_in_range"))
+_HOURLY = _in(("hour_to_date", "24hours", "every_n_hour"))
 
 
-def _months(n: int) -> Column:
-    return F.make_ym_interval(F.lit(0), F.lit(n))
+def _on(year: str, month: str, day: str) -> str:
+    """That date at the reference time of day; null when there is no such date."""
+    return (
+        f"try_make_timestamp_ntz({year}, {month}, {day}, "
+        "hour(ref_ts), minute(ref_ts), extract(SECOND FROM ref_ts))"
+    )
 
 
-def _on(ts: Column, year: Column, month: Column, day: Column) -> Column:
-    """The given date at the time of day of ``ts``; null when there is no such date."""
-    seconds = F.date_part(F.lit("SECOND"), ts)
-    return F.try_make_timestamp_ntz(year, month, day, F.hour(ts), F.minute(ts), seconds)
+def _days(n: str) -> str:
+    return f"make_dt_interval({n})"
 
 
-def _midnight(ts: Column) -> Column:
-    return F.to_date(ts).cast("timestamp_ntz")
+def _as_labelled(ts: str) -> str:
+    """The date as its job's label keeps it (a daily label forgets the hour)."""
+    return labels.parse(labels.render(ts, "job_pattern"), "job_pattern")
 
 
-def _window_bounds() -> tuple[Column, Column]:
+def _window_bounds() -> dict[str, tuple[str, str]]:
     """First and last expected date of every check."""
-    check, r = F.col("frequency_check"), F.col("ref_ts")
-    v = F.coalesce(F.col("value").try_cast("int"), F.lit(0))
-    year, month = F.year(r), F.month(r)
-    month_start = _on(r, year, month, F.lit(1))
-    month_day = _on(r, year, month, v)
-    before = r - _months(1)
-    weekday_back = (F.dayofweek(r) - 1 + (7 - v)) % 7
-
-    quarter = F.when(v.between(1, 4), v)
-    quarter_start = _on(r, year - (quarter > F.quarter(r)).cast("int"), quarter * 3 - 2, F.lit(1))
-    quarter_end = F.when(quarter == F.quarter(r), r).otherwise(
-        quarter_start + _months(3) - _days(F.lit(1))
+    month_day = _on("year(ref_ts)", "month(ref_ts)", V)
+    before = "(ref_ts - INTERVAL '1' MONTH)"
+    weekday_back = f"(dayofweek(ref_ts) - 1 + (7 - {V})) % 7"
+    quarter_start = _on(
+        f"year(ref_ts) - CASE WHEN {V} > quarter(ref_ts) THEN 1 ELSE 0 END",
+        f"CASE WHEN {V} BETWEEN 1 AND 4 THEN {V} * 3 - 2 END", "1",
+    )
+    quarter_end = (
+        f"CASE WHEN {V} = quarter(ref_ts) THEN ref_ts "
+        f"ELSE {quarter_start} + INTERVAL '3' MONTH - INTERVAL '1' DAY END"
     )
-    closes_early = (F.col("frequency") == "monthly") & (
-        F.coalesce(F.col("back_day").try_cast("int"), F.lit(0)) == 0
+    closes_early = "frequency = 'monthly' AND coalesce(try_cast(back_day AS int), 0) = 0"
+    mtd_end = f"{month_day} - {_days(f'CASE WHEN {closes_early} THEN 1 ELSE 0 END')}"
+    year_start = _on("year(ref_ts)", "1", "1")
+    midnight = "cast(cast(ref_ts AS date) AS timestamp_ntz)"
+    fraction = "(ref_ts - cast(date_trunc('SECOND', ref_ts) AS timestamp_ntz))"
+    hour_end = (
+        f"CASE WHEN {V} BETWEEN 0 AND {HOURS_PER_DAY - 1} "
+        f"THEN {midnight} + {fraction} + make_dt_interval(0, {V}) END"
     )
-    mtd_end = month_day - _days(F.when(closes_early, 1).otherwise(0))
-    year_start = _on(r, year, F.lit(1), F.lit(1))
-    hour_start = _midnight(r) + (r - F.date_trunc("second", r).cast("timestamp_ntz"))
-    hour_end = F.when(v.between(0, HOURS_PER_DAY - 1), hour_start + _hours(v))
-    day_hours = (_midnight(r), _midnight(r) + _hours(F.lit(HOURS_PER_DAY - 1)))
-
-    def as_labelled(ts: Column) -> Column:
-        return labels.parse(labels.render(ts, F.col("job_pattern")), F.col("job_pattern"))
-
-    bounds = {
-        "daily": (r, r),
-        "weekly": (r - _days(weekday_back),) * 2,
-        "cur_month": (month_day,) * 2,
-        "prev_month": (_on(before, F.year(before), F.month(before), v),) * 2,
-        "eom": (month_start - _days(F.lit(1)),) * 2,
-        "day-n": (r - _days(v),) * 2,
-        "hourly": (r - _hours(v),) * 2,
+    day_hours = (midnight, f"{midnight} + make_dt_interval(0, {HOURS_PER_DAY - 1})")
+
+    def one(ts: str) -> tuple[str, str]:
+        return ts, ts
+
+    return {
+        "daily": one("ref_ts"),
+        "weekly": one(f"ref_ts - {_days(weekday_back)}"),
+        "cur_month": one(month_day),
+        "prev_month": one(_on(f"year({before})", f"month({before})", V)),
+        "eom": one(f"{_on('year(ref_ts)', 'month(ref_ts)', '1')} - INTERVAL '1' DAY"),
+        "day-n": one(f"ref_ts - {_days(V)}"),
+        "hourly": one(f"ref_ts - make_dt_interval(0, {V})"),
         "quarter": (quarter_start, quarter_end),
-        "month_to_date": (month_start, mtd_end),
-        "year_to_date": (year_start, year_start + _days(v - 1)),
-        "hour_to_date": (hour_start, hour_end),
-        "daily_period": (as_labelled(F.col("start_ts")), as_labelled(r)),
-        "date_range": (r - _days(v), r),
-        "date_in_range": (r, r),
+        "month_to_date": (_on("year(ref_ts)", "month(ref_ts)", "1"), mtd_end),
+        "year_to_date": (year_start, f"{year_start} + {_days(f'{V} - 1')}"),
+        "hour_to_date": (f"{midnight} + {fraction}", hour_end),
+        "daily_period": (_as_labelled("start_ts"), _as_labelled("ref_ts")),
+        "date_range": (f"ref_ts - {_days(V)}", "ref_ts"),
+        "date_in_range": one("ref_ts"),
         "24hours": day_hours,
         "every_n_hour": day_hours,
-        "max_date": (r, r),
+        "max_date": one("ref_ts"),
     }
-    low = high = F.when(F.lit(False), r)
-    for name, (first, last) in bounds.items():
-        low, high = low.when(check == name, first), high.when(check == name, last)
-    return low, high
 
 
 def window_columns() -> dict[str, Column]:
@@ -122,54 +113,45 @@ def window_columns() -> dict[str, Column]:
 
     ``reach`` counts the steps either side of a window centred on the reference date.
     """
-    check, f = F.col("frequency_check"), F.col("frequency")
-    low, high = _window_bounds()
-    stepped = check.isin("daily_period", "date_in_range")
-    hourly = check.isin("hour_to_date", "24hours", "every_n_hour")
-    tolerant = check.isin(*TOLERANT)
-    n = F.when(F.col("value").isNull(), 1).otherwise(F.col("value").try_cast("int"))
-    required = F.when(tolerant & (n != 0), F.lit(HOURS_PER_DAY) / n).cast("int")
-    around = F.greatest(F.coalesce(F.col("value").try_cast("int"), F.lit(0)), F.lit(0))
-    return {
-        "family": family(check, F.col("consumer")),
-        "label_pattern": labels.spark_pattern(F.col("pattern")),
-        "low_ts": low,
-        "high_ts": high,
-        "step_minutes": F.when(stepped, freq.step_minutes(f)).when(hourly, 60).otherwise(1440),
-        "step_months": F.when(stepped, freq.step_months(f)),
-        "reach": F.when(check == "date_in_range", around),
-        "required": required,
-        "refused": F.when(family(check, F.col("consumer")).isNull(), "unsupported")
-        .when(~labels.is_supported(F.col("pattern")), "invalid_pattern")
-        .when(stepped & ~freq.is_known(f), "invalid_frequency")
-        .when(tolerant & required.isNull(), "invalid_value"),
+    bounds = _window_bounds()
+    low = " ".join(f"WHEN '{check}' THEN {first}" for check, (first, _) in bounds.items())
+    high = " ".join(f"WHEN '{check}' THEN {last}" for check, (_, last) in bounds.items())
+    n = "CASE WHEN value IS NULL THEN 1 ELSE try_cast(value AS int) END"
+    required = f"CASE WHEN {_in(TOLERANT)} THEN try_divide({HOURS_PER_DAY}, {n}) END"
+    columns = {
+        "family": FAMILY,
+        "label_pattern": labels.spark_pattern("pattern"),
+        "low_ts": f"CASE frequency_check {low} END",
+        "high_ts": f"CASE frequency_check {high} END",
+        "step_minutes": f"CASE WHEN {_STEPPED} THEN {freq.step_minutes('frequency')} "
+                        f"WHEN {_HOURLY} THEN 60 ELSE 1440 END",
+        "step_months": f"CASE WHEN {_STEPPED} THEN {freq.step_months('frequency')} END",
+        "reach": f"CASE WHEN frequency_check = 'date_in_range' THEN greatest({V}, 0) END",
+        "required": f"cast({required} AS int)",
+        "refused": f"""CASE
+            WHEN ({FAMILY}) IS NULL THEN 'unsupported'
+            WHEN NOT {labels.is_supported("pattern")} THEN 'invalid_pattern'
+            WHEN {_STEPPED} AND NOT ({freq.is_known("frequency")}) THEN 'invalid_frequency'
+            WHEN {_in(TOLERANT)} AND ({required}) IS NULL THEN 'invalid_value' END""",
     }
+    return {name: F.expr(text) for name, text in columns.items()}
 
 
-def window_problem() -> Column:
-    """Why a check with its window has no expected date, or null."""
-    return F.coalesce(
-        F.col("refused"),
-        F.when(F.col("low_ts").isNull() | F.col("high_ts").isNull(), "invalid_value")
-        .when(F.col("low_ts") > F.col("high_ts"), "empty_window"),
-    )
+# Why a check with its window has no expected date, or null.
+WINDOW_PROBLEM = """coalesce(refused, CASE
+    WHEN low_ts IS NULL OR high_ts IS NULL THEN 'invalid_value'
+    WHEN low_ts > high_ts THEN 'empty_window' END)"""
 
 
-def expected_dates() -> Column:
+def expected_dates() -> str:
     """All dates of a window, as an array.
 
     Around the reference date every step count is applied to that date itself; between
     two bounds the steps follow one another.
     """
-    low, high = F.col("low_ts"), F.col("high_ts")
-    minutes, months = F.col("step_minutes"), F.col("step_months")
-    around = F.transform(
-        F.sequence(-F.col("reach"), F.col("reach")),
-        lambda k: F.coalesce(
-            low + F.make_dt_interval(F.lit(0), F.lit(0), (minutes * k).cast("int")),
-            low + F.make_ym_interval(F.lit(0), months * k),
-        ),
-    )
-    return F.when(F.col("reach").isNotNull(), around).otherwise(
-        freq.steps_between(low, high, minutes, months)
+    around = freq.shift("low_ts", "step_minutes * k", "step_months * k")
+    between = freq.steps_between("low_ts", "high_ts", "step_minutes", "step_months")
+    return (
+        f"CASE WHEN reach IS NOT NULL THEN transform(sequence(-reach, reach), k -> {around}) "
+        f"ELSE {between} END"
     )

@@ -52,28 +52,20 @@ def resolve_by_priority(
     )
 
 
-def is_ingest(job_type: Column) -> Column:
-    return job_type.isin(*schemas.INGEST_TYPES)
-
-
-def is_sequence(job_type: Column, catchup_type: Column) -> Column:
-    """Ingest jobs always catch up step by step."""
-    return is_ingest(job_type) | (F.lower(F.coalesce(catchup_type, F.lit(""))) == "sequence")
-
-
-def _given(text: Column) -> Column:
-    return F.coalesce(text, F.lit("")) != ""
+PATTERN = labels.pattern_or_default("ictrl_dt_tgtfmt")
+_INGEST_LIST = ", ".join(f"'{kind}'" for kind in schemas.INGEST_TYPES)
+IS_INGEST = f"(job_type IN ({_INGEST_LIST}))"
+# Ingest jobs always catch up step by step.
+IS_SEQUENCE = f"({IS_INGEST} OR lower(coalesce(catchup_type, '')) = 'sequence')"
 
 
 def with_master_ref_date(jobs: DataFrame) -> DataFrame:
     """``ref_ts``: the fixed date when given, else start time minus back_day steps."""
-    pattern = labels.pattern_or_default(F.col("ictrl_dt_tgtfmt"))
-    back = freq.minus_steps(F.col("start_time"), F.col("frequency"), F.col("back_day"))
+    back = freq.minus_steps("start_time", "frequency", "back_day")
     if "fixed_date" in jobs.columns:
-        back = F.when(
-            _given(F.col("fixed_date")), labels.parse(F.col("fixed_date"), pattern)
-        ).otherwise(back)
-    return jobs.withColumn("ref_ts", back)
+        fixed = labels.parse("fixed_date", PATTERN)
+        back = f"CASE WHEN coalesce(fixed_date, '') <> '' THEN {fixed} ELSE {back} END"
+    return jobs.withColumn("ref_ts", F.expr(back))
 
 
 def with_start_date(jobs: DataFrame) -> DataFrame:
@@ -82,45 +74,35 @@ def with_start_date(jobs: DataFrame) -> DataFrame:
     The watermark if there is one (one step later when catching up in sequence), else
     the master date. Files flagged as call records always start at the master date.
     """
-    pattern = labels.pattern_or_default(F.col("ictrl_dt_tgtfmt"))
-    watermark = labels.parse(F.col("last_success_ictrl_dt"), pattern)
-    after = F.when(
-        is_sequence(F.col("job_type"), F.col("catchup_type")),
-        freq.plus_steps(watermark, F.col("frequency"), F.lit(1)),
-    ).otherwise(watermark)
-    is_call_record = (F.col("job_type") == "file") & (
-        F.coalesce(F.col("cdr_flag"), F.lit("N")) == "Y"
-    )
-    return jobs.withColumn(
-        "start_ts",
-        F.when(is_call_record | ~_given(F.col("last_success_ictrl_dt")), F.col("ref_ts"))
-        .otherwise(after),
+    watermark = labels.parse("last_success_ictrl_dt", PATTERN)
+    return (
+        jobs.withColumn("_watermark", F.expr(watermark))
+        .withColumn("start_ts", F.expr(f"""CASE
+            WHEN job_type = 'file' AND coalesce(cdr_flag, 'N') = 'Y' THEN ref_ts
+            WHEN coalesce(last_success_ictrl_dt, '') = '' THEN ref_ts
+            WHEN {IS_SEQUENCE} THEN {freq.plus_steps("_watermark", "frequency", "1")}
+            ELSE _watermark END"""))
+        .drop("_watermark")
     )
 
 
 def with_loop_start(jobs: DataFrame) -> DataFrame:
     """``loop_ts``: first run of the loop; transform jobs begin their overlap earlier."""
-    moved = freq.overlap_start(F.col("start_ts"), F.col("frequency"), F.col("overlap"))
+    moved = freq.overlap_start("start_ts", "frequency", "overlap")
     return jobs.withColumn(
-        "loop_ts", F.when(is_ingest(F.col("job_type")), F.col("start_ts")).otherwise(moved)
-    )
-
-
-def plan_problem() -> Column:
-    """Why a job cannot be planned, or null."""
-    pattern = labels.pattern_or_default(F.col("ictrl_dt_tgtfmt"))
-    return (
-        F.when(~labels.is_supported(pattern), "invalid_pattern")
-        .when(~freq.is_known(F.col("frequency")), "invalid_frequency")
-        .when(F.col("ref_ts").isNull(), "invalid_reference_date")
-        .when(F.col("start_ts").isNull(), "invalid_watermark")
-        .when(F.col("loop_ts").isNull(), "invalid_overlap")
+        "loop_ts", F.expr(f"CASE WHEN {IS_INGEST} THEN start_ts ELSE {moved} END")
     )
 
 
 def plan_dates(jobs: DataFrame) -> DataFrame:
+    """Reference, start and loop dates of every job, or the ``problem`` that forbids them."""
     dated = with_loop_start(with_start_date(with_master_ref_date(jobs)))
-    return dated.withColumn("problem", plan_problem())
+    return dated.withColumn("problem", F.expr(f"""CASE
+        WHEN NOT {labels.is_supported(PATTERN)} THEN 'invalid_pattern'
+        WHEN NOT ({freq.is_known("frequency")}) THEN 'invalid_frequency'
+        WHEN ref_ts IS NULL THEN 'invalid_reference_date'
+        WHEN start_ts IS NULL THEN 'invalid_watermark'
+        WHEN loop_ts IS NULL THEN 'invalid_overlap' END"""))
 
 
 def catchup_expand(dated: DataFrame) -> DataFrame:
@@ -129,20 +111,16 @@ def catchup_expand(dated: DataFrame) -> DataFrame:
     Unplannable jobs yield no row. The outer explode keeps Spark from adding a filter
     that would compute every date list twice.
     """
-    sequence = freq.steps_between(
-        F.col("loop_ts"), F.col("ref_ts"), F.col("step_minutes"), F.col("step_months")
-    )
-    runs = F.when(
-        F.col("problem").isNull(),
-        F.when(is_sequence(F.col("job_type"), F.col("catchup_type")), sequence)
-        .otherwise(F.array("ref_ts")),
-    )
+    sequence = freq.steps_between("loop_ts", "ref_ts", "step_minutes", "step_months")
     return (
         dated.withColumns({
-            "step_minutes": freq.step_minutes(F.col("frequency")),
-            "step_months": freq.step_months(F.col("frequency")),
+            "step_minutes": F.expr(freq.step_minutes("frequency")),
+            "step_months": F.expr(freq.step_months("frequency")),
         })
-        .withColumn("run_ts", F.explode_outer(runs))
+        .withColumn("run_ts", F.explode_outer(F.expr(f"""CASE
+            WHEN problem IS NOT NULL THEN NULL
+            WHEN {IS_SEQUENCE} THEN {sequence}
+            ELSE array(ref_ts) END""")))
         .filter(F.col("run_ts").isNotNull())
         .drop("step_minutes", "step_months")
     )
@@ -150,18 +128,19 @@ def catchup_expand(dated: DataFrame) -> DataFrame:
 
 def with_run_labels(runs: DataFrame) -> DataFrame:
     """Labels of each run: its date, the window it belongs to and its overlap start."""
-    pattern = labels.pattern_or_default(F.col("ictrl_dt_tgtfmt"))
-    overlap = F.when(F.col("job_type") == "kafka", F.lit("0")).otherwise(F.col("overlap"))
-    overlapped = F.when(
-        is_ingest(F.col("job_type")),
-        freq.overlap_start(F.col("run_ts"), F.col("frequency"), overlap),
-    ).otherwise(F.col("loop_ts"))
-    return runs.select(
-        "*",
-        labels.render(F.col("run_ts"), pattern).alias("ictrl_dt"),
-        labels.render(F.col("loop_ts"), pattern).alias("start_ictrl_dt"),
-        labels.render(F.col("ref_ts"), pattern).alias("end_ictrl_dt"),
-        labels.render(overlapped, pattern).alias("start_with_overlap"),
+    overlap = "CASE WHEN job_type = 'kafka' THEN '0' ELSE overlap END"
+    overlapped = f"""CASE WHEN {IS_INGEST}
+        THEN {freq.overlap_start("run_ts", "frequency", f"({overlap})")} ELSE loop_ts END"""
+    named = {
+        "ictrl_dt": "run_ts", "start_ictrl_dt": "loop_ts", "end_ictrl_dt": "ref_ts",
+        "start_with_overlap": "_overlapped",
+    }
+    return (
+        runs.withColumns({
+            "_overlapped": F.expr(overlapped), "_pattern": F.expr(labels.spark_pattern(PATTERN))
+        })
+        .withColumns({name: F.expr(f"date_format({ts}, _pattern)") for name, ts in named.items()})
+        .drop("_overlapped", "_pattern")
     )
 
 

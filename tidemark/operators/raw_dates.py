@@ -50,8 +50,9 @@ def observed_dates(tables: Mapping[tuple[str, str, str], DataFrame]) -> DataFram
     )
 
 
-def _month_no(ts: Column) -> Column:
-    return F.year(ts) * 12 + F.month(ts)
+def _month_no(label: str) -> str:
+    ts = labels.parse(label, "pattern")
+    return f"year({ts}) * 12 + month({ts})"
 
 
 def range_or_set_scan(table: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
@@ -66,20 +67,18 @@ def range_or_set_scan(table: DataFrame, column: str, wanted: DataFrame) -> DataF
     present = table.groupBy("pattern", F.col(column).alias("label")).agg(
         F.count("*").alias("row_cnt")
     )
-    ranged = labels.sorts_chronologically(F.col("pattern")) & labels.parse(
-        F.col("label"), F.col("pattern")
-    ).isNotNull()
-    pattern, label = F.col("pattern"), F.col("label")
+    ranged = F.expr(
+        f"{labels.sorts_chronologically('pattern')} AND {labels.parse('label', 'pattern')} IS NOT NULL"
+    )
     spans = (
         wanted.filter(ranged).groupBy("dep_id", "pattern")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .withColumn("month_no", F.explode(F.sequence(
-            _month_no(labels.parse(F.col("low"), pattern)),
-            _month_no(labels.parse(F.col("high"), pattern)),
+        .withColumn("month_no", F.explode(F.expr(
+            f"sequence({_month_no('low')}, {_month_no('high')})"
         )))
     )
     in_range = (
-        present.filter(ranged).withColumn("month_no", _month_no(labels.parse(label, pattern)))
+        present.filter(ranged).withColumn("month_no", F.expr(_month_no("label")))
         .join(spans, ["pattern", "month_no"])
         .filter(F.col("label").between(F.col("low"), F.col("high")))
         .select("dep_id", "pattern", "label", "row_cnt")

@@ -42,7 +42,7 @@ def checks_for_runs(runs: DataFrame, dependencies: DataFrame) -> DataFrame:
     planned = runs.select(
         "job_nm", F.when(ingest, "ingest").otherwise("transform").alias("consumer"),
         "frequency", "back_day",
-        labels.pattern_or_default(F.col("ictrl_dt_tgtfmt")).alias("job_pattern"),
+        F.expr(labels.pattern_or_default("ictrl_dt_tgtfmt")).alias("job_pattern"),
         F.col("loop_ts").alias("start_ts"), F.col("run_ts").alias("ref_ts"),
     )
     return dependency_fanout(planned, dependencies)
@@ -130,9 +130,8 @@ def prepare(checks: DataFrame) -> DataFrame:
 
 def expected_labels(prepared: DataFrame) -> DataFrame:
     """One row per label a usable check needs on each of its routes."""
-    dates = F.when(
-        exp.window_problem().isNull() & (F.col("family") != "newest"), exp.expected_dates()
-    )
+    dates = F.expr(f"""CASE WHEN ({exp.WINDOW_PROBLEM}) IS NULL AND family <> 'newest'
+        THEN {exp.expected_dates()} END""")
     return (
         prepared.select(*CHECK_KEY, "job_key", "schema_nm", "table_nm", "label_pattern",
                         "family", "empty_flag", "required", "by_prefix", "routes",
@@ -140,8 +139,7 @@ def expected_labels(prepared: DataFrame) -> DataFrame:
         .filter(F.col("_date").isNotNull())
         .select(*CHECK_KEY, "job_key", "schema_nm", "table_nm", "family", "empty_flag",
                 "required", "by_prefix", F.explode("routes").alias("route"),
-                F.call_function("date_format", F.col("_date"), F.col("label_pattern"))
-                .alias("label"))
+                F.expr("date_format(_date, label_pattern)").alias("label"))
         .withColumn("match_len", F.when(F.col("by_prefix"), F.length("label")).otherwise(0))
         .drop("by_prefix")
     )
@@ -194,7 +192,7 @@ def missing_labels(expected: DataFrame, facts: DataFrame) -> DataFrame:
 def newest_succeeded(checks: DataFrame, facts: DataFrame) -> DataFrame:
     """Per dependency and route, the newest observed date with enough rows."""
     wanted = (
-        checks.filter((F.col("family") == "newest") & exp.window_problem().isNull())
+        checks.filter(f"family = 'newest' AND ({exp.WINDOW_PROBLEM}) IS NULL")
         .select("dep_id", "job_key", "schema_nm", "table_nm", "pattern", "empty_flag",
                 F.explode("routes").alias("route"))
         .distinct()
@@ -204,7 +202,7 @@ def newest_succeeded(checks: DataFrame, facts: DataFrame) -> DataFrame:
         facts.filter(F.col("match_len") == 0).join(wanted, SOURCE_KEY)
         .filter(F.coalesce(enough, F.lit(False)))
         .groupBy("dep_id", "route")
-        .agg(F.max(labels.parse(F.col("label"), F.col("pattern"))).alias("newest_ts"))
+        .agg(F.max(F.expr(labels.parse("label", "pattern"))).alias("newest_ts"))
     )
 
 
@@ -227,10 +225,10 @@ def route_verdicts(checks: DataFrame, missing: DataFrame, newest: DataFrame) ->
     none = F.array().cast("array<string>")
     is_newest = F.col("family") == "newest"
     reached = F.coalesce(F.col("newest_ts") >= F.col("ref_ts"), F.lit(False))
-    own_label = F.array(F.call_function("date_format", F.col("ref_ts"), F.col("label_pattern")))
+    own_label = F.expr("array(date_format(ref_ts, label_pattern))")
     return (
         checks.select(*CHECK_KEY, "job_nm", "prerequisite_job_nm", "family", "label_pattern",
-                      "required", exp.window_problem().alias("problem"),
+                      "required", F.expr(exp.WINDOW_PROBLEM).alias("problem"),
                       F.posexplode("routes").alias("route_no", "route"))
         .join(per_route, [*CHECK_KEY, "route"], "left")
         .join(newest, ["dep_id", "route"], "left")

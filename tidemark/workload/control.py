@@ -119,7 +119,7 @@ RULES = [
 
 
 def frame(spark: SparkSession, rows: list[tuple], columns: dict[str, str]) -> DataFrame:
-    return spark.createDataFrame(rows, ", ".join(f"{n} {t}" for n, t in columns.items()))
+    return spark.sql(values_sql(rows, columns))
 
 
 def _literal(value: object) -> str:
@@ -129,8 +129,7 @@ def _literal(value: object) -> str:
 
 
 def values_sql(rows: list[tuple], columns: dict[str, str]) -> str:
-    """The rows as a typed SELECT for the SQL oracles."""
-    types = {"string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE"}
+    """The rows as a typed SELECT, valid in Spark and in the oracles' SQL."""
     body = ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
-    casts = ", ".join(f"CAST({n} AS {types[t]}) AS {n}" for n, t in columns.items())
+    casts = ", ".join(f"CAST({n} AS {t.upper()}) AS {n}" for n, t in columns.items())
     return f"SELECT {casts} FROM (VALUES {body}) AS v({', '.join(columns)})"

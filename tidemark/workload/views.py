@@ -12,8 +12,26 @@ from tidemark.operators.readiness import dependency_fanout
 from tidemark.workload import control
 
 
+# Declared, so that reading a table starts no job to infer its schema.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _seconds(n: Column) -> Column:
@@ -144,11 +162,10 @@ def job_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     starts = reference_dates(spark, sf_dir).withColumnRenamed("ref_ts", "start_time")
     day = F.day("start_time")
-    lag = F.when(F.col("frequency") == "monthly", 95).when(F.col("clock") == "events", 1).otherwise(9)
-    pattern = F.col("ictrl_dt_tgtfmt")
-    watermark = labels.render(F.col("start_time") - F.make_dt_interval(lag), pattern)
-    fixed = labels.render(F.col("start_time") - F.make_dt_interval(F.lit(1)), pattern)
+    lag = "CASE WHEN frequency = 'monthly' THEN 95 WHEN clock = 'events' THEN 1 ELSE 9 END"
+    watermark = labels.render(f"start_time - make_dt_interval({lag})", "ictrl_dt_tgtfmt")
+    fixed = labels.render("start_time - INTERVAL '1' DAY", "ictrl_dt_tgtfmt")
     return jobs(spark).join(starts, "clock").withColumns({
-        "last_success_ictrl_dt": F.when(day % 5 != 0, watermark),
-        "fixed_date": F.when(day % 7 == 0, fixed),
+        "last_success_ictrl_dt": F.when(day % 5 != 0, F.expr(watermark)),
+        "fixed_date": F.when(day % 7 == 0, F.expr(fixed)),
     })
