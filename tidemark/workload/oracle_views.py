@@ -83,4 +83,4 @@ def with_views(names: str, query: str) -> str:
     parts = [f"{n} AS ({CTES[n]})" for n in CTES if n in wanted]
     body = query.strip()
     joiner = ", " if body.startswith("WITH ") else " "
-    return "WITH " + ", ".join(parts) + joiner + (body[5:] if joiner == ", " else body)
+    return "WITH RECURSIVE " + ", ".join(parts) + joiner + (body[5:] if joiner == ", " else body)

@@ -8,9 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import ensure_utc
-from tidemark.workload import readiness_queries
+from tidemark.workload import planning_queries, readiness_queries
 
-MODULES = [readiness_queries]
+MODULES = [planning_queries, readiness_queries]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
