@@ -189,6 +189,11 @@ def missing_labels(expected: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
+def log_lookup(expected: DataFrame, facts: DataFrame) -> DataFrame:
+    """Each expected label with what the logs know of it; nulls where they know nothing."""
+    return expected.join(facts.select(*FACT_KEY, "best_rows", "latest_rows"), FACT_KEY, "left")
+
+
 def newest_succeeded(checks: DataFrame, facts: DataFrame) -> DataFrame:
     """Per dependency and route, the newest observed date with enough rows."""
     wanted = (
@@ -269,6 +274,14 @@ def readiness(
     The log and the raw tables are read once, into a small written table of facts, and
     the window of each check is worked out once, into a narrow written table.
     """
+    return fold_routes(verdicts_by_route(checks, log, raw, succeeded))
+
+
+def verdicts_by_route(
+    checks: DataFrame, log: DataFrame, raw: DataFrame | None = None,
+    succeeded: Sequence[str] = schemas.SUCCEEDED,
+) -> DataFrame:
+    """Readiness before the fallback from one log to the next is applied."""
     prepared = materialize(prepare(checks), "checks")
     observed = log_facts(log, succeeded)
     if raw is not None:
@@ -277,7 +290,7 @@ def readiness(
     needed = expected_labels(prepared)
     missing = missing_labels(needed, facts.unionByName(prefix_facts(facts, prepared)))
     newest = newest_succeeded(prepared, facts)
-    return fold_routes(route_verdicts(prepared, missing, newest))
+    return route_verdicts(prepared, missing, newest)
 
 
 def job_rollup(runs: DataFrame, verdicts: DataFrame) -> DataFrame:

@@ -325,7 +325,7 @@ ORACLES = {
         SELECT c_custkey, c_name AS job_nm, CASE WHEN c_nationkey % 2 = 0 THEN lower(c_mktsegment)
           ELSE c_mktsegment END AS tasksgroup_nm, c_nationkey % 4 < 2 AS active FROM customer)
       SELECT 'group' AS requested_by, job_nm, tasksgroup_nm FROM jobs
-      WHERE active AND tasksgroup_nm ILIKE ANY (['building', 'machinery'])
+      WHERE active AND lower(tasksgroup_nm) IN ('building', 'machinery')
       UNION ALL SELECT 'name', job_nm, tasksgroup_nm FROM jobs WHERE active AND c_custkey IN
         (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
     "resolve_by_priority": """WITH ranked AS (

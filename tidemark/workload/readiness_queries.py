@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import expected as exp
 from tidemark.operators import readiness as rd
-from tidemark.workload import views
+from tidemark.operators import workflow
+from tidemark.workload import control, views
 from tidemark.workload.oracle_views import fmt, with_views
 
 
@@ -18,40 +20,146 @@ def show_verdicts(verdicts: DataFrame) -> DataFrame:
     )
 
 
-def verdicts(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+def verdicts(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
     return rd.readiness(
-        views.checks(spark, sf_dir, *kinds),
+        views.checks(spark, sf_dir, which),
         views.audit_log(spark, sf_dir),
         views.raw_observed(spark, sf_dir),
     )
 
 
-def _ready(*kinds: str):
-    return lambda spark, sf_dir: show_verdicts(verdicts(spark, sf_dir, *kinds))
-
-
-GENERATORS = {
-    "ready_daily": ("daily",),
-    "ready_weekly": ("weekly",),
-    "ready_cur_month": ("cur_month",),
-    "ready_prev_month": ("prev_month",),
-    "ready_eom": ("eom",),
-    "ready_day_n": ("day-n",),
-    "ready_hourly": ("hourly",),
-    "ready_quarter": ("quarter",),
-    "ready_mtd": ("month_to_date",),
-    "ready_ytd": ("year_to_date",),
-    "ready_htd": ("hour_to_date",),
-    "ready_daily_period": ("daily_period",),
-    "ready_date_range": ("date_range",),
-    "ready_date_in_range": ("date_in_range",),
-    "ready_max_date": ("max_date",),
-    "ready_24hours": ("24hours",),
-    "ready_every_n_hour": ("every_n_hour",),
-    "ready_unsupported": ("hour_in_range", "weekly"),
+def _ready(which: str):
+    return lambda spark, sf_dir: show_verdicts(verdicts(spark, sf_dir, which))
+
+
+def _of(*kinds: str) -> str:
+    return "frequency_check IN (" + ", ".join(f"'{k}'" for k in kinds) + ")"
+
+
+_LOG, _RAW = "data_column IS NULL AND ", "data_column IS NOT NULL AND "
+SELECTIONS = {
+    "ready_daily": _of("daily"),
+    "ready_weekly": _of("weekly"),
+    "ready_cur_month": _of("cur_month"),
+    "ready_prev_month": _of("prev_month"),
+    "ready_eom": _of("eom"),
+    "ready_day_n": _of("day-n"),
+    "ready_hourly": _of("hourly"),
+    "ready_quarter": _of("quarter"),
+    "ready_mtd": _of("month_to_date"),
+    "ready_ytd": _of("year_to_date"),
+    "ready_htd": _of("hour_to_date"),
+    "ready_daily_period": _of("daily_period"),
+    "ready_date_range": _of("date_range"),
+    "ready_date_in_range": _of("date_in_range"),
+    "ready_max_date": _of("max_date"),
+    "ready_24hours": _of("24hours"),
+    "ready_every_n_hour": _of("every_n_hour"),
+    "ready_unsupported": _of("hour_in_range", "weekly"),
+    "verdict_latest": _LOG + _of(*exp.SINGLE),
+    "verdict_missing": _LOG + _of(*exp.WINDOW),
+    "verdict_tolerant": _of(*exp.TOLERANT),
+    "verdict_max": _LOG + _of(*exp.NEWEST),
+    "raw_present": _RAW + _of(*exp.SINGLE),
+    "raw_missing": _RAW + _of(*exp.WINDOW),
+    "raw_max": _RAW + _of(*exp.NEWEST),
+    "log_or_raw": _of("daily", "quarter", "daily_period", "24hours", "max_date"),
 }
 
-QUERIES = {name: _ready(*kinds) for name, kinds in GENERATORS.items()}
+
+def _ref_date():
+    return F.date_format("ref_ts", "yyyy-MM-dd HH").alias("ref_date")
+
+
+def dependency_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    starts = views.job_starts(spark, sf_dir)
+    return rd.dependency_fanout(starts, views.dependencies(spark)).select(
+        "job_nm", F.date_format("start_time", "yyyy-MM-dd HH").alias("start_time"),
+        "dep_id", "prerequisite_job_nm", "frequency_check",
+    )
+
+
+def log_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checks = views.checks(spark, sf_dir, _LOG + _of("date_range", "weekly", "24hours"))
+    needed = rd.expected_labels(rd.prepare(checks))
+    return rd.log_lookup(needed, rd.log_facts(views.audit_log(spark, sf_dir))).select(
+        "dep_id", _ref_date(), "route", "label",
+        F.coalesce("best_rows", F.lit(-1)).alias("best_rows"),
+        F.coalesce("latest_rows", F.lit(-1)).alias("latest_rows"),
+    )
+
+
+def two_log_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transform checks on both logs, with the verdict of each log beside the folded one."""
+    routes = rd.verdicts_by_route(
+        views.checks(spark, sf_dir, _TWO_LOGS), views.audit_log(spark, sf_dir)
+    )
+    return routes.groupBy("dep_id", _ref_date()).agg(
+        F.bool_or(F.col("ready") & (F.col("route") == "trans")).alias("in_trans"),
+        F.bool_or(F.col("ready") & (F.col("route") == "ingest")).alias("in_ingest"),
+        F.bool_or("ready").alias("ready"),
+    )
+
+
+_TWO_LOGS = _LOG + "job_nm IN ('load_daily', 'load_weekly') AND " + _of("daily", "weekly", "hourly")
+
+
+def job_ready_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: every job at every reference date, with the prerequisites it waits for."""
+    runs = views.jobs(spark).join(views.reference_dates(spark, sf_dir), "clock").select(
+        "job_nm", "ref_ts"
+    )
+    return rd.job_rollup(runs, verdicts(spark, sf_dir)).select(
+        "job_nm", _ref_date(), "ready", F.array_join("not_ready", ",").alias("not_ready")
+    )
+
+
+def prereq_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = views.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.concat_ws(",", "o_orderpriority", F.lit("none"), F.lit(" "), F.lower("o_orderstatus"))
+        .alias("prerequisite_job_nm"),
+    )
+    return rd.prerequisite_names(lists).select("o_orderkey", "name")
+
+
+def workflow_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers as tables, suppliers as workflows, return flags as folders."""
+    items = views.table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("folder_nm"),
+        F.concat(F.lit("WF"), F.col("l_suppkey")).alias("workflow_nm"),
+        F.concat(F.lit("t"), F.col("l_linenumber")).alias("tgt_obj"),
+        F.when(F.col("l_discount") >= 0.09, "MANUAL").otherwise("AUTO").alias("workflow_type"),
+        F.when(F.col("l_tax") >= 0.08, 1).otherwise(0).alias("obs_ind"),
+        F.when(F.col("l_linestatus") == "F", "Succeeded").otherwise("Failed").alias("stat"),
+        F.col("l_shipdate").alias("xtr_end_dt"),
+    )
+    completions = workflow.last_completions(
+        items, items,
+        control.frame(spark, control.FOLDER_SCHEMAS, control.FOLDER_COLUMNS),
+        control.frame(spark, [("MANUAL",)], {"workflow_type": "string"}),
+        control.frame(spark, [("WF1",), ("WF7",)], {"workflow_nm": "string"}),
+    )
+    deps = control.frame(spark, control.WORKFLOW_DEPS, control.WORKFLOW_DEP_COLUMNS).withColumn(
+        "names", F.split("names", ",")
+    )
+    days = items.select(F.to_date("xtr_end_dt").alias("target_day")).distinct()
+    verdict = workflow.workflow_complete(
+        deps, deps.select("dep_id", "clock").join(days.withColumn("clock", F.lit("ship")), "clock"),
+        completions,
+    )
+    return verdict.withColumn("target_day", F.date_format("target_day", "yyyy-MM-dd"))
+
+
+QUERIES = {
+    **{name: _ready(which) for name, which in SELECTIONS.items()},
+    "dependency_fanout": dependency_fanout,
+    "log_lookup": log_lookup,
+    "two_log_fallback": two_log_fallback,
+    "workflow_complete": workflow_complete,
+    "job_ready_rollup": job_ready_rollup,
+    "prereq_names": prereq_names,
+}
 
 
 # --- the same in SQL -----------------------------------------------------------------
@@ -119,19 +227,15 @@ EXPECTED = {
 }
 
 
-def verdict_ctes(kinds: tuple[str, ...]) -> str:
+def verdict_ctes(which: str = "true") -> str:
     """CTEs ending in ``verdicts``: dep_id, job_nm, prerequisite, ref_ts, ready, missing, reason."""
-    chosen = kinds or tuple([*EXPECTED, "hour_in_range"])
-    branches = " ".join(
-        f"WHEN '{k}' THEN {EXPECTED[k]}" for k in chosen if k in EXPECTED
-    ) or "WHEN '' THEN [ref_ts]"
-    listed = ", ".join(f"'{k}'" for k in chosen)
+    branches = " ".join(f"WHEN '{k}' THEN {dates}" for k, dates in EXPECTED.items())
     return f"""WITH checks AS (
       SELECT d.*, j.frequency, j.back_day, r.ref_ts,
              j.job_type NOT IN ('transform', 'outbound') AS ingest,
              r.ref_ts - to_days(CASE WHEN j.frequency = 'monthly' THEN 70 ELSE 3 END) AS start_ts
       FROM deps d JOIN jobs j USING (job_nm) JOIN refs r USING (clock)
-      WHERE upper(d.active_flag) = 'Y' AND d.frequency_check IN ({listed})
+      WHERE upper(d.active_flag) = 'Y' AND {which}
     ), dated AS (
       SELECT *, CASE
           WHEN ingest AND frequency_check NOT IN ('daily', 'hourly', '24hours', 'every_n_hour')
@@ -240,6 +344,51 @@ _SHOWN = """SELECT dep_id, strftime(ref_ts, '%Y-%m-%d %H') AS ref_date, ready,
   FROM verdicts"""
 
 ORACLES = {
-    name: with_views(VERDICT_VIEWS, verdict_ctes(kinds) + _SHOWN)
-    for name, kinds in GENERATORS.items()
+    **{name: with_views(VERDICT_VIEWS, verdict_ctes(which) + _SHOWN)
+       for name, which in SELECTIONS.items()},
+    "dependency_fanout": with_views("jobs deps refs job_starts", """
+      SELECT s.job_nm, strftime(s.start_time, '%Y-%m-%d %H') AS start_time, d.dep_id,
+        d.prerequisite_job_nm, d.frequency_check
+      FROM job_starts s JOIN deps d ON d.job_nm = s.job_nm WHERE upper(d.active_flag) = 'Y'"""),
+    "log_lookup": with_views(VERDICT_VIEWS, verdict_ctes(
+        _LOG + _of("date_range", "weekly", "24hours")) + """
+      SELECT c.dep_id, strftime(c.ref_ts, '%Y-%m-%d %H') AS ref_date, c.route, w.label,
+        COALESCE(l.best_rows, -1) AS best_rows, COALESCE(l.latest_rows, -1) AS latest_rows
+      FROM routed c JOIN wanted w USING (dep_id, ref_ts)
+      LEFT JOIN logged l ON l.log_kind = c.route AND l.job_key = upper(c.prerequisite_job_nm)
+        AND l.schema_nm = c.prerequisite_schema_nm AND l.table_nm = c.prerequisite_table_nm
+        AND l.label = w.label
+      WHERE c.problem IS NULL"""),
+    "two_log_fallback": with_views(VERDICT_VIEWS, verdict_ctes(
+        _TWO_LOGS.replace("job_nm", "d.job_nm")) + """
+      SELECT dep_id, strftime(ref_ts, '%Y-%m-%d %H') AS ref_date,
+        bool_or(ok AND route = 'trans') AS in_trans, bool_or(ok AND route = 'ingest') AS in_ingest,
+        bool_or(ok) AS ready FROM decided GROUP BY dep_id, ref_ts"""),
+    "workflow_complete": f"""WITH deps AS (
+        {control.values_sql(control.WORKFLOW_DEPS, control.WORKFLOW_DEP_COLUMNS)}
+      ), folders AS ({control.values_sql(control.FOLDER_SCHEMAS, control.FOLDER_COLUMNS)}
+      ), items AS (SELECT l_returnflag AS folder, 'WF' || l_suppkey AS wf, l_linenumber, l_discount,
+          l_tax, l_linestatus, CAST(l_shipdate AS DATE) AS day FROM lineitem
+      ), done AS (SELECT folder, wf, max(day) AS last_day FROM items WHERE l_linestatus = 'F' GROUP BY ALL
+      ), writers AS (SELECT DISTINCT f.schema_nm, 't' || l_linenumber AS tbl, wf, folder
+          FROM items JOIN folders f ON f.folder_nm = folder
+          WHERE l_tax < 0.08 AND l_discount < 0.09 AND wf NOT IN ('WF1', 'WF7')
+      ), days AS (SELECT DISTINCT day FROM items)
+      SELECT d.dep_id, strftime(y.day, '%Y-%m-%d') AS target_day, COALESCE(bool_and(
+          w.wf IS NOT NULL AND COALESCE(e.last_day >= y.day, false)), false) AS ready
+      FROM deps d CROSS JOIN days y
+      LEFT JOIN writers w ON upper(w.schema_nm) = upper(d.schema_nm) AND upper(w.tbl) = upper(d.table_nm)
+        AND (d.names IS NULL OR list_contains(string_split(d.names, ','), w.wf))
+      LEFT JOIN done e ON e.folder = w.folder AND e.wf = w.wf
+      GROUP BY d.dep_id, y.day""",
+    "job_ready_rollup": with_views(VERDICT_VIEWS, verdict_ctes() + """
+      SELECT j.job_nm, strftime(r.ref_ts, '%Y-%m-%d %H') AS ref_date,
+        COALESCE(bool_and(v.ready), true) AS ready,
+        COALESCE(array_to_string(list_sort(list(DISTINCT v.prerequisite_job_nm)
+          FILTER (WHERE NOT v.ready)), ','), '') AS not_ready
+      FROM jobs j JOIN refs r USING (clock) LEFT JOIN verdicts v
+        ON v.job_nm = j.job_nm AND v.ref_ts = r.ref_ts
+      GROUP BY j.job_nm, r.ref_ts"""),
+    "prereq_names": """SELECT o_orderkey, o_orderpriority AS name FROM orders
+      UNION ALL SELECT o_orderkey, o_orderstatus FROM orders""",
 }

@@ -123,11 +123,9 @@ def reference_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.unionByName(hours).distinct()
 
 
-def checks(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
-    """Every active dependency (of the given frequency checks) at every reference date."""
-    wanted = dependencies(spark)
-    if kinds:
-        wanted = wanted.filter(F.col("frequency_check").isin(*kinds))
+def checks(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
+    """Every active dependency (that ``which`` selects) at every reference date."""
+    wanted = dependencies(spark).filter(which)
     runs = jobs(spark).select(
         "job_nm", "clock", "frequency", "back_day",
         F.when(F.col("job_type").isin(*schemas.INGEST_TYPES), "ingest")
