@@ -127,6 +127,8 @@ RULES = [
     ("calc_net", "lineitem", "sum(net)", [], 1.0, ">=",
      "{0} * (100 - {1} * 100) / 100 AS net", ["tbl_name.l_quantity", "l_discount"], 0.0),
     ("calc_max", "orders", "max(k)", [], 14999.0, "==", "{0} AS k", ["o_orderkey"], 0.0),
+    ("one_value", "order_count", "n", ["n"], 100.0, ">=", None, None, 0.0),
+    ("many_rows", "orders", "o_custkey", ["o_custkey"], 1.0, "==", None, None, 0.0),
     ("bad_agg", "orders", "median(o_totalprice)", ["o_totalprice"], 1.0, "==", None, None, 0.0),
     ("bad_op", "orders", "max(o_orderkey)", ["o_orderkey"], 1.0, "!=", None, None, 0.0),
 ]

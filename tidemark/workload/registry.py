@@ -8,9 +8,15 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import ensure_utc
-from tidemark.workload import planning_queries, readiness_queries
-
-MODULES = [planning_queries, readiness_queries]
+from tidemark.workload import (
+    audit_queries,
+    guard_queries,
+    load_queries,
+    planning_queries,
+    readiness_queries,
+)
+
+MODULES = [planning_queries, readiness_queries, guard_queries, load_queries, audit_queries]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
