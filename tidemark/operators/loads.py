@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import fresh_path
@@ -58,22 +58,48 @@ def full_load(staged: DataFrame, table: str) -> None:
     staged.write.option("path", path).mode("overwrite").saveAsTable(table)
 
 
-def _in_order(df: DataFrame, table: str) -> DataFrame:
-    """Columns by name in the table's order; ``insertInto`` goes by position."""
-    return df.select(*df.sparkSession.table(table).columns)
+def _as_table(df: DataFrame, table: str) -> DataFrame:
+    """Columns by name, in the table's order and types."""
+    fields = df.sparkSession.table(table).schema.fields
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def _partition_spec(columns: Sequence[str], row: Row) -> str:
+    def literal(value: object) -> str:
+        return "null" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+
+    return "PARTITION (" + ", ".join(f"`{c}` = {literal(row[c])}" for c in columns) + ")"
 
 
 def overwrite_partitions(staged: DataFrame, table: str) -> None:
-    """Replace only the partitions that occur in the staged rows."""
-    rows = _by_partition(
-        _in_order(staged, table), _partition_columns(staged.sparkSession, table)
-    )
+    """Replace only the partitions that occur in the staged rows.
+
+    ``insertInto`` knows dynamic overwrite only as a setting of the whole session, which
+    other loads would feel; a write to the table's own folder takes it as an option. The
+    catalog then learns of new partitions.
+    """
+    spark = staged.sparkSession
+    columns = _partition_columns(spark, table)
+    rows = _by_partition(_as_table(staged, table), columns)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .insertInto(table))
+     .partitionBy(*columns).parquet(_location(spark, table)))
+    written = _as_table(staged, table).select(*columns).distinct().collect()
+    specs = " ".join(_partition_spec(columns, row) for row in written)
+    if specs:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    spark.catalog.refreshTable(table)
 
 
 def append(staged: DataFrame, table: str) -> None:
-    _in_order(staged, table).write.mode("append").insertInto(table)
+    rows = _by_partition(
+        _as_table(staged, table), _partition_columns(staged.sparkSession, table)
+    )
+    rows.write.mode("append").insertInto(table)
 
 
 def overwrite_feed_partitions(staged: DataFrame, table: str) -> None:
@@ -214,9 +240,14 @@ def _rewrite(
     rewritten = spark.read.schema(target.schema).parquet(path)
     emptied = touched.alias("old").join(rewritten.alias("new"), same, "left_anti").collect()
     overwrite_partitions(rewritten, table)
-    for row in emptied:  # as many as there are partitions to drop from the catalog
-        spec = ", ".join(f"{c} = '{row[c]}'" for c in partitions)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    nothing = ", ".join(
+        f"CAST(NULL AS {f.dataType.simpleString()})"
+        for f in target.schema.fields if f.name not in partitions
+    )
+    for row in emptied:  # one command per partition that leaves the catalog
+        spec = _partition_spec(partitions, row)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} {spec} SELECT {nothing} WHERE false")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
 
 
 def upsert(

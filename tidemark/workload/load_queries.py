@@ -129,6 +129,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     micro_batch.start(
         stream, table, "append", fresh_path(spark, "ingest-state"), available_now=True
     ).awaitTermination()
+    spark.catalog.refreshTable(table)  # the stream loads in a session of its own
     return spark.table(table).groupBy("event_type").agg(
         F.count("*").alias("events"), F.countDistinct("event_id").alias("event_ids")
     )
@@ -144,6 +145,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream, table, "upsert", fresh_path(spark, "upsert-state"), available_now=True,
         keys=["user_id"], order_by="event_id",
     ).awaitTermination()
+    spark.catalog.refreshTable(table)  # the stream loads in a session of its own
     return spark.table(table).select("user_id", "event_id", "event_type")
 
 
