@@ -19,11 +19,16 @@ def key_from_conf(spark: SparkSession, name: str = KEY_CONF) -> Column:
     return F.unbase64(F.lit(spark.conf.get(name)))
 
 
+def _one_line(binary: Column) -> Column:
+    """Base64 without the line breaks Spark puts after every 76 characters."""
+    return F.replace(F.base64(binary), F.lit("\r\n"), F.lit(""))
+
+
 def encrypt(text: Column, key: Column, iv: Column | None = None) -> Column:
     if iv is None:
-        return F.base64(F.aes_encrypt(text, key, F.lit("CBC"), F.lit("PKCS")))
+        return _one_line(F.aes_encrypt(text, key, F.lit("CBC"), F.lit("PKCS")))
     sealed = F.aes_encrypt(text, key, F.lit("CBC"), F.lit("PKCS"), iv)
-    return F.base64(F.substring(sealed, _IV_BYTES + 1, 2**31 - 1 - _IV_BYTES))
+    return _one_line(F.substring(sealed, _IV_BYTES + 1, 2**31 - 1 - _IV_BYTES))
 
 
 def decrypt(cipher: Column, key: Column, iv: Column | None = None) -> Column:
