@@ -7,13 +7,14 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import labels
 from tidemark.operators import readiness as rd
 from tidemark.operators import raw_dates, workflow
 
 CHECK = ("dep_id string, job_nm string, consumer string, prerequisite_job_nm string, "
          "prerequisite_schema_nm string, prerequisite_table_nm string, frequency_check string, "
          "value string, empty_flag int, data_column string, pattern string, frequency string, "
-         "back_day string, job_pattern string, start_ts timestamp_ntz, ref_ts timestamp_ntz")
+         "back_day string, start_ts timestamp_ntz, ref_ts timestamp_ntz")
 LOG = ("log_kind string, job_nm string, schema_nm string, table_nm string, dag_run_id string, "
        "round_time timestamp_ntz, job_start_time timestamp_ntz, ictrl_dt string, status string, "
        "row_cnt bigint")
@@ -22,7 +23,14 @@ LOG = ("log_kind string, job_nm string, schema_nm string, table_nm string, dag_r
 def check(dep, kind, value, ref, consumer="transform", frequency="daily", pattern="%Y%m%d",
           empty_flag=0, column=None, start=None, job="up", table="t", back_day=None):
     return (dep, "down", consumer, job, "s", table, kind, value, empty_flag, column, pattern,
-            frequency, back_day, "%Y%m%d", start, ref)
+            frequency, back_day, start, ref)
+
+
+def frame(spark, checks):
+    return spark.createDataFrame(checks, CHECK).withColumns({
+        "label_pattern": F.expr(labels.spark_pattern("pattern")),
+        "job_label_pattern": F.lit("yyyyMMdd"),
+    })
 
 
 def log(kind, label, status, rows, hour=1, job="UP", table="t", run="r"):
@@ -57,7 +65,7 @@ def log(kind, label, status, rows, hour=1, job="UP", table="t", run="r"):
     ("date_range", "2", datetime(2024, 1, 10), {"pattern": "%Y%m"}, ["202401"]),
 ])
 def test_expected_labels(spark, kind, value, ref, extra, expected):
-    checks = spark.createDataFrame([check("d", kind, value, ref, **extra)], CHECK)
+    checks = frame(spark, [check("d", kind, value, ref, **extra)])
     got = rd.expected_labels(rd.prepare(checks)).filter("route = 'trans'").select("label").distinct()
     found = sorted(r.label for r in got.collect())
     if isinstance(expected, tuple):
@@ -68,7 +76,7 @@ def test_expected_labels(spark, kind, value, ref, extra, expected):
 
 def verdict(spark, checks, logs, raw=None):
     rows = rd.readiness(
-        spark.createDataFrame(checks, CHECK), spark.createDataFrame(logs, LOG), raw
+        frame(spark, checks), spark.createDataFrame(logs, LOG), raw
     ).collect()
     return {r.dep_id: (r.ready, r.missing, r.reason) for r in rows}
 

@@ -31,6 +31,8 @@ DIRECTIVES = {**NUMERIC_DIRECTIVES, **TEXT_DIRECTIVES}
 # Directives of equal rank, from the longest time unit to the shortest.
 TIME_ORDER = ["Yy", "UW", "m", "w", "d", "H", "M", "S", "f"]
 DEFAULT_PATTERN = "%Y%m%d"
+# Spark patterns most labels have.
+COMMON_PATTERNS = ["yyyyMMdd", "yyyyMMddHH", "yyyyMMddHHmm", "yyyy-MM-dd", "yyyy-MM-dd HH", "dd/MM/yyyy"]
 
 
 def pattern_or_default(pattern: str) -> str:
@@ -53,17 +55,32 @@ def spark_pattern(pattern: str) -> str:
     return f"CASE WHEN {is_supported(pattern)} THEN {result} END"
 
 
+def _per_pattern(pattern: str, call: str) -> str:
+    """``call`` with its pattern constant for the common ones, so Spark compiles them once."""
+    arms = " ".join(
+        f"WHEN '{common}' THEN {call.format(pattern=repr(common))}" for common in COMMON_PATTERNS
+    )
+    return f"CASE {pattern} {arms} ELSE {call.format(pattern=pattern)} END"
+
+
+def write(ts: str, label_pattern: str) -> str:
+    """A label from a date and a Spark pattern."""
+    return _per_pattern(label_pattern, f"date_format({ts}, {{pattern}})")
+
+
+def read(label: str, label_pattern: str) -> str:
+    """Label to date-time, a date alone to its midnight, anything else to null."""
+    has_date = " AND ".join(f"contains({label_pattern}, '{unit}')" for unit in ("yy", "MM", "dd"))
+    parsed = f"cast(try_to_timestamp({label}, {{pattern}}) AS timestamp_ntz)"
+    return f"CASE WHEN {has_date} THEN {_per_pattern(label_pattern, parsed)} END"
+
+
 def render(ts: str, pattern: str) -> str:
-    return f"date_format({ts}, {spark_pattern(pattern)})"
+    return write(ts, spark_pattern(pattern))
 
 
 def parse(label: str, pattern: str) -> str:
-    """Label to date-time, a date alone to its midnight, anything else to null."""
-    return (
-        f"CASE WHEN {pattern} RLIKE '%[Yy]' AND {pattern} RLIKE '%[mBb]' "
-        f"AND contains({pattern}, '%d') THEN "
-        f"cast(try_to_timestamp({label}, {spark_pattern(pattern)}) AS timestamp_ntz) END"
-    )
+    return read(label, spark_pattern(pattern))
 
 
 def sorts_chronologically(pattern: str) -> str:

@@ -2,7 +2,8 @@
 
 A check is a dependency at one reference date. Needed columns: ``frequency_check``,
 ``value``, ``ref_ts``, ``start_ts``, ``frequency`` and ``back_day`` of the consuming job,
-``consumer`` (transform or ingest), ``job_pattern`` and ``pattern``.
+``consumer`` (transform or ingest), and the Spark patterns ``label_pattern`` of the
+dependency and ``job_label_pattern`` of the job, null where they are not supported.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def _days(n: str) -> str:
 
 def _as_labelled(ts: str) -> str:
     """The date as its job's label keeps it (a daily label forgets the hour)."""
-    return labels.parse(labels.render(ts, "job_pattern"), "job_pattern")
+    return labels.read(labels.write(ts, "job_label_pattern"), "job_label_pattern")
 
 
 def _window_bounds() -> dict[str, tuple[str, str]]:
@@ -120,7 +121,6 @@ def window_columns() -> dict[str, Column]:
     required = f"CASE WHEN {_in(TOLERANT)} THEN try_divide({HOURS_PER_DAY}, {n}) END"
     columns = {
         "family": FAMILY,
-        "label_pattern": labels.spark_pattern("pattern"),
         "low_ts": f"CASE frequency_check {low} END",
         "high_ts": f"CASE frequency_check {high} END",
         "step_minutes": f"CASE WHEN {_STEPPED} THEN {freq.step_minutes('frequency')} "
@@ -130,7 +130,7 @@ def window_columns() -> dict[str, Column]:
         "required": f"cast({required} AS int)",
         "refused": f"""CASE
             WHEN ({FAMILY}) IS NULL THEN 'unsupported'
-            WHEN NOT {labels.is_supported("pattern")} THEN 'invalid_pattern'
+            WHEN label_pattern IS NULL THEN 'invalid_pattern'
             WHEN {_STEPPED} AND NOT ({freq.is_known("frequency")}) THEN 'invalid_frequency'
             WHEN {_in(TOLERANT)} AND ({required}) IS NULL THEN 'invalid_value' END""",
     }

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import labels
 from tidemark.operators import expected as exp
-from tidemark.session import materialize
+from tidemark.session import materialize, spread
 
 CHECK_KEY = ["dep_id", "ref_ts"]
 SOURCE_KEY = ["route", "job_key", "schema_nm", "table_nm"]
@@ -32,6 +32,8 @@ def dependency_fanout(jobs: DataFrame, dependencies: DataFrame) -> DataFrame:
         "job_nm", "dep_id", "prerequisite_job_nm", "prerequisite_schema_nm",
         "prerequisite_table_nm", "frequency_check", "value", "empty_flag", "data_column",
         F.col("ictrl_dt_tgtfmt").alias("pattern"),
+        # converted here, on the small table, not once per check
+        F.expr(labels.spark_pattern("ictrl_dt_tgtfmt")).alias("label_pattern"),
     )
     return jobs.join(active, "job_nm")
 
@@ -42,7 +44,8 @@ def checks_for_runs(runs: DataFrame, dependencies: DataFrame) -> DataFrame:
     planned = runs.select(
         "job_nm", F.when(ingest, "ingest").otherwise("transform").alias("consumer"),
         "frequency", "back_day",
-        F.expr(labels.pattern_or_default("ictrl_dt_tgtfmt")).alias("job_pattern"),
+        F.expr(labels.spark_pattern(labels.pattern_or_default("ictrl_dt_tgtfmt")))
+        .alias("job_label_pattern"),
         F.col("loop_ts").alias("start_ts"), F.col("run_ts").alias("ref_ts"),
     )
     return dependency_fanout(planned, dependencies)
@@ -113,8 +116,8 @@ def prepare(checks: DataFrame) -> DataFrame:
         .when(ingest, F.array(F.lit("ingest")))
         .otherwise(F.array(F.lit("trans"), F.lit("ingest")))
     )
-    return checks.select(
-        *CHECK_KEY, "job_nm", "prerequisite_job_nm", "pattern", "empty_flag",
+    return spread(checks, *CHECK_KEY).select(
+        *CHECK_KEY, "job_nm", "prerequisite_job_nm", "label_pattern", "empty_flag",
         routes.alias("routes"),
         F.when(uses_raw, F.col("data_column")).otherwise(F.upper("prerequisite_job_nm"))
         .alias("job_key"),
@@ -139,7 +142,7 @@ def expected_labels(prepared: DataFrame) -> DataFrame:
         .filter(F.col("_date").isNotNull())
         .select(*CHECK_KEY, "job_key", "schema_nm", "table_nm", "family", "empty_flag",
                 "required", "by_prefix", F.explode("routes").alias("route"),
-                F.expr("date_format(_date, label_pattern)").alias("label"))
+                F.expr(labels.write("_date", "label_pattern")).alias("label"))
         .withColumn("match_len", F.when(F.col("by_prefix"), F.length("label")).otherwise(0))
         .drop("by_prefix")
     )
@@ -198,7 +201,7 @@ def newest_succeeded(checks: DataFrame, facts: DataFrame) -> DataFrame:
     """Per dependency and route, the newest observed date with enough rows."""
     wanted = (
         checks.filter(f"family = 'newest' AND ({exp.WINDOW_PROBLEM}) IS NULL")
-        .select("dep_id", "job_key", "schema_nm", "table_nm", "pattern", "empty_flag",
+        .select("dep_id", "job_key", "schema_nm", "table_nm", "label_pattern", "empty_flag",
                 F.explode("routes").alias("route"))
         .distinct()
     )
@@ -207,7 +210,7 @@ def newest_succeeded(checks: DataFrame, facts: DataFrame) -> DataFrame:
         facts.filter(F.col("match_len") == 0).join(wanted, SOURCE_KEY)
         .filter(F.coalesce(enough, F.lit(False)))
         .groupBy("dep_id", "route")
-        .agg(F.max(F.expr(labels.parse("label", "pattern"))).alias("newest_ts"))
+        .agg(F.max(F.expr(labels.read("label", "label_pattern"))).alias("newest_ts"))
     )
 
 
@@ -230,7 +233,7 @@ def route_verdicts(checks: DataFrame, missing: DataFrame, newest: DataFrame) ->
     none = F.array().cast("array<string>")
     is_newest = F.col("family") == "newest"
     reached = F.coalesce(F.col("newest_ts") >= F.col("ref_ts"), F.lit(False))
-    own_label = F.expr("array(date_format(ref_ts, label_pattern))")
+    own_label = F.expr(f"array({labels.write('ref_ts', 'label_pattern')})")
     return (
         checks.select(*CHECK_KEY, "job_nm", "prerequisite_job_nm", "family", "label_pattern",
                       "required", F.expr(exp.WINDOW_PROBLEM).alias("problem"),

@@ -52,3 +52,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread few rows that each cost much over all shuffle partitions.
+
+    A given partition count, unlike a plain shuffle, is not merged by adaptive execution,
+    which would judge the rows by their size.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)

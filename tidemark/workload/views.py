@@ -130,7 +130,7 @@ def checks(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
         "job_nm", "clock", "frequency", "back_day",
         F.when(F.col("job_type").isin(*schemas.INGEST_TYPES), "ingest")
         .otherwise("transform").alias("consumer"),
-        F.col("ictrl_dt_tgtfmt").alias("job_pattern"),
+        F.expr(labels.spark_pattern("ictrl_dt_tgtfmt")).alias("job_label_pattern"),
     ).join(reference_dates(spark, sf_dir), "clock")
     back = F.when(F.col("frequency") == "monthly", 70).otherwise(3)
     return dependency_fanout(
