@@ -157,3 +157,12 @@ def test_stream_restarts_where_it_stopped(spark, tmp_path):
     micro_batch.load_batch(spark.range(10, 20), 1, log, name, "append")
     spark.catalog.refreshTable(name)
     assert spark.table(name).count() == 20
+
+
+def test_merge_statement():
+    text = loads.merge_statement("t", "v", ["k"], ["k", "load_ts"], "src.v > 0", ["k"])
+    assert text == ("MERGE INTO t AS trg USING v AS src ON trg.`k` = src.`k` AND (src.v > 0) "
+                    "WHEN MATCHED THEN UPDATE SET trg.`k` = src.`k` "
+                    "WHEN NOT MATCHED THEN INSERT (`k`, `load_ts`) VALUES (src.`k`, src.`load_ts`)")
+    only = loads.merge_statement("t", "v", ["k"], ["k"], None, ["a"], "trg.a < 1", inserts=False)
+    assert only.endswith("ON trg.`k` = src.`k` WHEN MATCHED AND (trg.a < 1) THEN UPDATE SET trg.`a` = src.`a`")

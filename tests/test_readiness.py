@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import labels
 from tidemark.operators import readiness as rd
 from tidemark.operators import raw_dates, workflow
+from tidemark.plans import run_plan
 
 CHECK = ("dep_id string, job_nm string, consumer string, prerequisite_job_nm string, "
          "prerequisite_schema_nm string, prerequisite_table_nm string, frequency_check string, "
@@ -214,3 +215,53 @@ def test_workflow_without_writer_is_not_ready(spark):
     targets = deps.select("dep_id", F.lit(day.date()).alias("target_day"))
     got = {r.dep_id: r.ready for r in workflow.workflow_complete(deps, targets, completions).collect()}
     assert got == {"all": False, "w1": True, "lost": False}
+
+
+def test_nameless_daily_ingest_asks_the_workflows(spark):
+    completions = spark.createDataFrame(
+        [("S", "T", "w1", datetime(2024, 1, 10).date()), ("S", "T", "w2", datetime(2024, 1, 12).date()),
+         ("S", "U", "w3", None)],
+        "schema_key string, table_key string, workflow_nm string, last_day date")
+    checks = frame(spark, [
+        check("done", "daily", None, datetime(2024, 1, 10, 9), consumer="ingest", job=None),
+        check("late", "daily", None, datetime(2024, 1, 11), consumer="ingest", job="none"),
+        check("never", "daily", None, REF, consumer="ingest", job="", table="u"),
+        check("nobody", "daily", None, REF, consumer="ingest", job="", table="v"),
+        check("by_log", "daily", None, REF, job=""),
+    ])
+    rows = rd.readiness(checks, spark.createDataFrame([], LOG), None, completions).collect()
+    assert {r.dep_id: r.ready for r in rows} == {
+        "done": True, "late": False, "never": False, "nobody": False, "by_log": False}
+
+
+def test_run_plan(spark):
+    now = datetime(2024, 1, 10, 6)
+    jobs = spark.createDataFrame(
+        [("down", "transform", "daily", "0", None, "sequence", "%Y%m%d", "N", "20240107", now),
+         ("free", "ingestDb", "daily", "0", None, None, "%Y%m%d", "N", None, now)],
+        "job_nm string, job_type string, frequency string, back_day string, overlap string, "
+        "catchup_type string, ictrl_dt_tgtfmt string, cdr_flag string, last_success_ictrl_dt string, "
+        "start_time timestamp_ntz")
+    deps = spark.createDataFrame(
+        [("d", "down", "Y", "up", "s", "t", "daily", None, 0, None, "%Y%m%d"),
+         ("off", "down", "N", "gone", "s", "t", "daily", None, 0, None, "%Y%m%d")],
+        "dep_id string, job_nm string, active_flag string, prerequisite_job_nm string, "
+        "prerequisite_schema_nm string, prerequisite_table_nm string, frequency_check string, "
+        "value string, empty_flag int, data_column string, ictrl_dt_tgtfmt string")
+    logs = [log("trans", "20240108", "SUCCEED", 1), log("ingest", "20240110", "SUCCEED", 1)]
+    runs = run_plan.planned(jobs)
+    result = run_plan.run_readiness(runs, deps, spark.createDataFrame(logs, LOG))
+    got = {(r.job_nm, r.ictrl_dt): (r.ready, r.not_ready) for r in result.collect()}
+    assert got == {("down", "20240108"): (True, []), ("down", "20240109"): (False, ["up"]),
+                   ("down", "20240110"): (True, []), ("free", "20240110"): (True, [])}
+
+    started = datetime(2024, 1, 10, 5)
+    busy = spark.createDataFrame(
+        [("FREE", "g", started, started, "r0", "20240110", "RUNNING", None),
+         ("down", "g", started, started, "r0", "20240108", "SUCCEED", "-")],
+        "job_nm string, tasksgroup_nm string, round_time timestamp_ntz, job_start_time timestamp_ntz, "
+        "dag_run_id string, ictrl_dt string, status string, err_msg string")
+    candidates = result.withColumns({
+        "tasksgroup_nm": F.lit("g"), "round_time": F.lit(now), "dag_run_id": F.lit("r1")})
+    left = run_plan.startable(candidates, busy).select("job_nm", "ictrl_dt").collect()
+    assert [tuple(r) for r in left] == [("down", "20240110")]

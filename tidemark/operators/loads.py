@@ -1,7 +1,7 @@
 """Loading a staged DataFrame into its target table.
 
-Targets are catalog tables (Parquet unless created otherwise). Parquet tables have no
-row-level MERGE, so upsert and update rewrite: a whole table into a new version its name
+Targets are catalog tables. Formats with a MERGE of their own use it. Parquet tables have
+none, so upsert and update rewrite: a whole table into a new version its name
 is then pointed at, a partitioned table only in the partitions that change.
 
 The target is never shuffled for a small staging table: updates arrive by a left join and
@@ -11,6 +11,7 @@ is below the broadcast threshold. Larger staging sort-merges, with skewed keys s
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -23,6 +24,10 @@ NEVER_UPDATED = ("load_ts",)
 LOAD_MODES = ("full_load", "overwrite", "append", "upsert", "update")
 
 
+# Table formats with a MERGE of their own.
+MERGING_FORMATS = ("delta", "iceberg")
+
+
 class DuplicateSourceError(ValueError):
     """Several staged rows would update one target row."""
 
@@ -64,9 +69,17 @@ def _as_table(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
+def _described(spark: SparkSession, table: str, what: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == what)
+    return rows.first()["data_type"]
+
+
 def _location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
-    return described.first()["data_type"]
+    return _described(spark, table, "Location")
+
+
+def _merges(spark: SparkSession, table: str) -> bool:
+    return _described(spark, table, "Provider").lower() in MERGING_FORMATS
 
 
 def _partition_spec(columns: Sequence[str], row: Row) -> str:
@@ -200,11 +213,35 @@ def updated(
     condition: str | None = None,
 ) -> DataFrame:
     """The target after an update: listed columns of matched rows where the condition holds."""
-    if not update_columns:
-        raise ValueError("update needs at least one column to set")
     return _with_updates(target, staged, _matches(keys, None), update_columns, condition)
 
 
+def merge_statement(
+    table: str, source: str, keys: Sequence[str], columns: Sequence[str],
+    condition: str | None, updates: Sequence[str], update_when: str | None = None,
+    inserts: bool = True,
+) -> str:
+    """MERGE for tables whose format supports it, with the same matching as the rewrite."""
+    on = " AND ".join([f"trg.`{k}` = src.`{k}`" for k in keys] + ([f"({condition})"] if condition else []))
+    parts = [f"MERGE INTO {table} AS trg USING {source} AS src ON {on}"]
+    if updates:
+        sets = ", ".join(f"trg.`{c}` = src.`{c}`" for c in updates)
+        parts.append(f"WHEN MATCHED{f' AND ({update_when})' if update_when else ''} THEN UPDATE SET {sets}")
+    if inserts:
+        names, values = (", ".join(f"{p}`{c}`" for c in columns) for p in ("", "src."))
+        parts.append(f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})")
+    return " ".join(parts)
+
+
+def _merge(staged: DataFrame, table: str, **clauses) -> None:
+    view = f"staged_{uuid.uuid4().hex}"
+    staged.createOrReplaceTempView(view)
+    try:
+        staged.sparkSession.sql(merge_statement(table, view, columns=staged.columns, **clauses))
+    finally:
+        staged.sparkSession.catalog.dropTempView(view)
+
+
 # --- rewriting -----------------------------------------------------------------------
 
 
@@ -255,6 +292,12 @@ def upsert(
     update_columns: Sequence[str] | None = None,
 ) -> None:
     spark = staged.sparkSession
+    condition = (condition or "").strip() or None
+    if _merges(spark, table):
+        chosen = staged.columns if update_columns is None else update_columns
+        updates = [c for c in chosen if c not in NEVER_UPDATED]
+        _merge(staged, table, keys=keys, condition=condition, updates=updates)
+        return
     check_single_source(spark.table(table), staged, keys, condition)
     _rewrite(
         spark, table, staged, keys,
@@ -266,7 +309,14 @@ def update(
     staged: DataFrame, table: str, keys: Sequence[str], update_columns: Sequence[str],
     condition: str | None = None,
 ) -> None:
+    if not update_columns:
+        raise ValueError("update needs at least one column to set")
     spark = staged.sparkSession
+    condition = (condition or "").strip() or None
+    if _merges(spark, table):
+        _merge(staged, table, keys=keys, condition=None, updates=update_columns,
+               update_when=condition, inserts=False)
+        return
     check_single_source(spark.table(table), staged, keys)
     _rewrite(
         spark, table, staged, keys,

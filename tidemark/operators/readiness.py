@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import labels
 from tidemark.operators import expected as exp
+from tidemark.operators.workflow import worst_days
 from tidemark.session import materialize, spread
 
 CHECK_KEY = ["dep_id", "ref_ts"]
@@ -104,15 +105,21 @@ def prepare(checks: DataFrame) -> DataFrame:
 
     A named business column sends a check to the raw table, anything else to the logs.
     Transform jobs look in the transform log and fall back to the ingest log; ingest
-    jobs look in the ingest log only and treat the column ``None`` as absent.
+    jobs look in the ingest log only and treat the column ``None`` as absent. A daily
+    ingest check without a job name asks the external workflows that write the table.
     """
     ingest = F.col("consumer") == "ingest"
     uses_raw = F.col("data_column").isNotNull() & ~(ingest & (F.col("data_column") == "None"))
     table = F.when(ingest, F.split("prerequisite_table_nm", " ")[0]).otherwise(
         F.col("prerequisite_table_nm")
     )
+    nameless = F.lower(F.coalesce("prerequisite_job_nm", F.lit(""))).isin("", "none")
+    by_workflow = ingest & ~uses_raw & nameless & (F.col("frequency_check") == "daily")
+    windows = exp.window_columns()
+    windows["family"] = F.when(by_workflow, "newest").otherwise(windows["family"])
     routes = (
         F.when(uses_raw, F.array(F.lit("raw")))
+        .when(by_workflow, F.array(F.lit("workflow")))
         .when(ingest, F.array(F.lit("ingest")))
         .otherwise(F.array(F.lit("trans"), F.lit("ingest")))
     )
@@ -124,7 +131,7 @@ def prepare(checks: DataFrame) -> DataFrame:
         F.col("prerequisite_schema_nm").alias("schema_nm"), table.alias("table_nm"),
         (ingest & ~uses_raw & F.col("frequency_check").isin("daily", "hourly"))
         .alias("by_prefix"),
-        *[column.alias(name) for name, column in exp.window_columns().items()],
+        *[column.alias(name) for name, column in windows.items()],
     )
 
 
@@ -214,6 +221,17 @@ def newest_succeeded(checks: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
+def newest_workflow_day(prepared: DataFrame, completions: DataFrame) -> DataFrame:
+    """Per dependency on external workflows, the day its slowest workflow last succeeded."""
+    wanted = prepared.filter("array_contains(routes, 'workflow')").select(
+        "dep_id", "schema_nm", "table_nm", F.lit(None).cast("array<string>").alias("names")
+    ).distinct()
+    return worst_days(wanted, completions).select(
+        "dep_id", F.lit("workflow").alias("route"),
+        F.col("worst_day").cast("timestamp_ntz").alias("newest_ts"),
+    )
+
+
 # --- verdicts ---------------------------------------------------------------------------
 
 
@@ -232,7 +250,11 @@ def route_verdicts(checks: DataFrame, missing: DataFrame, newest: DataFrame) ->
     )
     none = F.array().cast("array<string>")
     is_newest = F.col("family") == "newest"
-    reached = F.coalesce(F.col("newest_ts") >= F.col("ref_ts"), F.lit(False))
+    # a workflow finishes on a day, so only the day of the reference date counts there
+    wanted_ts = F.when(
+        F.col("route") == "workflow", F.to_date("ref_ts").cast("timestamp_ntz")
+    ).otherwise(F.col("ref_ts"))
+    reached = F.coalesce(F.col("newest_ts") >= wanted_ts, F.lit(False))
     own_label = F.expr(f"array({labels.write('ref_ts', 'label_pattern')})")
     return (
         checks.select(*CHECK_KEY, "job_nm", "prerequisite_job_nm", "family", "label_pattern",
@@ -270,19 +292,21 @@ def fold_routes(verdicts: DataFrame) -> DataFrame:
 
 def readiness(
     checks: DataFrame, log: DataFrame, raw: DataFrame | None = None,
-    succeeded: Sequence[str] = schemas.SUCCEEDED,
+    completions: DataFrame | None = None, succeeded: Sequence[str] = schemas.SUCCEEDED,
 ) -> DataFrame:
     """Verdict per check: ``ready``, sorted ``missing`` labels and a ``reason``.
 
     The log and the raw tables are read once, into a small written table of facts, and
-    the window of each check is worked out once, into a narrow written table.
+    the window of each check is worked out once, into a narrow written table. ``raw``:
+    business dates (``raw_dates.observed_dates``); ``completions``: external workflows
+    (``workflow.last_completions``).
     """
-    return fold_routes(verdicts_by_route(checks, log, raw, succeeded))
+    return fold_routes(verdicts_by_route(checks, log, raw, completions, succeeded))
 
 
 def verdicts_by_route(
     checks: DataFrame, log: DataFrame, raw: DataFrame | None = None,
-    succeeded: Sequence[str] = schemas.SUCCEEDED,
+    completions: DataFrame | None = None, succeeded: Sequence[str] = schemas.SUCCEEDED,
 ) -> DataFrame:
     """Readiness before the fallback from one log to the next is applied."""
     prepared = materialize(prepare(checks), "checks")
@@ -293,6 +317,8 @@ def verdicts_by_route(
     needed = expected_labels(prepared)
     missing = missing_labels(needed, facts.unionByName(prefix_facts(facts, prepared)))
     newest = newest_succeeded(prepared, facts)
+    if completions is not None:
+        newest = newest.unionByName(newest_workflow_day(prepared, completions))
     return route_verdicts(prepared, missing, newest)
 
 

@@ -35,28 +35,34 @@ def last_completions(
     )
 
 
-def workflow_complete(
-    dependencies: DataFrame, targets: DataFrame, completions: DataFrame
-) -> DataFrame:
-    """Per dependency and target day: have all workflows writing its table finished?
+def worst_days(dependencies: DataFrame, completions: DataFrame) -> DataFrame:
+    """Per dependency, the earliest last success among the workflows writing its table.
 
-    A workflow is done for a day when it succeeded on or after it, and the worst workflow
-    decides; so one day per dependency, the earliest last success, answers all its target
-    days, and days never meet workflows. No workflow found means not ready.
-    ``dependencies``: dep_id, schema_nm, table_nm, names (array, or null for all);
-    ``targets``: dep_id, target_day.
+    ``dependencies``: dep_id, schema_nm, table_nm, names (array, or null for all). A
+    dependency nobody writes has no row.
     """
     wanted = dependencies.select(
         "dep_id", F.upper("schema_nm").alias("schema_key"),
         F.upper("table_nm").alias("table_key"), "names",
     )
-    worst = (
+    return (
         wanted.join(completions, ["schema_key", "table_key"])
         .filter("names IS NULL OR size(names) = 0 OR array_contains(names, workflow_nm)")
         .groupBy("dep_id")
         .agg(F.min(F.coalesce("last_day", F.lit(_NEVER).cast("date"))).alias("worst_day"))
     )
-    return targets.join(worst, "dep_id", "left").select(
+
+
+def workflow_complete(
+    dependencies: DataFrame, targets: DataFrame, completions: DataFrame
+) -> DataFrame:
+    """Per dependency and target day: have all workflows writing its table finished?
+
+    A workflow is done for a day when it succeeded on or after it, and the worst workflow
+    decides; so one day per dependency answers all its target days, and days never meet
+    workflows. No workflow found means not ready. ``targets``: dep_id, target_day.
+    """
+    return targets.join(worst_days(dependencies, completions), "dep_id", "left").select(
         "dep_id", "target_day",
         F.coalesce(F.col("worst_day") >= F.col("target_day"), F.lit(False)).alias("ready"),
     )
