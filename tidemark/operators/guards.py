@@ -17,7 +17,6 @@ from tidemark import schemas
 # Fixed value: hours a running log blocks another run.
 GUARD_HOURS = 3
 _BUCKET_SECONDS = GUARD_HOURS * 3600
-SALTS = 64
 CANDIDATE_KEY = ["job_nm", "tasksgroup_nm", "round_time", "dag_run_id"]
 
 
@@ -28,55 +27,30 @@ def running(log: DataFrame) -> DataFrame:
 # --- transform guard ---------------------------------------------------------------------
 
 
-def _latest(condition: Column | None = None) -> Column:
-    attempt = F.struct("job_start_time", "dag_run_id", "round_time")
-    return F.max(attempt if condition is None else F.when(condition, attempt))
-
-
-def _five_newest(attempts: DataFrame, key: list[str]) -> DataFrame:
-    """Per key, five attempts that tell the newest one of others, whoever asks.
-
-    A candidate ignores attempts that share its run id or its round. ``a`` is the newest
-    attempt. If the candidate shares the run id of ``a``, the answer is the newest with
-    another run id (``b``), or, if ``b`` is of its round, the newest with neither
-    (``c``). If it shares the round of ``a``, ``d`` and ``e`` do the same for rounds.
-    """
-    other_run = F.col("dag_run_id") != F.col("a.dag_run_id")
-    other_round = F.col("round_time") != F.col("a.round_time")
-    first = attempts.groupBy(*key).agg(_latest().alias("a"))
-    second = (
-        attempts.join(first, key).groupBy(*key)
-        .agg(F.any_value("a").alias("a"), _latest(other_run).alias("b"),
-             _latest(other_round).alias("d"))
-    )
-    not_b = other_run & (F.col("round_time") != F.col("b.round_time"))
-    not_d = other_round & (F.col("dag_run_id") != F.col("d.dag_run_id"))
-    return (
-        attempts.join(second, key).groupBy(*key)
-        .agg(*[F.any_value(x).alias(x) for x in ("a", "b", "d")],
-             _latest(not_b).alias("c"), _latest(not_d).alias("e"))
-    )
+def _newest_per(attempts: DataFrame, key: list[str], keep: int) -> DataFrame:
+    """The newest ``keep`` attempts per key; Spark applies the limit in each task first."""
+    order = [F.desc("job_start_time"), F.desc("dag_run_id"), F.desc("round_time")]
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return attempts.withColumn("_place", place).filter(F.col("_place") <= keep).drop("_place")
 
 
 def newest_attempts(log: DataFrame) -> DataFrame:
-    """The five attempts of every job and label.
+    """Per job and label, at most five running attempts that answer every candidate.
 
-    The five of a union are the five of its parts' fives, so a busy key is first cut into
-    salted parts and no task meets all its attempts.
+    A candidate asks for the newest attempt of another run id and another round. Of that
+    attempt's own run id at most one newer attempt exists that the candidate ignores (the
+    one of its round), and of its own round at most one (the one of its run id). So it is
+    among the two newest of its run id and of its round; and of such attempts the
+    candidate ignores at most two per run id and two per round, so it is among five.
     """
     key = ["job_nm", "label"]
-    attempts = running(log).select(
-        "job_nm", F.col("ictrl_dt").alias("label"), "job_start_time", "dag_run_id", "round_time"
-    )
-    salted = attempts.withColumn(
-        "salt", F.pmod(F.xxhash64("dag_run_id", "round_time"), F.lit(SALTS))
-    )
-    parts = _five_newest(salted, [*key, "salt"]).select(
-        *key, F.explode(F.array("a", "b", "c", "d", "e")).alias("attempt")
-    )
-    return _five_newest(
-        parts.filter("attempt IS NOT NULL").select(*key, "attempt.*").distinct(), key
+    attempts = (
+        running(log).groupBy("job_nm", F.col("ictrl_dt").alias("label"), "dag_run_id", "round_time")
+        .agg(F.max("job_start_time").alias("job_start_time"))
     )
+    by_run = _newest_per(attempts, [*key, "dag_run_id"], 2)
+    by_round = _newest_per(by_run, [*key, "round_time"], 2)
+    return _newest_per(by_round, key, 5)
 
 
 def blocked_transform(candidates: DataFrame, log: DataFrame) -> DataFrame:
@@ -85,22 +59,16 @@ def blocked_transform(candidates: DataFrame, log: DataFrame) -> DataFrame:
     The other run has a different run id and round and started within three hours before
     ``now``.
     """
-    recent = F.make_dt_interval(F.lit(0), F.lit(GUARD_HOURS))
-
-    def another(name: str) -> Column:
-        return (
-            (F.col(f"{name}.dag_run_id") != F.col("dag_run_id"))
-            & (F.col(f"{name}.round_time") != F.col("round_time"))
-            & (F.col(f"{name}.job_start_time") >= F.col("now") - recent)
-        )
-
-    hit = F.lit(False)
-    for name in "abcde":
-        hit = hit | F.coalesce(another(name), F.lit(False))
+    recent = F.col("c.now") - F.make_dt_interval(F.lit(0), F.lit(GUARD_HOURS))
+    blocks = (
+        (F.col("c.job_nm") == F.col("o.job_nm")) & (F.col("c.label") == F.col("o.label"))
+        & (F.col("o.dag_run_id") != F.col("c.dag_run_id"))
+        & (F.col("o.round_time") != F.col("c.round_time"))
+        & (F.col("o.job_start_time") >= recent)
+    )
     return (
-        candidates.withColumn("label", F.explode("labels"))
-        .join(newest_attempts(log), ["job_nm", "label"])
-        .filter(hit)
+        candidates.withColumn("label", F.explode("labels")).alias("c")
+        .join(newest_attempts(log).alias("o"), blocks, "left_semi")
         .select(*CANDIDATE_KEY).distinct()
     )
 

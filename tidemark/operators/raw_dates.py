@@ -51,40 +51,44 @@ def observed_dates(tables: Mapping[tuple[str, str, str], DataFrame]) -> DataFram
 
 
 def _month_no(label: str) -> str:
-    ts = labels.parse(label, "pattern")
+    ts = labels.read(label, "label_pattern")
     return f"year({ts}) * 12 + month({ts})"
 
 
+def _with_kind(distinct_labels: DataFrame) -> DataFrame:
+    """Whether a label's pattern can be read as a range; worked out on distinct labels."""
+    return (
+        distinct_labels.withColumn("label_pattern", F.expr(labels.spark_pattern("pattern")))
+        .withColumn("month_no", F.expr(_month_no("label")))
+        .withColumn("sorts", F.expr(labels.sorts_chronologically("pattern")))
+        .withColumn("ranged", F.col("sorts") & F.col("month_no").isNotNull())
+    )
+
+
 def range_or_set_scan(table: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     """Labels and row counts of the table that each dependency asks for.
 
     ``table`` holds the label column and its ``pattern``; ``wanted`` holds ``dep_id``,
     ``pattern`` and the dependency's ``label`` set. When labels of a pattern sort by time
     and name a full date, the dependency reads the whole range from its first to its last
-    label; otherwise it reads exactly its labels. Rows shrink to distinct labels before
-    any join, and the range join matches month by month on equal keys.
+    label; otherwise it reads exactly its labels. The table is read once and shrinks to
+    distinct labels before the join, which matches on equal keys: the month of a range, or
+    the label itself.
     """
-    present = table.groupBy("pattern", F.col(column).alias("label")).agg(
-        F.count("*").alias("row_cnt")
-    )
-    ranged = F.expr(
-        f"{labels.sorts_chronologically('pattern')} AND {labels.parse('label', 'pattern')} IS NOT NULL"
-    )
+    present = _with_kind(
+        table.groupBy("pattern", F.col(column).alias("label")).agg(F.count("*").alias("row_cnt"))
+    ).withColumn("bucket", F.expr("CASE WHEN ranged THEN cast(month_no AS string) ELSE label END"))
     spans = (
-        wanted.filter(ranged).groupBy("dep_id", "pattern")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .withColumn("month_no", F.explode(F.expr(
-            f"sequence({_month_no('low')}, {_month_no('high')})"
-        )))
+        _with_kind(wanted.select("dep_id", "pattern", "label").distinct())
+        .groupBy("dep_id", "pattern", F.expr("CASE WHEN NOT ranged THEN label END").alias("one_label"))
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"),
+             F.min("month_no").alias("first_month"), F.max("month_no").alias("last_month"))
+        .withColumn("bucket", F.explode(F.expr("""CASE
+            WHEN one_label IS NOT NULL THEN array(one_label)
+            ELSE cast(sequence(first_month, last_month) AS array<string>) END""")))
     )
-    in_range = (
-        present.filter(ranged).withColumn("month_no", F.expr(_month_no("label")))
-        .join(spans, ["pattern", "month_no"])
+    return (
+        present.join(spans, ["pattern", "bucket"])
         .filter(F.col("label").between(F.col("low"), F.col("high")))
         .select("dep_id", "pattern", "label", "row_cnt")
     )
-    in_set = present.join(
-        wanted.filter(~ranged).select("dep_id", "pattern", "label").distinct(),
-        ["pattern", "label"],
-    ).select("dep_id", "pattern", "label", "row_cnt")
-    return in_range.unionByName(in_set)

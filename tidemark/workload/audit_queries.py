@@ -58,10 +58,8 @@ def validate_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def group_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as runs of their orders."""
-    items = views.order_log(spark, sf_dir).join(
-        views.table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").cast("string").alias("dag_run_id"), "o_custkey"), "dag_run_id")
-    return validation.group_result(items.select(F.col("o_custkey").alias("run_id"), "status"))
+    items = views.order_log(spark, sf_dir).select(F.col("o_custkey").alias("run_id"), "status")
+    return validation.group_result(items)
 
 
 # --- audit ------------------------------------------------------------------------------
@@ -134,8 +132,9 @@ def audit_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start, completion (of all that do not still run) and deletion (of late failures)."""
     runs = _order_runs(spark, sf_dir)
-    started = audit.start_trans(runs).drop("log_kind").join(
-        runs.select("dag_run_id", "log_kind"), "dag_run_id")
+    started = audit.start_trans(runs.filter("log_kind = 'trans'")).unionByName(
+        audit.start_ingest(runs.filter("log_kind = 'ingest'")), allowMissingColumns=True
+    )
     closed = audit.completion(runs.filter("status <> 'RUNNING'").withColumn("status", F.col("final_status")))
     deleted = audit.deletion(
         runs.filter("status = 'FAILED' AND row_cnt = 0"), F.col("job_end_time") + F.expr("INTERVAL 1 DAY"))

@@ -100,18 +100,17 @@ DELAY_COLUMNS = {
 FOLDER_SCHEMAS = [("R", "returns"), ("A", "accepted"), ("N", "pending")]
 FOLDER_COLUMNS = {"folder_nm": "string", "schema_nm": "string"}
 
-# dep_id, schema, table, workflow names (comma list or null), clock
+# dep_id, schema, table, workflow names (comma list or null)
 WORKFLOW_DEPS = [
-    ("any_1", "RETURNS", "T1", None, "ship"),
-    ("any_2", "accepted", "t2", None, "ship"),
-    ("some_3", "pending", "T3", "WF3,WF4,WF5", "ship"),
-    ("one_4", "returns", "t4", "WF9", "ship"),
-    ("none_5", "returns", "t5", "WF1", "ship"),
-    ("lost_6", "nowhere", "t6", None, "ship"),
+    ("any_1", "RETURNS", "T1", None),
+    ("any_2", "accepted", "t2", None),
+    ("some_3", "pending", "T3", "WF3,WF4,WF5"),
+    ("one_4", "returns", "t4", "WF9"),
+    ("none_5", "returns", "t5", "WF1"),
+    ("lost_6", "nowhere", "t6", None),
 ]
 WORKFLOW_DEP_COLUMNS = {
     "dep_id": "string", "schema_nm": "string", "table_nm": "string", "names": "string",
-    "clock": "string",
 }
 
 # rule_id, table, rule_calc, columns, expect_value, operation, sql_calc, arguments, margin_pct

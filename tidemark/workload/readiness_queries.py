@@ -124,7 +124,10 @@ def prereq_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def workflow_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line numbers as tables, suppliers as workflows, return flags as folders."""
+    """Line numbers as tables, suppliers as workflows, return flags as folders.
+
+    The target days of a dependency are the ship days of its table.
+    """
     items = views.table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("folder_nm"),
         F.concat(F.lit("WF"), F.col("l_suppkey")).alias("workflow_nm"),
@@ -143,11 +146,11 @@ def workflow_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     deps = control.frame(spark, control.WORKFLOW_DEPS, control.WORKFLOW_DEP_COLUMNS).withColumn(
         "names", F.split("names", ",")
     )
-    days = items.select(F.to_date("xtr_end_dt").alias("target_day")).distinct()
-    verdict = workflow.workflow_complete(
-        deps, deps.select("dep_id", "clock").join(days.withColumn("clock", F.lit("ship")), "clock"),
-        completions,
-    )
+    days = items.select(
+        F.upper("tgt_obj").alias("table_key"), F.to_date("xtr_end_dt").alias("target_day")
+    ).distinct()
+    targets = deps.select("dep_id", F.upper("table_nm").alias("table_key")).join(days, "table_key")
+    verdict = workflow.workflow_complete(deps, targets, completions)
     return verdict.withColumn("target_day", F.date_format("target_day", "yyyy-MM-dd"))
 
 
@@ -373,10 +376,10 @@ ORACLES = {
       ), writers AS (SELECT DISTINCT f.schema_nm, 't' || l_linenumber AS tbl, wf, folder
           FROM items JOIN folders f ON f.folder_nm = folder
           WHERE l_tax < 0.08 AND l_discount < 0.09 AND wf NOT IN ('WF1', 'WF7')
-      ), days AS (SELECT DISTINCT day FROM items)
+      ), days AS (SELECT DISTINCT 't' || l_linenumber AS tbl, day FROM items)
       SELECT d.dep_id, strftime(y.day, '%Y-%m-%d') AS target_day, COALESCE(bool_and(
           w.wf IS NOT NULL AND COALESCE(e.last_day >= y.day, false)), false) AS ready
-      FROM deps d CROSS JOIN days y
+      FROM deps d JOIN days y ON y.tbl = lower(d.table_nm)
       LEFT JOIN writers w ON upper(w.schema_nm) = upper(d.schema_nm) AND upper(w.tbl) = upper(d.table_nm)
         AND (d.names IS NULL OR list_contains(string_split(d.names, ','), w.wf))
       LEFT JOIN done e ON e.folder = w.folder AND e.wf = w.wf

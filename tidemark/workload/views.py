@@ -61,7 +61,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         _day("o_orderdate").alias("ictrl_dt"),
         F.when(F.col("o_orderstatus") == "F", "SUCCEED")
         .when(F.col("o_orderstatus") == "O", "RUNNING").otherwise("FAILED").alias("status"),
-        (F.col("o_custkey") % 5).alias("row_cnt"),
+        (F.col("o_custkey") % 5).alias("row_cnt"), "o_custkey",
     )
 
 
