@@ -2,24 +2,31 @@
 
 The audit log and the data tables may be huge, the checks are not. So the log shrinks
 first to one fact row per (job, table, label), combined map-side, and only missing labels
-travel to the verdict. No join is hinted: Spark broadcasts a side only below its size
-threshold and splits skewed partitions otherwise.
+travel to the verdict. Only the list of sources is hinted for broadcast, and only after its
+rows are counted; elsewhere Spark broadcasts a side below its size threshold and splits
+skewed partitions otherwise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions import frequency as freq
 from tidemark.functions import labels
 from tidemark.operators import expected as exp
 from tidemark.operators.workflow import worst_days
 from tidemark.session import materialize, spread
 
 CHECK_KEY = ["dep_id", "ref_ts"]
+# Fixed value: the Spark pattern whose beginnings sort as text like they do as time.
+TIME_DIGITS = "yyyyMMddHHmmssSSSSSS"
+# Rows of three names each: a few megabytes at most.
+MAX_BROADCAST_SOURCES = 20_000
 SOURCE_KEY = ["route", "job_key", "schema_nm", "table_nm"]
 FACT_KEY = [*SOURCE_KEY, "match_len", "label"]
 
@@ -135,6 +142,72 @@ def prepare(checks: DataFrame) -> DataFrame:
     )
 
 
+# --- what of the log matters ------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Relevance:
+    """Which log rows and business dates the checks can ask for."""
+
+    sources: DataFrame | None
+    low: str | None
+    high: str | None
+
+    def _in_range(self, label: str) -> Column:
+        within = F.lit(True)
+        if self.low is not None:
+            within = within & (F.col(label) >= self.low)
+        if self.high is not None:
+            within = within & (F.col(label) <= self.high)
+        return within
+
+    def of_log(self, log: DataFrame) -> DataFrame:
+        rows = log.filter(self._in_range("ictrl_dt"))
+        if self.sources is None:
+            return rows
+        match = [
+            F.upper(rows["job_nm"]) == self.sources["job_key"],
+            rows["schema_nm"] == self.sources["source_schema"],
+            rows["table_nm"] == self.sources["source_table"],
+        ]
+        return rows.join(F.broadcast(self.sources), match, "left_semi")
+
+    def of_raw(self, dates: DataFrame) -> DataFrame:
+        return dates.filter(self._in_range("label"))
+
+
+def relevance(prepared: DataFrame) -> Relevance:
+    """Worked out in one small aggregation over the checks, as literals Spark can push down.
+
+    When all labels are digits from the year down, they compare as text like time does, so
+    the log and the raw tables are read from the first to the last label asked for. A check
+    for the newest date leaves the end open. The sources asked for are broadcast against
+    the log only while they are few; beyond that the log is not filtered by source.
+    """
+    first = f"coalesce({freq.shift('low_ts', '-step_minutes * reach', '-step_months * reach')}, low_ts)"
+    last = f"coalesce({freq.shift('high_ts', 'step_minutes * reach', 'step_months * reach')}, high_ts)"
+    asked = prepared.filter(f"({exp.WINDOW_PROBLEM}) IS NULL")
+    found = asked.select(
+        "job_key", "schema_nm", "table_nm", "family", "label_pattern",
+        F.expr(f"struct({first} AS first_ts, {last} AS last_ts)").alias("span"),
+    ).agg(
+        F.bool_and(F.lit(TIME_DIGITS).startswith(F.col("label_pattern"))).alias("by_time"),
+        F.min(F.expr(labels.write("span.first_ts", "label_pattern"))).alias("low"),
+        F.max(F.expr(labels.write("span.last_ts", "label_pattern"))).alias("high"),
+        F.bool_or(F.col("family") == "newest").alias("open_end"),
+        F.count_distinct("job_key", "schema_nm", "table_nm").alias("sources"),
+    ).first()
+    sources = None
+    if found["sources"] <= MAX_BROADCAST_SOURCES:
+        sources = asked.select(
+            "job_key", F.col("schema_nm").alias("source_schema"), F.col("table_nm").alias("source_table")
+        ).distinct()
+    if not found["by_time"]:
+        return Relevance(sources, None, None)
+    # a label may go on after its prefix, and "~" sorts after every digit
+    return Relevance(sources, found["low"], None if found["open_end"] else found["high"] + "~")
+
+
 # --- expected against observed -------------------------------------------------------
 
 
@@ -310,9 +383,10 @@ def verdicts_by_route(
 ) -> DataFrame:
     """Readiness before the fallback from one log to the next is applied."""
     prepared = materialize(prepare(checks), "checks")
-    observed = log_facts(log, succeeded)
+    relevant = relevance(prepared)
+    observed = log_facts(relevant.of_log(log), succeeded)
     if raw is not None:
-        observed = observed.unionByName(raw_facts(raw))
+        observed = observed.unionByName(raw_facts(relevant.of_raw(raw)))
     facts = materialize(observed, "facts")
     needed = expected_labels(prepared)
     missing = missing_labels(needed, facts.unionByName(prefix_facts(facts, prepared)))
