@@ -31,8 +31,15 @@ DIRECTIVES = {**NUMERIC_DIRECTIVES, **TEXT_DIRECTIVES}
 # Directives of equal rank, from the longest time unit to the shortest.
 TIME_ORDER = ["Yy", "UW", "m", "w", "d", "H", "M", "S", "f"]
 DEFAULT_PATTERN = "%Y%m%d"
-# Spark patterns most labels have.
-COMMON_PATTERNS = ["yyyyMMdd", "yyyyMMddHH", "yyyyMMddHHmm", "yyyy-MM-dd", "yyyy-MM-dd HH", "dd/MM/yyyy"]
+# The patterns most labels have, and their Spark patterns.
+COMMON_PATTERNS = {
+    "%Y%m%d": "yyyyMMdd",
+    "%Y%m%d%H": "yyyyMMddHH",
+    "%Y%m%d%H%M": "yyyyMMddHHmm",
+    "%Y-%m-%d": "yyyy-MM-dd",
+    "%Y-%m-%d %H": "yyyy-MM-dd HH",
+    "%d/%m/%Y": "dd/MM/yyyy",
+}
 
 
 def pattern_or_default(pattern: str) -> str:
@@ -55,32 +62,47 @@ def spark_pattern(pattern: str) -> str:
     return f"CASE WHEN {is_supported(pattern)} THEN {result} END"
 
 
-def _per_pattern(pattern: str, call: str) -> str:
-    """``call`` with its pattern constant for the common ones, so Spark compiles them once."""
+def _per_pattern(subject: str, constants: dict[str, str], call: str, otherwise: str) -> str:
+    """``call`` with a constant pattern for the common ones, so Spark compiles them once."""
     arms = " ".join(
-        f"WHEN '{common}' THEN {call.format(pattern=repr(common))}" for common in COMMON_PATTERNS
+        f"WHEN {subject} = '{value}' THEN {call.format(pattern=repr(constant))}"
+        for value, constant in constants.items()
     )
-    return f"CASE {pattern} {arms} ELSE {call.format(pattern=pattern)} END"
+    return f"CASE {arms} ELSE {otherwise} END"
+
+
+_SAME = {p: p for p in COMMON_PATTERNS.values()}
 
 
 def write(ts: str, label_pattern: str) -> str:
     """A label from a date and a Spark pattern."""
-    return _per_pattern(label_pattern, f"date_format({ts}, {{pattern}})")
+    call = f"date_format({ts}, {{pattern}})"
+    return _per_pattern(label_pattern, _SAME, call, call.format(pattern=label_pattern))
+
+
+def _reader(label: str) -> str:
+    return f"cast(try_to_timestamp({label}, {{pattern}}) AS timestamp_ntz)"
 
 
 def read(label: str, label_pattern: str) -> str:
     """Label to date-time, a date alone to its midnight, anything else to null."""
     has_date = " AND ".join(f"contains({label_pattern}, '{unit}')" for unit in ("yy", "MM", "dd"))
-    parsed = f"cast(try_to_timestamp({label}, {{pattern}}) AS timestamp_ntz)"
-    return f"CASE WHEN {has_date} THEN {_per_pattern(label_pattern, parsed)} END"
+    call = _reader(label)
+    checked = f"CASE WHEN {has_date} THEN {call.format(pattern=label_pattern)} END"
+    return _per_pattern(label_pattern, _SAME, call, checked)
 
 
 def render(ts: str, pattern: str) -> str:
-    return write(ts, spark_pattern(pattern))
+    """A label from a date and a strftime pattern."""
+    call = f"date_format({ts}, {{pattern}})"
+    return _per_pattern(
+        pattern, COMMON_PATTERNS, call, call.format(pattern=spark_pattern(pattern))
+    )
 
 
 def parse(label: str, pattern: str) -> str:
-    return read(label, spark_pattern(pattern))
+    """As ``read``, with a strftime pattern."""
+    return _per_pattern(pattern, COMMON_PATTERNS, _reader(label), read(label, spark_pattern(pattern)))
 
 
 def sorts_chronologically(pattern: str) -> str:

@@ -56,11 +56,19 @@ def _month_no(label: str) -> str:
 
 
 def _with_kind(distinct_labels: DataFrame) -> DataFrame:
-    """Whether a label's pattern can be read as a range; worked out on distinct labels."""
+    """Whether a label's pattern can be read as a range; worked out on distinct labels.
+
+    What is said of the pattern passes through a one-row ``inline``, which keeps Spark from
+    repeating those long expressions wherever they are used.
+    """
+    about = F.array(F.struct(
+        F.expr(labels.spark_pattern("pattern")).alias("label_pattern"),
+        F.expr(labels.sorts_chronologically("pattern")).alias("sorts"),
+    ))
+    month = F.array(F.struct(F.expr(_month_no("label")).alias("month_no")))
     return (
-        distinct_labels.withColumn("label_pattern", F.expr(labels.spark_pattern("pattern")))
-        .withColumn("month_no", F.expr(_month_no("label")))
-        .withColumn("sorts", F.expr(labels.sorts_chronologically("pattern")))
+        distinct_labels.select("*", F.inline(about))
+        .select("*", F.inline(month))
         .withColumn("ranged", F.col("sorts") & F.col("month_no").isNotNull())
     )
 
