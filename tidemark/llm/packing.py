@@ -4,8 +4,8 @@ A document's cost is linear in its tokens plus quadratic for the attention withi
 pieces. Documents are packed in groups of bounded size, in the tasks that read them: what fills
 whole sequences is cut off first; the rest, in descending order of tokens, goes to the sequence of
 lowest cost with room for it. A group opens only as many sequences as its tokens fill, so when no
-sequence has room for a whole rest it is cut into the cheapest ones. Every sequence of a group but
-one is thus full, and costs stay even.
+sequence has room for a whole rest it is cut into the cheapest ones. A group thus pads fewer tokens
+than one sequence holds, and costs stay even.
 
 Nothing is shuffled and no group depends on a key, so no row can make a group hot; a document longer
 than a group makes a group of its own.
