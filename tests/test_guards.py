@@ -22,8 +22,11 @@ def make(seed: int, size: int):
     def moment(minutes: int = 480) -> datetime:
         return BASE + timedelta(minutes=rng.randrange(0, minutes, 20))
 
+    def maybe(value):
+        return None if rng.random() < 0.1 else value
+
     logs = [
-        (rng.choice("AB"), "G", rng.choice("rstuv"), moment(), moment(),
+        (rng.choice("AB"), "G", maybe(rng.choice("rstuv")), maybe(moment()), maybe(moment()),
          rng.choice(["1", "2", None]), rng.choice(["RUNNING", "RUNNING", "SUCCEED", "FAILED"]),
          rng.choice(["-", "late"]))
         for _ in range(size)
@@ -42,7 +45,7 @@ def keys(df) -> set:
     return {(r.job_nm, r.round_time, r.dag_run_id) for r in df.collect()}
 
 
-@pytest.mark.parametrize(("seed", "size"), [(1, 12), (2, 40), (3, 200)])
+@pytest.mark.parametrize(("seed", "size"), [(1, 12), (2, 40), (3, 200), (4, 15), (5, 60), (6, 25), (7, 100)])
 def test_guards_match_brute_force(spark, seed, size):
     logs, candidates = make(seed, size)
     log, cand = spark.createDataFrame(logs, LOG), spark.createDataFrame(candidates, CANDIDATE)
@@ -51,14 +54,14 @@ def test_guards_match_brute_force(spark, seed, size):
     transform, ingest, cdr, null, done = set(), {}, {}, set(), set()
     for job, _, rnd, run, label, wanted, now in candidates:
         key = (job, rnd, run)
-        if any(r[0] == job and r[5] in wanted and r[2] != run and r[3] != rnd and r[4] >= now - hours
-               for r in running):
+        if any(r[0] == job and r[5] in wanted and None not in r[2:5] and r[2] != run and r[3] != rnd
+               and r[4] >= now - hours for r in running):
             transform.add(key)
         for found, same in ((ingest, lambda r: r[5] == label), (cdr, lambda r: r[5] is not None)):
-            others = [(r[3], r[2]) for r in running if r[0] == job and same(r) and r[3] != rnd]
+            others = [(r[3], r[2] or "") for r in running if r[0] == job and same(r) and r[3] not in (rnd, None)]
             if others and max(others)[0].date() == rnd.date():
-                found[key] = max(others)
-        if any(r[0] == job and r[5] is None and rnd - hours <= r[3] < rnd for r in running):
+                found[key] = (max(others)[0], max(others)[1] or None)
+        if any(r[0] == job and r[5] is None and r[3] and rnd - hours <= r[3] < rnd for r in running):
             null.add(key)
         if any(r[0] == job and r[5] == label and r[6] == "SUCCEED" and r[7] == "-" for r in logs):
             done.add(key)
@@ -72,6 +75,32 @@ def test_guards_match_brute_force(spark, seed, size):
     assert keys(guards.without_succeeded(cand, log)) == everyone - done
 
 
+def test_an_attempt_without_a_round_hides_no_other(spark):
+    """Three attempts of one run; the newest has no round, so the third decides for round 10."""
+    at = lambda hour, minute=0: datetime(2024, 1, 10, hour, minute)
+    logs = [("J", "G", "a", rnd, start, "L", "RUNNING", "-")
+            for rnd, start in ((None, at(12)), (at(10), at(11, 59)), (at(11), at(11, 58)))]
+    candidate = [("J", "G", at(10), "c", "L", ["L"], at(12, 30))]
+    blocked = guards.blocked_transform(spark.createDataFrame(candidate, CANDIDATE), spark.createDataFrame(logs, LOG))
+    assert blocked.count() == 1
+
+
+def test_guards_read_the_log_they_need(spark, tmp_path):
+    logs, candidates = make(2, 40)
+    spark.createDataFrame(logs, LOG).write.parquet(str(tmp_path / "log"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    log, cand = spark.read.parquet(str(tmp_path / "log")), spark.createDataFrame(candidates, CANDIDATE)
+    for blocked, column in (
+        (guards.blocked_transform(cand, log), "job_start_time"), (guards.blocked_ingest(cand, log), "round_time"),
+        (guards.blocked_ingest(cand, log, True), "round_time"), (guards.blocked_null_label(cand, log), "round_time"),
+    ):
+        plan = blocked._jdf.queryExecution().executedPlan().toString()
+        pushed = next(x for x in plan.split("PushedFilters: ")[1:] if "status" in x.split("]")[0])
+        assert f"GreaterThanOrEqual({column}," in pushed
+    nobody = spark.createDataFrame([], CANDIDATE)
+    assert guards.blocked_transform(nobody, log).count() == guards.blocked_ingest(nobody, log).count() == 0
+
+
 def test_outcome_prefers_the_label_guard(spark):
     logs, candidates = make(3, 200)
     log, cand = spark.createDataFrame(logs, LOG), spark.createDataFrame(candidates, CANDIDATE)

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import loads
 from tidemark.sources import staging
 from tidemark.streaming import micro_batch
@@ -136,11 +140,53 @@ def test_staging_prefers_the_job(spark):
 def test_replayed_batch_loads_once(spark, table, tmp_path):
     name = table(OLD)
     log = micro_batch.BatchLog(spark, str(tmp_path / "batches"))
-    batch = spark.createDataFrame([(1, "a", 5, "new"), (1, "a", 6, "newer")], SCHEMA)
+    batch = spark.createDataFrame([(1, "a", 15, "new"), (1, "a", 16, "newer")], SCHEMA)
     args = (log, name, "upsert")
     assert micro_batch.load_batch(batch, 0, *args, keys=["k"], order_by="v")
     assert not micro_batch.load_batch(batch.withColumn("v", batch.v + 100), 0, *args, keys=["k"], order_by="v")
-    assert rows(spark, name) == sorted([(1, "a", 6, "old"), *OLD[1:]], key=str)
+    assert rows(spark, name) == sorted([(1, "a", 16, "old"), *OLD[1:]], key=str)
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0)])
+def test_an_older_batch_never_replaces_a_newer_row(spark, table, tmp_path, order):
+    name = table(OLD)
+    batches = [[(1, "a", 5, "x"), (7, "q", 1, "x")], [(1, "b", 50, "y"), (7, "q", 9, "y")], [(1, "c", 20, "z")]]
+    log = micro_batch.BatchLog(spark, str(tmp_path / "batches"))
+    for batch_id, i in enumerate(order):
+        batch = spark.createDataFrame(batches[i], SCHEMA)
+        assert micro_batch.load_batch(batch, batch_id, log, name, "upsert", keys=["k"], order_by="v")
+    # an equal value leaves the row; a replay of an old batch is skipped
+    same = spark.createDataFrame([(1, "other", 50, "w")], SCHEMA)
+    assert micro_batch.load_batch(same, 3, log, name, "upsert", keys=["k"], order_by="v")
+    assert not micro_batch.load_batch(spark.createDataFrame(batches[0], SCHEMA), 1, log, name, "upsert", keys=["k"], order_by="v")
+    assert log.highest() == 3
+    got = {r.k: (r.part, r.v) for r in spark.table(name).filter("k IS NOT NULL").collect()}
+    assert got == {1: ("b", 50), 2: ("a", 20), 7: ("q", 9)}
+
+
+def test_newer_file_first(spark, table, tmp_path):
+    name, source = table([]), str(tmp_path / "in")
+    for v, when in ((9, "newer"), (3, "older")):
+        spark.createDataFrame([(1, "a", v, when)], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream = micro_batch.file_stream(spark, source, SCHEMA)
+        micro_batch.start(stream, name, "upsert", str(tmp_path / "state"), available_now=True,
+                          keys=["k"], order_by="v").awaitTermination()
+    spark.catalog.refreshTable(name)
+    assert [r.v for r in spark.table(name).collect()] == [9]
+
+
+def test_ties_and_nulls_of_the_order(spark):
+    rows = [(1, "a", 5, "x"), (1, "b", 5, "y"), (2, "c", None, "z")]
+    found = {tuple(sorted(map(tuple, micro_batch.newest_versions(spark.createDataFrame(r, SCHEMA), ["k"], "v").collect())))
+             for r in (rows, rows[::-1])}
+    assert len(found) == 1 and (2, "c", None, "z") in found.pop()
+
+
+def test_an_unreadable_batch_log_is_an_error(spark, tmp_path):
+    (tmp_path / "log" / "0").mkdir(parents=True)
+    (tmp_path / "log" / "0" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        micro_batch.BatchLog(spark, str(tmp_path / "log")).has(0)
 
 
 def test_stream_restarts_where_it_stopped(spark, tmp_path):
@@ -159,6 +205,126 @@ def test_stream_restarts_where_it_stopped(spark, tmp_path):
     assert spark.table(name).count() == 20
 
 
+@pytest.mark.parametrize("mode", ["upsert", "update"])
+def test_keys_and_columns_are_checked_before_anything_is_written(spark, table, mode):
+    name = table(OLD)
+    staged = spark.createDataFrame([(1, "a", 5, "new")], SCHEMA)
+    for options, message in (
+        ({"keys": []}, "by keys"), ({"keys": ["nope"]}, "no column nope"),
+        ({"keys": ["k"], "update_columns": ["vv"]}, "no column vv"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            loads.load(staged, name, mode, **{"update_columns": ["v"], **options})
+    with pytest.raises(ValueError, match="no column"):
+        loads.load(staged.drop("v"), name, mode, keys=["k"], update_columns=["v"])
+    assert rows(spark, name) == sorted(OLD, key=str)
+
+
+@pytest.mark.parametrize("mode", ["upsert", "update"])
+def test_wider_staged_types_are_brought_to_the_table(spark, table, mode):
+    name = table(OLD)
+    staged = spark.createDataFrame([(1, "a", 5, "new")], SCHEMA.replace("int", "bigint"))
+    loads.load(staged, name, mode, keys=["k"], update_columns=["v"])
+    assert (1, "a", 5, "old") in rows(spark, name)
+    assert [f.dataType.simpleString() for f in spark.table(name).schema] == ["int", "string", "int", "string"]
+
+
+VALUES = ["x\\y", "it's", "a/b=c", "') --", "é%", None, "\\'"]
+
+
+@pytest.mark.parametrize("table_format", ["parquet", "orc"])
+def test_partition_values_are_only_data(spark, table_format):
+    name = f"t_{uuid.uuid4().hex[:10]}"
+    old = [(i, p, i, "old") for i, p in enumerate(VALUES)]
+    columns = ["k", "v", "load_ts", "part"]
+    loads.create_table(spark.createDataFrame(old, SCHEMA).select(columns), name, ["part"], table_format)
+    staged = spark.createDataFrame([(9, p, 99, "new") for p in VALUES[:3]] + [(9, "new\\one", 99, "new")], SCHEMA)
+    loads.load(staged, name, "overwrite", partition_by=["PART"])
+    expected = [(9, p, 99, "new") for p in [*VALUES[:3], "new\\one"]] + old[3:]
+    assert rows(spark, name) == sorted(expected, key=str)
+    # an upsert that empties every one of these partitions
+    moved = spark.createDataFrame([(k, "here", 0, "x") for k in range(3, len(VALUES))], SCHEMA)
+    loads.upsert(moved, name, ["k"])
+    assert {r.part for r in spark.table(name).select("part").distinct().collect()} == {*VALUES[:3], "new\\one", "here"}
+    loads.append(spark.createDataFrame([(50, VALUES[3], 1, "z")], SCHEMA), name)
+    assert spark.table(name).filter(F.col("part") == VALUES[3]).count() == 1
+    loads.update(spark.createDataFrame([(50, 2)], "k int, v int"), name, ["k"], ["v"])
+    assert spark.table(name).filter("k = 50").first().v == 2
+
+
+@pytest.mark.parametrize("table_format", ["parquet", "orc"])
+def test_format_and_layout_stay(spark, table_format):
+    name = f"t_{uuid.uuid4().hex[:10]}"
+    frame = spark.createDataFrame(OLD, SCHEMA).select("k", "v", "load_ts", "part")
+    loads.create_table(frame, name, ["part"], table_format)
+    loads.full_load(frame.withColumn("v", frame.v * 2), name)
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert described["Provider"].lower() == table_format
+    assert loads._partition_columns(spark, name) == ["part"]
+    assert sorted(r.v for r in spark.table(name).collect()) == [20, 40, 60]
+    with pytest.raises(ValueError, match="no column part"):
+        loads.full_load(frame.drop("part"), name)
+    plain = f"t_{uuid.uuid4().hex[:10]}"
+    loads.create_table(frame, plain, (), table_format)
+    loads.upsert(frame.filter("k = 1").withColumn("v", F.lit(7)), plain, ["k"])
+    assert sorted(r.v for r in spark.table(plain).collect()) == [7, 20, 30]
+
+
+def test_overwrite_names_the_tables_own_partitions(spark, table):
+    staged = spark.createDataFrame(OLD[:1], SCHEMA)
+    for name, given in ((table(OLD), ["part"]), (table(OLD, ["part"]), ["k"])):
+        with pytest.raises(ValueError, match="is partitioned by"):
+            loads.load(staged, name, "overwrite", partition_by=given)
+        assert spark.table(name).count() == len(OLD)
+
+
+def test_other_formats_are_refused_before_a_write(spark):
+    name = f"t_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE TABLE {name} (v string) USING text")
+    with pytest.raises(ValueError, match="cannot load tables of format text"):
+        loads.append(spark.createDataFrame([("x",)], "v string"), name)
+
+
+def test_a_staged_row_is_worked_out_once(spark, table):
+    name = table(OLD, ["part"])
+    staged = spark.range(50).selectExpr("cast(id AS int) AS k", "concat('p', floor(rand() * 9)) AS part",
+                                        "1 AS v", "'new' AS load_ts")
+    loads.overwrite_partitions(staged, name)
+    assert spark.table(name).filter("v = 1").count() == 50
+
+
+def test_old_versions_do_not_pile_up(spark, table):
+    name = table([(k, "a", k, "old") for k in range(2000)])
+    shared = Path(session.shared_dir(spark).removeprefix("file:"))
+
+    def size():
+        return sum(f.stat().st_size for d in shared.glob(f"{name}-*") for f in d.rglob("*") if f.is_file())
+
+    one = size()
+    for v in range(10):
+        loads.upsert(spark.createDataFrame([(1, "a", v, "new")], SCHEMA), name, ["k"])
+    assert size() < 2 * one
+    loads.drop_table(spark, name)
+    assert size() == 0
+
+
+def test_scratch_deletes_what_was_written_inside(spark):
+    with session.scratch(spark):
+        df = session.materialize(spark.range(5), "inside")
+        assert df.count() == 5
+        path = df.inputFiles()[0].removeprefix("file://")
+    assert not Path(path).exists()
+
+
+def test_shared_folder_is_never_machine_local():
+    def shared(**settings):
+        context = SimpleNamespace(getCheckpointDir=lambda: None)
+        return session.shared_dir(SimpleNamespace(conf={"spark.sql.warehouse.dir": "s3://w/", **settings}, sparkContext=context))
+
+    assert shared() == "s3://w/_tidemark"
+    assert shared(**{"spark.checkpoint.dir": "hdfs://c"}) == "hdfs://c"
+
+
 def test_merge_statement():
     text = loads.merge_statement("t", "v", ["k"], ["k", "load_ts"], "src.v > 0", ["k"])
     assert text == ("MERGE INTO t AS trg USING v AS src ON trg.`k` = src.`k` AND (src.v > 0) "

@@ -1,8 +1,11 @@
 """Loading a staged DataFrame into its target table.
 
-Targets are catalog tables. Formats with a MERGE of their own use it. Parquet tables have
-none, so upsert and update rewrite: a whole table into a new version its name
-is then pointed at, a partitioned table only in the partitions that change.
+Targets are catalog tables and keep their format. Formats with a MERGE of their own are
+written through it and through their own API; of the others, file formats alone are
+taken, anything else is refused before a write. File tables have no MERGE, so upsert
+and update rewrite: a whole table into a new version its name is then pointed at, a
+partitioned table only in the partitions that change. The version before is deleted,
+unless the load is told to ``keep_old``, for readers that still hold it.
 
 The target is never shuffled for a small staging table: updates arrive by a left join and
 inserts are found among the staged keys, and Spark broadcasts the staged side whenever it
@@ -14,105 +17,167 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import fresh_path
+from tidemark.session import delete, fresh_path, owns
 
 # Fixed value: the load time column keeps its old value on update.
 NEVER_UPDATED = ("load_ts",)
 LOAD_MODES = ("full_load", "overwrite", "append", "upsert", "update")
 
 
-# Table formats with a MERGE of their own.
+# Table formats with a MERGE of their own, and those rewritten as files.
 MERGING_FORMATS = ("delta", "iceberg")
+FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv")
 
 
 class DuplicateSourceError(ValueError):
     """Several staged rows would update one target row."""
 
 
-# --- writing ----------------------------------------------------------------------------
+# --- the target ---------------------------------------------------------------------
 
 
-def create_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Create the table from ``df`` with its data in the shared folder."""
-    path = fresh_path(df.sparkSession, table.replace(".", "-"))
-    _by_partition(df, partition_by).write.option("path", path).partitionBy(
-        *partition_by
-    ).saveAsTable(table)
+def _described(spark: SparkSession, table: str, what: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == what)
+    return rows.first()["data_type"]
 
 
-def _by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Bring rows of a partition together, so that not every task writes to every one.
+def _location(spark: SparkSession, table: str) -> str:
+    return _described(spark, table, "Location")
 
-    Rebalancing, unlike repartitioning, lets Spark cut a large partition into many tasks.
-    """
-    return df.hint("rebalance", *partition_by) if partition_by else df
 
+def _format(spark: SparkSession, table: str) -> str:
+    """The table's format; refuses those that cannot be loaded."""
+    found = _described(spark, table, "Provider").lower()
+    if found not in MERGING_FORMATS + FILE_FORMATS:
+        raise ValueError(f"{table}: cannot load tables of format {found}")
+    return found
 
-def _point_at(spark: SparkSession, table: str, path: str) -> None:
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(table)
 
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
-def full_load(staged: DataFrame, table: str) -> None:
-    """Replace the table, its schema included."""
-    spark = staged.sparkSession
-    path = fresh_path(spark, table.replace(".", "-"))
-    staged.write.option("path", path).mode("overwrite").saveAsTable(table)
+
+def _require(columns: Sequence[str], available: Sequence[str], where: str) -> None:
+    lacking = [c for c in columns if c not in available]
+    if lacking:
+        raise ValueError(f"{where} has no column {', '.join(lacking)}")
 
 
 def _as_table(df: DataFrame, table: str) -> DataFrame:
     """Columns by name, in the table's order and types."""
     fields = df.sparkSession.table(table).schema.fields
+    _require([f.name for f in fields], df.columns, "the staged table")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
-def _described(spark: SparkSession, table: str, what: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == what)
-    return rows.first()["data_type"]
+def _retyped(df: DataFrame, table: str) -> DataFrame:
+    """The columns it shares with the table in the table's types, the others as they are."""
+    types = {f.name: f.dataType for f in df.sparkSession.table(table).schema.fields}
+    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    return _described(spark, table, "Location")
+# --- writing ----------------------------------------------------------------------------
 
 
-def _merges(spark: SparkSession, table: str) -> bool:
-    return _described(spark, table, "Provider").lower() in MERGING_FORMATS
+def create_table(
+    df: DataFrame, table: str, partition_by: Sequence[str] = (), table_format: str = "parquet"
+) -> None:
+    """Create the table from ``df`` with its data in the shared folder."""
+    path = fresh_path(df.sparkSession, table.replace(".", "-"))
+    _by_partition(df, partition_by).write.format(table_format).option("path", path).partitionBy(
+        *partition_by
+    ).saveAsTable(table)
 
 
-def _partition_spec(columns: Sequence[str], row: Row) -> str:
-    def literal(value: object) -> str:
-        return "null" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop a table and its folder, if the folder is ours."""
+    path = _location(spark, table)
+    spark.sql(f"DROP TABLE {table}")
+    _retire(spark, path)
 
-    return "PARTITION (" + ", ".join(f"`{c}` = {literal(row[c])}" for c in columns) + ")"
+
+def _retire(spark: SparkSession, path: str) -> None:
+    if owns(spark, path):
+        delete(spark, path)
+
+
+def _by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring rows of a partition together, so that not every task writes to every one.
+
+    Rebalancing, unlike repartitioning, lets Spark cut a large partition into many tasks.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def _point_at(spark: SparkSession, table: str, path: str, keep_old: bool) -> None:
+    before = _location(spark, table)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    if not keep_old:
+        _retire(spark, before)
+
+
+def full_load(
+    staged: DataFrame, table: str, partition_by: Sequence[str] = (), keep_old: bool = False
+) -> None:
+    """Replace the table, its schema included; its format and partitioning stay.
+
+    A table that is not there yet is partitioned by ``partition_by``.
+    """
+    spark = staged.sparkSession
+    if not spark.catalog.tableExists(table):
+        create_table(staged, table, partition_by)
+        return
+    found, columns = _format(spark, table), _partition_columns(spark, table)
+    _require(columns, staged.columns, "the staged table")
+    if found in MERGING_FORMATS:
+        writer = staged.writeTo(table).using(found)
+        (writer.partitionedBy(*map(F.col, columns)) if columns else writer).createOrReplace()
+        return
+    before, path = _location(spark, table), fresh_path(spark, table.replace(".", "-"))
+    rows = _by_partition(staged, columns).write.format(found).option("path", path)
+    rows.partitionBy(*columns).mode("overwrite").saveAsTable(table)
+    if not keep_old:
+        _retire(spark, before)
 
 
 def overwrite_partitions(staged: DataFrame, table: str) -> None:
     """Replace only the partitions that occur in the staged rows.
 
-    ``insertInto`` knows dynamic overwrite only as a setting of the whole session, which
-    other loads would feel; a write to the table's own folder takes it as an option. The
-    catalog then learns of new partitions.
+    Dynamic overwrite is given as an option of this one insert: as a setting of the session
+    other loads would feel it. Spark writes in the table's format and tells the catalog of
+    new partitions.
     """
     spark = staged.sparkSession
-    columns = _partition_columns(spark, table)
+    found, columns = _format(spark, table), _partition_columns(spark, table)
+    if not columns:
+        raise ValueError(f"{table} is not partitioned")
     rows = _by_partition(_as_table(staged, table), columns)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*columns).parquet(_location(spark, table)))
-    written = _as_table(staged, table).select(*columns).distinct().collect()
-    specs = " ".join(_partition_spec(columns, row) for row in written)
-    if specs:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    if found in MERGING_FORMATS:
+        rows.writeTo(table).overwritePartitions()
+        return
+    view = f"staged_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} WITH ('partitionOverwriteMode' = 'dynamic') SELECT * FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)
     spark.catalog.refreshTable(table)
 
 
 def append(staged: DataFrame, table: str) -> None:
-    rows = _by_partition(
-        _as_table(staged, table), _partition_columns(staged.sparkSession, table)
-    )
-    rows.write.mode("append").insertInto(table)
+    spark = staged.sparkSession
+    found = _format(spark, table)
+    rows = _by_partition(_as_table(staged, table), _partition_columns(spark, table))
+    if found in MERGING_FORMATS:
+        rows.writeTo(table).append()
+    else:
+        rows.write.mode("append").insertInto(table)
 
 
 def overwrite_feed_partitions(staged: DataFrame, table: str) -> None:
@@ -128,6 +193,8 @@ def overwrite_feed_partitions(staged: DataFrame, table: str) -> None:
 
 def _matches(keys: Sequence[str], condition: str | None) -> Column:
     """``trg`` and ``src`` agree on all keys (null never agrees) and the condition holds."""
+    if not keys:
+        raise ValueError("rows are matched by keys; none are given")
     on = F.lit(True)
     for key in keys:
         on = on & (F.col(f"trg.{key}") == F.col(f"src.{key}"))
@@ -161,6 +228,12 @@ def duplicate_sources(
 def check_single_source(
     target: DataFrame, staged: DataFrame, keys: Sequence[str], condition: str | None = None
 ) -> None:
+    """Refuses staged rows that would update one target row together.
+
+    The target is only read when some key is staged more than once.
+    """
+    if staged.groupBy(*keys).count().filter("count > 1").isEmpty():
+        return
     example = duplicate_sources(target, staged, keys, condition).head(1)
     if example:
         raise DuplicateSourceError(f"several staged rows match one target row: {example[0]}")
@@ -186,18 +259,19 @@ def _with_updates(
 
 def merged(
     target: DataFrame, staged: DataFrame, keys: Sequence[str], condition: str | None = None,
-    update_columns: Sequence[str] | None = None,
+    update_columns: Sequence[str] | None = None, update_when: str | None = None,
 ) -> DataFrame:
     """The target after an upsert.
 
     A staged row matches on equal keys and the condition together, so a key match that
     fails the condition inserts a second row, and a null key always inserts. Matched rows
     take the chosen columns (default all) except the load time; no column, no update.
+    ``update_when`` is asked of matched rows only: one that fails it stays as it is.
     """
     chosen = staged.columns if update_columns is None else update_columns
     updated = [c for c in chosen if c not in NEVER_UPDATED]
     on = _matches(keys, condition)
-    kept = _with_updates(target, staged, on, updated) if updated else target
+    kept = _with_updates(target, staged, on, updated, update_when) if updated else target
     # The target meets only staged keys; what is left of it is no larger than the match.
     reached = target.alias("trg").join(
         staged.select(*keys).alias("src"), _matches(keys, None), "left_semi"
@@ -245,26 +319,23 @@ def _merge(staged: DataFrame, table: str, **clauses) -> None:
 # --- rewriting -----------------------------------------------------------------------
 
 
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-
-
 def _rewrite(
     spark: SparkSession, table: str, staged: DataFrame, keys: Sequence[str],
-    change: Callable[[DataFrame], DataFrame], adds_rows: bool,
+    change: Callable[[DataFrame], DataFrame], adds_rows: bool, sets: Sequence[str], keep_old: bool,
 ) -> None:
     """Apply ``change`` to the table, or only to its partitions that change.
 
     Touched are the partitions of matched rows and, for inserts, of staged rows. The
     result is written to the shared folder first, because Spark cannot overwrite what it
-    is reading, and the partitions that end up empty are dropped.
+    is reading. Rows leave a partition only when one of its columns is set; folders of partitions that end up empty are deleted, and the catalog is
+    brought in line with the folders once.
     """
-    target = spark.table(table)
+    target, found = spark.table(table), _format(spark, table)
     partitions = _partition_columns(spark, table)
     path = fresh_path(spark, table.replace(".", "-"))
     if not partitions:
-        change(target).write.parquet(path)
-        _point_at(spark, table, path)
+        _as_table(change(target), table).write.format(found).save(path)
+        _point_at(spark, table, path, keep_old)
         return
     matched = target.alias("trg").join(
         staged.select(*keys).alias("src"), _matches(keys, None), "left_semi"
@@ -273,73 +344,105 @@ def _rewrite(
     touched = touched.distinct()
     same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in partitions]
     affected = target.alias("old").join(touched.alias("new"), same, "left_semi")
-    change(affected).write.parquet(path)
+    _as_table(change(affected), table).write.parquet(path)
     rewritten = spark.read.schema(target.schema).parquet(path)
-    emptied = touched.alias("old").join(rewritten.alias("new"), same, "left_anti").collect()
-    overwrite_partitions(rewritten, table)
-    nothing = ", ".join(
-        f"CAST(NULL AS {f.dataType.simpleString()})"
-        for f in target.schema.fields if f.name not in partitions
-    )
-    for row in emptied:  # one command per partition that leaves the catalog
-        spec = _partition_spec(partitions, row)
-        spark.sql(f"INSERT OVERWRITE TABLE {table} {spec} SELECT {nothing} WHERE false")
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
+    files = target.select(*partitions, folder).distinct().alias("old")
+    emptied = files.join(touched.alias("new"), same, "left_semi").join(rewritten.alias("new"), same, "left_anti")
+    folders = [row["folder"] for row in emptied.select("folder").toLocalIterator()] if set(sets) & set(partitions) else []
+    if not rewritten.isEmpty():
+        overwrite_partitions(rewritten, table)
+    for gone in folders:
+        delete(spark, spark._jvm.java.net.URI(gone))
+    if folders:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        spark.catalog.refreshTable(table)
+    delete(spark, path)
+
+
+def _checked(
+    staged: DataFrame, table: str, keys: Sequence[str], columns: Sequence[str], all_columns: bool
+) -> DataFrame:
+    """The staged rows in the table's types, once everything named is known to be there."""
+    if not keys:
+        raise ValueError("upsert and update match rows by keys; none are given")
+    target = staged.sparkSession.table(table).columns
+    for named in (keys, columns):
+        _require(named, target, table)
+        _require(named, staged.columns, "the staged table")
+    if all_columns:
+        _require(target, staged.columns, "the staged table")
+    return _retyped(staged, table)
 
 
 def upsert(
     staged: DataFrame, table: str, keys: Sequence[str], condition: str | None = None,
-    update_columns: Sequence[str] | None = None,
+    update_columns: Sequence[str] | None = None, update_when: str | None = None,
+    keep_old: bool = False,
 ) -> None:
     spark = staged.sparkSession
     condition = (condition or "").strip() or None
-    if _merges(spark, table):
-        chosen = staged.columns if update_columns is None else update_columns
+    staged = _checked(staged, table, keys, update_columns or (), all_columns=True)
+    if _format(spark, table) in MERGING_FORMATS:
+        columns = spark.table(table).columns
+        chosen = columns if update_columns is None else update_columns
         updates = [c for c in chosen if c not in NEVER_UPDATED]
-        _merge(staged, table, keys=keys, condition=condition, updates=updates)
+        _merge(staged.select(*columns), table, keys=keys, condition=condition, updates=updates,
+               update_when=update_when)
         return
     check_single_source(spark.table(table), staged, keys, condition)
     _rewrite(
         spark, table, staged, keys,
-        lambda target: merged(target, staged, keys, condition, update_columns), adds_rows=True,
+        lambda target: merged(target, staged, keys, condition, update_columns, update_when),
+        adds_rows=True, sets=staged.columns if update_columns is None else update_columns, keep_old=keep_old,
     )
 
 
 def update(
     staged: DataFrame, table: str, keys: Sequence[str], update_columns: Sequence[str],
-    condition: str | None = None,
+    condition: str | None = None, keep_old: bool = False,
 ) -> None:
     if not update_columns:
         raise ValueError("update needs at least one column to set")
     spark = staged.sparkSession
     condition = (condition or "").strip() or None
-    if _merges(spark, table):
+    staged = _checked(staged, table, keys, update_columns, all_columns=False)
+    if _format(spark, table) in MERGING_FORMATS:
         _merge(staged, table, keys=keys, condition=None, updates=update_columns,
                update_when=condition, inserts=False)
         return
     check_single_source(spark.table(table), staged, keys)
     _rewrite(
         spark, table, staged, keys,
-        lambda target: updated(target, staged, keys, update_columns, condition), adds_rows=False,
+        lambda target: updated(target, staged, keys, update_columns, condition),
+        adds_rows=False, sets=update_columns, keep_old=keep_old,
     )
 
 
 def load(
     staged: DataFrame, table: str, mode: str, partition_by: Sequence[str] = (),
     keys: Sequence[str] = (), condition: str | None = None,
-    update_columns: Sequence[str] | None = None,
+    update_columns: Sequence[str] | None = None, update_when: str | None = None,
 ) -> None:
-    """Load by the configured mode, whatever its case."""
+    """Load by the configured mode, whatever its case.
+
+    An overwrite by partitions must name the columns the table is partitioned by.
+    ``update_when`` is asked of the rows an upsert or update matches.
+    """
     kind = mode.lower()
     if kind == "full_load" or (kind == "overwrite" and not partition_by):
-        full_load(staged, table)
+        full_load(staged, table, partition_by)
     elif kind == "overwrite":
+        own = _partition_columns(staged.sparkSession, table)
+        if sorted(map(str.lower, partition_by)) != sorted(map(str.lower, own)):
+            raise ValueError(f"{table} is partitioned by {own}, not by {list(partition_by)}")
         overwrite_partitions(staged, table)
     elif kind == "append":
         append(staged, table)
     elif kind == "upsert":
-        upsert(staged, table, keys, condition, update_columns)
+        upsert(staged, table, keys, condition, update_columns, update_when)
     elif kind == "update":
-        update(staged, table, keys, update_columns or (), condition)
+        both = " AND ".join(f"({c})" for c in (condition, update_when) if (c or "").strip())
+        update(staged, table, keys, update_columns or (), both)
     else:
         raise ValueError(f"unsupported load mode: {mode}")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections import defaultdict
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
+# Intermediate tables by application, in the order they were written.
+_written: dict[str, list[str]] = defaultdict(list)
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:
@@ -22,19 +27,12 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Only a local master falls back to a temporary folder; on a cluster a missing
-    setting is an error, because a machine-local folder would be lost with its machine.
+    A machine-local folder is never used: it would be lost with its machine.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    created = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_DIR, created)
-    return created
+    return configured or f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_tidemark"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -50,10 +48,45 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     broadcast is safe.
     """
     path = fresh_path(df.sparkSession, name)
+    _written[df.sparkSession.sparkContext.applicationId].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it lies; nothing happens if it is gone."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
+def owns(spark: SparkSession, path: str) -> bool:
+    """Is ``path`` a folder of ours, below the shared folder?"""
+    system, place = _file_system(spark, path)
+    base = system.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark)))
+    return system.makeQualified(place).toString().startswith(base.toString().rstrip("/") + "/")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at the end, the intermediate tables written inside.
+
+    Results computed from them must have been used or written by then.
+    """
+    paths = _written[spark.sparkContext.applicationId]
+    before = len(paths)
+    try:
+        yield
+    finally:
+        for path in paths[before:]:
+            delete(spark, path)
+        del paths[before:]
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread few rows that each cost much over all shuffle partitions.
 

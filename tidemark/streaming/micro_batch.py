@@ -4,6 +4,9 @@ A batch that was recorded is skipped when it is replayed. Should the process die
 loading and recording, the replay writes the same result again: an upsert or update
 repeats itself, and appended rows go to a partition of their own batch, which the replay
 overwrites.
+
+With an ordering column the newest version of a row wins, whenever it arrives: files and
+topics do not promise that a batch holds newer rows than the one before.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import MapType
 
 from tidemark.operators import loads
 
@@ -37,22 +41,47 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, schema: str) ->
 
 
 class BatchLog:
-    """Ids of the batches a stream has loaded, one directory per batch in the shared folder."""
+    """How far a stream has loaded: batches come in order, so the highest id says it all.
+
+    Two places in the shared folder are written in turn; a process that dies while writing
+    one leaves the other.
+    """
+
+    PLACES = 2
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self._spark, self._path = spark, path
 
+    def _highest(self, place: int) -> int:
+        logged = self._spark.read.schema(f"{BATCH_COLUMN} bigint").parquet(f"{self._path}/{place}")
+        highest = logged.agg(F.max(BATCH_COLUMN)).first()[0]
+        return -1 if highest is None else highest
+
+    def highest(self) -> int:
+        found = [-1]
+        for place in range(self.PLACES):
+            try:
+                found.append(self._highest(place))
+            except AnalysisException as problem:
+                if problem.getCondition() != "PATH_NOT_FOUND":  # nothing recorded there yet
+                    raise
+        return max(found)
+
     def has(self, batch_id: int) -> bool:
-        try:
-            logged = self._spark.read.schema("loaded boolean, batch_id bigint").parquet(self._path)
-        except AnalysisException:  # nothing recorded yet, so there is no such path
-            return False
-        return not logged.filter(F.col(BATCH_COLUMN) == batch_id).isEmpty()
+        return batch_id <= self.highest()
 
     def record(self, batch_id: int) -> None:
-        self._spark.range(1).select(F.lit(True).alias("loaded")).write.mode("overwrite").parquet(
-            f"{self._path}/{BATCH_COLUMN}={batch_id}"
-        )
+        row = self._spark.range(1).select(F.lit(batch_id).cast("bigint").alias(BATCH_COLUMN))
+        row.write.mode("overwrite").parquet(f"{self._path}/{batch_id % self.PLACES}")
+
+
+def newest_versions(batch: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
+    """One row per key: the one with the highest ``order_by``; a tie goes to the same row in any order."""
+    hashable = [f.name for f in batch.schema.fields if not isinstance(f.dataType, MapType)]
+    order = F.struct(F.col(order_by), F.xxhash64(*hashable))
+    return batch.groupBy(*keys).agg(
+        F.max_by(F.struct(*batch.columns), order).alias("row")
+    ).select("row.*")
 
 
 def load_batch(
@@ -61,14 +90,15 @@ def load_batch(
 ) -> bool:
     """Load one batch unless it was loaded before; says whether it did.
 
-    With ``order_by`` the newest row of each key in the batch wins, as a stream may carry
-    several versions of a row.
+    With ``order_by`` the newest row of each key wins: within the batch, and against the
+    row the target holds, which only a higher value replaces (an equal one leaves it).
     """
     if log.has(batch_id):
         return False
     if keys and order_by:
-        newest = F.max_by(F.struct(*batch.columns), order_by).alias("row")
-        batch = batch.groupBy(*keys).agg(newest).select("row.*")
+        batch = newest_versions(batch, keys, order_by)
+        newer = f"src.`{order_by}` > trg.`{order_by}` OR (trg.`{order_by}` IS NULL AND src.`{order_by}` IS NOT NULL)"
+        options["update_when"] = newer
     if mode.lower() == "append":
         loads.overwrite_partitions(
             batch.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint")), table
