@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions import security
 from tidemark.operators import audit, validation
 from tidemark.operators.validation import Rule
@@ -44,6 +45,23 @@ def test_rules_share_one_scan(spark):
     assert got["calc"] == (14.0, True, None)
 
 
+def test_rules_from_a_table_on_a_qualified_name(spark):
+    rules = [("calc", "mart.sales", "sum(c)", None, 14.0, "==", "{0} * {1} AS c", ["tbl_name.a", "b"], None),
+             ("plain", "mart.sales", "max(a)", ["a"], 3.0, "==", None, None, 0.0)]
+    table = spark.createDataFrame(rules, schemas.VALIDATION_RULES).drop("margin_pct")
+    df = spark.createDataFrame([(1, 2.0), (3, 4.0)], "a int, b double")
+    views = len(spark.catalog.listTables())
+    got = {r.rule_id: r.is_valid for r in validation.evaluate(validation.rules_of(table), {"mart.sales": df}).collect()}
+    assert got == {"calc": True, "plain": True}
+    assert len(spark.catalog.listTables()) == views
+
+
+def test_an_item_without_a_status_has_failed(spark):
+    items = spark.createDataFrame([(1, "SUCCESS"), (1, None)], "run_id int, status string")
+    row = validation.group_result(items).first()
+    assert (row.status, row.error_cnt, row.message) == ("FAILED", 1, "There is error on 1 of 2 items: none=1")
+
+
 def test_group_result(spark):
     items = spark.createDataFrame(
         [(1, "SUCCESS"), (1, "FAILED"), (1, "ABORT"), (1, "FAILED"), (2, "SUCCESS")], "run_id int, status string")
@@ -77,6 +95,17 @@ def test_fold_is_independent_of_order(spark):
         assert got == {"1": ("SUCCESS", 7), "3": ("SUCCESS", 1)}
 
 
+def test_fold_of_events_at_the_same_time(spark):
+    day = datetime(2024, 1, 1)
+    at = lambda status, duration=None, rows=None: (
+        "trans", "j", "g", day, "1", status, rows, "20240101", day, duration, day)
+    events = [at("RUNNING"), at("SUCCESS", "00:00:00", 3), at("FAILED"), at("RUNNING")]
+    schema = EVENT.replace("deleted boolean", "duration string")
+    for order in itertools.permutations(events):
+        row = audit.fold(spark.createDataFrame(order, schema).coalesce(1), ["status", "row_cnt"]).first()
+        assert (row.status, row.row_cnt) == ("SUCCESS", 3)
+
+
 def test_watermark_takes_the_last_success(spark):
     events = spark.createDataFrame(
         [event("1", 1, "SUCCESS"), event("2", 1, "SUCCESS"), event("3", 1, "FAILED")], EVENT)

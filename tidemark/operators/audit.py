@@ -109,14 +109,22 @@ def next_steps(detail: DataFrame) -> DataFrame:
 def fold(events: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The state of each run: per column, the newest value that is not null.
 
-    A deleted run is gone unless a later event brings it back. Aggregated map-side, so
-    one run with very many events costs one row per task.
+    Events of the same time count in the order of a run: its start, a change of status, its
+    completion; and what is still equal goes by the value itself, so the state does not
+    depend on the order of the rows. A deleted run is gone unless a later event brings it
+    back. Aggregated map-side, so one run with very many events costs one row per task.
     """
-    events = events if "deleted" in events.columns else events.withColumn("deleted", F.lit(None))
-    died = F.max(F.when(F.col("deleted"), F.col("event_time"))).alias("_died")
-    lives = F.max(F.when(F.col("deleted").isNull(), F.col("event_time"))).alias("_lives")
+    def has(column: str) -> Column:
+        return F.col(column).isNotNull() if column in events.columns else F.lit(False)
+
+    started = (F.col("status") == schemas.RUNNING) if "status" in events.columns else F.lit(False)
+    phase = F.when(has("duration") | has("log_url"), 2).when(F.coalesce(started, F.lit(False)), 0).otherwise(1)
+    deleted = F.col("deleted").cast("boolean") if "deleted" in events.columns else F.lit(None).cast("boolean")
+    died = F.max(F.when(deleted, F.col("event_time"))).alias("_died")
+    lives = F.max(F.when(deleted.isNull(), F.col("event_time"))).alias("_lives")
     newest = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col("event_time"))).alias(c) for c in columns
+        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("event_time"), phase, F.col(c).alias("value"))))["value"].alias(c)
+        for c in columns
     ]
     return (
         events.groupBy(*RUN_KEY).agg(*newest, died, lives)

@@ -7,7 +7,6 @@ own columns shares a pass with the rules that compute the same ones.
 from __future__ import annotations
 
 import re
-import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
@@ -49,15 +48,14 @@ class Rule:
         text = self.sql_calc
         for place, argument in enumerate(self.sql_calc_apply):
             text = text.replace(f"{{{place}}}", argument)
-        return text.replace("tbl_name", self.table)
+        return text
 
 
-def _projected(df: DataFrame, table: str, projection: str | None) -> DataFrame:
+def _projected(df: DataFrame, projection: str | None) -> DataFrame:
+    """The computed columns alone; ``tbl_name`` is the alias they may use for the table."""
     if projection is None:
         return df
-    view = f"validated_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(f"SELECT {projection} FROM {view} AS {table}")
+    return df.sparkSession.sql(f"SELECT {projection} FROM {{validated}} AS tbl_name", validated=df)
 
 
 def _measure(rule: Rule, columns: list[str]) -> tuple[Column, Column]:
@@ -77,6 +75,20 @@ def _measure(rule: Rule, columns: list[str]) -> tuple[Column, Column]:
     return aggregate(F.expr(expression)).cast("double"), none
 
 
+def rules_of(table: DataFrame) -> list[Rule]:
+    """Rules from a table of rules (``schemas.VALIDATION_RULES``); it is small configuration.
+
+    ``apply_cols`` and ``sql_calc_apply`` are lists; missing texts and numbers count as empty.
+    """
+    return [
+        Rule(
+            r["rule_id"], r["table"], r["rule_calc"], tuple(r["apply_cols"] or ()), r["expect_value"], r["operation"],
+            r["sql_calc"] or "", tuple(r["sql_calc_apply"] or ()), r["margin_pct"] or 0.0,
+        )
+        for r in schemas.conform(table, schemas.VALIDATION_RULES).collect()
+    ]
+
+
 def within_tolerance(value: Column, expect: Column, operation: Column, margin: Column) -> Column:
     """The comparison with its margin; null for an unknown operation.
 
@@ -101,7 +113,7 @@ def evaluate(rules: Iterable[Rule], tables: Mapping[str, DataFrame]) -> DataFram
         passes[rule.table, rule.projection].append(rule)
     results = []
     for (table, projection), group in passes.items():
-        rows = _projected(tables[table], table, projection)
+        rows = _projected(tables[table], projection)
         measured = [
             F.struct(
                 F.lit(rule.rule_id).alias("rule_id"), value.alias("value"),
@@ -141,11 +153,12 @@ def group_result(items: DataFrame) -> DataFrame:
     """Per run, how its items ended: any item not successful makes the run fail.
 
     ``items`` holds ``run_id`` and ``status``. The text lists each status with its count,
-    so a run of any number of items yields a short one.
+    so a run of any number of items yields a short one. An item without a status has not
+    succeeded and is listed as ``none``.
     """
-    failed = ~F.col("status").isin(*schemas.SUCCEEDED)
+    failed = ~F.coalesce(F.col("status").isin(*schemas.SUCCEEDED), F.lit(False))
     by_status = items.groupBy("run_id", "status").agg(F.count(F.lit(1)).alias("n"))
-    entry = F.concat_ws("=", "status", F.col("n").cast("string"))
+    entry = F.concat_ws("=", F.coalesce("status", F.lit("none")), F.col("n").cast("string"))
     return by_status.groupBy("run_id").agg(
         F.sum("n").alias("item_cnt"),
         F.coalesce(F.sum(F.when(failed, F.col("n"))), F.lit(0)).alias("error_cnt"),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
 JOBS = """
     job_nm string, tasksgroup_nm string, job_type string, active_flag string,
     frequency string, back_day string, overlap string, catchup_type string,
@@ -45,3 +49,12 @@ JOB_TYPE_PRIORITY = TRANSFORM_TYPES + INGEST_TYPES
 SUCCEEDED = ("SUCCEED", "SUCCESS")
 RUNNING = "RUNNING"
 FAILED = "FAILED"
+
+
+def conform(df: DataFrame, schema: str) -> DataFrame:
+    """A control table with exactly the schema's columns, in its types; absent ones are null."""
+    present = {c.lower(): c for c in df.columns}
+    return df.select(*[
+        (F.col(present[f.name.lower()]) if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in StructType.fromDDL(schema).fields
+    ])
