@@ -190,7 +190,7 @@ def write_shards(
     )
     out = "shard long, records long, payload binary, index binary"
     (
-        packs.repartitionByRange(shards, "shard").sortWithinPartitions("shard")
+        packs.repartition(shards, "shard").sortWithinPartitions("shard")
         .mapInArrow(lambda b: _to_shards(b, count, records, length, pad), out)
         .write.option("compression", "zstd").parquet(path)
     )
