@@ -36,8 +36,10 @@ MAX_DISTANCE = 2
 SEED = 42
 SEGMENT_BITS = 4
 #: Distinct fingerprints at one grid point that are compared directly; more are refined to one bit.
-DIRECT = 1024
+DIRECT = 128
 HASHES = 1 << 16
+#: One-bit grid points handled at a time when a grid point is refined.
+REFINED = 1 << 20
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -164,8 +166,8 @@ def _refined(fps: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     if most % 2:  # an odd distance: those one step further apart are verified
         radius += 1
     size = len(fps) * (65 if radius == 1 else 65 * 64)
-    parts = np.uint64(max(1, size >> 22))
-    block = max(1, (1 << 22) // (size // len(fps)))
+    parts = np.uint64(max(1, size // REFINED))
+    block = max(1, REFINED // (size // len(fps)))
     for part in range(int(parts)):
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         for i in range(0, len(fps), block):
