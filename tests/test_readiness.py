@@ -176,6 +176,63 @@ def test_raw_and_newest(spark):
     assert got["max_late"][1] == ["20240112"]
 
 
+def test_mixed_patterns_still_prune_the_scan(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 4000)
+    logs = [log("trans", "20240110", "SUCCEED", 1), log("trans", "2024-01-10", "SUCCEED", 1, job="ISO"),
+            log("trans", "20230101", "SUCCEED", 1)]
+    spark.createDataFrame(logs, LOG).write.parquet(str(tmp_path / "log"))
+    table = spark.read.parquet(str(tmp_path / "log"))
+    checks = [check("a", "daily", None, REF), check("b", "date_range", "3", REF, pattern="%Y-%m-%d", job="iso")]
+    relevant = rd.relevance(rd.prepare(frame(spark, checks)))
+    assert sorted(relevant.patterns) == [("2024-01-07", "2024-01-10"), ("20240110", "20240110")]
+    rows = relevant.of_log(table)
+    pushed = rows._jdf.queryExecution().executedPlan().toString().split("PushedFilters: ")[1].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(ictrl_dt,20240110)" in pushed and "2024-01-07" in pushed
+    assert sorted(r.ictrl_dt for r in rows.collect()) == ["2024-01-10", "20240110"]
+    assert verdict(spark, checks, logs)["a"][0] is True
+    # a pattern that does not sort by time leaves the scan open, not the sources
+    mixed = [*checks, check("c", "daily", None, REF, pattern="%d/%m/%Y", job="other")]
+    open_scan = rd.relevance(rd.prepare(frame(spark, mixed)))
+    assert open_scan.patterns is None
+    assert sorted(r.ictrl_dt for r in open_scan.of_log(table).collect()) == ["2024-01-10", "20240110"]
+
+
+def test_only_raw_tables_and_ranges_asked_for_are_read(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 4000)
+    days = spark.createDataFrame([(d,) for d in ("2024-01-08", "2024-01-09", "2024-01-10", "2023-05-05")], "day string")
+    kinds = {"t": F.col("day").cast("date"), "u": F.regexp_replace("day", "-", "").cast("int"), "v": F.col("day")}
+    tables = {}
+    for name, column in kinds.items():
+        days.select(column.alias("day")).write.parquet(str(tmp_path / name))
+        tables["s", name, "day"] = spark.read.parquet(str(tmp_path / name))
+    checks = [check("t", "date_range", "1", REF, column="day", pattern="%Y-%m-%d"),
+              check("u", "date_range", "1", REF, column="day", table="u")]
+    relevant = rd.relevance(rd.prepare(frame(spark, checks)))
+    plan = relevant.of_raw(tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") + plan.count("FileScan parquet") >= 2 and f"{tmp_path}/v" not in plan
+    assert "GreaterThanOrEqual(day,2024-01-09)" in plan and "GreaterThanOrEqual(day,20240109)" in plan
+    assert sorted((r.table_nm, r.label) for r in relevant.of_raw(tables).collect()) == [
+        ("t", "2024-01-09"), ("t", "2024-01-10"), ("u", "20240109"), ("u", "20240110")]
+    assert {k: v[0] for k, v in verdict(spark, checks, [], tables).items()} == {"t": True, "u": True}
+    nothing = rd.relevance(rd.prepare(frame(spark, [check("log", "daily", None, REF)])))
+    assert nothing.of_raw(tables) is None
+
+
+def test_coarse_labels_are_distinct(spark):
+    checks = frame(spark, [check("d", "date_range", "90", REF, pattern="%Y%m"), check("h", "hour_to_date", "5", REF)])
+    got = rd.expected_labels(rd.prepare(checks)).filter("route = 'trans'").select("dep_id", "label").collect()
+    assert sorted(map(tuple, got)) == [("d", "202310"), ("d", "202311"), ("d", "202312"), ("d", "202401"), ("h", "20240110")]
+
+
+def test_newest_serves_many_dependencies_of_one_source(spark):
+    logs = [log("trans", f"2023{m:02d}{d:02d}", "SUCCEED", m, run=f"{m}-{d}") for m in range(1, 13) for d in range(1, 29)]
+    checks = [check(f"d{i}", "max_date", None, datetime(2023, 12, 28), empty_flag=i % 14) for i in range(60)]
+    prepared = rd.prepare(frame(spark, checks))
+    found = rd.newest_succeeded(prepared, rd.log_facts(spark.createDataFrame(logs, LOG))).collect()
+    assert len(found) == 60 - len([i for i in range(60) if i % 14 == 13])
+    assert {r.newest_ts for r in found} == {datetime(2023, 12, 28)}
+
+
 def test_job_rollup(spark):
     runs = spark.createDataFrame([("a", REF), ("b", REF)], "job_nm string, ref_ts timestamp_ntz")
     verdicts = spark.createDataFrame(

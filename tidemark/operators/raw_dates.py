@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import labels
 
@@ -33,19 +35,58 @@ def dates_from(table: DataFrame, column: str, label: Column | str) -> DataFrame:
     return table.filter(F.col(column) >= label).select(column).distinct()
 
 
-def observed_dates(tables: Mapping[tuple[str, str, str], DataFrame]) -> DataFrame:
+Span = tuple[str | None, str | None]
+
+
+def _bound(kind: T.DataType, label: str) -> Column | None:
+    """A label as a value of the column's type, where labels of that form sort as its values do."""
+    if isinstance(kind, T.StringType):
+        return F.lit(label)
+    if isinstance(kind, T.IntegralType) and label.isdigit():
+        return F.lit(int(label))
+    if isinstance(kind, T.DateType) and re.fullmatch(r"\d{4}-\d{2}-\d{2}", label):
+        return F.lit(label).cast("date")
+    return None
+
+
+def _within(df: DataFrame, column: str, spans: Sequence[Span]) -> Column:
+    """Rows in any of the label ranges, in the column's own type, so that the scan can skip.
+
+    A range that cannot be told in that type keeps all rows.
+    """
+    kind, arms = df.schema[column].dataType, []
+    for low, high in spans:
+        bounds = [None if label is None else _bound(kind, label) for label in (low, high)]
+        arm = F.lit(True)
+        if bounds[0] is not None:
+            arm = arm & (F.col(column) >= bounds[0])
+        if bounds[1] is not None:
+            arm = arm & (F.col(column) <= bounds[1])
+        arms.append(arm)
+    return reduce(Column.__or__, arms, F.lit(False))
+
+
+def observed_dates(
+    tables: Mapping[tuple[str, str, str], DataFrame],
+    spans: Mapping[tuple[str, str, str], Sequence[Span]] | None = None,
+) -> DataFrame:
     """Business dates of many tables, keyed by (schema, table, column).
 
-    Each table contributes one partial distinct over a single column.
+    Each table contributes one partial distinct over a single column; with ``spans``, ranges
+    of labels per table, only over the rows in them.
     """
+    def rows(key: tuple[str, str, str]) -> DataFrame:
+        df, column = tables[key], key[2]
+        return df.filter(_within(df, column, spans[key])) if spans else df
+
     return reduce(
         DataFrame.unionByName,
         [
-            dates_all(df.select(F.col(column).cast("string").alias("label")), "label")
+            dates_all(rows(key).select(F.col(key[2]).cast("string").alias("label")), "label")
             .filter(F.col("label").isNotNull())
-            .select(F.lit(schema).alias("schema_nm"), F.lit(table).alias("table_nm"),
-                    F.lit(column).alias("data_column"), "label")
-            for (schema, table, column), df in tables.items()
+            .select(F.lit(key[0]).alias("schema_nm"), F.lit(key[1]).alias("table_nm"),
+                    F.lit(key[2]).alias("data_column"), "label")
+            for key in tables
         ],
     )
 

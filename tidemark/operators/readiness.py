@@ -2,15 +2,16 @@
 
 The audit log and the data tables may be huge, the checks are not. So the log shrinks
 first to one fact row per (job, table, label), combined map-side, and only missing labels
-travel to the verdict. Only the list of sources is hinted for broadcast, and only after its
-rows are counted; elsewhere Spark broadcasts a side below its size threshold and splits
-skewed partitions otherwise.
+travel to the verdict. What the checks ask for, by source and label pattern, filters the log
+and the raw tables before that. Nothing is hinted: Spark broadcasts a side below its size
+threshold and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +20,16 @@ from tidemark import schemas
 from tidemark.functions import frequency as freq
 from tidemark.functions import labels
 from tidemark.operators import expected as exp
+from tidemark.operators import raw_dates
 from tidemark.operators.workflow import worst_days
 from tidemark.session import materialize, spread
 
 CHECK_KEY = ["dep_id", "ref_ts"]
 # Fixed value: the Spark pattern whose beginnings sort as text like they do as time.
 TIME_DIGITS = "yyyyMMddHHmmssSSSSSS"
-# Rows of three names each: a few megabytes at most.
-MAX_BROADCAST_SOURCES = 20_000
+# Sorts after every character a label may go on with.
+_AFTER = "~"
+RawTables = Mapping[tuple[str, str, str], DataFrame]
 SOURCE_KEY = ["route", "job_key", "schema_nm", "table_nm"]
 FACT_KEY = [*SOURCE_KEY, "match_len", "label"]
 
@@ -147,82 +150,122 @@ def prepare(checks: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Relevance:
-    """Which log rows and business dates the checks can ask for."""
+    """Which log rows and business dates the checks can ask for.
 
-    sources: DataFrame | None
-    low: str | None
-    high: str | None
+    ``asked`` holds, per source and label pattern, the first and last label; null where the
+    pattern's labels do not sort by time, or where the end is open. ``patterns`` holds the
+    same per pattern alone, for the scan; None when some pattern has no range.
+    """
+
+    asked: DataFrame
+    patterns: list[tuple[str, str | None]] | None
 
-    def _in_range(self, label: str) -> Column:
-        within = F.lit(True)
-        if self.low is not None:
-            within = within & (F.col(label) >= self.low)
-        if self.high is not None:
-            within = within & (F.col(label) <= self.high)
-        return within
+    def _log_range(self, label: str) -> Column:
+        if self.patterns is None:
+            return F.lit(True)
+        spans = [
+            (F.col(label) >= low) & (F.lit(True) if high is None else F.col(label) <= high)
+            for low, high in self.patterns
+        ]
+        return reduce(Column.__or__, spans, F.lit(False))
 
     def of_log(self, log: DataFrame) -> DataFrame:
-        rows = log.filter(self._in_range("ictrl_dt"))
-        if self.sources is None:
-            return rows
+        asked = self.asked.filter("NOT is_raw").alias("a")
         match = [
-            F.upper(rows["job_nm"]) == self.sources["job_key"],
-            rows["schema_nm"] == self.sources["source_schema"],
-            rows["table_nm"] == self.sources["source_table"],
+            F.upper("l.job_nm") == F.col("a.job_key"),
+            F.col("l.schema_nm") == F.col("a.schema_nm"),
+            F.col("l.table_nm") == F.col("a.table_nm"),
+            F.col("a.low").isNull() | (F.col("l.ictrl_dt") >= F.col("a.low")),
+            F.col("a.high").isNull() | (F.col("l.ictrl_dt") <= F.col("a.high")),
         ]
-        return rows.join(F.broadcast(self.sources), match, "left_semi")
-
-    def of_raw(self, dates: DataFrame) -> DataFrame:
-        return dates.filter(self._in_range("label"))
+        return log.filter(self._log_range("ictrl_dt")).alias("l").join(asked, match, "left_semi")
+
+    def of_raw(self, dates: DataFrame | RawTables) -> DataFrame | None:
+        """Business dates of the tables that some check names; the others are not read.
+
+        Of a table given as such, only the column and the range asked for are read; the
+        driver sees the few ranges of the tables it was given.
+        """
+        asked = self.asked.filter("is_raw")
+        if isinstance(dates, DataFrame):
+            match = [
+                F.col("d.schema_nm") == F.col("a.schema_nm"), F.col("d.table_nm") == F.col("a.table_nm"),
+                F.col("d.data_column") == F.col("a.job_key"),
+                F.col("a.low").isNull() | (F.col("d.label") >= F.col("a.low")),
+                F.col("a.high").isNull() | (F.col("d.label") <= F.col("a.high")),
+            ]
+            return dates.alias("d").join(asked.alias("a"), match, "left_semi")
+        named = F.concat_ws("\x00", "schema_nm", "table_nm", "job_key").isin(["\x00".join(k) for k in dates])
+        spans: dict[tuple[str, str, str], list[tuple[str | None, str | None]]] = {}
+        for row in asked.filter(named).select("schema_nm", "table_nm", "job_key", "low", "high").distinct().collect():
+            spans.setdefault((row["schema_nm"], row["table_nm"], row["job_key"]), []).append((row["low"], row["high"]))
+        if not spans:
+            return None
+        return raw_dates.observed_dates({key: dates[key] for key in spans}, spans)
 
 
 def relevance(prepared: DataFrame) -> Relevance:
-    """Worked out in one small aggregation over the checks, as literals Spark can push down.
+    """Worked out in one small aggregation over the checks.
 
-    When all labels are digits from the year down, they compare as text like time does, so
-    the log and the raw tables are read from the first to the last label asked for. A check
-    for the newest date leaves the end open. The sources asked for are broadcast against
-    the log only while they are few; beyond that the log is not filtered by source.
+    Where labels run from the year down they compare as text like time does, whatever stands
+    between the units, so only the labels from the first to the last asked for matter. A
+    check for the newest date leaves the end open.
     """
     first = f"coalesce({freq.shift('low_ts', '-step_minutes * reach', '-step_months * reach')}, low_ts)"
     last = f"coalesce({freq.shift('high_ts', 'step_minutes * reach', 'step_months * reach')}, high_ts)"
-    asked = prepared.filter(f"({exp.WINDOW_PROBLEM}) IS NULL")
-    found = asked.select(
-        "job_key", "schema_nm", "table_nm", "family", "label_pattern",
-        F.expr(f"struct({first} AS first_ts, {last} AS last_ts)").alias("span"),
-    ).agg(
-        F.bool_and(F.lit(TIME_DIGITS).startswith(F.col("label_pattern"))).alias("by_time"),
-        F.min(F.expr(labels.write("span.first_ts", "label_pattern"))).alias("low"),
-        F.max(F.expr(labels.write("span.last_ts", "label_pattern"))).alias("high"),
-        F.bool_or(F.col("family") == "newest").alias("open_end"),
-        F.count_distinct("job_key", "schema_nm", "table_nm").alias("sources"),
-    ).first()
-    sources = None
-    if found["sources"] <= MAX_BROADCAST_SOURCES:
-        sources = asked.select(
-            "job_key", F.col("schema_nm").alias("source_schema"), F.col("table_nm").alias("source_table")
-        ).distinct()
-    if not found["by_time"]:
-        return Relevance(sources, None, None)
-    # a label may go on after its prefix, and "~" sorts after every digit
-    return Relevance(sources, found["low"], None if found["open_end"] else found["high"] + "~")
+    units = F.regexp_replace("label_pattern", "[^A-Za-z]", "")
+    by_time = F.lit(TIME_DIGITS).startswith(units) & (units != "")
+    spans = (
+        prepared.filter(f"({exp.WINDOW_PROBLEM}) IS NULL")
+        .select("job_key", "schema_nm", "table_nm", "label_pattern", "family", "by_prefix",
+                F.array_contains("routes", "raw").alias("is_raw"),
+                F.expr(f"struct({first} AS first_ts, {last} AS last_ts)").alias("span"))
+        .groupBy("job_key", "schema_nm", "table_nm", "label_pattern", "is_raw")
+        .agg(F.min("span.first_ts").alias("first_ts"), F.max("span.last_ts").alias("last_ts"),
+             F.bool_or(F.col("family") == "newest").alias("open_end"),
+             F.bool_or("by_prefix").alias("by_prefix"))
+    )
+    low = F.expr(labels.write("first_ts", "label_pattern"))
+    high = F.concat(F.expr(labels.write("last_ts", "label_pattern")), F.when(F.col("by_prefix"), _AFTER).otherwise(""))
+    asked = materialize(spans.select(
+        "job_key", "schema_nm", "table_nm", "label_pattern", "is_raw", "open_end", by_time.alias("by_time"),
+        F.when(by_time, low).alias("low"), F.when(by_time & ~F.col("open_end"), high).alias("high"),
+    ), "asked")
+    found = asked.filter("NOT is_raw").groupBy("label_pattern").agg(
+        F.bool_and("by_time").alias("by_time"), F.min("low").alias("low"),
+        F.max("high").alias("high"), F.bool_or("open_end").alias("open_end"),
+    ).collect()  # one row per pattern in use
+    if not all(row["by_time"] for row in found):
+        return Relevance(asked, None)
+    return Relevance(asked, [(r["low"], None if r["open_end"] else r["high"]) for r in found])
 
 
 # --- expected against observed -------------------------------------------------------
 
 
 def expected_labels(prepared: DataFrame) -> DataFrame:
-    """One row per label a usable check needs on each of its routes."""
+    """One row per distinct label a usable check needs on each of its routes.
+
+    A pattern coarser than the steps of the window names several dates alike; there the
+    labels are written and made distinct before they become rows.
+    """
     dates = F.expr(f"""CASE WHEN ({exp.WINDOW_PROBLEM}) IS NULL AND family <> 'newest'
         THEN {exp.expected_dates()} END""")
+    fine = """contains(label_pattern, 'yyyy') AND contains(label_pattern, 'MM') AND contains(label_pattern, 'dd')
+        AND (contains(label_pattern, 'HH') OR step_minutes >= 1440 OR step_months >= 1)
+        AND (contains(label_pattern, 'mm') OR step_minutes >= 60 OR step_months >= 1)"""
+    wanted = F.expr(f"""CASE WHEN {fine} THEN transform(_dates, d -> struct(d, cast(null AS string) AS label))
+        ELSE transform(array_distinct(transform(_dates, d -> {labels.write("d", "label_pattern")})),
+                       label -> struct(cast(null AS timestamp_ntz) AS d, label)) END""")
     return (
-        prepared.select(*CHECK_KEY, "job_key", "schema_nm", "table_nm", "label_pattern",
-                        "family", "empty_flag", "required", "by_prefix", "routes",
-                        F.explode_outer(dates).alias("_date"))
-        .filter(F.col("_date").isNotNull())
+        prepared.withColumn("_dates", dates).filter(F.col("_dates").isNotNull())
+        .select(*CHECK_KEY, "job_key", "schema_nm", "table_nm", "label_pattern",
+                "family", "empty_flag", "required", "by_prefix", "routes",
+                F.explode(wanted).alias("_wanted"))
         .select(*CHECK_KEY, "job_key", "schema_nm", "table_nm", "family", "empty_flag",
                 "required", "by_prefix", F.explode("routes").alias("route"),
-                F.expr(labels.write("_date", "label_pattern")).alias("label"))
+                F.coalesce("_wanted.label", F.expr(labels.write("_wanted.d", "label_pattern"))).alias("label"))
+        .filter(F.col("label").isNotNull())
         .withColumn("match_len", F.when(F.col("by_prefix"), F.length("label")).otherwise(0))
         .drop("by_prefix")
     )
@@ -272,13 +315,24 @@ def missing_labels(expected: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
+def looked_up(checks: DataFrame, log: DataFrame) -> DataFrame:
+    """``log_lookup`` of what the checks ask, from the part of the log they ask about."""
+    prepared = materialize(prepare(checks), "checks")
+    return log_lookup(expected_labels(prepared), log_facts(relevance(prepared).of_log(log)))
+
+
 def log_lookup(expected: DataFrame, facts: DataFrame) -> DataFrame:
     """Each expected label with what the logs know of it; nulls where they know nothing."""
     return expected.join(facts.select(*FACT_KEY, "best_rows", "latest_rows"), FACT_KEY, "left")
 
 
 def newest_succeeded(checks: DataFrame, facts: DataFrame) -> DataFrame:
-    """Per dependency and route, the newest observed date with enough rows."""
+    """Per dependency and route, the newest observed date with enough rows.
+
+    Found once per source, pattern and flag, and only then handed to the dependencies: a
+    table that many of them ask about is not repeated for each.
+    """
+    question = [*SOURCE_KEY, "label_pattern", "empty_flag"]
     wanted = (
         checks.filter(f"family = 'newest' AND ({exp.WINDOW_PROBLEM}) IS NULL")
         .select("dep_id", "job_key", "schema_nm", "table_nm", "label_pattern", "empty_flag",
@@ -286,12 +340,17 @@ def newest_succeeded(checks: DataFrame, facts: DataFrame) -> DataFrame:
         .distinct()
     )
     enough = (F.col("route") == "raw") | (F.col("best_rows") >= F.col("empty_flag"))
-    return (
-        facts.filter(F.col("match_len") == 0).join(wanted, SOURCE_KEY)
+    newest = (
+        facts.filter(F.col("match_len") == 0).join(wanted.select(*question).distinct(), SOURCE_KEY)
         .filter(F.coalesce(enough, F.lit(False)))
-        .groupBy("dep_id", "route")
+        .groupBy(*question)
         .agg(F.max(F.expr(labels.read("label", "label_pattern"))).alias("newest_ts"))
     )
+    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"n.{c}")) for c in question]
+    return (
+        wanted.alias("w").join(newest.alias("n"), same)
+        .groupBy("w.dep_id", "w.route").agg(F.max("newest_ts").alias("newest_ts"))
+    )
 
 
 def newest_workflow_day(prepared: DataFrame, completions: DataFrame) -> DataFrame:
@@ -364,29 +423,31 @@ def fold_routes(verdicts: DataFrame) -> DataFrame:
 
 
 def readiness(
-    checks: DataFrame, log: DataFrame, raw: DataFrame | None = None,
+    checks: DataFrame, log: DataFrame, raw: DataFrame | RawTables | None = None,
     completions: DataFrame | None = None, succeeded: Sequence[str] = schemas.SUCCEEDED,
 ) -> DataFrame:
     """Verdict per check: ``ready``, sorted ``missing`` labels and a ``reason``.
 
     The log and the raw tables are read once, into a small written table of facts, and
     the window of each check is worked out once, into a narrow written table. ``raw``:
-    business dates (``raw_dates.observed_dates``); ``completions``: external workflows
+    tables by (schema, table, column), of which only those asked for are read, or business
+    dates (``raw_dates.observed_dates``); ``completions``: external workflows
     (``workflow.last_completions``).
     """
     return fold_routes(verdicts_by_route(checks, log, raw, completions, succeeded))
 
 
 def verdicts_by_route(
-    checks: DataFrame, log: DataFrame, raw: DataFrame | None = None,
+    checks: DataFrame, log: DataFrame, raw: DataFrame | RawTables | None = None,
     completions: DataFrame | None = None, succeeded: Sequence[str] = schemas.SUCCEEDED,
 ) -> DataFrame:
     """Readiness before the fallback from one log to the next is applied."""
     prepared = materialize(prepare(checks), "checks")
     relevant = relevance(prepared)
     observed = log_facts(relevant.of_log(log), succeeded)
-    if raw is not None:
-        observed = observed.unionByName(raw_facts(relevant.of_raw(raw)))
+    dates = None if raw is None else relevant.of_raw(raw)
+    if dates is not None:
+        observed = observed.unionByName(raw_facts(dates))
     facts = materialize(observed, "facts")
     needed = expected_labels(prepared)
     missing = missing_labels(needed, facts.unionByName(prefix_facts(facts, prepared)))

@@ -39,18 +39,23 @@ def worst_days(dependencies: DataFrame, completions: DataFrame) -> DataFrame:
     """Per dependency, the earliest last success among the workflows writing its table.
 
     ``dependencies``: dep_id, schema_nm, table_nm, names (array, or null for all). A
-    dependency nobody writes has no row.
+    dependency nobody writes has no row. Dependencies on all workflows meet one row per
+    table; those on named ones meet just these.
     """
+    table = ["schema_key", "table_key"]
     wanted = dependencies.select(
         "dep_id", F.upper("schema_nm").alias("schema_key"),
         F.upper("table_nm").alias("table_key"), "names",
     )
-    return (
-        wanted.join(completions, ["schema_key", "table_key"])
-        .filter("names IS NULL OR size(names) = 0 OR array_contains(names, workflow_nm)")
-        .groupBy("dep_id")
-        .agg(F.min(F.coalesce("last_day", F.lit(_NEVER).cast("date"))).alias("worst_day"))
+    finished = completions.withColumn("last_day", F.coalesce("last_day", F.lit(_NEVER).cast("date")))
+    any_name = F.coalesce(F.size("names"), F.lit(0)) < 1
+    by_table = finished.groupBy(*table).agg(F.min("last_day").alias("worst_day"))
+    of_all = wanted.filter(any_name).join(by_table, table).select("dep_id", "worst_day")
+    of_named = (
+        wanted.filter(~any_name).withColumn("workflow_nm", F.explode(F.array_distinct("names")))
+        .join(finished, [*table, "workflow_nm"]).select("dep_id", F.col("last_day").alias("worst_day"))
     )
+    return of_all.unionByName(of_named).groupBy("dep_id").agg(F.min("worst_day").alias("worst_day"))
 
 
 def workflow_complete(

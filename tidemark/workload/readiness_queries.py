@@ -24,7 +24,7 @@ def verdicts(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame
     return rd.readiness(
         views.checks(spark, sf_dir, which),
         views.audit_log(spark, sf_dir),
-        views.raw_observed(spark, sf_dir),
+        views.raw_tables(spark, sf_dir),
     )
 
 
@@ -81,8 +81,7 @@ def dependency_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = views.checks(spark, sf_dir, _LOG + _of("date_range", "weekly", "24hours"))
-    needed = rd.expected_labels(rd.prepare(checks))
-    return rd.log_lookup(needed, rd.log_facts(views.audit_log(spark, sf_dir))).select(
+    return rd.looked_up(checks, views.audit_log(spark, sf_dir)).select(
         "dep_id", _ref_date(), "route", "label",
         F.coalesce("best_rows", F.lit(-1)).alias("best_rows"),
         F.coalesce("latest_rows", F.lit(-1)).alias("latest_rows"),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import labels
-from tidemark.operators import raw_dates
 from tidemark.operators.readiness import dependency_fanout
 from tidemark.workload import control
 
@@ -96,11 +95,11 @@ def raw_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_dates.observed_dates({
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str, str], DataFrame]:
+    return {
         ("mart", "raw_daily", "business_date"): raw_daily(spark, sf_dir),
         ("mart", "raw_hourly", "business_hour"): raw_hourly(spark, sf_dir),
-    })
+    }
 
 
 def dependencies(spark: SparkSession) -> DataFrame:
