@@ -44,7 +44,7 @@ def _described(spark: SparkSession, table: str, what: str) -> str:
     return rows.first()["data_type"]
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def location(spark: SparkSession, table: str) -> str:
     return _described(spark, table, "Location")
 
 
@@ -94,7 +94,7 @@ def create_table(
 
 def drop_table(spark: SparkSession, table: str) -> None:
     """Drop a table and its folder, if the folder is ours."""
-    path = _location(spark, table)
+    path = location(spark, table)
     spark.sql(f"DROP TABLE {table}")
     _retire(spark, path)
 
@@ -113,7 +113,7 @@ def _by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def _point_at(spark: SparkSession, table: str, path: str, keep_old: bool) -> None:
-    before = _location(spark, table)
+    before = location(spark, table)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
     if not keep_old:
@@ -137,7 +137,7 @@ def full_load(
         writer = staged.writeTo(table).using(found)
         (writer.partitionedBy(*map(F.col, columns)) if columns else writer).createOrReplace()
         return
-    before, path = _location(spark, table), fresh_path(spark, table.replace(".", "-"))
+    before, path = location(spark, table), fresh_path(spark, table.replace(".", "-"))
     rows = _by_partition(staged, columns).write.format(found).option("path", path)
     rows.partitionBy(*columns).mode("overwrite").saveAsTable(table)
     if not keep_old:

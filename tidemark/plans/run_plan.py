@@ -1,21 +1,28 @@
-"""From configured jobs to the runs that may start now, in one pass over the log."""
+"""From configured jobs to the next watermark: plan, check, guard, load, validate, record."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import ast
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from tidemark.operators import guards, planning, readiness
+from tidemark import schemas
+from tidemark.operators import audit, guards, loads, planning, readiness, validation
 from tidemark.session import materialize
 
 
+
 def planned(jobs: DataFrame) -> DataFrame:
     """The runs of all jobs, worked out once for the checks and the rollup."""
     return materialize(planning.planned_runs(jobs), "runs")
 
 
 def run_readiness(
-    runs: DataFrame, dependencies: DataFrame, log: DataFrame, raw: DataFrame | None = None,
+    runs: DataFrame, dependencies: DataFrame, log: DataFrame, raw: DataFrame | readiness.RawTables | None = None,
     completions: DataFrame | None = None,
 ) -> DataFrame:
     """Planned runs with ``ready`` and the prerequisites each still waits for.
@@ -28,14 +35,148 @@ def run_readiness(
     return readiness.job_rollup(runs.withColumn("ref_ts", F.col("run_ts")), verdicts)
 
 
+# --- guards -------------------------------------------------------------------------------
+
+
+def _candidates(runs: DataFrame) -> DataFrame:
+    """Ready runs; a run is about its own label, now, unless its row says otherwise."""
+    ready = runs.filter("ready")
+    if "labels" not in ready.columns:
+        ready = ready.withColumn("labels", F.array("ictrl_dt"))
+    return ready if "now" in ready.columns else ready.withColumn("now", F.col("round_time"))
+
+
+def blocked(runs: DataFrame, log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Blocked transform runs, ingest runs blocked on a label, and on a run without one.
+
+    Each kind of job has its own guard; files of call records are blocked by any label.
+    """
+    ready = _candidates(runs)
+    ingest = ready.filter(planning.IS_INGEST)
+    call_records = F.expr("job_type = 'file' AND coalesce(cdr_flag, 'N') = 'Y'")
+    by_label = guards.blocked_ingest(ingest.filter(~call_records), log).unionByName(
+        guards.blocked_ingest(ingest.filter(call_records), log, any_label=True)
+    )
+    transform = ready.filter(f"NOT {planning.IS_INGEST}")
+    return guards.blocked_transform(transform, log), by_label, guards.blocked_null_label(ingest, log)
+
+
 def startable(runs: DataFrame, log: DataFrame) -> DataFrame:
     """Ready runs that no guard blocks and that have not already succeeded.
 
-    ``runs`` are ready runs with the candidate columns of ``guards``.
+    ``runs`` are planned runs with ``ready`` and the candidate columns of ``guards``.
     """
+    transform, by_label, by_null = blocked(runs, log)
     ready = guards.without_succeeded(runs.filter("ready"), log)
-    key = [*guards.CANDIDATE_KEY, "ictrl_dt"]
-    blocked = guards.blocked_ingest(ready, log).select(*key).unionByName(
-        guards.blocked_null_label(ready, log).select(*key)
-    ).distinct()
-    return ready.join(blocked, key, "left_anti")
+    run = [*guards.CANDIDATE_KEY, "ictrl_dt"]
+    held = by_label.select(*run).unionByName(by_null.select(*run)).distinct()
+    return ready.join(held, run, "left_anti").join(transform, guards.CANDIDATE_KEY, "left_anti")
+
+
+# --- one composed run ------------------------------------------------------------------------
+
+
+STATE = ["ictrl_dt", "status", "err_msg", "row_cnt", "job_start_time"]
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """What a run leaves: new audit events, the state they and the old ones add up to, the jobs."""
+
+    events: DataFrame
+    state: DataFrame
+    jobs: DataFrame
+
+
+def names(text: str | None) -> list[str]:
+    """A configured column list: ``['a', 'b']`` or a single name."""
+    text = (text or "").strip()
+    if text.startswith("["):
+        return [str(name) for name in ast.literal_eval(text)]
+    return [text] if text else []
+
+
+def _load(job: Row, staged: DataFrame, rules: Sequence[validation.Rule]) -> str | None:
+    """Load one job's table as its row says and check it; what went wrong, or None."""
+    table = f"{job['schema_nm']}.{job['table_nm']}" if job["schema_nm"] else job["table_nm"]
+    try:
+        loads.load(
+            staged, table, job["load_type"], partition_by=names(job["partition_column"]),
+            keys=names(job["unique_key"]), condition=job["update_condition"],
+            update_columns=names(job["update_column"]) or None,
+        )
+        own = [rule for rule in rules if rule.table == table]
+        if own:
+            found = validation.evaluate(own, {table: staged.sparkSession.table(table)}).filter("NOT is_valid")
+            wrong = [row["rule_id"] for row in found.orderBy("rule_id").collect()]
+            return f"validation failed: {', '.join(wrong)}" if wrong else None
+    except Exception as problem:  # one job's failure is recorded and leaves the others running
+        return f"{type(problem).__name__}: {str(problem).splitlines()[0]}"
+    return None
+
+
+def execute(
+    jobs: DataFrame, dependencies: DataFrame, log: DataFrame, events: DataFrame,
+    staged: Mapping[str, DataFrame], rules: Sequence[validation.Rule], dag_run_id: str,
+    raw: DataFrame | readiness.RawTables | None = None, completions: DataFrame | None = None,
+) -> Outcome:
+    """Everything that is due: jobs to new watermarks.
+
+    ``jobs`` are ``schemas.JOBS`` rows with a ``start_time``; ``log`` is the audit log that
+    readiness and guards ask; ``events`` the audit events so far; ``staged`` the staged rows of
+    each job, with their ``ictrl_dt``. Dates, checks, guards and events cover all runs in one
+    plan each. Only loading goes job by job, as each has a table of its own; a job whose load or
+    validation fails gets its runs recorded as failed.
+    """
+    given = jobs.columns
+    jobs = schemas.conform(jobs, schemas.JOBS).join(jobs.select("job_nm", "start_time"), "job_nm")
+    due = run_readiness(planned(jobs), schemas.conform(dependencies, schemas.DEPENDENCIES), log, raw, completions)
+    due = materialize(due.withColumns({
+        "log_kind": F.when(F.expr(planning.IS_INGEST), "ingest").otherwise("trans"),
+        "round_time": F.col("start_time"), "job_start_time": F.col("start_time"),
+        # a job's dates are runs of their own
+        "dag_run_id": F.concat_ws("/", F.lit(dag_run_id), "ictrl_dt"),
+    }), "due")
+    starting = materialize(startable(due, log), "starting")
+    _, by_label, by_null = blocked(due, log)
+    opened = [
+        audit.start_trans(starting.filter(f"NOT {planning.IS_INGEST}")),
+        audit.start_ingest(starting.filter(planning.IS_INGEST)),
+    ]
+    refused = guards.outcome_events(by_label, by_null).withColumns(
+        {"log_kind": F.lit("ingest"), "event_time": F.col("round_time")})
+    dropped = audit.deletion(guards.already_succeeded(due.filter("ready"), log), F.col("round_time"))
+    loaded = _load_all(jobs, starting, staged, rules)
+    closed = audit.completion(
+        starting.join(loaded, ["job_nm", "ictrl_dt"]).select(
+            *starting.columns, "err_msg", F.coalesce("row_cnt", F.lit(0)).alias("row_cnt"),
+            F.when(F.col("err_msg").isNull(), "SUCCESS").otherwise(schemas.FAILED).alias("status"),
+            F.lit("").alias("log_url"), F.col("start_time").alias("job_end_time"),
+        )
+    )
+    new = materialize(reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [*opened, closed, refused, dropped]
+    ), "events")
+    state = materialize(
+        audit.fold(events.unionByName(new, allowMissingColumns=True), STATE), "state"
+    )
+    moved = audit.advance_watermark(jobs, state)
+    return Outcome(new, state, moved.select(*given))
+
+
+def _load_all(
+    jobs: DataFrame, starting: DataFrame, staged: Mapping[str, DataFrame], rules: Sequence[validation.Rule]
+) -> DataFrame:
+    """(job_nm, ictrl_dt, row_cnt, err_msg) of every starting run, loaded job by job."""
+    spark, labels = jobs.sparkSession, ["job_nm", "ictrl_dt"]
+    counted = spark.createDataFrame([], "job_nm string, ictrl_dt string, row_cnt bigint")
+    problems = []
+    for job in jobs.join(starting.select("job_nm").distinct(), "job_nm").orderBy("job_nm").collect():
+        wanted = starting.filter(F.col("job_nm") == job["job_nm"]).select("ictrl_dt").distinct()
+        rows = staged[job["job_nm"]]
+        rows = materialize(rows.join(wanted, "ictrl_dt", "left_semi").select(*rows.columns), "staged")
+        problems.append((job["job_nm"], _load(job, rows, rules)))
+        per_label = rows.groupBy("ictrl_dt").agg(F.count("*").alias("row_cnt"))
+        counted = counted.unionByName(per_label.withColumn("job_nm", F.lit(job["job_nm"])))
+    result = spark.createDataFrame(problems, "job_nm string, err_msg string")
+    return starting.select(*labels).join(counted, labels, "left").join(result, "job_nm")

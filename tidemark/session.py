@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
-# Intermediate tables by application, in the order they were written.
+# Paths handed out, by application, in order.
 _written: dict[str, list[str]] = defaultdict(list)
 
 
@@ -36,8 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no earlier run has written to."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no earlier run has written to.
+
+    ``scratch`` deletes what is written there, unless it has become a table of the catalog.
+    """
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written[spark.sparkContext.applicationId].append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -48,7 +53,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     broadcast is safe.
     """
     path = fresh_path(df.sparkSession, name)
-    _written[df.sparkSession.sparkContext.applicationId].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -75,18 +79,32 @@ def owns(spark: SparkSession, path: str) -> bool:
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Deletes, at the end, the intermediate tables written inside.
 
-    Results computed from them must have been used or written by then.
+    Results computed from them must have been used or written by then. Folders of tables
+    that are in the catalog of this session's database stay.
     """
     paths = _written[spark.sparkContext.applicationId]
     before = len(paths)
     try:
         yield
     finally:
+        held = _table_folders(spark)
         for path in paths[before:]:
-            delete(spark, path)
+            if path.rsplit("/", 1)[-1] not in held:
+                delete(spark, path)
         del paths[before:]
 
 
+def _table_folders(spark: SparkSession) -> set[str]:
+    """Last parts of the folders of the current database's tables; fresh paths are unique by them."""
+    found = set()
+    for table in spark.catalog.listTables():
+        if not table.isTemporary:
+            described = spark.sql(f"DESCRIBE TABLE EXTENDED `{table.name}`").filter("col_name = 'Location'").first()
+            if described:
+                found.add(described["data_type"].rstrip("/").rsplit("/", 1)[-1])
+    return found
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread few rows that each cost much over all shuffle partitions.
 

@@ -40,8 +40,15 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _taken(spark: SparkSession, table: str) -> DataFrame:
+    """The table's rows, off the catalog: a query leaves no table behind, its files are scratch."""
+    rows = spark.read.schema(spark.table(table).schema).parquet(loads.location(spark, table))
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 def _shown(spark: SparkSession, table: str, *extra: str) -> DataFrame:
-    return spark.table(table).select(
+    return _taken(spark, table).select(
         "o_orderkey", "o_custkey", F.round("o_totalprice", 2).alias("o_totalprice"),
         "o_orderstatus", "o_orderpriority", "load_ts", *extra,
     )
@@ -101,6 +108,12 @@ def staging_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     loads.create_table(_target(spark, sf_dir), f"{table}_tmp_validation")
     by_job = staging.staged_table(spark, job, table)
     by_table = staging.staged_table(spark, "no_such_job", table)
+    by_job, by_table = (
+        spark.read.schema(df.schema).parquet(loads.location(spark, f"{name}_tmp_validation"))
+        for df, name in ((by_job, job), (by_table, table))
+    )
+    for name in (job, table):
+        spark.sql(f"DROP TABLE {name}_tmp_validation")
     return by_job.withColumn("found", F.lit("job")).unionByName(
         by_table.withColumn("found", F.lit("table"))
     ).select("found", "o_orderkey", "load_ts")
@@ -130,7 +143,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream, table, "append", fresh_path(spark, "ingest-state"), available_now=True
     ).awaitTermination()
     spark.catalog.refreshTable(table)  # the stream loads in a session of its own
-    return spark.table(table).groupBy("event_type").agg(
+    return _taken(spark, table).groupBy("event_type").agg(
         F.count("*").alias("events"), F.countDistinct("event_id").alias("event_ids")
     )
 
@@ -146,7 +159,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         keys=["user_id"], order_by="event_id",
     ).awaitTermination()
     spark.catalog.refreshTable(table)  # the stream loads in a session of its own
-    return spark.table(table).select("user_id", "event_id", "event_type")
+    return _taken(spark, table).select("user_id", "event_id", "event_type")
 
 
 _RESULT_TYPES = {
@@ -280,6 +293,9 @@ ORACLES = {
       FROM events GROUP BY user_id""",
     "jdbc_typed_scan": """SELECT c_custkey, c_nationkey, c_acctbal, CAST(c_nationkey AS DOUBLE) AS balance,
       strftime(make_timestamp(c_custkey % 86400 * 1000000), '%H:%M:%S') AS opened, c_mktsegment FROM customer""",
+    "column_encrypt": """SELECT c_custkey, true AS is_sealed,
+      CAST(16 * ((strlen(c_name) + 12) // 16 + 1) AS INTEGER) AS fixed_bytes,
+      CAST(16 * (strlen(c_name) // 16 + 2) AS INTEGER) AS random_bytes FROM customer""",
     "column_decrypt": """SELECT c_custkey, c_name AS from_json, c_name AS plain, false AS by_wrong_key
       FROM customer""",
 }

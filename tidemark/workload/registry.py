@@ -14,9 +14,10 @@ from tidemark.workload import (
     load_queries,
     planning_queries,
     readiness_queries,
+    run_queries,
 )
 
-MODULES = [planning_queries, readiness_queries, guard_queries, load_queries, audit_queries]
+MODULES = [planning_queries, readiness_queries, guard_queries, load_queries, audit_queries, run_queries]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
