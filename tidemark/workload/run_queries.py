@@ -100,7 +100,7 @@ ORACLES = {
         FROM runs r),
       started AS (SELECT * FROM judged WHERE ready AND NOT done AND NOT busy AND NOT blocked),
       loaded AS (SELECT s.job_nm, count(*) AS n FROM started s JOIN orders o ON o.o_orderpriority = s.job_nm
-        AND strftime(o.o_orderdate, '%Y%m%d') = s.label GROUP BY 1)
+        AND strftime(o.o_orderdate, '%Y%m%d') = s.label GROUP BY 1),
       ended AS (SELECT j.job_nm, coalesce(l.n, 0) AS loaded_rows,
         (SELECT count(*) FROM started s WHERE s.job_nm = j.job_nm) AS started,
         (SELECT count(*) FROM judged b WHERE b.job_nm = j.job_nm AND b.ready AND b.blocked) AS blocked,
