@@ -141,6 +141,14 @@ def test_jdbc_types_and_options(spark):
     assert [f.dataType.simpleString() for f in typed.schema] == ["int", "double"]
 
 
+def test_jdbc_types_of_a_result(spark):
+    df = spark.range(1).selectExpr("cast(id AS tinyint) AS a", "cast(id AS float) AS b", "1.50bd AS c", "'x' AS d",
+                                   "timestamp_ntz'2024-01-01' AS e")
+    assert jdbc.result_types(df) == {"a": "int", "b": "double", "e": "timestamp"}
+    assert [f.dataType.simpleString() for f in jdbc.typed(df, jdbc.result_types(df)).schema] == [
+        "int", "double", "decimal(3,2)", "string", "timestamp"]
+
+
 def test_key_value(spark):
     pairs = spark.createDataFrame([("a", "ip", "h"), ("a", "port", "5"), ("b", "port", "x")],
                                   "entity string, key string, value string")

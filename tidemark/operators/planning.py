@@ -178,7 +178,7 @@ def delay_schedule(requests: DataFrame, delays: DataFrame) -> DataFrame:
     ``requests`` holds ``job_nm`` and ``ref_date``. A delay row counts only for job type
     ingestion with a flag other than n; a null flag drops it.
     """
-    usable = delays.filter(
+    usable = schemas.conform(delays, schemas.DELAYS).filter(
         (F.lower("job_type") == "ingestion") & (F.lower("flag") != "n")
     ).select("job_nm", "date_start_job", "total_delay", "mode")
     base = delay_base(F.col("mode"), F.col("date_start_job"), F.col("ref_date"))

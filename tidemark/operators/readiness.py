@@ -277,9 +277,13 @@ def prefix_facts(facts: DataFrame, checks: DataFrame) -> DataFrame:
     ``label LIKE 'x%'`` becomes an equality on the first characters; the newest run and
     best row count of all labels sharing the prefix are combined from the facts.
     """
-    lengths = expected_labels(checks.filter("by_prefix")).select(
-        *SOURCE_KEY, "match_len"
-    ).distinct()
+    # such checks expect one date each, so its label tells the length without expanding windows
+    lengths = (
+        checks.filter(f"by_prefix AND ({exp.WINDOW_PROBLEM}) IS NULL AND family <> 'newest'")
+        .select("job_key", "schema_nm", "table_nm", F.explode("routes").alias("route"),
+                F.length(F.expr(labels.write("low_ts", "label_pattern"))).alias("match_len"))
+        .distinct()
+    )
     return (
         facts.filter(F.col("route") == "ingest").drop("match_len").join(lengths, SOURCE_KEY)
         .filter(F.length("label") >= F.col("match_len"))

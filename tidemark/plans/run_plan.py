@@ -129,6 +129,7 @@ def execute(
     validation fails gets its runs recorded as failed.
     """
     given = jobs.columns
+    log = schemas.conform(log, schemas.AUDIT_LOG)
     jobs = schemas.conform(jobs, schemas.JOBS).join(jobs.select("job_nm", "start_time"), "job_nm")
     due = run_readiness(planned(jobs), schemas.conform(dependencies, schemas.DEPENDENCIES), log, raw, completions)
     due = materialize(due.withColumns({

@@ -63,7 +63,24 @@ def query_scan(spark: SparkSession, url: str, query: str, **kwargs) -> DataFrame
     return spark.read.format("jdbc").options(**options(url, query, **kwargs)).load()
 
 
+# Types Spark gives a result's columns from its metadata -> JDBC type name, where the
+# fixed mapping differs from Spark's own.
+_READ_AS = {
+    "tinyint": "TINYINT", "smallint": "SMALLINT", "float": "REAL", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def result_types(df: DataFrame) -> dict[str, str]:
+    """The fixed type of each column, from the types the result's own metadata gave it."""
+    return {
+        f.name: spark_type(_READ_AS[f.dataType.simpleString()])
+        for f in df.schema.fields if f.dataType.simpleString() in _READ_AS
+    }
+
+
 def typed_query_scan(
-    spark: SparkSession, url: str, query: str, types: Mapping[str, str], **kwargs
+    spark: SparkSession, url: str, query: str, types: Mapping[str, str] | None = None, **kwargs
 ) -> DataFrame:
-    return typed(query_scan(spark, url, query, **kwargs), types)
+    """A remote query in the fixed types: the given ones, else those of its own metadata."""
+    rows = query_scan(spark, url, query, **kwargs)
+    return typed(rows, result_types(rows) if types is None else types)

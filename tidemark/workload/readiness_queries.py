@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import expected as exp
 from tidemark.operators import readiness as rd
 from tidemark.operators import workflow
+from tidemark.session import materialize
 from tidemark.workload import control, views
 from tidemark.workload.oracle_views import fmt, with_views
 
@@ -20,9 +21,11 @@ def show_verdicts(verdicts: DataFrame) -> DataFrame:
     )
 
 
-def verdicts(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
+def verdicts(
+    spark: SparkSession, sf_dir: str, which: str = "true", dates: DataFrame | None = None
+) -> DataFrame:
     return rd.readiness(
-        views.checks(spark, sf_dir, which),
+        views.checks(spark, sf_dir, which, dates),
         views.audit_log(spark, sf_dir),
         views.raw_tables(spark, sf_dir),
     )
@@ -105,10 +108,9 @@ _TWO_LOGS = _LOG + "job_nm IN ('load_daily', 'load_weekly') AND " + _of("daily",
 
 def job_ready_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: every job at every reference date, with the prerequisites it waits for."""
-    runs = views.jobs(spark).join(views.reference_dates(spark, sf_dir), "clock").select(
-        "job_nm", "ref_ts"
-    )
-    return rd.job_rollup(runs, verdicts(spark, sf_dir)).select(
+    dates = materialize(views.reference_dates(spark, sf_dir), "reference-dates")
+    runs = views.jobs(spark).join(dates, "clock").select("job_nm", "ref_ts")
+    return rd.job_rollup(runs, verdicts(spark, sf_dir, dates=dates)).select(
         "job_nm", _ref_date(), "ready", F.array_join("not_ready", ",").alias("not_ready")
     )
 

@@ -122,7 +122,9 @@ def reference_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.unionByName(hours).distinct()
 
 
-def checks(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
+def checks(
+    spark: SparkSession, sf_dir: str, which: str = "true", dates: DataFrame | None = None
+) -> DataFrame:
     """Every active dependency (that ``which`` selects) at every reference date."""
     wanted = dependencies(spark).filter(which)
     runs = jobs(spark).select(
@@ -130,7 +132,7 @@ def checks(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
         F.when(F.col("job_type").isin(*schemas.INGEST_TYPES), "ingest")
         .otherwise("transform").alias("consumer"),
         F.expr(labels.spark_pattern("ictrl_dt_tgtfmt")).alias("job_label_pattern"),
-    ).join(reference_dates(spark, sf_dir), "clock")
+    ).join(reference_dates(spark, sf_dir) if dates is None else dates, "clock")
     back = F.when(F.col("frequency") == "monthly", 70).otherwise(3)
     return dependency_fanout(
         runs.withColumn("start_ts", F.col("ref_ts") - F.make_dt_interval(back)), wanted
