@@ -68,6 +68,24 @@ def given(docs):
     return [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
 
 
+# clashing columns
+
+
+def test_columns_that_repeat_or_differ_by_case(spark, docs):
+    """What each operator reads is taken by place, so twins of its columns do no harm."""
+    given_docs = docs.select("doc_id", "text", "source", "lang", "n_chars")
+    twins = given_docs.toDF("doc_id", "text", "source", "lang", "n_chars").select(
+        "*", F.lit("x").alias("TEXT"), F.lit("y").alias("row"), F.lit(1).alias("Doc_Id"), F.lit("z").alias("text"))
+    n = docs.count()
+    assert token_counts.count_tokens(twins).count() == n
+    assert simhash_dedup.near_duplicates(twins).count() == n
+    assert mixing.mix(twins).count() == n
+    assert packing.pack_documents(twins).select("doc_id", "doc_tokens").count() >= n
+    assert token_shards.write_shards(twins).count() >= 1
+    labels = spark.createDataFrame([(3, 1), (6, 0)], "doc_id long, quality int")
+    assert quality_model.classify(twins, labels).count() == n
+
+
 # 1 token counts
 
 

@@ -32,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return on_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def picked(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns alone, taken by place: others may repeat a name or differ from it by case."""
+    places = {name: df.columns.index(name) for name in names}
+    by_place = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return by_place.select(*[F.col(f"c{i}").alias(name) for name, i in places.items()])
+
+
 def words(text: Column) -> Column:
     """The words of ``text`` in order; null counts as empty."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{WHITE}+", -1), "")

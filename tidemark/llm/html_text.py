@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidemark.llm.common import picked
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
@@ -268,7 +270,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages`` (page_id, url, html)."""
+    pages = picked(pages, "page_id", "url", "html")
     kind = dict(pages.dtypes)
-    return pages.select("page_id", "url", "html").mapInArrow(
+    return pages.mapInArrow(
         _extract, f"page_id {kind['page_id']}, url {kind['url']}, text string, n_chars long"
     )

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import words
+from tidemark.llm.common import picked, words
 from tidemark.session import materialize
 
 #: Weights of the sources in order, repeating.
@@ -63,7 +63,7 @@ def mix(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share: float = SHARE
     ``whole`` repetitions of the document, plus its first ``extra`` words.
     """
     marked = materialize(
-        docs.select(
+        picked(docs, "doc_id", "source", "text").select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), size(F.col("text")).alias("size"),
             F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("order"),
         ),
@@ -111,7 +111,7 @@ def mixed_documents(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share: f
     """
     kept = ["doc_id", "text", "lang", "source", "n_chars"]
     w = words(F.col("text"))
-    marked = docs.select(
+    marked = picked(docs, *kept).select(
         *kept, F.size(w).cast("long").alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("order"),
         F.monotonically_increasing_id().alias("row"),

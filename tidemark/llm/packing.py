@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_tokens import encoder
+from tidemark.llm.common import picked
 
 VOCABULARY = "byte_bpe_50k.json"
 LENGTH = 2048
@@ -111,6 +112,6 @@ def pack_documents(
     docs: DataFrame, vocabulary: str = VOCABULARY, size: int = LENGTH, end: int = END, group: int = GROUP
 ) -> DataFrame:
     """One row for each piece: its document, where it starts there, and its place in a sequence."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(
         lambda b: _packed(b, vocabulary, size, end, group), SCHEMA
     )

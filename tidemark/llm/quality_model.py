@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import picked
+
 FEATURES = (
     "log_words", "word_length", "capitals", "symbols", "shouts", "digits", "bars", "distinct_words", "repeated_words",
     "repeated_lines", "compressed", "stops", "short_words", "beyond_ascii", "longest_word", "words_per_line",
@@ -199,11 +201,11 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     """The model from up to ``rows`` labelled documents outside the held-out fold."""
     chosen = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
+        picked(labels, "doc_id", "quality").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
         .where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
     )
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    sample = picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     found = (
         sample.select("label", "text").mapInArrow(_described, "label int, features array<double>")
         .orderBy("label", "features").limit(rows).toPandas()  # the order makes a rerun add up alike
@@ -229,7 +231,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = TRAINING_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs`` (doc_id, text)."""
     model = learn(docs, labels, rows)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return score(texts, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import picked
 from tidemark.llm.components import roots
 from tidemark.session import materialize
 
@@ -71,10 +72,11 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
         )
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(row, doc_id, fp): 64-bit fingerprints as signed longs; ``row`` is the input's, if it has one."""
-    row = F.col("row") if "row" in docs.columns else F.lit(None)
-    return docs.select(row.cast("long").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, row: str | None = None) -> DataFrame:
+    """(row, doc_id, fp): 64-bit fingerprints as signed longs; ``row`` names a column of numbers to carry along."""
+    docs = picked(docs, "doc_id", "text", *([row] if row else []))
+    number = F.col(row) if row else F.lit(None)
+    return docs.select(number.cast("long").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         lambda b: _fingerprints(b, shingle), "row long, doc_id long, fp long"
     )
 
@@ -228,11 +230,12 @@ def links(distinct_fps: DataFrame, max_distance: int = MAX_DISTANCE, segment_bit
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE, segment_bits: int = SEGMENT_BITS
+    docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE, segment_bits: int = SEGMENT_BITS,
+    row: str | None = None,
 ) -> DataFrame:
     """(row, doc_id, fp, root, component_id) for every row: its fingerprint, and the smallest
     fingerprint and id linked to it."""
-    marked = materialize(fingerprints(docs, shingle), "fingerprints")
+    marked = materialize(fingerprints(docs, shingle, row), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     root = roots(materialize(links(distinct, max_distance, segment_bits).distinct(), "links"))
     rooted = distinct.join(root.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -251,7 +254,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
         docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("record"), F.monotonically_increasing_id().alias("row")),
         "documents",
     )
-    found = materialize(near_duplicates(held.select("row", "record.doc_id", "record.text"), **options), "near-duplicates")
+    found = materialize(near_duplicates(held.select("row", "record.doc_id", "record.text"), row="row", **options), "near-duplicates")
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row"))
     dropped = materialize(found.select("row").join(first.select("row"), "row", "left_anti"), "dropped")
     return held.join(dropped, "row", "left_anti").select("record.*")

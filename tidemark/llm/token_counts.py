@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UNUSUAL, tokenizer, vocabulary_path
+from tidemark.llm.common import UNUSUAL, picked, tokenizer, vocabulary_path
 from tidemark.session import materialize
 
 VOCABULARY = "word_bpe_49k.json"
@@ -123,7 +123,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.R
 def piece_table(texts: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(pre_token, n, pieces) for every distinct pre-token of the corpus: how often, how many pieces."""
     counted = (
-        texts.select("text").mapInArrow(lambda b: _frequencies(b, vocabulary), "pre_token string, n long")
+        picked(texts, "text").mapInArrow(lambda b: _frequencies(b, vocabulary), "pre_token string, n long")
         .groupBy("pre_token").agg(F.sum("n").alias("n"))
     )
     return counted.mapInArrow(lambda b: _pieces(b, vocabulary), "pre_token string, n long, pieces long")
@@ -192,7 +192,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, heavy_parts: int
     is_heavy = F.col("n") * heavy_parts >= total
     heavy = {r["pre_token"]: r["pieces"] for r in pieces.where(is_heavy).select("pre_token", "pieces").toLocalIterator()}
     heavy = spark.sparkContext.broadcast(heavy)
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    rows = picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(
         lambda b: _documents(b, vocabulary, heavy.value),
         "row long, doc_id long, n_bytes long, pre_token string, n long",
     )

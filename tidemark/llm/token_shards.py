@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_tokens import encoder
-from tidemark.llm.common import numbered
+from tidemark.llm.common import numbered, picked
 from tidemark.session import fresh_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -90,7 +90,7 @@ def _sequences(batches: Iterator[pa.RecordBatch], vocabulary: str, length: int,
 
 def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH, end: int = END) -> DataFrame:
     """(doc_id, start, n_tokens, ids): the pieces of every document, unpadded."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(
         lambda b: _sequences(b, vocabulary, length, end), "doc_id long, start long, n_tokens int, ids binary"
     )
 
