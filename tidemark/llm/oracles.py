@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm import quality_rules as rules
+
 TOPK = r"""
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
@@ -53,4 +55,78 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
-ORACLES = {"op6_exact_topk": TOPK, "op9_mixing": MIXING}
+_STATISTICS = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS id, CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), windows AS (
+    SELECT id, i, array_to_string(w[i : i + 7], ' ') AS words
+    FROM (SELECT id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)
+), repeated AS (
+    SELECT id, unnest(range(i, i + 8)) AS place
+    FROM (SELECT id, i, count(*) OVER (PARTITION BY id, words) AS n FROM windows)
+    WHERE n > 1
+), covered AS (
+    SELECT id, count(DISTINCT place) AS n FROM repeated GROUP BY id
+), lines AS (
+    SELECT id, count(*) AS n, count(DISTINCT line) AS distinct_lines
+    FROM (SELECT id, unnest(string_split(t, chr(10))) AS line FROM d)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY id
+), s AS MATERIALIZED (
+    SELECT id, doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(l.n - l.distinct_lines, 0) AS BIGINT) AS n_dup_lines, coalesce(l.n, 0) AS n_lines,
+        CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+        length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_capitals,
+        length(t) - length(replace(t, '!', '')) AS n_shouts
+    FROM d LEFT JOIN covered c USING (id) LEFT JOIN lines l USING (id)
+), j AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s
+)"""
+
+
+def _rules() -> str:
+    """Expectation-maximisation over the documents' votes, one step of the model after the other."""
+    votes = " UNION ALL ".join(
+        f"SELECT id, base_failed, '{name}' AS rule, CASE WHEN {value} <= {keep} THEN 1 WHEN {value} > {reject} "
+        "THEN -1 ELSE 0 END AS vote FROM j"
+        for name, (value, keep, reject) in rules.RULES.items()
+    )
+    model = ", ".join(
+        f"('{name}', {vote}, {rules.GOOD[vote]}::DOUBLE, {rules.BAD[vote]}::DOUBLE, {rules.PRIOR}::DOUBLE)"
+        for name in rules.RULES for vote in (1, -1, 0)
+    )
+    first = "start(rule, vote, good, bad, prior)"
+    parts = [
+        _STATISTICS, f"v AS MATERIALIZED ({votes})", f"{first} AS MATERIALIZED (VALUES {model})",
+        "m0 AS MATERIALIZED (SELECT * FROM start)",
+        # documents that vote alike are one pattern
+        "p AS MATERIALIZED (SELECT id, base_failed, string_agg(vote, ',' ORDER BY rule) AS pattern FROM v GROUP BY ALL)",
+        "c AS MATERIALIZED (SELECT pattern, count(*) AS n FROM p WHERE NOT base_failed GROUP BY ALL)",
+        "u AS MATERIALIZED (SELECT DISTINCT pattern, rule, vote FROM v JOIN p USING (id))",
+    ]
+    odds = "ln(any_value(m.prior) / (1 - any_value(m.prior))) + sum(ln(m.good / m.bad))"
+    for k in range(1, rules.ROUNDS + 1):
+        parts.append(
+            f"e{k} AS MATERIALIZED (SELECT pattern, any_value(n) AS n, any_value(n) / (1 + exp(-({odds}))) AS good "
+            f"FROM c JOIN u USING (pattern) JOIN m{k - 1} m USING (rule, vote) GROUP BY pattern)"
+        )
+        s = rules.SMOOTH
+        parts.append(
+            f"m{k} AS MATERIALIZED (SELECT b.rule, b.vote, (coalesce(x.good, 0) + {s} * b.good) / (t.good + {s}) AS good, "
+            f"(coalesce(x.n - x.good, 0) + {s} * b.bad) / (t.n - t.good + {s}) AS bad, "
+            f"(t.good + {s} * b.prior) / (t.n + {s}) AS prior FROM start b "
+            f"LEFT JOIN (SELECT rule, vote, sum(n) AS n, sum(e.good) AS good FROM e{k} e JOIN u USING (pattern) GROUP BY ALL) x "
+            f"USING (rule, vote) CROSS JOIN (SELECT coalesce(sum(n), 0) AS n, coalesce(sum(good), 0) AS good FROM e{k}) t)"
+        )
+    return ",\n".join(parts) + f"""
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, j.base_failed,
+        NOT j.base_failed AND q.posterior >= {rules.KEEP} AS kept
+    FROM j JOIN p USING (id) JOIN (
+        SELECT pattern, 1 / (1 + exp(-({odds}))) AS posterior FROM u JOIN m{rules.ROUNDS} m USING (rule, vote) GROUP BY pattern
+    ) q USING (pattern)"""
+
+
+ORACLES = {"op5_quality_rules": _rules(), "op6_exact_topk": TOPK, "op9_mixing": MIXING}

@@ -25,13 +25,13 @@ WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
 #: Statistic per rule; it votes to keep up to the first bound, to reject above the second, else abstains.
 RULES = {
-    "symbols": ("1.0 * n_symbols / greatest(n_words, 1)", 0.05, 0.25),
-    "symbol_share": ("1.0 * n_symbols / greatest(word_chars, 1)", 0.01, 0.08),
-    "repeats": ("1.0 * n_repeat_words / greatest(n_words, 1)", 0.10, 0.25),
-    "dup_lines": ("1.0 * n_dup_lines / greatest(n_lines, 1)", 0.30, 0.60),
-    "capitals": ("1.0 * n_capitals / greatest(word_chars, 1)", 0.15, 0.40),
-    "shouts": ("1.0 * n_shouts / greatest(n_words, 1)", 0.05, 0.25),
-    "word_length": ("abs(1.0 * word_chars / greatest(n_words, 1) - 6)", 3.0, 8.0),
+    "symbols": ("n_symbols / greatest(n_words, 1)", 0.05, 0.25),
+    "symbol_share": ("n_symbols / greatest(word_chars, 1)", 0.01, 0.08),
+    "repeats": ("n_repeat_words / greatest(n_words, 1)", 0.10, 0.25),
+    "dup_lines": ("n_dup_lines / greatest(n_lines, 1)", 0.30, 0.60),
+    "capitals": ("n_capitals / greatest(word_chars, 1)", 0.15, 0.40),
+    "shouts": ("n_shouts / greatest(n_words, 1)", 0.05, 0.25),
+    "word_length": ("abs(word_chars / greatest(n_words, 1) - 6)", 3.0, 8.0),
 }
 ROUNDS = 25
 #: Before any evidence: four documents in five are good; a rule rejects few good ones (keep, reject, abstain) ...
