@@ -129,6 +129,7 @@ def test_main_text_edges():
     assert html_text.main_text("plain") == "plain"
     assert html_text.main_text("<article><p><b>Short.<br></article>") == "Short."
     assert html_text.main_text("<p" * 10 + "<div>" * 50_000 + "deep") == "deep"
+    assert html_text.main_text("<p>end</p>" + "<a <a " * 20_000) == "end"  # a tag broken off takes no time
     assert html_text.main_text("<article>" + "<p>ab cd</p>" * 20_000 + "</article>") == "\n".join(["ab cd"] * 20_000)
 
 

@@ -63,6 +63,7 @@ ENDS_PARAGRAPH = frozenset(
 #: Elements no implied end tag reaches out of.
 SCOPES = frozenset("html body main article section div aside nav header footer form td th li blockquote figure table dialog".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+BROKEN_OFF = re.compile("<[A-Za-z/!?]")
 SIGMA, REACH = 1.0, 2
 
 
@@ -75,10 +76,32 @@ def _dropped_name(value: str) -> bool:
 
 
 class Element:
-    __slots__ = ("tag", "parent", "dropped", "header", "region")
+    """An open element: is its text dropped, is it in a page header, and which marked regions enclose it.
 
-    def __init__(self, tag, parent, dropped, header, region):
-        self.tag, self.parent, self.dropped, self.header, self.region = tag, parent, dropped, header, region
+    ``regions`` holds at most a main and an article element; an article within an article belongs
+    to the outer one.
+    """
+
+    __slots__ = ("tag", "parent", "depth", "dropped", "header", "regions")
+
+    def __init__(self, tag, parent, dropped, header):
+        self.tag, self.parent, self.dropped, self.header = tag, parent, dropped, header
+        self.depth = 0 if parent is None else parent.depth + 1
+        self.regions = {} if parent is None else parent.regions
+
+    def mark(self, kind: str):
+        if kind not in self.regions:
+            self.regions = {**self.regions, kind: self}
+
+    def region(self):
+        """The article, else the main element."""
+        return self.regions.get("article") or self.regions.get("main")
+
+    def inside(self, other) -> bool:
+        element = self
+        while element.depth > other.depth:
+            element = element.parent
+        return element is other
 
 
 class Lines(HTMLParser):
@@ -86,7 +109,7 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Element("", None, False, False, None)
+        self.root = Element("", None, False, False)
         self.stack, self.open = [self.root], Counter()
         self.pieces: list[str] = []
         self.tags = 0
@@ -138,19 +161,18 @@ class Lines(HTMLParser):
             self.close_unclosed()
         parent = self.stack[-1]
         role = (attrs.get("role") or "").lower()
-        region = parent.region
         hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
         dropped = (
             parent.dropped or tag in DROPPED or role in DROPPED_ROLES or hidden
             or (tag not in NEVER_BY_NAME and _dropped_name(names))
-            or (tag == "header" and region is None)
+            or (tag == "header" and not parent.regions)
         )
         header = parent.header or tag == "header"
-        if header and region is not None and not parent.dropped and tag not in DROPPED:
+        if header and parent.regions and not parent.dropped and tag not in DROPPED:
             dropped = dropped or not (tag in HEADINGS or tag in INLINE or tag in ("header", "div", "hgroup"))
-        element = Element(tag, parent, dropped, header, region)
-        if not dropped and (tag in REGIONS or role in ("main", "article") or attrs.get("itemprop") == "articleBody"):
-            element.region = element
+        element = Element(tag, parent, dropped, header)
+        if not dropped and (tag in REGIONS or role in REGIONS or attrs.get("itemprop") == "articleBody"):
+            element.mark(tag if tag in REGIONS else role if role in REGIONS else "article")
         self.stack.append(element)
         self.open[tag] += 1
 
@@ -195,8 +217,12 @@ def smoothed_ratios(chars: np.ndarray, tags: np.ndarray) -> np.ndarray:
 
 def main_text(html: str | None) -> str:
     """The article's lines, joined by newlines; empty if there is none."""
+    html = html or ""
+    # What follows the last ">" cannot end a tag; from a "<" on it is a tag that was broken off.
+    end = html.rfind(">") + 1
+    broken = BROKEN_OFF.search(html, end)
     parser = Lines()
-    parser.feed(html or "")
+    parser.feed(html[: broken.start()] if broken else html)
     lines = [line for line in parser.done() if not line[3]]
     # a page header inside the region keeps its headings only
     lines = [x for x in lines if not (x[2].header and x[2].tag in ("header", "div", "hgroup"))]
@@ -206,57 +232,31 @@ def main_text(html: str | None) -> str:
     smooth = smoothed_ratios(chars, np.array([x[1] for x in lines], float))
     content = smooth >= min(smooth.std(), smooth.max())
 
-    in_region: dict[Element, float] = {}
+    weights: dict[Element, float] = {}
     for weight, line in zip(chars * (1 + content), lines):
-        outer, element = None, line[2]
-        while element is not None:
-            if element.region is element:
-                outer = element
-            element = element.parent
-        if outer is not None:
-            inner = line[2].region if outer.tag == "main" or line[2].region.tag == "article" else outer
-            # an article inside of main is the closer region; nested articles belong to the outer one
-            element, best = inner, inner
-            while element is not None:
-                if element.region is element and element.tag == best.tag:
-                    best = element
-                element = element.parent
-            in_region[best] = in_region.get(best, 0) + weight
-    if in_region:
-        region = max(in_region, key=in_region.get)
-        return "\n".join(x[0] for x in lines if _inside(x[2], region))
-
-    # no region is marked: the innermost element around the clustered lines, from the first to the last of them
+        region = line[2].region()
+        if region is not None:
+            weights[region] = weights.get(region, 0) + weight
+    if weights:
+        region = max(weights, key=weights.get)
+        return "\n".join(x[0] for x in lines if region in x[2].regions.values())
+
+    # No region is marked: the innermost element around the clustered lines, which is the one around
+    # the first and the last of them. Where that is the page itself, only what lies between counts.
     marked = np.flatnonzero(content)
-    region = lines[marked[0]][2]
-    around = _path(region)
-    for i in marked[1:]:
-        path = set(map(id, _path(lines[i][2])))
-        around = [e for e in around if id(e) in path]
-    region = around[0]
-    first, last = marked[0], marked[-1]
-    while first and lines[first - 1][2].tag in HEADINGS:
-        first -= 1
-    inside = [i for i, x in enumerate(lines) if _inside(x[2], region)]
+    first, last = int(marked[0]), int(marked[-1])
+    region = lines[first][2]
+    while not lines[last][2].inside(region):
+        region = region.parent
     if region.tag in ("", "html", "body"):
-        inside = [i for i in inside if first <= i <= last]
-    return "\n".join(lines[i][0] for i in inside)
-
-
-def _path(element: Element) -> list[Element]:
-    out = []
-    while element is not None:
-        out.append(element)
-        element = element.parent
-    return out
-
-
-def _inside(element: Element | None, region: Element) -> bool:
-    while element is not None:
-        if element is region:
-            return True
-        element = element.parent
-    return False
+        while first and lines[first - 1][2].tag in HEADINGS:
+            first -= 1
+    else:
+        while first and lines[first - 1][2].inside(region):
+            first -= 1
+        while last + 1 < len(lines) and lines[last + 1][2].inside(region):
+            last += 1
+    return "\n".join(x[0] for x in lines[first : last + 1])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
