@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import picked
 from tidemark.session import materialize
 
 K = 5
@@ -37,6 +38,8 @@ HEAD = 16
 BLOCK, PACK, CHUNK = 1 << 16, 1 << 12, 1 << 9
 #: Products of integers are exact in doubles below this.
 EXACT = float(1 << 53)
+#: Pairs scored at a time.
+PAIRS = 1 << 16
 LEAST = -(1 << 63)
 #: Rounding of the rotated sums, relative to the product of the lengths.
 SLACK = 1e-9
@@ -44,6 +47,7 @@ SLACK = 1e-9
 
 def quantised(embeddings: DataFrame, vector: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(vec_id, v array<double> of whole numbers, norm2) of the rows that take part."""
+    embeddings = picked(embeddings, "vec_id", vector)
     value = F.col(vector).cast("array<double>")
     sound = (F.size(value) > 0) & ~F.exists(value, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = F.transform(value, lambda x: F.floor(x * scale).cast("double"))
@@ -99,11 +103,9 @@ def best_of_block(ids, m, q_ids, q, floor, turn, k: int):
     kind = np.float64 if whole else object
     exact_m, exact_q = (m, q) if whole else (np.vectorize(int, otypes=[object])(x) for x in (m, q))
     floor = floor.copy()
-    rows_q, rows_i, rows_s = [], [], []
-    best = np.full((len(q), k), -np.inf)
+    found = (np.empty(0, int), np.empty(0, np.int64), np.empty(0, kind))
     for at in range(0, len(ids), CHUNK):
-        longest = lengths[at]
-        active = np.flatnonzero(q_length * longest * (1 + SLACK) >= floor)
+        active = np.flatnonzero(q_length * lengths[at] * (1 + SLACK) >= floor)
         if not len(active):
             break  # the vectors only get shorter
         part = slice(at, at + CHUNK)
@@ -112,37 +114,34 @@ def best_of_block(ids, m, q_ids, q, floor, turn, k: int):
         i, j = np.nonzero((bound >= floor[active, None]) & (q_ids[active, None] != ids[None, part]))
         if not len(i):
             continue
-        i = active[i]
-        scores = np.empty(len(i), kind)
-        for s in range(0, len(i), 1 << 16):
-            e = s + (1 << 16)
-            scores[s:e] = (exact_q[i[s:e]] * exact_m[at + j[s:e]]).sum(1)
-        rows_q.append(i)
-        rows_i.append(ids[at + j])
-        rows_s.append(scores)
-        # raise the floors by this chunk's k best scores of each query
-        order = np.lexsort((-scores.astype(float), i))
-        qi, sc = i[order], scores[order].astype(float)
-        first = np.flatnonzero(np.r_[True, qi[1:] != qi[:-1]])
-        rank = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)]))
-        top = rank < k
-        fresh = np.full((len(q), k), -np.inf)
-        fresh[qi[top], rank[top]] = sc[top]
-        best = -np.sort(-np.concatenate([best, fresh], axis=1), axis=1)[:, :k]
-        floor = np.maximum(floor, best[:, k - 1])
-    if not rows_q:
-        return np.empty(0, int), np.empty(0, np.int64), np.empty(0)
-    rows_q, rows_i, rows_s = (np.concatenate(x) for x in (rows_q, rows_i, rows_s))
-    keep = rows_s.astype(float) >= floor[rows_q]
-    rows_q, rows_i, rows_s = rows_q[keep], rows_i[keep], rows_s[keep]
-    if whole:
-        order = np.lexsort((rows_i, -rows_s, rows_q))
+        if whole and len(i) * 16 > bound.size:  # so many are left that scoring all is quicker
+            scores = (q[active] @ m[part].T)[i, j]
+        else:
+            scores = np.empty(len(i), kind)
+            for s in range(0, len(i), PAIRS):
+                e = s + PAIRS
+                scores[s:e] = (exact_q[active[i[s:e]]] * exact_m[at + j[s:e]]).sum(1)
+        i, j = active[i], at + j
+        keep = scores.astype(float) >= floor[i]
+        found = _best(*(np.concatenate([x, y]) for x, y in zip(found, (i[keep], ids[j[keep]], scores[keep]))), k)
+        # the k-th best so far is the new floor of each query that has k
+        rows, counts = np.unique(found[0], return_counts=True)
+        last = np.cumsum(counts) - 1
+        full = counts == k
+        floor[rows[full]] = np.maximum(floor[rows[full]], found[2][last[full]].astype(float))
+    return found
+
+
+def _best(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
+    """The k best of each row, by score, then id; ordered so."""
+    if scores.dtype == object:
+        order = np.array(sorted(range(len(rows)), key=lambda x: (rows[x], -scores[x], ids[x])), int)
     else:
-        order = np.array(sorted(range(len(rows_q)), key=lambda x: (rows_q[x], -rows_s[x], rows_i[x])), int)
-    rows_q, rows_i, rows_s = rows_q[order], rows_i[order], rows_s[order]
-    first = np.flatnonzero(np.r_[True, rows_q[1:] != rows_q[:-1]])
-    rank = np.arange(len(rows_q)) - np.repeat(first, np.diff(np.r_[first, len(rows_q)]))
-    return rows_q[rank < k], rows_i[rank < k], rows_s[rank < k]
+        order = np.lexsort((ids, -scores, rows))
+    rows, ids, scores = rows[order], ids[order], scores[order]
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.empty(0, int)
+    rank = np.arange(len(rows)) - np.repeat(first, np.diff(np.r_[first, len(rows)]))
+    return rows[rank < k], ids[rank < k], scores[rank < k]
 
 
 def _search(blocks: DataFrame, queries: DataFrame, turn: np.ndarray, d: int, k: int) -> DataFrame:
