@@ -57,23 +57,30 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     )
 
 
+def _order(seed: str) -> Column:
+    """A seeded hash of the id; a source's documents stand in its order."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+
+
 def mix(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """(row, doc_id, source, size, source_size, target, whole, extra, taken) for every row of ``docs``.
+    """(doc_id, source, size, source_size, target, whole, extra, taken) for every row of ``docs``.
 
     ``whole`` repetitions of the document, plus its first ``extra`` words.
     """
     marked = materialize(
         picked(docs, "doc_id", "source", "text").select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), size(F.col("text")).alias("size"),
-            F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("order"),
+            _order(seed).alias("order"),
         ),
         "sizes",
     )
     return plan(marked, weights, share, most)
 
 
-def plan(marked: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """Adds targets and takings to rows of (doc_id, source, size, order, ...)."""
+def plan(
+    marked: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, keep_order: bool = False
+) -> DataFrame:
+    """Adds targets and takings to rows of (doc_id, source, size, order); ``row``, if there, breaks ties."""
     bucket = F.substring("order", 1, 3)
     buckets = materialize(
         marked.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("in_bucket")), "bucket-sizes"
@@ -89,7 +96,7 @@ def plan(marked: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = M
     starts = materialize(
         starts.join(goals.withColumnRenamed("s", "g"), F.col("s").eqNullSafe(F.col("g"))).drop("g"), "bucket-starts"
     )
-    in_bucket = Window.partitionBy("source", "b").orderBy("order", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(
+    in_bucket = Window.partitionBy("source", "b").orderBy("order", F.col("doc_id").asc_nulls_first(), "size", *(["row"] if "row" in marked.columns else [])).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     joined = marked.withColumn("bucket", bucket).join(
@@ -100,33 +107,53 @@ def plan(marked: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = M
     return (
         joined.withColumn("ends", ends).withColumn("extra", extra)
         .withColumn("taken", F.col("whole") * F.col("size") + F.col("extra"))
-        .drop("s", "b", "bucket", "bucket_start", "more", "ends", "order")
+        .drop("s", "b", "bucket", "bucket_start", "more", "ends", *([] if keep_order else ["order"]))
+    )
+
+
+def cuts(marked: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """One row for each source: how often it is whole, and where in its order one more repetition ends.
+
+    ``marked``: row, doc_id, source, size, order. ``full`` is the last document that is repeated
+    entirely, ``part`` the one after it that is repeated up to ``part_words``, as (order, size, row).
+    """
+    place = F.struct("order", "size", "row")
+    planned = plan(marked, weights, share, most, keep_order=True)
+    is_part = (F.col("extra") > 0) & (F.col("extra") < F.col("size"))
+    return planned.groupBy("source").agg(
+        F.max("whole").alias("whole"),
+        F.max(F.when((F.col("extra") == F.col("size")) & (F.col("size") > 0), place)).alias("full"),
+        F.max(F.when(is_part, F.col("row"))).alias("part"),
+        F.max(F.when(is_part, F.col("extra"))).alias("part_words"),
     )
 
 
 def mixed_documents(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """The mix itself: rows of ``docs`` (doc_id, text, lang, source, n_chars), repeated, the last of a source in part.
 
-    A document without words is repeated as often as its source is whole.
+    A document without words is repeated as often as its source is whole. Texts are not
+    shuffled: a document meets its source's one row, and its own place in the order tells the rest.
     """
     kept = ["doc_id", "text", "lang", "source", "n_chars"]
     w = words(F.col("text"))
     marked = picked(docs, *kept).select(
-        *kept, F.size(w).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("order"),
+        *kept, F.size(w).cast("long").alias("size"), _order(seed).alias("order"),
         F.monotonically_increasing_id().alias("row"),
     )
     marked = materialize(marked, "marked")
-    plans = materialize(plan(marked.select("row", "doc_id", "source", "size", "order"), weights, share, most).select("row", "whole", "extra"), "plans")
-    repeated = marked.join(plans, "row").select(
-        *kept, "size", "extra",
+    ends = cuts(marked.select("row", F.col("doc_id").cast("long").alias("doc_id"), "source", "size", "order"), weights, share, most)
+    ends = materialize(ends.withColumnRenamed("source", "s"), "cuts")
+    is_full = (F.col("size") > 0) & (F.struct("order", "size", "row") <= F.col("full"))
+    is_part = F.col("row") == F.col("part")
+    again = F.coalesce(is_full | is_part, F.lit(False))
+    repeated = marked.join(ends, F.col("source").eqNullSafe(F.col("s"))).select(
+        *kept, F.when(is_part, F.col("part_words")).alias("part_words"),
         F.explode(F.concat(
-            F.array_repeat(F.lit(False), F.col("whole").cast("int")),
-            F.array_repeat(F.lit(True), F.when(F.col("extra") > 0, 1).otherwise(0)),
+            F.array_repeat(F.lit(False), F.col("whole").cast("int")), F.array_repeat(F.lit(True), F.when(again, 1).otherwise(0))
         )).alias("again"),
     )
-    part = F.col("again") & (F.col("extra") < F.col("size"))
-    cut = F.array_join(F.slice(w, F.lit(1), F.greatest(F.col("extra"), F.lit(1)).cast("int")), " ")
+    part = F.col("again") & F.col("part_words").isNotNull()
+    cut = F.array_join(F.slice(w, F.lit(1), F.coalesce("part_words", F.lit(1)).cast("int")), " ")
     return (
         repeated.withColumn("text", F.when(part, cut).otherwise(F.col("text")))
         .withColumn("n_chars", F.when(part, F.length("text").cast("long")).otherwise(F.col("n_chars")))
