@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,12 @@ def vocabulary_path(vocabulary: str) -> str:
     return public_tokenizers.path(vocabulary)
 
 
+def values(column: pa.Array, at_once: int = 256) -> Iterator:
+    """The column's values, a few at a time as Python objects: a batch of texts is not held twice."""
+    for start in range(0, len(column), at_once):
+        yield from column.slice(start, at_once).to_pylist()
+
+
 @lru_cache(maxsize=4)
 def tokenizer(vocabulary: str):
     """A ``tokenizers`` vocabulary, loaded once in each worker."""

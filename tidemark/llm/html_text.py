@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import picked
+from tidemark.llm.common import picked, values
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -261,7 +261,7 @@ def main_text(html: str | None) -> str:
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(h) for h in batch.column("html").to_pylist()]
+        texts = [main_text(h) for h in values(batch.column("html"), 64)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             ["page_id", "url", "text", "n_chars"],

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_tokens import encoder
-from tidemark.llm.common import picked
+from tidemark.llm.common import picked, values
 
 VOCABULARY = "byte_bpe_50k.json"
 LENGTH = 2048
@@ -98,7 +98,7 @@ def _packed(batches: Iterator[pa.RecordBatch], vocabulary: str, size: int, end:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for doc_id, text in zip(values(batch.column("doc_id")), values(batch.column("text"))):
             ids.append(np.append(encode(text), np.uint32(end)))
             doc_ids.append(doc_id)
             held += len(ids[-1])

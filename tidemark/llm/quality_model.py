@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import picked
+from tidemark.llm.common import picked, values
 
 FEATURES = (
     "log_words", "word_length", "capitals", "symbols", "shouts", "digits", "bars", "distinct_words", "repeated_words",
@@ -192,7 +192,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [[float(v) for v in features(t)] for t in batch.column("text").to_pylist()]
+        found = [[float(v) for v in features(t)] for t in values(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("label"), pa.array(found, pa.list_(pa.float64()))], ["label", "features"]
         )
@@ -216,7 +216,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x = np.array([features(t) for t in batch.column("text").to_pylist()], float).reshape(-1, len(FEATURES))
+        x = np.array([features(t) for t in values(batch.column("text"))], float).reshape(-1, len(FEATURES))
         kept = [batch.column(i) for i in range(batch.num_columns)]
         yield pa.RecordBatch.from_arrays([*kept, pa.array(model.scores(x))], [*batch.schema.names, "score"])
 

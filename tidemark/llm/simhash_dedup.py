@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import picked
+from tidemark.llm.common import picked, values
 from tidemark.llm.components import roots
 from tidemark.session import materialize
 
@@ -66,7 +66,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
+        found = np.array([fingerprint(t, shingle) for t in values(batch.column("text"))], np.uint64)
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), batch.column("doc_id"), pa.array(found.view(np.int64))], ["row", "doc_id", "fp"]
         )

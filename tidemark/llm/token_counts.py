@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UNUSUAL, picked, tokenizer, vocabulary_path
+from tidemark.llm.common import UNUSUAL, picked, tokenizer, values, vocabulary_path
 from tidemark.session import materialize
 
 VOCABULARY = "word_bpe_49k.json"
@@ -101,7 +101,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator
             )
 
     for batch in batches:
-        for text in batch.column("text").to_pylist():
+        for text in values(batch.column("text")):
             if text:
                 some_words, some_cut = cutter.parts(text)
                 words.update(some_words)
@@ -150,7 +150,7 @@ def _documents(batches: Iterator[pa.RecordBatch], vocabulary: str, heavy: dict[s
             column.append(value)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for doc_id, text in zip(values(batch.column("doc_id")), values(batch.column("text"))):
             total, light = 0, Counter()
             words, cut = cutter.parts(text or "")
             for word, n in Counter(words).items():

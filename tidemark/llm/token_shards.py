@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_tokens import encoder
-from tidemark.llm.common import numbered, picked
+from tidemark.llm.common import numbered, picked, values
 from tidemark.session import fresh_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -73,7 +73,7 @@ def _sequences(batches: Iterator[pa.RecordBatch], vocabulary: str, length: int,
     encode = encoder(vocabulary).ids
     for batch in batches:
         out: list[list] = [[], [], [], []]
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for doc_id, text in zip(values(batch.column("doc_id")), values(batch.column("text"))):
             ids = np.append(encode(text), np.uint32(end))
             if len(ids) and ids.max() > np.iinfo(ID).max:
                 raise ValueError("ids of this vocabulary do not fit the record")
