@@ -586,6 +586,25 @@ def test_quality_model_edges(spark, docs, empty):
     assert quality_model.classify(empty, labels).count() == 0
 
 
+@pytest.mark.parametrize("hot", ["documents", "texts", "labels"])
+def test_quality_model_learns_both_labels_beside_a_hot_id(spark, hot):
+    """An id repeated beyond the number of rows learnt from leaves room for the others."""
+    on_workers(spark)
+    ids = [i for i in range(1, 200) if zlib.crc32(str(i).encode()) % 5][:40]
+    texts = [(i, "good words " * 90 if n % 2 else "BAD!! #1 " * 9) for n, i in enumerate(ids)]
+    quality = [(i, n % 2) for n, i in enumerate(ids)]
+    # the id first in the order of the hash, so that its labels lead
+    first = spark.createDataFrame(quality, "doc_id long, quality int").orderBy(F.xxhash64("doc_id")).first()
+    text = dict(texts)[first["doc_id"]]
+    if hot == "labels":
+        quality += [tuple(first)] * 200
+    else:
+        texts += [(first["doc_id"], text + (f" {n}" if hot == "texts" else "")) for n in range(200)]
+    docs, labels = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(quality, "doc_id long, quality int")
+    got = {r["doc_id"]: r["predicted"] for r in quality_model.classify(docs, labels, rows=40).collect() if r["doc_id"] != first["doc_id"]}
+    assert got == {i: n % 2 for n, i in enumerate(ids) if i != first["doc_id"]}
+
+
 def test_boosting_finds_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, len(quality_model.FEATURES)))

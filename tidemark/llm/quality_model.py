@@ -6,12 +6,13 @@ feature's lookup table; then the pairs of features that explain most of what is
 their own in the same way. A score is the logistic of the sum of one entry from each table, so
 scoring is a few vectorised additions for a batch of texts.
 
-The tables are learnt from at most ``TRAINING_ROWS`` labelled rows, the first in the order of a hash
-of their ids (a stated bound; all of them, if there are fewer). Every text is scored, whole.
+The tables are learnt from the first ``TRAINING_ROWS`` labels in the order of a hash of their ids (a
+stated bound; all of them, if there are fewer): a text of each, then, while there is room, further
+texts of ids that have several. Every text is scored, whole.
 
 Defined cases: a null text is scored as an empty one; rows with a null id are scored and count as
 held out, as do labels of null or other than 0 and 1 for training; repeated rows are each scored,
-repeated labels each learnt from; other columns are not read. Without labels of both kinds the score
+but learnt from once, like repeated labels; other columns are not read. Without labels of both kinds the score
 is the smoothed share of label 1. An empty table gives no rows.
 """
 
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import picked, values
+from tidemark.session import materialize
 
 FEATURES = (
     "log_words", "word_length", "capitals", "symbols", "shouts", "digits", "bars", "distinct_words", "repeated_words",
@@ -194,21 +196,29 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [[float(v) for v in features(t)] for t in values(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array(found, pa.list_(pa.float64()))], ["label", "features"]
+            [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.list_(pa.float64()))], ["doc_id", "label", "features"]
         )
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
-    """The model from up to ``rows`` labelled documents outside the held-out fold."""
+    """The model from up to ``rows`` labelled documents outside the held-out fold.
+
+    A class cannot push the other out: the labels are limited by the hash of their ids, and a text
+    of each comes before further texts of any. What the driver sees is ``rows`` rows at most.
+    """
     chosen = (
         picked(labels, "doc_id", "quality").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
         .where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
+        .distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
     )
     sample = picked(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    described = sample.select("doc_id", "label", "text").mapInArrow(_described, "doc_id long, label int, features array<double>")
+    described = materialize(described.distinct(), "described")
+    least = described.groupBy("doc_id", "label").agg(F.min("features").alias("least"))
     found = (
-        sample.select("label", "text").mapInArrow(_described, "label int, features array<double>")
-        .orderBy("label", "features").limit(rows).toPandas()  # the order makes a rerun add up alike
+        described.join(F.broadcast(least), ["doc_id", "label"])
+        .orderBy(F.col("features") != F.col("least"), F.xxhash64("doc_id", "features"), "doc_id", "label", "features")  # a rerun adds up alike
+        .limit(rows).select("label", "features").toPandas()
     )
     x = np.array(found["features"].tolist(), float).reshape(len(found), len(FEATURES))
     return fit(x, found["label"].to_numpy(float))
