@@ -133,6 +133,28 @@ def test_main_text_edges():
     assert html_text.main_text("<article>" + "<p>ab cd</p>" * 20_000 + "</article>") == "\n".join(["ab cd"] * 20_000)
 
 
+@pytest.mark.parametrize("wrap", [
+    "<div class='site-inner'><div class='content-sidebar-wrap'><main>%s</main></div></div>",
+    "<div><div class='right-sidebar'><article>%s</article></div></div>",
+    "<article class='post category-social tag-newsletter'>%s</article>",
+    "<form id='aspnetForm'><div><article>%s</article></div></form>",
+    "<form><div class='content-sidebar-wrap'><main class='promo'><article class='tag-ads'>%s</article></main></div></form>",
+    "<main><div class='content-sidebar-wrap'><article>%s</article></div></main>",
+    "<div id='page' class='comments-closed'><article>%s</article></div>",
+])
+def test_main_text_inside_what_names_or_forms_drop(wrap):
+    assert html_text.main_text(PAGE % (wrap % BODY)) == TEXT
+
+
+@pytest.mark.parametrize("other", [
+    "<div><div id='comments'><article class='comment-body'><p>%s</p></article></div></div>",
+    "<div><div class='related'><article><p>%s</p></article></div></div>", "<div><article class='comment'><p>%s</p></article></div>",
+])
+@pytest.mark.parametrize("wrap", ["<article>%s%s</article>", "<article>%s</article>%s", "<main>%s%s</main>", "<div><div class='content'>%s</div>%s</div>"])
+def test_other_articles_are_not_the_main_text(wrap, other):
+    assert html_text.main_text(PAGE % (wrap % (BODY, other % "Not the article itself."))) == TEXT
+
+
 def test_extract(spark):
     pages = spark.createDataFrame(
         [(1, None, None, "x"), (None, "u", PAGE % f"<article>{BODY}</article>", None), (1, None, None, "x")],

@@ -7,7 +7,9 @@ the smoothed ratios) cluster into content. The content region is the element tha
 that text: an article or main element where there is one, else the innermost element around it.
 Within the region all lines are kept, however short, but for those inside menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, known by element, role,
-class or id.
+class or id. A class, an id or a form does not drop an article or main element inside it: that is a
+region like others (after them among comments or related articles), as it often wraps the page. Of an
+article's own names only whole ones count, since its tags and categories stand there too.
 
 Defined cases: a null or empty page, or one without text, gives an empty text; a ``br`` is white
 space inside its block; unclosed and stray tags are tolerated; repeated rows each give a row; other
@@ -34,7 +36,7 @@ INLINE = frozenset(
 )
 #: Elements that never hold the article's text.
 DROPPED = frozenset(
-    "head title nav footer aside form script style noscript template iframe object embed svg canvas button select "
+    "head title nav footer aside script style noscript template iframe object embed svg canvas button select "
     "textarea dialog menu audio video map".split()
 )
 DROPPED_ROLES = frozenset(
@@ -49,6 +51,10 @@ DROPPED_NAMES = frozenset(
     "newsletter subscribe subscription signup login popup modal overlay widget widgets toolbar pagination pager "
     "copyright disclaimer skip paywall".split()
 )
+#: Those of them that mark other articles: by readers, or on something else.
+OTHERS_NAMES = frozenset(
+    "comment comments commentlist discussion disqus reply replies respond related recommended recommendations".split()
+)
 #: In such a name those words tell about the page, not about the element: "has-sidebar".
 ABOUT_PAGE = frozenset("has with no without is".split())
 #: Names of elements that hold the article even when another word of the name is in the list above.
@@ -67,32 +73,50 @@ BROKEN_OFF = re.compile("<[A-Za-z/!?]")
 SIGMA, REACH = 1.0, 2
 
 
-def _dropped_name(value: str) -> bool:
+def _dropped_words(value: str) -> set[str]:
+    """The words of the names in ``value`` that mark what is not the article."""
+    found = set()
     for name in value.split():
         words = [w.lower() for w in WORD.findall(name)]
-        if not DROPPED_NAMES.isdisjoint(words) and ABOUT_PAGE.isdisjoint(words):
-            return True
-    return False
+        if ABOUT_PAGE.isdisjoint(words):
+            found.update(DROPPED_NAMES.intersection(words))
+    return found
+
+
+def _dropped_names(value: str) -> set[str]:
+    """The names in ``value`` that are such a word as a whole: tags and categories of an article are not."""
+    return DROPPED_NAMES.intersection(value.lower().split())
 
 
 class Element:
     """An open element: is its text dropped, is it in a page header, and which marked regions enclose it.
 
     ``regions`` holds at most a main and an article element; an article within an article belongs
-    to the outer one.
+    to the outer one. ``aside`` is dropped by name or as a form, up to a region inside that is
+    rescued: ``rescued`` is the innermost such region, ``others`` tells that it stands among reader
+    comments or related articles.
     """
 
-    __slots__ = ("tag", "parent", "depth", "dropped", "header", "regions")
+    __slots__ = ("tag", "parent", "depth", "dropped", "header", "regions", "aside", "rescued", "others")
 
     def __init__(self, tag, parent, dropped, header):
         self.tag, self.parent, self.dropped, self.header = tag, parent, dropped, header
         self.depth = 0 if parent is None else parent.depth + 1
         self.regions = {} if parent is None else parent.regions
+        self.aside = parent is not None and parent.aside
+        self.rescued = None if parent is None else parent.rescued
+        self.others = parent is not None and parent.others
 
     def mark(self, kind: str):
         if kind not in self.regions:
             self.regions = {**self.regions, kind: self}
 
+    def rescue(self, kind: str):
+        """A region inside what is dropped by name or as a form is one of its own."""
+        self.aside, self.rescued = False, self
+        self.others = self.others and kind != "main"
+        self.regions = {kind: self} if kind == "main" else {**self.regions, kind: self}
+
     def region(self):
         """The article, else the main element."""
         return self.regions.get("article") or self.regions.get("main")
@@ -119,7 +143,7 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.pieces).split())
         if text:
             top = self.stack[-1]
-            self.lines.append((text, self.tags, top, top.dropped))
+            self.lines.append((text, self.tags, top, top.dropped or top.aside))
             self.tags = 0
         self.pieces.clear()
 
@@ -157,22 +181,25 @@ class Lines(HTMLParser):
             self.close_implied(tag)
         attrs = dict(attrs)
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        if tag in REGIONS and not _dropped_name(names):
+        role = (attrs.get("role") or "").lower()
+        kind = tag if tag in REGIONS else role if role in REGIONS else "article" if attrs.get("itemprop") == "articleBody" else None
+        words = set() if tag in NEVER_BY_NAME else _dropped_names(names) if kind else _dropped_words(names)
+        if tag in REGIONS and not words:
             self.close_unclosed()
         parent = self.stack[-1]
-        role = (attrs.get("role") or "").lower()
         hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
-        dropped = (
-            parent.dropped or tag in DROPPED or role in DROPPED_ROLES or hidden
-            or (tag not in NEVER_BY_NAME and _dropped_name(names))
-            or (tag == "header" and not parent.regions)
-        )
+        dropped = parent.dropped or tag in DROPPED or role in DROPPED_ROLES or hidden or (tag == "header" and not parent.regions)
         header = parent.header or tag == "header"
         if header and parent.regions and not parent.dropped and tag not in DROPPED:
             dropped = dropped or not (tag in HEADINGS or tag in INLINE or tag in ("header", "div", "hgroup"))
         element = Element(tag, parent, dropped, header)
-        if not dropped and (tag in REGIONS or role in REGIONS or attrs.get("itemprop") == "articleBody"):
-            element.mark(tag if tag in REGIONS else role if role in REGIONS else "article")
+        element.aside = element.aside or tag == "form" or bool(words)
+        element.others = element.others or not OTHERS_NAMES.isdisjoint(words) or bool(kind and words)
+        if kind and not dropped:
+            if element.aside:
+                element.rescue(kind)
+            else:
+                element.mark(kind)
         self.stack.append(element)
         self.open[tag] += 1
 
@@ -215,6 +242,13 @@ def smoothed_ratios(chars: np.ndarray, tags: np.ndarray) -> np.ndarray:
     return np.convolve(ratio, kernel)[REACH:-REACH] / weight
 
 
+def _clustered(lines) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of each line, and whether it is above the threshold."""
+    chars = np.array([len(x[0]) for x in lines], float)
+    smooth = smoothed_ratios(chars, np.array([x[1] for x in lines], float))
+    return chars, smooth >= min(smooth.std(), smooth.max())
+
+
 def main_text(html: str | None) -> str:
     """The article's lines, joined by newlines; empty if there is none."""
     html = html or ""
@@ -228,18 +262,22 @@ def main_text(html: str | None) -> str:
     lines = [x for x in lines if not (x[2].header and x[2].tag in ("header", "div", "hgroup"))]
     if not lines:
         return ""
-    chars = np.array([len(x[0]) for x in lines], float)
-    smooth = smoothed_ratios(chars, np.array([x[1] for x in lines], float))
-    content = smooth >= min(smooth.std(), smooth.max())
+    chars, content = _clustered(lines)
 
-    weights: dict[Element, float] = {}
+    weights: dict[Element | None, float] = {}
     for weight, line in zip(chars * (1 + content), lines):
         region = line[2].region()
-        if region is not None:
-            weights[region] = weights.get(region, 0) + weight
+        weights[region] = weights.get(region, 0) + weight
+    plain = weights.pop(None, 0)
+    # comments and related articles count where no other region is marked
+    weights = {r: w for r, w in weights.items() if not r.others} or weights
     if weights:
         region = max(weights, key=weights.get)
-        return "\n".join(x[0] for x in lines if region in x[2].regions.values())
+        # rescued articles alone are not known to be the page's own
+        if weights[region] >= plain or any(r.rescued is None or "main" in r.regions for r in weights):
+            return "\n".join(x[0] for x in lines if region in x[2].regions.values() and x[2].rescued is region.rescued)
+        lines = [x for x in lines if x[2].region() is None]
+        content = _clustered(lines)[1]
 
     # No region is marked: the innermost element around the clustered lines, which is the one around
     # the first and the last of them. Where that is the page itself, only what lies between counts.
