@@ -155,6 +155,21 @@ def test_other_articles_are_not_the_main_text(wrap, other):
     assert html_text.main_text(PAGE % (wrap % (BODY, other % "Not the article itself."))) == TEXT
 
 
+def test_main_text_keeps_what_main_holds_around_an_article():
+    page = "<main><h1>T</h1><p>intro</p><article><p>%s</p></article><article><p>second</p></article><div class='ad'>Buy</div><p>end</p></main>" % ("text " * 50)
+    assert html_text.main_text(PAGE % page).split("\n") == ["T", "intro", ("text " * 50).strip(), "second", "end"]
+
+
+def test_main_text_of_blocks_in_the_body():
+    """The clusters only locate the text: short blocks before and after them are kept."""
+    long = ("long paragraph of the text " * 20).strip()
+    before = ["Title", "By them", "intro"]
+    after = ["So", "it is", "one", "two", "Notes", "short", "end"]
+    body = "<h1>Title</h1><p>By <b>them</b></p><p>intro</p>" + f"<p>{long}</p>" * 3
+    body += "<p>So</p><p><i>it is</i></p><ul><li>one<li>two</ul><h2>Notes</h2><p>short</p><div class='ad'>Buy</div><p>end</p>"
+    assert html_text.main_text(PAGE % body).split("\n") == before + [long] * 3 + after
+
+
 def test_extract(spark):
     pages = spark.createDataFrame(
         [(1, None, None, "x"), (None, "u", PAGE % f"<article>{BODY}</article>", None), (1, None, None, "x")],

@@ -4,7 +4,9 @@ The standard library's parser streams events over the whole page. Block elements
 lines; each line knows its text, how many tags stand in it, and the elements around it. The ratio
 of text to tags per line is smoothed by a Gaussian, and lines above the threshold (the deviation of
 the smoothed ratios) cluster into content. The content region is the element that holds most of
-that text: an article or main element where there is one, else the innermost element around it.
+that text: an article or main element where there is one (with the rest of the main element around
+an article), else the innermost element around it; where that is the page itself, from the first to
+the last cluster and on over the paragraphs, headings and lists next to them.
 Within the region all lines are kept, however short, but for those inside menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, known by element, role,
 class or id. A class, an id or a form does not drop an article or main element inside it: that is a
@@ -61,6 +63,8 @@ ABOUT_PAGE = frozenset("has with no without is".split())
 NEVER_BY_NAME = frozenset("html body main".split())
 REGIONS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks of running text: next to the article's, where it stands directly in the page, they are its too.
+TEXT_BLOCKS = HEADINGS | frozenset("p li dt dd ul ol dl blockquote pre".split())
 #: A paragraph ends where one of these begins.
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
@@ -121,6 +125,13 @@ class Element:
         """The article, else the main element."""
         return self.regions.get("article") or self.regions.get("main")
 
+    def in_text(self) -> bool:
+        """Is this a paragraph, a heading or in a list, looking through inline elements?"""
+        element = self
+        while element.tag in INLINE:
+            element = element.parent
+        return element.tag in TEXT_BLOCKS
+
     def inside(self, other) -> bool:
         element = self
         while element.depth > other.depth:
@@ -275,25 +286,31 @@ def main_text(html: str | None) -> str:
         region = max(weights, key=weights.get)
         # rescued articles alone are not known to be the page's own
         if weights[region] >= plain or any(r.rescued is None or "main" in r.regions for r in weights):
-            return "\n".join(x[0] for x in lines if region in x[2].regions.values() and x[2].rescued is region.rescued)
+            around = [region, region.regions.get("main")]
+            return "\n".join(x[0] for x in lines if any(
+                r is not None and r in x[2].regions.values() and x[2].rescued is r.rescued for r in around
+            ))
         lines = [x for x in lines if x[2].region() is None]
         content = _clustered(lines)[1]
 
-    # No region is marked: the innermost element around the clustered lines, which is the one around
-    # the first and the last of them. Where that is the page itself, only what lies between counts.
+    # No region is marked: the clusters only locate it, as the innermost element around them, which is
+    # the one around the first and the last of them. Where that is the page itself, the paragraphs,
+    # headings and list lines next to them belong to it.
     marked = np.flatnonzero(content)
     first, last = int(marked[0]), int(marked[-1])
     region = lines[first][2]
     while not lines[last][2].inside(region):
         region = region.parent
-    if region.tag in ("", "html", "body"):
-        while first and lines[first - 1][2].tag in HEADINGS:
-            first -= 1
-    else:
-        while first and lines[first - 1][2].inside(region):
-            first -= 1
-        while last + 1 < len(lines) and lines[last + 1][2].inside(region):
-            last += 1
+
+    whole_page = region.tag in ("", "html", "body")
+
+    def belongs(element) -> bool:
+        return element.in_text() if whole_page else element.inside(region)
+
+    while first and belongs(lines[first - 1][2]):
+        first -= 1
+    while last + 1 < len(lines) and belongs(lines[last + 1][2]):
+        last += 1
     return "\n".join(x[0] for x in lines[first : last + 1])
 
 
