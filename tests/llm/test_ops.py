@@ -170,6 +170,12 @@ def test_main_text_of_blocks_in_the_body():
     assert html_text.main_text(PAGE % body).split("\n") == before + [long] * 3 + after
 
 
+def test_dropped_inline_elements_go_alone():
+    body = """<article><a class='share'>Share</a><p>Text <span class='advert'>Buy</span> more</p><p>long text <span class='share'>x</p>
+    <p>a <small hidden>b</small><b>c</b></p><span class='ad'>Buy</span></article>"""
+    assert html_text.main_text(PAGE % body) == "Text more\nlong text\na c"
+
+
 def test_extract(spark):
     pages = spark.createDataFrame(
         [(1, None, None, "x"), (None, "u", PAGE % f"<article>{BODY}</article>", None), (1, None, None, "x")],

@@ -13,6 +13,8 @@ class or id. A class, an id or a form does not drop an article or main element i
 region like others (after them among comments or related articles), as it often wraps the page. Of an
 article's own names only whole ones count, since its tags and categories stand there too.
 
+Text inside a dropped inline element goes alone; the rest of its line stays.
+
 Defined cases: a null or empty page, or one without text, gives an empty text; a ``br`` is white
 space inside its block; unclosed and stray tags are tolerated; repeated rows each give a row; other
 columns are not read; an empty table gives no rows.
@@ -125,12 +127,12 @@ class Element:
         """The article, else the main element."""
         return self.regions.get("article") or self.regions.get("main")
 
-    def in_text(self) -> bool:
-        """Is this a paragraph, a heading or in a list, looking through inline elements?"""
+    def block(self):
+        """The innermost element that is not inline, or is a region."""
         element = self
-        while element.tag in INLINE:
+        while element.tag in INLINE and element not in element.regions.values():
             element = element.parent
-        return element.tag in TEXT_BLOCKS
+        return element
 
     def inside(self, other) -> bool:
         element = self
@@ -140,22 +142,22 @@ class Element:
 
 
 class Lines(HTMLParser):
-    """Streams a page into ``lines``: (text, tags, element, dropped)."""
+    """Streams a page into ``lines`` of text that is not dropped: (text, tags, the block's element)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Element("", None, False, False)
         self.stack, self.open = [self.root], Counter()
         self.pieces: list[str] = []
-        self.tags = 0
-        self.lines: list[tuple[str, int, Element, bool]] = []
+        self.tags, self.skipped = 0, False
+        self.lines: list[tuple[str, int, Element]] = []
 
     def end_line(self):
         text = " ".join("".join(self.pieces).split())
         if text:
-            top = self.stack[-1]
-            self.lines.append((text, self.tags, top, top.dropped or top.aside))
-            self.tags = 0
+            self.lines.append((text, self.tags, self.stack[-1].block()))
+        if text or self.skipped:
+            self.tags, self.skipped = 0, False
         self.pieces.clear()
 
     def pop(self):
@@ -237,9 +239,12 @@ class Lines(HTMLParser):
             self.close_to(tag)
 
     def handle_data(self, data):
-        self.pieces.append(data)
+        if self.stack[-1].dropped or self.stack[-1].aside:
+            self.skipped = self.skipped or not data.isspace()
+        else:
+            self.pieces.append(data)
 
-    def done(self) -> list[tuple[str, int, Element, bool]]:
+    def done(self) -> list[tuple[str, int, Element]]:
         self.close()
         self.end_line()
         return self.lines
@@ -268,9 +273,8 @@ def main_text(html: str | None) -> str:
     broken = BROKEN_OFF.search(html, end)
     parser = Lines()
     parser.feed(html[: broken.start()] if broken else html)
-    lines = [line for line in parser.done() if not line[3]]
     # a page header inside the region keeps its headings only
-    lines = [x for x in lines if not (x[2].header and x[2].tag in ("header", "div", "hgroup"))]
+    lines = [x for x in parser.done() if not (x[2].header and x[2].tag in ("header", "div", "hgroup"))]
     if not lines:
         return ""
     chars, content = _clustered(lines)
@@ -305,7 +309,7 @@ def main_text(html: str | None) -> str:
     whole_page = region.tag in ("", "html", "body")
 
     def belongs(element) -> bool:
-        return element.in_text() if whole_page else element.inside(region)
+        return element.tag in TEXT_BLOCKS if whole_page else element.inside(region)
 
     while first and belongs(lines[first - 1][2]):
         first -= 1
