@@ -432,6 +432,21 @@ def test_top_k(spark, block, pack):
     assert exact_topk.top_k(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block, pack", [(1 << 16, 1 << 12), (20, 3)])
+def test_top_k_keeps_every_vector_of_an_id(spark, block, pack):
+    """Against a join of all rows; ids repeat with other vectors, among queries and candidates."""
+    rng = np.random.default_rng(5)
+    rows = [(i % 130, [float(x) for x in rng.normal(0, rng.choice([0.1, 1, 3]), 6)]) for i in range(400)]
+    rows += [(50, [float(x) for x in rng.normal(0, 1, 6)]) for _ in range(60)]
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    expected = Counter()
+    for q in (0, 50, 100):
+        pairs = sorted((-sum(a * b for a, b in zip(x, y)), c) for i, x in whole if i == q for c, y in whole if c != q)
+        expected.update((q, n + 1, c, -s) for n, (s, c) in enumerate(pairs[:5]))
+    df = on_workers(spark).createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert Counter(tuple(r) for r in exact_topk.top_k(df, block=block, pack=pack).collect()) == expected
+
+
 def test_top_k_of_huge_components(spark):
     vectors = {i * 25: [float((i * 7919) % 101) * 1e12, float(i % 3) * 1e11] for i in range(30)}
     df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")

@@ -12,8 +12,9 @@ Queries travel to the blocks in packs of bounded size, so no task holds more tha
 vectors and one pack of queries; a side that grows only adds packs or blocks.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components, and rows without
-an id, take no part; of rows that repeat an id the smallest vector counts; vectors shorter than the
-longest are filled with zeros; components and scores beyond 64 bits stop at their limits; other
+an id, take no part; rows that repeat an id and its vector count once, other vectors of an id are rows
+of their own: each is a candidate for other ids, and an id's result is the best over all its vectors;
+vectors shorter than the longest are filled with zeros; components and scores beyond 64 bits stop at their limits; other
 columns are not read; an empty table gives no rows.
 """
 
@@ -53,7 +54,8 @@ def quantised(embeddings: DataFrame, vector: str = "embedding", scale: int = SCA
     whole = F.transform(value, lambda x: F.floor(x * scale).cast("double"))
     return (
         embeddings.where(F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))
-        .groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min(whole).alias("v"))
+        .select(F.col("vec_id").cast("long").alias("vec_id"), value.alias(vector)).distinct()
+        .select("vec_id", whole.alias("v"))
         .withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     )
 
@@ -157,8 +159,9 @@ def _search(blocks: DataFrame, queries: DataFrame, turn: np.ndarray, d: int, k:
             left.column("vec_id").to_numpy(), _matrix(left.column("v").chunk(0), d), q_ids,
             _matrix(right.column("v").chunk(0), d), right.column("floor").to_numpy(), turn, k,
         )
+        rows, ids, scores = _best(q_ids[rows], ids, scores, k)  # an id may have several vectors
         scores = [max(LEAST, min(-LEAST - 1, int(s))) for s in scores]
-        return pa.table([pa.array(q_ids[rows]), pa.array(ids), pa.array(scores, pa.int64())], names=names)
+        return pa.table([pa.array(rows), pa.array(ids), pa.array(scores, pa.int64())], names=names)
 
     return blocks.groupBy("block", "pack").cogroup(queries.groupBy("block", "pack")).applyInArrow(
         meet, "query_id long, vec_id long, score long"
@@ -174,20 +177,20 @@ def top_k(
     embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale: int = SCALE,
     vector: str = "embedding", block: int = BLOCK, pack: int = PACK,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best other rows of each row whose id ``query_every`` divides."""
+    """(query_id, rank, vec_id, score): the k best rows of other ids for each id that ``query_every`` divides."""
     vectors = materialize(quantised(embeddings, vector, scale), "vectors")
     size = vectors.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("v")), F.lit(1)).alias("d")).first()
     n, d = size["n"], size["d"]
     is_query = F.col("vec_id") % query_every == 0
     turn = rotation(vectors, d)
     n_blocks = max(1, -(-n // block))
-    blocks = vectors.repartitionByRange(n_blocks, F.desc("norm2"), F.xxhash64("vec_id")).select(
+    blocks = vectors.repartitionByRange(n_blocks, F.desc("norm2"), F.xxhash64("vec_id", "v")).select(
         F.spark_partition_id().alias("block"), "vec_id", "v"
     )
     blocks = materialize(blocks, "blocks")
     packs = max(1, -(-vectors.where(is_query).count() // pack))
     queries = vectors.where(is_query).select(
-        "vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(packs)).cast("int").alias("pack")
+        "vec_id", "v", F.pmod(F.xxhash64("vec_id", "v"), F.lit(packs)).cast("int").alias("pack")
     )
     every_pack = F.explode(F.sequence(F.lit(0), F.lit(packs - 1))).alias("pack")
     first = materialize(
@@ -198,7 +201,7 @@ def top_k(
         ),
         "first-block",
     )
-    floors = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"), F.min("score").cast("double").alias("floor"))
+    floors = _top(first, k).groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"), F.min("score").cast("double").alias("floor"))
     floors = floors.where(F.col("n") >= k).select("vec_id", "floor")
     last = blocks.agg(F.max("block")).first()[0] or 0
     if not last:
