@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
@@ -603,6 +604,24 @@ def test_mixing_on_given_table(spark):
     check_mixing(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
 
 
+def test_mixing_spreads_a_hot_id(spark, monkeypatch):
+    """Rows of one id and size meet in small cells, in the order of one running sum over all."""
+    monkeypatch.setattr(mixing, "CELL_BITS", 3, raising=False)
+    rows = [(7 if i % 3 else None if i % 2 else i, "w " * (i % 4), "ab"[i % 7 > 2]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got, _ = check_mixing(docs)
+    for source in "ab":
+        mine = [r for r in got if r["source"] == source]
+        more, at, expected = int(mine[0]["target"]) - mine[0]["whole"] * mine[0]["source_size"], 0, Counter()
+        for _, d, n in sorted((hashlib.md5(f"42:{'' if r['doc_id'] is None else r['doc_id']}".encode()).hexdigest(), r["doc_id"] or 0, r["size"]) for r in mine):
+            expected[d, n, max(0, min(n, more - at))] += 1
+            at += n
+        assert Counter((r["doc_id"] or 0, r["size"], r["extra"]) for r in mine) == expected
+    windows = re.findall(r"windowspecdefinition\((.*?)specifiedwindowframe", mixing.mix(docs)._jdf.queryExecution().optimizedPlan().toString())
+    assert any("run#" in w and "row#" in w for w in windows)  # rows are only ordered within a cell
+    assert all("run#" in w for w in windows if "row#" in w)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_water_filling(spark, seed):
     rng = np.random.default_rng(seed)

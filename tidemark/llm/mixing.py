@@ -7,8 +7,9 @@ the level, the budget left over the weight left, lies above their own cap over w
 
 Within a source the documents stand in the order of a seeded hash. Each is repeated as often as the
 target holds the whole source; the rest of the target is one more repetition of the first documents
-of that order, the last of them in part. Running sums are taken in two steps, over the 4,096 buckets
-of the hash and within a bucket, so that a source with a third of all rows has no task to itself.
+of that order, the last of them in part. Running sums are taken in three steps: over the 4,096 buckets
+of the hash, within a bucket over its cells (rows of one source, id and size within 8,192 row numbers),
+and within a cell, so that neither a source nor an id with a third of all rows has a task to itself.
 Everything is a DataFrame expression.
 
 Defined cases: a null or empty text has size 0 and takes nothing; the null source is one of the
@@ -29,6 +30,8 @@ WEIGHTS = (3, 1, 2)
 #: Words of the mix for each word there is, and how often a source may be repeated.
 SHARE, MOST = 1.5, 2
 SEED = "42"
+#: Rows that tie are counted by runs of 2^13 row numbers.
+CELL_BITS = 13
 
 
 def size(text: Column) -> Column:
@@ -70,17 +73,17 @@ def mix(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, share: float = SHARE
     marked = materialize(
         picked(docs, "doc_id", "source", "text").select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), size(F.col("text")).alias("size"),
-            _order(seed).alias("order"),
+            _order(seed).alias("order"), F.monotonically_increasing_id().alias("row"),
         ),
         "sizes",
     )
-    return plan(marked, weights, share, most)
+    return plan(marked, weights, share, most).drop("row")
 
 
 def plan(
     marked: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, keep_order: bool = False
 ) -> DataFrame:
-    """Adds targets and takings to rows of (doc_id, source, size, order); ``row``, if there, breaks ties."""
+    """Adds targets and takings to rows of (doc_id, source, size, order, row); ``row`` breaks ties."""
     bucket = F.substring("order", 1, 3)
     buckets = materialize(
         marked.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("in_bucket")), "bucket-sizes"
@@ -96,18 +99,30 @@ def plan(
     starts = materialize(
         starts.join(goals.withColumnRenamed("s", "g"), F.col("s").eqNullSafe(F.col("g"))).drop("g"), "bucket-starts"
     )
-    in_bucket = Window.partitionBy("source", "b").orderBy("order", F.col("doc_id").asc_nulls_first(), "size", *(["row"] if "row" in marked.columns else [])).rowsBetween(
+    cell = ["source", "order", "doc_id", "size", "run"]
+    marked = marked.withColumn("run", F.shiftright("row", CELL_BITS))
+    in_bucket = Window.partitionBy("source", "bucket").orderBy("order", F.col("doc_id").asc_nulls_first(), "size", "run").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    joined = marked.withColumn("bucket", bucket).join(
+    in_cell = F.col("n") * F.col("size")
+    cells = marked.groupBy(*cell).agg(F.count("*").alias("n")).withColumn("bucket", bucket)
+    cells = cells.withColumn("cell_start", F.sum(in_cell).over(in_bucket) - in_cell).join(
         starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))
+    ).select(
+        *[F.col(c).alias(f"cell_{c}") for c in cell], (F.col("bucket_start") + F.col("cell_start")).alias("start"),
+        "source_size", "target", "whole", "more",
     )
-    ends = F.sum("size").over(in_bucket) + F.col("bucket_start")
+    place = F.row_number().over(Window.partitionBy(*cell).orderBy("row"))
+    same = F.lit(True)
+    for c in cell:
+        same = same & F.col(c).eqNullSafe(F.col(f"cell_{c}"))
+    joined = marked.withColumn("place", place).join(cells, same)
+    ends = F.col("start") + F.col("place") * F.col("size")
     extra = F.greatest(F.lit(0), F.least("size", F.col("more") - (F.col("ends") - F.col("size"))))
     return (
         joined.withColumn("ends", ends).withColumn("extra", extra)
         .withColumn("taken", F.col("whole") * F.col("size") + F.col("extra"))
-        .drop("s", "b", "bucket", "bucket_start", "more", "ends", *([] if keep_order else ["order"]))
+        .drop(*[f"cell_{c}" for c in cell], "run", "place", "start", "more", "ends", *([] if keep_order else ["order"]))
     )
 
 
