@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm import fill_in_middle as fim
 from tidemark.llm import quality_rules as rules
 
 TOPK = r"""
@@ -129,4 +130,30 @@ def _rules() -> str:
     ) q USING (pattern)"""
 
 
-ORACLES = {"op5_quality_rules": _rules(), "op6_exact_topk": TOPK, "op9_mixing": MIXING}
+FILL_IN_MIDDLE = f"""
+WITH d AS (
+    SELECT CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s
+    FROM documents
+), h AS (
+    SELECT doc_id, t, n,
+        CAST(CAST('0x' || s[1:8] AS UINTEGER) AS BIGINT) % (n + 1) AS x, CAST(CAST('0x' || s[9:16] AS UINTEGER) AS BIGINT) % (n + 1) AS y,
+        CASE WHEN t = '' OR contains(t, '{fim.PREFIX}') OR contains(t, '{fim.SUFFIX}') OR contains(t, '{fim.MIDDLE}')
+                OR CAST('0x' || s[17:24] AS UINTEGER) % 100 >= {fim.RATE} THEN 'plain'
+            WHEN CAST('0x' || s[25:32] AS UINTEGER) % 100 < {fim.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+    FROM d
+), c AS (SELECT *, least(x, y) AS a, greatest(x, y) AS b FROM h),
+p AS (
+    SELECT *, '{fim.PREFIX}' || substring(t, 1, a) AS prefix, '{fim.SUFFIX}' || substring(t, b + 1) AS suffix,
+        '{fim.MIDDLE}' || substring(t, a + 1, b - a) AS middle
+    FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN prefix || suffix || middle WHEN 'spm' THEN suffix || prefix || middle ELSE t END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p
+"""
+
+ORACLES = {
+    "op5_quality_rules": _rules(), "op6_exact_topk": TOPK, "op9_mixing": MIXING, "op12_fill_in_middle": FILL_IN_MIDDLE,
+}

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidemark.llm import (
     exact_topk,
+    fill_in_middle,
     html_text,
     mixing,
     oracles,
     packing,
     quality_model,
     quality_rules,
+    secret_scan,
     shards,
     simhash_dedup,
+    spelling_variants,
     token_counts,
     token_shards,
 )
@@ -70,6 +73,23 @@ def quality_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def spelling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+def fill_in_middle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict:
     return {
         "op1_token_counts": token_count_query,
@@ -82,6 +102,9 @@ def queries() -> dict:
         "op8_packing": packing_query,
         "op9_mixing": mixing_query,
         "op10_quality_classifier": quality_model_query,
+        "op11_spelling_variants": spelling_query,
+        "op12_fill_in_middle": fill_in_middle_query,
+        "op13_secret_scan": secret_scan_query,
         "pipeline": corpus_pipeline.run,
     }
 
