@@ -7,6 +7,7 @@ appended to the event table, and the state of a run is what its events add up to
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,13 +107,14 @@ def next_steps(detail: DataFrame) -> DataFrame:
 # --- state ----------------------------------------------------------------------------
 
 
-def fold(events: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The state of each run: per column, the newest value that is not null.
+def snapshot(events: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Mergeable state of each run: per column the newest value that is not null, with its time and phase.
 
     Events of the same time count in the order of a run: its start, a change of status, its
     completion; and what is still equal goes by the value itself, so the state does not
-    depend on the order of the rows. A deleted run is gone unless a later event brings it
-    back. Aggregated map-side, so one run with very many events costs one row per task.
+    depend on the order of the rows, nor on which events were folded together first. Aggregated
+    map-side, so one run with very many events costs one row per task. ``_died`` and ``_lives`` are the
+    times of the last tombstone and of the last other event.
     """
     def has(column: str) -> Column:
         return F.col(column).isNotNull() if column in events.columns else F.lit(False)
@@ -123,22 +125,47 @@ def fold(events: DataFrame, columns: Sequence[str]) -> DataFrame:
     died = F.max(F.when(deleted, F.col("event_time"))).alias("_died")
     lives = F.max(F.when(deleted.isNull(), F.col("event_time"))).alias("_lives")
     newest = [
-        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col("event_time"), phase, F.col(c).alias("value"))))["value"].alias(c)
+        F.max(F.when(F.col(c).isNotNull(), F.struct("event_time", phase.alias("phase"), F.col(c).alias("value")))).alias(c)
         for c in columns
     ]
-    return (
-        events.groupBy(*RUN_KEY).agg(*newest, died, lives)
-        .filter("_lives IS NOT NULL AND (_died IS NULL OR _lives > _died)")
-        .drop("_died", "_lives")
-    )
+    return events.groupBy(*RUN_KEY).agg(*newest, died, lives)
+
+
+def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The snapshot of the events of two snapshots of the same columns, no run twice in either.
+
+    Meant for a large ``old`` and a small ``new``: the old one is not shuffled while the new is below
+    the broadcast threshold.
+    """
+    def same(left: str, right: str) -> Column:  # a run may have no task group
+        return reduce(Column.__and__, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in RUN_KEY])
+
+    state = [c for c in old.columns if c not in RUN_KEY]
+    both = old.alias("o").join(new.alias("n"), same("o", "n"), "left").select(
+        *[F.col(f"o.{c}").alias(c) for c in RUN_KEY], *[F.greatest(f"o.{c}", f"n.{c}").alias(c) for c in state])
+    known = old.alias("o").join(new.alias("n"), same("o", "n"), "left_semi").select(*RUN_KEY)
+    added = new.alias("n").join(known.alias("o"), same("o", "n"), "left_anti")
+    return both.unionByName(added)
+
+
+def current(state: DataFrame) -> DataFrame:
+    """The runs of a snapshot with their values; a deleted run is gone unless a later event brought it back."""
+    values = [F.col(c)["value"].alias(c) for c in state.columns if c not in (*RUN_KEY, "_died", "_lives")]
+    return state.filter("_lives IS NOT NULL AND (_died IS NULL OR _lives > _died)").select(*RUN_KEY, *values)
+
+
+def fold(events: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The state of each run from all its events; see ``snapshot``."""
+    return current(snapshot(events, columns))
 
 
-def advance_watermark(jobs: DataFrame, state: DataFrame) -> DataFrame:
+def advance_watermark(
+    jobs: DataFrame, state: DataFrame, order: Sequence[str] = ("round_time", "job_start_time", "dag_run_id")
+) -> DataFrame:
     """Each job's watermark moved to the label of its last successful run, in run order."""
-    order = F.struct("round_time", "job_start_time", "dag_run_id")
     last = (
         state.filter(F.col("status").isin(*schemas.SUCCEEDED) & F.col("ictrl_dt").isNotNull())
-        .groupBy("job_nm").agg(F.max_by("ictrl_dt", order).alias("_label"))
+        .groupBy("job_nm").agg(F.max_by("ictrl_dt", F.struct(*order)).alias("_label"))
     )
     return jobs.join(last, "job_nm", "left").withColumn(
         "last_success_ictrl_dt", F.coalesce("_label", "last_success_ictrl_dt")

@@ -242,3 +242,13 @@ def outcome_events(same_label: DataFrame, null_label: DataFrame) -> DataFrame:
             F.concat(F.lit(BLOCKED), F.col("reason")).alias("err_msg"),
         )
     )
+
+
+def refused_events(runs: DataFrame) -> DataFrame:
+    """Failure events of runs that did not start, with the ``reason`` each is logged with."""
+    return runs.select(
+        "log_kind", *CANDIDATE_KEY, "ictrl_dt", F.lit(schemas.FAILED).alias("status"),
+        F.lit("00:00:00").alias("duration"),
+        *[F.lit(0).cast("bigint").alias(c) for c in ("source_cnt", "process_cnt", "row_cnt")],
+        F.col("reason").alias("err_msg"), F.col("round_time").alias("event_time"),
+    )
