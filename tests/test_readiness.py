@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import labels
 from tidemark.operators import readiness as rd
-from tidemark.operators import raw_dates, workflow
+from tidemark.operators import loads, raw_dates, workflow
 from tidemark.plans import run_plan
 
 CHECK = ("dep_id string, job_nm string, consumer string, prerequisite_job_nm string, "
@@ -322,3 +323,105 @@ def test_run_plan(spark):
         "tasksgroup_nm": F.lit("g"), "round_time": F.lit(now), "dag_run_id": F.lit("r1")})
     left = run_plan.startable(candidates, busy).select("job_nm", "ictrl_dt").collect()
     assert [tuple(r) for r in left] == [("down", "20240110")]
+
+
+# --- read as little as can be -----------------------------------------------------------------
+
+
+@pytest.fixture
+def catalog(spark):
+    made = []
+
+    def make(df, partition_by=()):
+        made.append(f"rd_{uuid.uuid4().hex[:10]}")
+        loads.create_table(df, made[-1], partition_by)
+        return made[-1]
+
+    yield make
+    for name in made:
+        loads.drop_table(spark, name)
+
+
+def files_read(df):
+    """Files that the scans of a finished query read, by its own metrics."""
+    df = df.select("*")  # a query of its own
+    df.collect()
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif hasattr(node, "plan") and node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+        if "Scan" in node.nodeName() and node.metrics().contains("numFiles"):
+            found += node.metrics().apply("numFiles").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_a_partitioned_log_is_read_where_it_is_asked(spark, catalog):
+    logs = [log("trans", f"202401{d:02d}", "SUCCEED", 1, run=str(d)) for d in range(1, 32)] + [log("trans", None, "SUCCEED", 1)]
+    whole = spark.createDataFrame(logs, LOG)
+    name = catalog(whole, ["ictrl_dt"])
+    checks = [check("a", "date_range", "2", REF), check("b", "daily", None, datetime(2024, 1, 20)), check("none", "daily", None, datetime(2023, 1, 1))]
+    relevant = rd.relevance(rd.prepare(frame(spark, checks)))
+    rows = relevant.of_log(*rd._log_and_labels(spark, name))
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.ictrl_dt for r in rows.collect()) == [f"202401{d:02d}" for d in range(1, 21)]
+    assert files_read(rows) == 20 + 2  # partitions of the log from the first label to the last; labels and what is asked
+    by_name = sorted(map(tuple, rd.readiness(frame(spark, checks), name).collect()), key=repr)
+    assert by_name == sorted(map(tuple, rd.readiness(frame(spark, checks), whole).collect()), key=repr)
+    only = rd.relevance(rd.prepare(frame(spark, checks[:1]))).of_log(*rd._log_and_labels(spark, name))
+    assert sorted(r.ictrl_dt for r in only.collect()) == ["20240108", "20240109", "20240110"] and files_read(only) == 3 + 2
+
+
+def test_dates_of_partitions_are_listed(spark, catalog):
+    days = [("2024-01-08", "a"), ("2024-01-09", "b/+%= c"), (None, "b/+%= c"), ("2024-01-09", "d")]
+    df = spark.createDataFrame(days, "day string, part string").select("*", F.col("day").cast("date").alias("on"), F.lit(1).alias("v"))
+    name = catalog(df, ["part", "on"])
+    for column in ("part", "on"):
+        listed = raw_dates.business_dates(spark, name, column)
+        plan = listed._jdf.queryExecution().executedPlan().toString()
+        assert "Scan parquet" not in plan and "FileScan" not in plan and "ShowPartitions" in plan
+        assert set(listed.collect()) == set(df.select(column).distinct().collect())
+        assert dict(listed.dtypes) == {column: dict(df.dtypes)[column]}
+    listed = raw_dates.business_dates(spark, name, "on")
+    day = F.lit("2024-01-09").cast("date")
+    assert [r[0].day for r in raw_dates.dates_equal(listed, "on", day).collect()] == [9]
+    assert [r[0].day for r in raw_dates.dates_from(listed, "on", day).collect()] == [9]
+    assert raw_dates.dates_between(listed, "on", F.lit("2024-01-01").cast("date"), day).count() == 2
+    assert raw_dates.business_dates(spark, name, "v").distinct().count() == 1  # no partition column: the file is read
+    checks = frame(spark, [check("r", "date_range", "1", datetime(2024, 1, 9), column="on", pattern="%Y-%m-%d"),
+                           check("m", "max_date", None, datetime(2024, 1, 9), column="on", pattern="%Y-%m-%d")])
+    got = rd.readiness(checks, spark.createDataFrame([], LOG), {("s", "t", "on"): name}).collect()
+    assert all(r.ready for r in got) and len(got) == 2
+
+
+def test_the_newest_date_comes_from_statistics(spark, catalog):
+    days = spark.createDataFrame([("2024-01-08",), ("2024-01-11",), (None,)], "day string")
+    kinds = {"d": F.col("day").cast("date"), "i": F.regexp_replace("day", "-", "").cast("int"), "s": F.col("day")}
+    name = catalog(days.select(*[c.alias(n) for n, c in kinds.items()]).coalesce(1))
+    for column in ("d", "i"):
+        newest = raw_dates.newest_from_statistics(spark, name, column)
+        assert f"PushedAggregation: [MAX({column})]" in newest._jdf.queryExecution().executedPlan().toString()
+        assert newest.first()[0] == spark.table(name).agg(F.max(column)).first()[0]
+    assert raw_dates.newest_from_statistics(spark, name, "s") is None  # text has no whole statistics
+    patterns = {"d": "%Y-%m-%d", "i": "%Y%m%d", "s": "%Y-%m-%d"}
+    checks = [check(f"{c}{d}", "max_date", None, datetime(2024, 1, d), column=c, pattern=p) for c, p in patterns.items() for d in (11, 12)]
+    tables = {("s", "t", c): name for c in patterns}
+    empty = spark.createDataFrame([], LOG)
+    relevant = rd.relevance(rd.prepare(frame(spark, checks)))
+    assert sorted((r.data_column, r.label) for r in relevant.of_raw(tables).collect()) == [("d", "2024-01-11"), ("i", "20240111"), ("s", "2024-01-11")]
+    by_name = {r.dep_id: r.ready for r in rd.readiness(frame(spark, checks), empty, tables).collect()}
+    by_rows = {r.dep_id: r.ready for r in rd.readiness(frame(spark, checks), empty, {k: spark.table(name) for k in tables}).collect()}
+    assert by_name == by_rows == {f"{c}{d}": d == 11 for c in patterns for d in (11, 12)}
+    # a file without statistics is read
+    nulls = catalog(spark.createDataFrame([("2024-01-11",), (None,)], "day string").select(F.col("day").cast("date").alias("d")).repartition(2, "d"))
+    assert raw_dates.newest_label(spark, nulls, "d", ["yyyy-MM-dd"]) in (None, "2024-01-11")
+    checks = frame(spark, [check("d", "max_date", None, datetime(2024, 1, 11), column="d", pattern="%Y-%m-%d")])
+    assert rd.readiness(checks, empty, {("s", "t", "d"): nulls}).first().ready
+    # a value that is no date in the pattern is not taken for one
+    odd = catalog(spark.createDataFrame([(20240111,), (99999999,)], "i int"))
+    checks = frame(spark, [check("i", "max_date", None, datetime(2024, 1, 11), column="i"), check("j", "max_date", None, datetime(2024, 1, 12), column="i")])
+    got = {r.dep_id: r.ready for r in rd.readiness(checks, empty, {("s", "t", "i"): odd}).collect()}
+    assert got == {"i": True, "j": False}

@@ -1,4 +1,8 @@
-"""Distinct business dates of a data table, read through its business column only."""
+"""Distinct business dates of a data table, read through its business column only.
+
+Of a table given by its name not even that: where the business column is one it is partitioned by, the
+catalog lists its dates, and the newest date of an integer or date column is in the files' statistics.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +10,59 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import labels
 
+# Fixed value: how the catalog writes a partition without a value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def is_partitioned_by(spark: SparkSession, table: str, column: str) -> bool:
+    return any(c.isPartition and c.name == column for c in spark.catalog.listColumns(table))
+
+
+def listed_dates(spark: SparkSession, table: str, column: str) -> DataFrame:
+    """Distinct values of a column the table is partitioned by, as the catalog lists them: no file is opened.
+
+    A partition is taken to hold rows, as those that loads leave do. The driver sees one short text a partition,
+    as it does whenever such a table is read.
+    """
+    written = F.regexp_extract("partition", f"(?:^|/){re.escape(column)}=([^/]*)", 1)
+    value = F.url_decode(F.replace(written, F.lit("+"), F.lit("%2B")))  # escaped like an address, but for the plus
+    kind = spark.table(table).schema[column].dataType
+    return (
+        spark.sql(f"SHOW PARTITIONS {table}")
+        .select(F.when(written != _NO_VALUE, value).cast(kind).alias(column)).distinct()
+    )
+
+
+def business_dates(spark: SparkSession, table: str, column: str) -> DataFrame:
+    """The column's values for ``dates_equal`` and the others: listed where the table is partitioned by it."""
+    if is_partitioned_by(spark, table, column):
+        return listed_dates(spark, table, column)
+    return spark.table(table).select(column)
+
+
+def newest_from_statistics(spark: SparkSession, table: str, column: str) -> DataFrame | None:
+    """One row with the column's greatest value, from the statistics in the files' footers; no data is read.
+
+    For integer and date columns of Parquet tables that are not partitioned; None for others. Settings of the newer
+    reader, which can answer from statistics, are made in a session of its own.
+    """
+    kind = spark.table(table).schema[column].dataType
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    partitioned = any(c.isPartition for c in spark.catalog.listColumns(table))
+    if partitioned or (described.get("Provider") or "").lower() != "parquet" or not isinstance(kind, (T.IntegralType, T.DateType)):
+        return None
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    reader.conf.set("spark.sql.sources.useV1SourceList", "")
+    reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return reader.read.schema(spark.table(table).schema).parquet(described["Location"]).agg(F.max(column).alias(column))
+
 
 def dates_equal(table: DataFrame, column: str, label: Column | str) -> DataFrame:
     return table.filter(F.col(column) == label).select(column).distinct()
@@ -91,6 +142,20 @@ def observed_dates(
     )
 
 
+def newest_label(spark: SparkSession, table: str, column: str, patterns: Sequence[str]) -> str | None:
+    """The newest date as a label, if statistics tell it and it is a date in each of the label patterns."""
+    found = newest_from_statistics(spark, table, column)
+    try:
+        value = found.first()[0] if found is not None else None
+    except Exception:  # a file without the statistics, as one whose values are all null: the data has to be read
+        value = None
+    if value is None:
+        return None
+    read = spark.createDataFrame([(str(value), p) for p in patterns], "label string, label_pattern string")
+    unread = read.filter(F.expr(labels.read("label", "label_pattern")).isNull())
+    return str(value) if unread.isEmpty() else None
+
+
 def _month_no(label: str) -> str:
     ts = labels.read(label, "label_pattern")
     return f"year({ts}) * 12 + month({ts})"

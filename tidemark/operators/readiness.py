@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -29,7 +29,8 @@ CHECK_KEY = ["dep_id", "ref_ts"]
 TIME_DIGITS = "yyyyMMddHHmmssSSSSSS"
 # Sorts after every character a label may go on with.
 _AFTER = "~"
-RawTables = Mapping[tuple[str, str, str], DataFrame]
+# By (schema, table, column); a table given by its name in the catalog is read as little as can be.
+RawTables = Mapping[tuple[str, str, str], DataFrame | str]
 SOURCE_KEY = ["route", "job_key", "schema_nm", "table_nm"]
 FACT_KEY = [*SOURCE_KEY, "match_len", "label"]
 
@@ -169,8 +170,19 @@ class Relevance:
         ]
         return reduce(Column.__or__, spans, F.lit(False))
 
-    def of_log(self, log: DataFrame) -> DataFrame:
+    def of_log(self, log: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+        """``listed``: the labels (``ictrl_dt``) that a log partitioned by label has.
+
+        Which of them some check asks for is found on the list; the log then meets those by equality, so that only
+        their partitions are read.
+        """
         asked = self.asked.filter("NOT is_raw").alias("a")
+        if listed is not None:
+            within = [F.col("a.low").isNull() | (F.col("l.ictrl_dt") >= F.col("a.low")),
+                      F.col("a.high").isNull() | (F.col("l.ictrl_dt") <= F.col("a.high"))]
+            # a short list and one row a source and pattern; the least label is a bound the join can push down
+            wanted = listed.filter("ictrl_dt > ''").alias("l").join(asked, reduce(Column.__and__, within), "left_semi")
+            log = log.join(materialize(wanted, "labels").filter("ictrl_dt > ''"), "ictrl_dt", "left_semi")
         match = [
             F.upper("l.job_nm") == F.col("a.job_key"),
             F.col("l.schema_nm") == F.col("a.schema_nm"),
@@ -197,11 +209,26 @@ class Relevance:
             return dates.alias("d").join(asked.alias("a"), match, "left_semi")
         named = F.concat_ws("\x00", "schema_nm", "table_nm", "job_key").isin(["\x00".join(k) for k in dates])
         spans: dict[tuple[str, str, str], list[tuple[str | None, str | None]]] = {}
-        for row in asked.filter(named).select("schema_nm", "table_nm", "job_key", "low", "high").distinct().collect():
+        found = asked.filter(named).select(
+            "schema_nm", "table_nm", "job_key", "low", "high", "label_pattern", "newest_only", "by_time").distinct().collect()
+        for row in found:
             spans.setdefault((row["schema_nm"], row["table_nm"], row["job_key"]), []).append((row["low"], row["high"]))
         if not spans:
             return None
-        return raw_dates.observed_dates({key: dates[key] for key in spans}, spans)
+        spark, tables, newest = self.asked.sparkSession, {}, []
+        for key in spans:
+            rows = [r for r in found if (r["schema_nm"], r["table_nm"], r["job_key"]) == key]
+            if isinstance(dates[key], str):
+                if all(r["newest_only"] and r["by_time"] for r in rows):
+                    label = raw_dates.newest_label(spark, dates[key], key[2], [r["label_pattern"] for r in rows])
+                    if label is not None:
+                        newest.append((*key, label))
+                        continue
+                tables[key] = raw_dates.business_dates(spark, dates[key], key[2])
+            else:
+                tables[key] = dates[key]
+        told = spark.createDataFrame(newest, "schema_nm string, table_nm string, data_column string, label string")
+        return raw_dates.observed_dates(tables, spans).unionByName(told) if tables else told
 
 
 def relevance(prepared: DataFrame) -> Relevance:
@@ -223,12 +250,13 @@ def relevance(prepared: DataFrame) -> Relevance:
         .groupBy("job_key", "schema_nm", "table_nm", "label_pattern", "is_raw")
         .agg(F.min("span.first_ts").alias("first_ts"), F.max("span.last_ts").alias("last_ts"),
              F.bool_or(F.col("family") == "newest").alias("open_end"),
+             F.bool_and(F.col("family") == "newest").alias("newest_only"),
              F.bool_or("by_prefix").alias("by_prefix"))
     )
     low = F.expr(labels.write("first_ts", "label_pattern"))
     high = F.concat(F.expr(labels.write("last_ts", "label_pattern")), F.when(F.col("by_prefix"), _AFTER).otherwise(""))
     asked = materialize(spans.select(
-        "job_key", "schema_nm", "table_nm", "label_pattern", "is_raw", "open_end", by_time.alias("by_time"),
+        "job_key", "schema_nm", "table_nm", "label_pattern", "is_raw", "open_end", "newest_only", by_time.alias("by_time"),
         F.when(by_time, low).alias("low"), F.when(by_time & ~F.col("open_end"), high).alias("high"),
     ), "asked")
     found = asked.filter("NOT is_raw").groupBy("label_pattern").agg(
@@ -319,10 +347,19 @@ def missing_labels(expected: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
-def looked_up(checks: DataFrame, log: DataFrame) -> DataFrame:
+def _log_and_labels(spark: SparkSession, log: DataFrame | str) -> tuple[DataFrame, DataFrame | None]:
+    """The log, and the labels the catalog lists of one given by its name and partitioned by them."""
+    if not isinstance(log, str):
+        return log, None
+    listed = raw_dates.listed_dates(spark, log, "ictrl_dt") if raw_dates.is_partitioned_by(spark, log, "ictrl_dt") else None
+    return spark.table(log), listed
+
+
+def looked_up(checks: DataFrame, log: DataFrame | str) -> DataFrame:
     """``log_lookup`` of what the checks ask, from the part of the log they ask about."""
     prepared = materialize(prepare(checks), "checks")
-    return log_lookup(expected_labels(prepared), log_facts(relevance(prepared).of_log(log)))
+    rows = relevance(prepared).of_log(*_log_and_labels(checks.sparkSession, log))
+    return log_lookup(expected_labels(prepared), log_facts(rows))
 
 
 def log_lookup(expected: DataFrame, facts: DataFrame) -> DataFrame:
@@ -427,13 +464,14 @@ def fold_routes(verdicts: DataFrame) -> DataFrame:
 
 
 def readiness(
-    checks: DataFrame, log: DataFrame, raw: DataFrame | RawTables | None = None,
+    checks: DataFrame, log: DataFrame | str, raw: DataFrame | RawTables | None = None,
     completions: DataFrame | None = None, succeeded: Sequence[str] = schemas.SUCCEEDED,
 ) -> DataFrame:
     """Verdict per check: ``ready``, sorted ``missing`` labels and a ``reason``.
 
     The log and the raw tables are read once, into a small written table of facts, and
-    the window of each check is worked out once, into a narrow written table. ``raw``:
+    the window of each check is worked out once, into a narrow written table. ``log``: the rows, or the name of
+    a table, which is best partitioned by ``ictrl_dt``: then only partitions asked for are read. ``raw``:
     tables by (schema, table, column), of which only those asked for are read, or business
     dates (``raw_dates.observed_dates``); ``completions``: external workflows
     (``workflow.last_completions``).
@@ -442,13 +480,13 @@ def readiness(
 
 
 def verdicts_by_route(
-    checks: DataFrame, log: DataFrame, raw: DataFrame | RawTables | None = None,
+    checks: DataFrame, log: DataFrame | str, raw: DataFrame | RawTables | None = None,
     completions: DataFrame | None = None, succeeded: Sequence[str] = schemas.SUCCEEDED,
 ) -> DataFrame:
     """Readiness before the fallback from one log to the next is applied."""
     prepared = materialize(prepare(checks), "checks")
     relevant = relevance(prepared)
-    observed = log_facts(relevant.of_log(log), succeeded)
+    observed = log_facts(relevant.of_log(*_log_and_labels(checks.sparkSession, log)), succeeded)
     dates = None if raw is None else relevant.of_raw(raw)
     if dates is not None:
         observed = observed.unionByName(raw_facts(dates))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import frequency as freq
 from tidemark.functions import labels
-from tidemark.operators import planning, raw_dates
+from tidemark.operators import loads, planning, raw_dates
+from tidemark.session import materialize
 from tidemark.sources.key_value import wide_rows
 from tidemark.workload import control, views
 from tidemark.workload.oracle_views import fmt, parsed, with_views
@@ -216,6 +220,45 @@ def raw_dates_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_dates.dates_from(views.raw_daily(spark, sf_dir), "business_date", "20010101")
 
 
+def _with_table(spark: SparkSession, df: DataFrame, partition_by: list[str], query) -> DataFrame:
+    """What ``query`` finds in a table of the catalog made of ``df``, written before the table goes."""
+    name = f"tidemark_dates_{uuid.uuid4().hex[:10]}"
+    loads.create_table(df, name, partition_by)
+    try:
+        return materialize(query(name), "dates")
+    finally:
+        loads.drop_table(spark, name)
+
+
+def raw_dates_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four scans of a table partitioned by its business month, from the list of its partitions."""
+    months = views.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format(F.date_trunc("month", "o_orderdate"), "yyyyMMdd").alias("business_date"))
+
+    def scans(name: str) -> DataFrame:
+        dates = raw_dates.business_dates(spark, name, "business_date")
+        found = {
+            "eq": raw_dates.dates_equal(dates, "business_date", "19980101"),
+            "range": raw_dates.dates_between(dates, "business_date", "19980101", "19981231"),
+            "all": raw_dates.dates_all(dates, "business_date"), "from": raw_dates.dates_from(dates, "business_date", "20010101"),
+        }
+        return reduce(DataFrame.unionByName, [d.select(F.lit(k).alias("kind"), "business_date") for k, d in found.items()])
+
+    return _with_table(spark, months, ["business_date"], scans)
+
+
+def raw_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest order day as a date and as a number, from the statistics of the files."""
+    days = views.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("day"), F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("number"))
+
+    def newest(name: str) -> DataFrame:
+        rows = [(c, raw_dates.newest_label(spark, name, c, [p])) for c, p in (("day", "yyyy-MM-dd"), ("number", "yyyyMMdd"))]
+        return spark.createDataFrame(rows, "column_nm string, label string")
+
+    return _with_table(spark, days, [], newest)
+
+
 QUERIES = {
     "active_jobs": active_jobs,
     "resolve_by_priority": resolve_by_priority,
@@ -237,6 +280,8 @@ QUERIES = {
     "raw_dates_range": raw_dates_range,
     "raw_dates_all": raw_dates_all,
     "raw_dates_from": raw_dates_from,
+    "raw_dates_listed": raw_dates_listed,
+    "raw_newest": raw_newest,
 }
 
 
@@ -384,6 +429,13 @@ ORACLES = {
     "raw_dates_range": """SELECT DISTINCT 'range' AS kind, strftime(o_orderdate, '%Y%m%d') AS business_date
       FROM orders WHERE year(o_orderdate) = 1997
       UNION ALL SELECT DISTINCT 'set', strftime(o_orderdate, '%Y%m%d') FROM orders WHERE o_orderstatus = 'P'""",
+    "raw_dates_listed": """WITH d AS (SELECT DISTINCT strftime(date_trunc('month', o_orderdate), '%Y%m%d') AS business_date FROM orders)
+        SELECT 'eq' AS kind, business_date FROM d WHERE business_date = '19980101'
+        UNION ALL SELECT 'range', business_date FROM d WHERE business_date BETWEEN '19980101' AND '19981231'
+        UNION ALL SELECT 'all', business_date FROM d
+        UNION ALL SELECT 'from', business_date FROM d WHERE business_date >= '20010101'""",
+    "raw_newest": """SELECT 'day' AS column_nm, strftime(max(o_orderdate), '%Y-%m-%d') AS label FROM orders
+        UNION ALL SELECT 'number', strftime(max(o_orderdate), '%Y%m%d') FROM orders""",
     "raw_dates_all": "SELECT DISTINCT strftime(ts, '%Y%m%d%H') AS business_hour FROM events",
     "raw_dates_from": """SELECT DISTINCT strftime(o_orderdate, '%Y%m%d') AS business_date FROM orders
       WHERE o_orderdate >= TIMESTAMP '2001-01-01'""",

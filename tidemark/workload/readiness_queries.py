@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import expected as exp
 from tidemark.operators import readiness as rd
-from tidemark.operators import workflow
+from tidemark.operators import loads, workflow
 from tidemark.session import materialize
 from tidemark.workload import control, views
 from tidemark.workload.oracle_views import fmt, with_views
@@ -115,6 +117,30 @@ def job_ready_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def log_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each priority's newest run of each month, from a log that is a table partitioned by label."""
+    month = F.date_trunc("month", "job_start_time").cast("timestamp_ntz")
+    log = views.order_log(spark, sf_dir).withColumn("ictrl_dt", F.date_format(month, "yyyyMMdd"))
+    months = views.table(spark, sf_dir, "orders").select(
+        "o_orderpriority", F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("ref_ts")).distinct()
+    checks = months.select(
+        F.col("o_orderpriority").alias("dep_id"), "ref_ts", F.lit("down").alias("job_nm"), F.lit("transform").alias("consumer"),
+        F.col("o_orderpriority").alias("prerequisite_job_nm"), F.lit("mart").alias("prerequisite_schema_nm"),
+        F.lit("orders").alias("prerequisite_table_nm"), F.lit("daily").alias("frequency_check"),
+        *[F.lit(None).cast("string").alias(c) for c in ("value", "data_column", "back_day")],
+        F.lit(0).alias("empty_flag"), F.lit("monthly").alias("frequency"), F.lit("yyyyMMdd").alias("label_pattern"),
+        F.lit("%Y%m%d").alias("pattern"), F.lit("yyyyMMdd").alias("job_label_pattern"), F.col("ref_ts").alias("start_ts"),
+    )
+    name = f"tidemark_log_{uuid.uuid4().hex[:10]}"
+    loads.create_table(log, name, ["ictrl_dt"])
+    try:
+        found = rd.readiness(checks, name).select(
+            "dep_id", _ref_date(), "ready", F.array_join("missing", ",").alias("missing"))
+        return materialize(found, "verdicts")
+    finally:
+        loads.drop_table(spark, name)
+
+
 def prereq_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = views.table(spark, sf_dir, "orders").select(
         "o_orderkey",
@@ -159,6 +185,7 @@ QUERIES = {
     **{name: _ready(which) for name, which in SELECTIONS.items()},
     "dependency_fanout": dependency_fanout,
     "log_lookup": log_lookup,
+    "log_partitioned": log_partitioned,
     "two_log_fallback": two_log_fallback,
     "workflow_complete": workflow_complete,
     "job_ready_rollup": job_ready_rollup,
@@ -363,6 +390,13 @@ ORACLES = {
         AND l.schema_nm = c.prerequisite_schema_nm AND l.table_nm = c.prerequisite_table_nm
         AND l.label = w.label
       WHERE c.problem IS NULL"""),
+    "log_partitioned": with_views("order_log", """WITH newest AS (
+        SELECT log_kind, job_nm, date_trunc('month', job_start_time) AS d,
+          arg_max(status, (job_start_time, round_time, dag_run_id)) AS status
+        FROM order_log GROUP BY ALL),
+      asked AS (SELECT DISTINCT o_orderpriority AS dep_id, date_trunc('month', o_orderdate) AS d FROM orders),
+      told AS (SELECT a.*, EXISTS (SELECT 1 FROM newest n WHERE n.job_nm = a.dep_id AND n.d = a.d AND n.status = 'SUCCEED') AS ready FROM asked a)
+      SELECT dep_id, strftime(d, '%Y-%m-%d %H') AS ref_date, ready, CASE WHEN ready THEN '' ELSE strftime(d, '%Y%m%d') END AS missing FROM told"""),
     "two_log_fallback": with_views(VERDICT_VIEWS, verdict_ctes(
         _TWO_LOGS.replace("job_nm", "d.job_nm")) + """
       SELECT dep_id, strftime(ref_ts, '%Y-%m-%d %H') AS ref_date,
