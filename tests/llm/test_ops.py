@@ -411,10 +411,11 @@ def test_quality_rules_run_no_python(docs):
 
 
 def brute_top_k(vectors, k=5):
+    """``vectors`` are rows (id, vector): every other row is a candidate, and each row of a query's id has its own k."""
     out = []
-    for q, x in vectors.items():
+    for a, (q, x) in enumerate(vectors):
         if q % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(x, y)), v) for v, y in vectors.items() if v != q)
+            scores = sorted((-sum(s * t for s, t in zip(x, y)), v) for b, (v, y) in enumerate(vectors) if b != a)
             out += [(q, i + 1, v, -s) for i, (s, v) in enumerate(scores[:k])]
     return Counter(out)
 
@@ -425,35 +426,73 @@ def test_top_k(spark, block, pack):
     sound = {i: [float(x) for x in rng.normal(0, rng.choice([0.1, 1, 3]), 9)] for i in range(400)}
     sound |= {i: sound[i - 400] for i in range(400, 460)}  # ties
     sound |= {500: [0.0] * 9, 550: [1.0, 2.0], 600: [-0.001] * 9}
-    broken = [(700, None), (650, [1.0, None]), (701, [float("nan")] * 9), (702, [float("inf")] * 9), (703, []), (None, [1.0] * 9), (50, sound[50])]
-    df = on_workers(spark).createDataFrame([(i, v, "x", 1) for i, v in [*sound.items(), *broken]], "vec_id long, embedding array<double>, block string, score int")
-    whole = {i: [math.floor(256 * x) for x in v] for i, v in sound.items()}
+    rows = [*sound.items(), (50, sound[50]), (50, sound[50]), (7, sound[7])]  # repeated rows are rows
+    broken = [(700, None), (650, [1.0, None]), (701, [float("nan")] * 9), (702, [float("inf")] * 9), (703, []), (None, [1.0] * 9)]
+    df = on_workers(spark).createDataFrame([(i, v, "x", 1) for i, v in [*rows, *broken]], "vec_id long, embedding array<double>, block string, score int")
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
     got = exact_topk.top_k(df.repartition(5), block=block, pack=pack).collect()
     assert Counter(tuple(r) for r in got) == brute_top_k(whole)
     assert exact_topk.top_k(df.limit(0)).count() == 0
 
 
+def test_each_row_of_an_id_has_its_own_result(spark):
+    rows = [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (50, [2.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    df = on_workers(spark).createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = exact_topk.top_k(df).collect()
+    assert len(got) == 15 and Counter(tuple(r) for r in got) == brute_top_k([(i, [256 * int(x) for x in v]) for i, v in rows])
+
+
+def test_top_k_against_its_sql_with_repeated_ids(spark, tmp_path):
+    import duckdb
+
+    from tidemark.llm.oracles import TOPK
+
+    rng = np.random.default_rng(9)
+    rows = [(int(i) % 90, [float(x) for x in rng.normal(0, 1, 5)]) for i in range(200)]
+    rows += rows[::7]
+    on_workers(spark).createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "e"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/e/*.parquet'")
+    expected = Counter(duck.execute(TOPK).fetchall())
+    assert Counter(tuple(r) for r in exact_topk.top_k(spark.read.parquet(str(tmp_path / "e")), block=30, pack=4).collect()) == expected
+
+
 @pytest.mark.parametrize("block, pack", [(1 << 16, 1 << 12), (20, 3)])
 def test_top_k_keeps_every_vector_of_an_id(spark, block, pack):
     """Against a join of all rows; ids repeat with other vectors, among queries and candidates."""
     rng = np.random.default_rng(5)
     rows = [(i % 130, [float(x) for x in rng.normal(0, rng.choice([0.1, 1, 3]), 6)]) for i in range(400)]
     rows += [(50, [float(x) for x in rng.normal(0, 1, 6)]) for _ in range(60)]
-    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
-    expected = Counter()
-    for q in (0, 50, 100):
-        pairs = sorted((-sum(a * b for a, b in zip(x, y)), c) for i, x in whole if i == q for c, y in whole if c != q)
-        expected.update((q, n + 1, c, -s) for n, (s, c) in enumerate(pairs[:5]))
+    expected = brute_top_k([(i, [math.floor(256 * x) for x in v]) for i, v in rows])
     df = on_workers(spark).createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     assert Counter(tuple(r) for r in exact_topk.top_k(df, block=block, pack=pack).collect()) == expected
 
 
+def test_queries_are_pruned_before_they_move(spark, monkeypatch):
+    """Few vectors are long: the many short ones are sent few queries, in several copies of a block."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(0, 2.0 ** -(i % 12), 8)]) for i in range(3000)]
+    df = on_workers(spark).createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    sent, search = [], exact_topk._search
+
+    def counted(blocks, queries, splits, *rest):
+        vectors = sum(splits.get(r["block"], 0) * r["count"] for r in blocks.groupBy("block").count().collect())
+        sent.append((queries.count(), vectors, sum(splits.values())))
+        return search(blocks, queries, splits, *rest)
+
+    monkeypatch.setattr(exact_topk, "_search", counted)
+    got = exact_topk.top_k(df, block=100, pack=10).collect()
+    assert Counter(tuple(r) for r in got) == brute_top_k([(i, [math.floor(256 * x) for x in v]) for i, v in rows])
+    queries, vectors, tasks = sent[1]
+    assert queries < 60 * 29 / 2 and vectors < 3000 * 6 / 2 and tasks > 10
+
+
 def test_top_k_of_huge_components(spark):
     vectors = {i * 25: [float((i * 7919) % 101) * 1e12, float(i % 3) * 1e11] for i in range(30)}
     df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
     scale = 2.0**-16
     got = exact_topk.top_k(df, scale=scale).collect()
-    assert Counter(tuple(r) for r in got) == brute_top_k({i: [math.floor(scale * x) for x in v] for i, v in vectors.items()})
+    assert Counter(tuple(r) for r in got) == brute_top_k([(i, [math.floor(scale * x) for x in v]) for i, v in vectors.items()])
 
 
 # 7 token shards

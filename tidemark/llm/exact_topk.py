@@ -8,12 +8,14 @@ for its k-th best score; with that floor it meets the other blocks, where chunks
 vector cannot reach the floor, and vectors whose partial sum plus residual bound cannot, are
 skipped. What is left is scored exactly in integers, and each block returns k rows a query at most.
 
-Queries travel to the blocks in packs of bounded size, so no task holds more than one block of
-vectors and one pack of queries; a side that grows only adds packs or blocks.
+What a block's longest vector cannot raise to a query's floor is pruned before anything moves: blocks are in order
+of length, so a query is sent to the first blocks up to the last it can reach, found in a list of the blocks'
+lengths. Blocks stay whole and queries stream past them, a task holds one block and one batch of
+queries; a block that very many queries reach is repeated for each ``PACK`` of them.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components, and rows without
-an id, take no part; rows that repeat an id and its vector count once, other vectors of an id are rows
-of their own: each is a candidate for other ids, and an id's result is the best over all its vectors;
+an id, take no part; rows are told apart by a number of their own, so rows that repeat an id, or an id and its
+vector, are candidates each, also for each other, and each row of a query's id has its own result;
 vectors shorter than the longest are filled with zeros; components and scores beyond 64 bits stop at their limits; other
 columns are not read; an empty table gives no rows.
 """
@@ -35,8 +37,8 @@ SCALE = 256
 QUERY_EVERY = 50
 #: Coordinates of the rotated vectors that are summed before the rest is bounded.
 HEAD = 16
-#: Vectors in a block, queries in a pack, vectors compared at once.
-BLOCK, PACK, CHUNK = 1 << 16, 1 << 12, 1 << 9
+#: Vectors in a block, queries that meet one copy of a block, queries and vectors compared at once.
+BLOCK, PACK, BATCH, CHUNK = 1 << 13, 1 << 15, 1 << 12, 1 << 9
 #: Products of integers are exact in doubles below this.
 EXACT = float(1 << 53)
 #: Pairs scored at a time.
@@ -47,15 +49,14 @@ SLACK = 1e-9
 
 
 def quantised(embeddings: DataFrame, vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(vec_id, v array<double> of whole numbers, norm2) of the rows that take part."""
+    """(row, vec_id, v array<double> of whole numbers, norm2) of the rows that take part; to be written before use."""
     embeddings = picked(embeddings, "vec_id", vector)
     value = F.col(vector).cast("array<double>")
     sound = (F.size(value) > 0) & ~F.exists(value, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = F.transform(value, lambda x: F.floor(x * scale).cast("double"))
     return (
         embeddings.where(F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))
-        .select(F.col("vec_id").cast("long").alias("vec_id"), value.alias(vector)).distinct()
-        .select("vec_id", whole.alias("v"))
+        .select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
         .withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     )
 
@@ -88,50 +89,56 @@ def rotation(vectors: DataFrame, d: int) -> np.ndarray:
     return np.linalg.eigh(gram.reshape(d, d))[1][:, ::-1].copy()
 
 
-def best_of_block(ids, m, q_ids, q, floor, turn, k: int):
-    """(query row, vec_id, score): up to k best of a block for each query, by score, then id.
+class Block:
+    """Vectors by descending length, with their rotated heads and the lengths of what is left."""
 
-    ``floor`` is the query's k-th best score elsewhere; anything below cannot be in the result.
-    """
-    lengths = np.sqrt((m * m).sum(1))
-    order = np.argsort(-lengths, kind="stable")
-    ids, m, lengths = ids[order], m[order], lengths[order]
-    q_length = np.sqrt((q * q).sum(1))
-    head = min(HEAD, m.shape[1])
-    rotated, q_head = m @ turn[:, :head], q @ turn[:, :head]
-    rest = np.sqrt(np.maximum(lengths**2 - (rotated**2).sum(1), 0))
-    q_rest = np.sqrt(np.maximum(q_length**2 - (q_head**2).sum(1), 0))
-    whole = float(lengths.max(initial=0)) * float(q_length.max(initial=0)) < EXACT
-    kind = np.float64 if whole else object
-    exact_m, exact_q = (m, q) if whole else (np.vectorize(int, otypes=[object])(x) for x in (m, q))
-    floor = floor.copy()
-    found = (np.empty(0, int), np.empty(0, np.int64), np.empty(0, kind))
-    for at in range(0, len(ids), CHUNK):
-        active = np.flatnonzero(q_length * lengths[at] * (1 + SLACK) >= floor)
-        if not len(active):
-            break  # the vectors only get shorter
-        part = slice(at, at + CHUNK)
-        bound = q_head[active] @ rotated[part].T + np.outer(q_rest[active], rest[part])
-        bound += SLACK * np.outer(q_length[active], lengths[part]) + SLACK
-        i, j = np.nonzero((bound >= floor[active, None]) & (q_ids[active, None] != ids[None, part]))
-        if not len(i):
-            continue
-        if whole and len(i) * 16 > bound.size:  # so many are left that scoring all is quicker
-            scores = (q[active] @ m[part].T)[i, j]
-        else:
-            scores = np.empty(len(i), kind)
-            for s in range(0, len(i), PAIRS):
-                e = s + PAIRS
-                scores[s:e] = (exact_q[active[i[s:e]]] * exact_m[at + j[s:e]]).sum(1)
-        i, j = active[i], at + j
-        keep = scores.astype(float) >= floor[i]
-        found = _best(*(np.concatenate([x, y]) for x, y in zip(found, (i[keep], ids[j[keep]], scores[keep]))), k)
-        # the k-th best so far is the new floor of each query that has k
-        rows, counts = np.unique(found[0], return_counts=True)
-        last = np.cumsum(counts) - 1
-        full = counts == k
-        floor[rows[full]] = np.maximum(floor[rows[full]], found[2][last[full]].astype(float))
-    return found
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, m: np.ndarray, turn: np.ndarray):
+        lengths = np.sqrt((m * m).sum(1))
+        order = np.argsort(-lengths, kind="stable")
+        self.rows, self.ids, self.m, self.lengths = rows[order], ids[order], m[order], lengths[order]
+        self.turn = turn[:, : min(HEAD, m.shape[1])]
+        self.head = self.m @ self.turn
+        self.rest = np.sqrt(np.maximum(self.lengths**2 - (self.head**2).sum(1), 0))
+
+    def best(self, q_rows: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int):
+        """(query, vec_id, score): up to k best for each query, by score, then id; never the query's own row.
+
+        ``floor`` is the query's k-th best score elsewhere; anything below cannot be in the result.
+        """
+        q_length = np.sqrt((q * q).sum(1))
+        q_head = q @ self.turn
+        q_rest = np.sqrt(np.maximum(q_length**2 - (q_head**2).sum(1), 0))
+        whole = float(self.lengths.max(initial=0)) * float(q_length.max(initial=0)) < EXACT
+        kind = np.float64 if whole else object
+        exact_m, exact_q = (self.m, q) if whole else (np.vectorize(int, otypes=[object])(x) for x in (self.m, q))
+        floor = floor.copy()
+        found = (np.empty(0, int), np.empty(0, np.int64), np.empty(0, kind))
+        for at in range(0, len(self.ids), CHUNK):
+            active = np.flatnonzero(q_length * self.lengths[at] * (1 + SLACK) >= floor)
+            if not len(active):
+                break  # the vectors only get shorter
+            part = slice(at, at + CHUNK)
+            bound = q_head[active] @ self.head[part].T + np.outer(q_rest[active], self.rest[part])
+            bound += SLACK * np.outer(q_length[active], self.lengths[part]) + SLACK
+            i, j = np.nonzero((bound >= floor[active, None]) & (q_rows[active, None] != self.rows[None, part]))
+            if not len(i):
+                continue
+            if whole and len(i) * 16 > bound.size:  # so many are left that scoring all is quicker
+                scores = (q[active] @ self.m[part].T)[i, j]
+            else:
+                scores = np.empty(len(i), kind)
+                for s in range(0, len(i), PAIRS):
+                    e = s + PAIRS
+                    scores[s:e] = (exact_q[active[i[s:e]]] * exact_m[at + j[s:e]]).sum(1)
+            i, j = active[i], at + j
+            keep = scores.astype(float) >= floor[i]
+            found = _best(*(np.concatenate([x, y]) for x, y in zip(found, (i[keep], self.ids[j[keep]], scores[keep]))), k)
+            # the k-th best so far is the new floor of each query that has k
+            rows, counts = np.unique(found[0], return_counts=True)
+            last = np.cumsum(counts) - 1
+            full = counts == k
+            floor[rows[full]] = np.maximum(floor[rows[full]], found[2][last[full]].astype(float))
+        return found
 
 
 def _best(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
@@ -146,69 +153,118 @@ def _best(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
     return rows[rank < k], ids[rank < k], scores[rank < k]
 
 
-def _search(blocks: DataFrame, queries: DataFrame, turn: np.ndarray, d: int, k: int) -> DataFrame:
-    """(query_id, vec_id, score): every pack of queries against every block it was sent to."""
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
-        if not left.num_rows or not right.num_rows:
-            return pa.table([pa.array([], pa.int64())] * 3, names=names)
-        left, right = left.combine_chunks(), right.combine_chunks()
-        q_ids = right.column("vec_id").to_numpy()
-        rows, ids, scores = best_of_block(
-            left.column("vec_id").to_numpy(), _matrix(left.column("v").chunk(0), d), q_ids,
-            _matrix(right.column("v").chunk(0), d), right.column("floor").to_numpy(), turn, k,
-        )
-        rows, ids, scores = _best(q_ids[rows], ids, scores, k)  # an id may have several vectors
-        scores = [max(LEAST, min(-LEAST - 1, int(s))) for s in scores]
-        return pa.table([pa.array(rows), pa.array(ids), pa.array(scores, pa.int64())], names=names)
-
-    return blocks.groupBy("block", "pack").cogroup(queries.groupBy("block", "pack")).applyInArrow(
-        meet, "query_id long, vec_id long, score long"
+_MET = "query_row long, query_id long, vec_id long, score long"
+
+
+def _meet(batches: Iterator[pa.RecordBatch], turn: np.ndarray, d: int, k: int) -> Iterator[pa.RecordBatch]:
+    """Rows by block: its vectors, which are held, then the queries that reach it, which are not."""
+    held, parts, block = None, [], None
+    for batch in batches:
+        place = batch.column("block").to_numpy().astype(np.int64) << 32 | batch.column("split").to_numpy()
+        is_query = batch.column("is_query").to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (is_query[1:] != is_query[:-1])]) if len(place) else []
+        for start, end in zip(edges, np.r_[edges[1:], len(place)].astype(int) if len(edges) else []):
+            if place[start] != held:
+                held, parts, block = place[start], [], None
+            for at in range(start, end, BATCH):
+                some = batch.slice(at, min(BATCH, end - at))
+                rows, ids = some.column("row").to_numpy(), some.column("vec_id").to_numpy()
+                m = _matrix(some.column("v"), d)
+                if not is_query[at]:
+                    parts.append((rows, ids, m))
+                    continue
+                if block is None:
+                    if not parts:
+                        break  # a block without vectors
+                    block, parts = Block(*(np.concatenate(x) for x in zip(*parts)), turn), []
+                found, near, scores = block.best(rows, m, some.column("floor").to_numpy(), k)
+                scores = [max(LEAST, min(-LEAST - 1, int(s))) for s in scores]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[found]), pa.array(ids[found]), pa.array(near), pa.array(scores, pa.int64())],
+                    ["query_row", "query_id", "vec_id", "score"])
+
+
+def _search(blocks: DataFrame, queries: DataFrame, splits: dict[int, int], turn: np.ndarray, d: int, k: int) -> DataFrame:
+    """Every query (block, row, vec_id, v, floor) against the block it was sent to.
+
+    ``splits``: how many copies of a block share its queries, one row a block; blocks not in it are not sent.
+    """
+    spark = blocks.sparkSession
+    copies = spark.createDataFrame(list(splits.items()), "block int, splits int")
+    nothing = F.lit(None).cast("double")
+    vectors = blocks.join(F.broadcast(copies), "block").select(
+        "block", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("split"), F.lit(False).alias("is_query"),
+        "row", "vec_id", "v", nothing.alias("floor"))
+    asking = queries.join(F.broadcast(copies), "block").select(
+        "block", F.pmod(F.xxhash64("row"), "splits").cast("int").alias("split"), F.lit(True).alias("is_query"),
+        "row", "vec_id", "v", "floor")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(sum(splits.values()), 1 << 15))
+    return (
+        vectors.unionAll(asking).repartition(tasks, "block", "split").sortWithinPartitions("block", "split", "is_query")
+        .mapInArrow(lambda b: _meet(b, turn, d, k), _MET)
     )
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _reach(batches: Iterator[pa.RecordBatch], longest: np.ndarray, d: int) -> Iterator[pa.RecordBatch]:
+    """Adds the last block, in order of length, whose longest vector can raise a query to its floor."""
+    for batch in batches:
+        q = _matrix(batch.column("v"), d)
+        length = np.sqrt((q * q).sum(1))
+        floor = batch.column("floor").to_numpy()
+        reached = np.empty(len(length), np.int32)
+        for i in range(len(length)):
+            reached[i] = np.searchsorted(-(length[i] * longest * (1 + SLACK) + SLACK), -floor[i], "right") - 1
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(reached)], [*batch.schema.names, "last"])
+
+
+def _splits(counts: dict[int, int], pack: int) -> dict[int, int]:
+    return {block: -(-n // pack) for block, n in counts.items() if n}
+
+
 def top_k(
     embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale: int = SCALE,
     vector: str = "embedding", block: int = BLOCK, pack: int = PACK,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best rows of other ids for each id that ``query_every`` divides."""
+    """(query_id, rank, vec_id, score): the k best other rows for each row whose id ``query_every`` divides."""
     vectors = materialize(quantised(embeddings, vector, scale), "vectors")
-    size = vectors.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("v")), F.lit(1)).alias("d")).first()
-    n, d = size["n"], size["d"]
     is_query = F.col("vec_id") % query_every == 0
+    size = vectors.agg(
+        F.count("*").alias("n"), F.coalesce(F.max(F.size("v")), F.lit(1)).alias("d"), F.count_if(is_query).alias("q")).first()
+    n, d = size["n"], size["d"]
     turn = rotation(vectors, d)
-    n_blocks = max(1, -(-n // block))
-    blocks = vectors.repartitionByRange(n_blocks, F.desc("norm2"), F.xxhash64("vec_id", "v")).select(
-        F.spark_partition_id().alias("block"), "vec_id", "v"
-    )
+    blocks = vectors.repartitionByRange(max(1, -(-n // block)), F.desc("norm2"), F.xxhash64("row")).select(
+        F.spark_partition_id().alias("block"), "row", "vec_id", "v", "norm2")
     blocks = materialize(blocks, "blocks")
-    packs = max(1, -(-vectors.where(is_query).count() // pack))
-    queries = vectors.where(is_query).select(
-        "vec_id", "v", F.pmod(F.xxhash64("vec_id", "v"), F.lit(packs)).cast("int").alias("pack")
-    )
-    every_pack = F.explode(F.sequence(F.lit(0), F.lit(packs - 1))).alias("pack")
+    # one number a block
+    longest = {r["block"]: r["norm2"] for r in blocks.groupBy("block").agg(F.max("norm2").alias("norm2")).collect()}
+    last = max(longest, default=0)
+    queries = vectors.where(is_query).select("row", "vec_id", "v")
+    lowest = F.lit(float("-inf"))
     first = materialize(
-        _search(
-            blocks.where("block = 0").select("block", every_pack, "vec_id", "v"),
-            queries.select(F.lit(0).alias("block"), "pack", "vec_id", "v", F.lit(float("-inf")).alias("floor")),
-            turn, d, k,
-        ),
+        _search(blocks.where("block = 0"), queries.select(F.lit(0).alias("block"), "row", "vec_id", "v", lowest.alias("floor")),
+                _splits({0: size["q"]}, pack), turn, d, k),
         "first-block",
     )
-    floors = _top(first, k).groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"), F.min("score").cast("double").alias("floor"))
-    floors = floors.where(F.col("n") >= k).select("vec_id", "floor")
-    last = blocks.agg(F.max("block")).first()[0] or 0
+    result = ["query_id", "rank", "vec_id", "score"]
     if not last:
-        return _top(first, k).select("query_id", "rank", "vec_id", "score")
-    others = queries.join(floors, "vec_id", "left").select(
-        F.explode(F.sequence(F.lit(1), F.lit(last))).alias("block"), "pack", "vec_id", "v",
-        F.coalesce("floor", F.lit(float("-inf"))).alias("floor"),
-    )
-    rest = _search(blocks.where("block > 0").select("block", every_pack, "vec_id", "v"), others, turn, d, k)
-    return _top(first.unionAll(rest), k).select("query_id", "rank", "vec_id", "score")
+        return _top(first, k).select(*result)
+    floors = _top(first, k).groupBy(F.col("query_row").alias("row")).agg(
+        F.count("*").alias("n"), F.min("score").cast("double").alias("floor"))
+    floors = queries.join(floors.where(F.col("n") >= k).select("row", "floor"), "row", "left").select(
+        "row", "vec_id", "v", F.coalesce("floor", lowest).alias("floor"))
+    lengths = np.sqrt(np.array([longest.get(b, 0.0) for b in range(last + 1)]))
+    lengths = np.maximum.accumulate(lengths[::-1])[::-1]  # a block without vectors is as the next
+    asking = materialize(floors.mapInArrow(
+        lambda b: _reach(b, lengths, d), "row long, vec_id long, v array<double>, floor double, last int"), "queries")
+    ends = {r["last"]: r["n"] for r in asking.groupBy("last").agg(F.count("*").alias("n")).collect()}  # at most one row a block
+    reached = np.cumsum(np.array([ends.get(b, 0) for b in range(last + 1)])[::-1])[::-1]
+    splits = _splits({b: int(reached[b]) for b in range(1, last + 1)}, pack)
+    sent = asking.where("last > 0").select(
+        F.explode(F.sequence(F.lit(1), F.col("last"))).alias("block"), "row", "vec_id", "v", "floor")
+    rest = _search(blocks.where("block > 0"), sent, splits, turn, d, k)
+    return _top(first.unionAll(rest), k).select(*result)

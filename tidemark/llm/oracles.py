@@ -6,18 +6,18 @@ from tidemark.llm import fill_in_middle as fim
 from tidemark.llm import quality_rules as rules
 
 TOPK = r"""
-WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND len(embedding) > 0
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id <> c.vec_id
+    SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.r <> c.r
     WHERE q.vec_id % 50 = 0
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
 """
 
