@@ -79,6 +79,13 @@ def test_columns_that_repeat_or_differ_by_case(spark, docs):
         "*", F.lit("x").alias("TEXT"), F.lit("y").alias("row"), F.lit(1).alias("Doc_Id"), F.lit("z").alias("text"))
     n = docs.count()
     assert token_counts.count_tokens(twins).count() == n
+    assert shards.digest(shards.shard_documents(twins)).select("text_crc32").subtract(
+        docs.select(F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("c"))).count() == 0
+    judged = quality_rules.judge(twins)
+    assert judged.count() == n and {"doc_id", "text", "TEXT_5", "Doc_Id_7", "text_8"} <= set(judged.select("record.*").columns)
+    once = simhash_dedup.keep_one(docs.select("doc_id", "text", "source"))
+    assert Counter(r["doc_id"] for r in simhash_dedup.keep_one(twins).select("doc_id").collect()) == Counter(
+        r["doc_id"] for r in once.select("doc_id").collect())
     assert simhash_dedup.near_duplicates(twins).count() == n
     assert mixing.mix(twins).count() == n
     assert packing.pack_documents(twins).select("doc_id", "doc_tokens").count() >= n

@@ -7,6 +7,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from test_ops import WORD, brute_components, brute_fingerprint, brute_kept, check_mixing, check_packing
@@ -37,6 +38,13 @@ def test_columns(steps):
     assert all(after.columns == corpus_pipeline.COLUMNS for _, after in steps[:-1])
 
 
+def test_stages_take_columns_by_place(spark, steps):
+    for (_, stage), (before, after) in zip(corpus_pipeline.STAGES, steps):
+        twins = before.select("*", F.lit("x").alias("TEXT"), F.lit("y").alias("row"), F.lit(1).alias("Doc_Id"), F.lit("z").alias("text"))
+        got = stage(spark, twins, DATA)
+        assert got.columns == after.columns and got.count() == after.count()
+
+
 def test_classifier_stage(spark, steps):
     before, after = steps[0]
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}

@@ -41,6 +41,22 @@ def picked(df: DataFrame, *names: str) -> DataFrame:
     return by_place.select(*[F.col(f"c{i}").alias(name) for name, i in places.items()])
 
 
+def apart(df: DataFrame, *needed: str) -> DataFrame:
+    """``df`` with names that differ by more than case: the ``needed`` columns keep theirs (the first of each name).
+
+    Of the others, one whose name is taken gets its place behind it: ``text_5``.
+    """
+    places = {df.columns.index(name): name for name in needed}
+    taken, names = {name.lower() for name in needed}, []
+    for i, name in enumerate(df.columns):
+        if i not in places:
+            while name.lower() in taken:
+                name = f"{name}_{i}"
+            taken.add(name.lower())
+        names.append(name)
+    return df.toDF(*names)
+
+
 def words(text: Column) -> Column:
     """The words of ``text`` in order; null counts as empty."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{WHITE}+", -1), "")

@@ -14,11 +14,12 @@ repeated rows each give a row; other columns are not read; an empty table gives
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WHITE, words
+from tidemark.llm.common import WHITE, apart, words
 from tidemark.session import materialize
 
 WINDOW = 8
@@ -43,14 +44,16 @@ SMOOTH = 10.0
 KEEP = 0.5
 
 
-def statistics(docs: DataFrame) -> DataFrame:
+def statistics(docs: DataFrame, kept: Sequence[str] | None = None) -> DataFrame:
     """(record, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ...) for every row.
 
-    ``record`` holds all columns of ``docs``, so none can clash; what is not asked for later is not read.
+    ``record`` holds the ``kept`` columns of ``docs``, by default all; those that repeat another's name, but for
+    case, under names of their own (``common.apart``).
     """
+    docs = apart(docs, *dict.fromkeys(["doc_id", "text", *(kept or [])]))
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split("t", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    step = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), text.alias("t"))
+    step = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept or docs.columns]).alias("record"), text.alias("t"))
     step = step.select(
         "record", "t",
         words(F.col("t")).alias("w"),
@@ -152,9 +155,9 @@ def fit(votes: DataFrame, rounds: int = ROUNDS) -> dict:
     return model
 
 
-def judge(docs: DataFrame, keep: float = KEEP) -> DataFrame:
-    """Statistics, base rule, posterior and verdict of every row of ``docs`` (doc_id, text)."""
-    votes = with_votes(materialize(statistics(docs), "rule-statistics"))
+def judge(docs: DataFrame, keep: float = KEEP, kept: Sequence[str] | None = None) -> DataFrame:
+    """Statistics, base rule, posterior and verdict of every row of ``docs`` (doc_id, text), with its ``kept`` columns."""
+    votes = with_votes(materialize(statistics(docs, kept), "rule-statistics"))
     model = fit(votes.where(~_base_failed()))
     posterior = 1 / (1 + F.exp(-_log_odds(model)))
     return votes.withColumn("base_failed", _base_failed()).withColumn("posterior", posterior).withColumn(

@@ -47,7 +47,7 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return quality_rules.judge(table(spark, sf_dir, "documents"), kept=["doc_id"]).select(
         F.col("record.doc_id").cast("long").alias("doc_id"),
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
     )

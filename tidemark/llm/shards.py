@@ -10,8 +10,8 @@ rows is scattered as well. Which row gets which slot is fixed once the buckets a
 and slots are derived from the written files only.
 
 Defined cases: a null text counts no bytes and has the checksum of the empty string; null ids and
-repeated rows are records like any other; all columns of the input are kept in ``record``, so none
-can clash; an empty table gives no rows and empty shards.
+repeated rows are records like any other; all columns of the input are kept in ``record``, those that repeat
+another's name, but for case, under names of their own (``common.apart``); an empty table gives no rows and empty shards.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import apart
 from tidemark.session import fresh_path
 
 SHARDS = 8
@@ -28,6 +29,8 @@ SEED = 42
 BUCKET_BYTES = 64 << 20
 #: Buckets for each shuffle partition, so that partitions hold about the same number.
 SPREAD = 4
+#: Up to so many buckets (16 TB of them) their list, a row of three numbers each, is sent to every task; beyond, it is joined.
+LISTED = 1 << 18
 
 
 def _text(name: str) -> Column:
@@ -36,9 +39,9 @@ def _text(name: str) -> Column:
 
 def shuffle_to_buckets(
     docs: DataFrame, path: str, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """Writes ``docs`` to ``path`` in shuffled buckets; (bucket, position, record) as read back."""
-    spark = docs.sparkSession
+) -> tuple[DataFrame, int]:
+    """Writes ``docs`` to ``path`` in shuffled buckets; (bucket, position, record) as read back, and how many buckets."""
+    spark, docs = docs.sparkSession, apart(docs, key, text)
     n_bytes = docs.agg(F.sum(F.length(_text(text)) + 64).alias("n")).first()["n"] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(SPREAD * partitions, -(-n_bytes // bucket_bytes))
@@ -57,7 +60,7 @@ def shuffle_to_buckets(
         return bucket.take(pa.array(order)).set_column(1, "position", pa.array(np.arange(len(order))))
 
     scattered.groupBy("bucket").applyInArrow(fisher_yates, scattered.schema).write.parquet(path)
-    return spark.read.schema(scattered.schema).parquet(path)
+    return spark.read.schema(scattered.schema).parquet(path), buckets
 
 
 def manifest(written: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -71,8 +74,8 @@ def manifest(written: DataFrame, shards: int = SHARDS) -> DataFrame:
     )
 
 
-def with_slots(written: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Adds (shard, slot): the first ``total % shards`` shards hold one record more than the others."""
+def with_slots(written: DataFrame, buckets: int, shards: int = SHARDS) -> DataFrame:
+    """Adds (shard, slot) to the rows of so many ``buckets``: the first ``total % shards`` shards hold one record more than the others."""
     small = F.expr(f"total div {shards}")
     extra = F.expr(f"total % {shards}")
     at = F.col("start") + F.col("position")
@@ -81,7 +84,9 @@ def with_slots(written: DataFrame, shards: int = SHARDS) -> DataFrame:
     late = F.nullif(small, F.lit(0))
     shard = F.when(early, F.floor(at / (small + 1))).otherwise(extra + F.floor((at - cut) / late))
     slot = F.when(early, at % (small + 1)).otherwise((at - cut) % late)
-    return written.join(manifest(written, shards), "bucket").select(
+    listed = manifest(written, shards)
+    # the records are not shuffled again for a list that fits a task
+    return written.join(F.broadcast(listed) if buckets <= LISTED else listed, "bucket").select(
         "bucket", "position", "record", shard.cast("int").alias("shard"), slot.cast("long").alias("slot")
     )
 
@@ -89,7 +94,7 @@ def with_slots(written: DataFrame, shards: int = SHARDS) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, path: str | None = None) -> DataFrame:
     """Shuffles ``docs`` into shards at ``path`` (by default in the shared folder); one row for each record."""
     path = path or fresh_path(docs.sparkSession, "shards")
-    return with_slots(shuffle_to_buckets(docs, path, seed), shards)
+    return with_slots(*shuffle_to_buckets(docs, path, seed), shards)
 
 
 def digest(sharded: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import picked, values
+from tidemark.llm.common import apart, picked, values
 from tidemark.llm.components import roots
 from tidemark.session import materialize
 
@@ -247,11 +247,12 @@ def near_duplicates(
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without all but one row of each component: that of the smallest id stays (ties: the first row).
 
-    Rows are numbered as they are written, and the dropped ones, the fewer, meet them by number.
+    Rows are numbered as they are written, and the dropped ones, the fewer, meet them by number. A column that
+    repeats another's name, but for case, comes out under a name of its own (``common.apart``).
     """
-    columns = docs.columns
+    docs = apart(docs, "doc_id", "text")
     held = materialize(
-        docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("record"), F.monotonically_increasing_id().alias("row")),
+        docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), F.monotonically_increasing_id().alias("row")),
         "documents",
     )
     found = materialize(near_duplicates(held.select("row", "record.doc_id", "record.text"), row="row", **options), "near-duplicates")
