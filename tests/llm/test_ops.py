@@ -89,7 +89,7 @@ def test_columns_that_repeat_or_differ_by_case(spark, docs):
     assert simhash_dedup.near_duplicates(twins).count() == n
     assert mixing.mix(twins).count() == n
     assert packing.pack_documents(twins).select("doc_id", "doc_tokens").count() >= n
-    assert token_shards.write_shards(twins).count() >= 1
+    assert token_shards.digest(spark, token_shards.write_shards(twins)).select("doc_id", "start").count() >= n
     labels = spark.createDataFrame([(3, 1), (6, 0)], "doc_id long, quality int")
     assert quality_model.classify(twins, labels).count() == n
 
@@ -505,35 +505,91 @@ def test_top_k_of_huge_components(spark):
 # 7 token shards
 
 
+def plain_feistel(number, count, key=token_shards.KEY):
+    """One number through the network, in plain integers."""
+    low = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & low
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & low
+        return x ^ x >> 31
+
+    half = 1
+    while 1 << 2 * half < count:
+        half += 1
+    while True:
+        left, right = number >> half, number % (1 << half)
+        for i in range(1, token_shards.ROUNDS + 1):
+            left, right = right, left ^ mixed((right + mixed((i * 0x9E3779B97F4A7C15 + key) & low)) & low) % (1 << half)
+        number = left << half | right
+        if number < count:
+            return number
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 3, 5, 64, 1000, 4097):
         slots = token_shards.feistel(np.arange(n), n)
+        assert slots.tolist() == [plain_feistel(i, n) for i in range(n)]
         assert sorted(slots.tolist()) == list(range(n))
     assert token_shards.feistel(np.arange(1000), 1000, key=1).tolist() != token_shards.feistel(np.arange(1000), 1000, key=2).tolist()
 
 
 def test_token_shards(spark, docs, empty):
-    from tidemark.session import fresh_path
+    """Ids by the library, slots by plain integers, files by their bytes."""
+    import os
 
-    path = fresh_path(spark, "token-shards")
-    written = token_shards.write_shards(docs, path, records=64)
-    got = token_shards.digest(written, records=64).collect()
-    encode, expected = Encoder(token_shards.VOCABULARY).ids, Counter()
+    path = token_shards.write_shards(docs, records=64)
+    got = token_shards.digest(spark, path, records=64).collect()
+    library, expected, bodies = tokenizer(token_shards.VOCABULARY), Counter(), Counter()
     for d, t, _ in given(docs):
-        ids = np.append(encode(t), token_shards.END).astype("<u2")
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, token_shards.END]).astype("<u2")
         for s in range(0, len(ids), 512):
             piece = ids[s : s + 512]
             record = np.full(512, token_shards.PAD, "<u2")
             record[: len(piece)] = piece
             expected[d, s, len(piece), zlib.crc32(record.tobytes())] += 1
+            bodies[record.tobytes()] += 1
     assert Counter((r["doc_id"], r["start"], r["n_tokens"], r["record_crc32"]) for r in got) == expected
     assert sorted(r["slot"] for r in got) == list(range(len(got)))
     assert all(r["slot"] == r["shard"] * 64 + r["record"] for r in got)
-    by_slot = {r["slot"]: r["record_crc32"] for r in got}
-    read = token_shards.read_from(spark, path, 50, 40, records=64).collect()
-    assert [r["slot"] for r in read] == list(range(50, 90))
-    assert [zlib.crc32(r["ids"]) for r in read] == [by_slot[s] for s in range(50, 90)]
-    assert token_shards.write_shards(empty).count() == 0
+    # a file a shard; record k begins at k strides
+    size = 25 + 2 * 512 + 1
+    assert token_shards.stride() == size
+    files = {}
+    for folder, _, names in os.walk(path):
+        for name in names:
+            if name.startswith("part-"):
+                assert files.setdefault(int(folder.rsplit("shard=")[-1]), f"{folder}/{name}") == f"{folder}/{name}"
+    assert sorted(files) == list(range(-(-len(got) // 64)))
+    by_slot = {r["slot"]: r for r in got}
+    seen = Counter()
+    for shard, name in files.items():
+        data = open(name, "rb").read()
+        assert len(data) == size * sum(r["shard"] == shard for r in got)
+        for k in range(len(data) // size):
+            body = data[k * size + 25 : k * size + 25 + 1024]
+            assert zlib.crc32(body) == by_slot[shard * 64 + k]["record_crc32"]
+            seen[body] += 1
+    assert seen == bodies
+    read = list(token_shards.read_from(spark, path, 50, 40, records=64))
+    assert [s for s, _ in read] == list(range(50, 90))
+    assert [zlib.crc32(ids) for _, ids in read] == [by_slot[s]["record_crc32"] for s in range(50, 90)]
+    assert len(list(token_shards.read_from(spark, path, len(got) - 3, 40, records=64))) == 3
+    assert list(token_shards.read_from(spark, path, len(got) + 100, 2, records=64)) == []
+    assert token_shards.digest(spark, token_shards.write_shards(empty)).count() == 0
+
+
+def test_slots_of_numbered_sequences(spark, docs):
+    """The order in the files is the permutation of the numbers the sequences were given."""
+    path = token_shards.write_shards(docs.coalesce(1), records=32)
+    got = sorted(token_shards.digest(spark, path, records=32).collect(), key=lambda r: r["slot"])
+    library = tokenizer(token_shards.VOCABULARY)
+    pieces = []
+    for d, t, _ in given(docs.coalesce(1)):
+        n = len(library.encode(t or "", add_special_tokens=False).ids) + 1
+        pieces += [(d, s) for s in range(0, n, 512)]
+    assert [(r["doc_id"], r["start"]) for r in got] == [
+        pieces[i] for i in sorted(range(len(pieces)), key=lambda i: plain_feistel(i, len(pieces)))]
 
 
 # 8 packing

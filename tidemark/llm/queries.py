@@ -58,7 +58,7 @@ def topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_shards_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_shards.digest(token_shards.write_shards(table(spark, sf_dir, "documents")))
+    return token_shards.digest(spark, token_shards.write_shards(table(spark, sf_dir, "documents")))
 
 
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,13 +4,15 @@ Every document's ids, with an end token, are cut into sequences of up to ``LENGT
 that length. The sequences are numbered, and a keyed Feistel network permutes the numbers: on a
 domain of 2 to an even number of bits, walking along the cycle until it lands below the count, it is
 a permutation of exactly the sequences' numbers, computed for each row alone. The result is the
-sequence's global slot. Slots are cut into ranges; each range is one shard, one binary of records of
-the same stride in order of their slots. Record k of shard s is the sequence at slot
-s * records + k, so a reader starts, or resumes, at any step by arithmetic alone.
-
-Shards are written through Spark's committed Parquet output, one row each, so that a task that
-runs again leaves no half-written shard, on any store Spark writes to. Sequences travel to their
-shard in compressed packs, one for each shard and input batch; a shard is put together in one
+sequence's global slot. Slots are cut into ranges; each range is one partition and one shard: a file of records of
+the same stride in order of their slots, each a short header that tells whose sequence it is, the ids, and one
+closing byte. Record k of shard s is the sequence at slot s * records + k and begins at byte k * stride of the one file
+in folder ``shard=s``, so a reader starts, or resumes, at any step by arithmetic alone, and reads on without
+unpacking anything.
+
+The files are written through Spark's committed output (its text format writes a row's bytes as they are, then the
+closing byte), so that a task that runs again leaves no half-written shard, on any store Spark writes to.
+Sequences travel to their shard in compressed packs, one for each shard and input batch; a shard is put together in one
 buffer of fixed size. Neither depends on the data: slots are uniform.
 
 Defined cases: a null or empty text is the end token alone; null ids and repeated rows are
@@ -41,6 +43,8 @@ KEY = 42
 ROUNDS = 6
 #: Sequences in a shard.
 RECORDS = 1 << 13
+#: Records handed on at once.
+BATCH = 1 << 10
 ID = np.dtype("<u2")
 
 
@@ -95,6 +99,7 @@ def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGT
     )
 
 
+#: What a record begins with.
 HEADER = np.dtype([("record", "<u4"), ("n_tokens", "<u4"), ("start", "<i8"), ("doc_id", "<i8"), ("known", "<u1")])
 
 
@@ -152,82 +157,107 @@ def _counting(lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
-def _to_shards(batches: Iterator[pa.RecordBatch], count: int, records: int, length: int, pad: int) -> Iterator[pa.RecordBatch]:
-    """Packs sorted by shard -> one row for each shard."""
-
-    def row(shard, packs):
-        body, index = _assemble(shard, packs, count, records, length, pad)
-        payload = body.tobytes()
-        return pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int64()), pa.array([len(index)], pa.int64()), pa.array([payload], pa.binary()),
-             pa.array([index.tobytes()], pa.binary())],
-            ["shard", "records", "payload", "index"],
-        )
+def stride(length: int = LENGTH) -> int:
+    """Bytes of a record: header, ids, closing byte."""
+    return HEADER.itemsize + length * ID.itemsize + 1
+
 
-    held, packs = None, []
+def _to_shards(batches: Iterator[pa.RecordBatch], count: int, records: int, length: int, pad: int) -> Iterator[pa.RecordBatch]:
+    """The packs of one shard -> its records in order."""
+    shard, packs = None, []
     for batch in batches:
         for shard, pack in zip(batch.column("shard").to_pylist(), batch.column("pack").to_pylist()):
-            if held is not None and shard != held:
-                yield row(held, packs)
-                packs = []
-            held = shard
             packs.append(pack)
-    if packs:
-        yield row(held, packs)
+    if shard is None:
+        return
+    body, index = _assemble(shard, packs, count, records, length, pad)
+    for at in range(0, len(index), BATCH):
+        rows = [h.tobytes() + r.tobytes() for h, r in zip(index[at : at + BATCH], body[at : at + BATCH])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(rows), shard)), pa.array(np.arange(at, at + len(rows))), pa.array(rows, pa.binary())],
+            ["shard", "record", "value"])
 
 
 def write_shards(
     docs: DataFrame, path: str | None = None, vocabulary: str = VOCABULARY, length: int = LENGTH, end: int = END,
     pad: int = PAD, key: int = KEY, records: int = RECORDS,
-) -> DataFrame:
-    """Writes the shards to ``path``; (shard, records, payload, index) as read back."""
-    spark = docs.sparkSession
-    path = path or fresh_path(spark, "token-shards")
+) -> str:
+    """Writes the shards; the folder they are in, by default one in the shared folder."""
+    path = path or fresh_path(docs.sparkSession, "token-shards")
     rows, count = numbered(sequences(docs, vocabulary, length, end), "sequences")
     shards = max(1, -(-count // records))
     packs = rows.select("number", "doc_id", "start", "n_tokens", "ids").mapInArrow(
         lambda b: _to_packs(b, count, key, records), "shard long, pack binary"
     )
-    out = "shard long, records long, payload binary, index binary"
     (
-        packs.repartition(shards, "shard").sortWithinPartitions("shard")
-        .mapInArrow(lambda b: _to_shards(b, count, records, length, pad), out)
-        .write.option("compression", "zstd").parquet(path)
-    )
-    return spark.read.schema(out).parquet(path)
-
-
-def read_from(spark: SparkSession, path: str, slot: int, n: int, length: int = LENGTH, records: int = RECORDS) -> DataFrame:
-    """(slot, ids binary) of the ``n`` records from ``slot`` on: only the shards that hold them are read."""
-    stride = length * ID.itemsize
-    at = F.explode(F.sequence(F.lit(0), F.col("records") - 1))
-    return (
-        spark.read.parquet(path).where(F.col("shard").between(slot // records, (slot + n - 1) // records))
-        .select("shard", "payload", at.alias("record"))
-        .select((F.col("shard") * records + F.col("record")).alias("slot"),
-                F.substring("payload", F.col("record") * stride + 1, F.lit(stride)).alias("ids"))
-        .where(F.col("slot").between(slot, slot + n - 1)).orderBy("slot")
+        packs.repartitionById(shards, F.col("shard").cast("int"))  # a range of slots each
+        .mapInArrow(lambda b: _to_shards(b, count, records, length, pad), "shard long, record long, value binary")
+        .sortWithinPartitions("shard", "record")  # as they come: no other order is put upon them
+        .select("shard", F.col("value").cast("string").alias("value"))
+        .write.partitionBy("shard").text(path)
     )
+    return path
+
+
+def shard_files(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, content binary) of the shards at ``path``, a row each."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    return files.select(F.regexp_extract("path", "shard=([0-9]+)", 1).cast("long").alias("shard"), "content")
+
+
+def read_from(
+    spark: SparkSession, path: str, slot: int, n: int, length: int = LENGTH, records: int = RECORDS
+) -> Iterator[tuple[int, bytes]]:
+    """(slot, ids) of the ``n`` records from ``slot`` on, or up to the end, read one after another at their offsets.
+
+    Each file is opened where the first record wanted of it begins; of the others nothing is read.
+    """
+    hadoop, size = spark._jvm.org.apache.hadoop.fs, stride(length)
+    end = slot + n
+    while slot < end:
+        shard, record = divmod(slot, records)
+        pattern = hadoop.Path(f"{path}/shard={shard}/part-*")
+        system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = system.globStatus(pattern)
+        if not len(found):
+            return
+        held = found[0].getLen() // size
+        wanted = min(end - slot, held - record)
+        if wanted <= 0:
+            return
+        stream = system.open(found[0].getPath())
+        try:
+            stream.seek(record * size)
+            for at in range(0, wanted, BATCH):
+                some = min(BATCH, wanted - at)
+                data = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, some * size))
+                for i in range(some):
+                    yield slot + at + i, data[i * size + HEADER.itemsize : (i + 1) * size - 1]
+        finally:
+            stream.close()
+        slot += wanted
 
 
 def _digest(batches: Iterator[pa.RecordBatch], length: int, records: int) -> Iterator[pa.RecordBatch]:
     names = ["slot", "shard", "record", "doc_id", "start", "n_tokens", "record_crc32"]
+    size = stride(length)
     for batch in batches:
-        for shard, payload, index in zip(*(batch.column(c).to_pylist() for c in ("shard", "payload", "index"))):
-            who, stride = np.frombuffer(index, HEADER), length * ID.itemsize
-            n = len(who)
-            crc = [zlib.crc32(payload[i * stride : (i + 1) * stride]) for i in range(n)]
+        for shard, content in zip(batch.column("shard").to_pylist(), values(batch.column("content"), 1)):
+            n = len(content) // size
+            parts = np.frombuffer(content, np.uint8).reshape(n, size)
+            who = np.frombuffer(parts[:, : HEADER.itemsize].tobytes(), HEADER)
+            crc = [zlib.crc32(parts[i, HEADER.itemsize : -1]) for i in range(n)]
             columns = [
-                pa.array(shard * records + np.arange(n)), pa.array(np.full(n, shard)), pa.array(np.arange(n)),
+                pa.array(shard * records + np.arange(n)), pa.array(np.full(n, shard)), pa.array(who["record"].astype(np.int64)),
                 pa.array(who["doc_id"].copy(), mask=who["known"] == 0), pa.array(who["start"].copy()),
                 pa.array(who["n_tokens"].astype(np.int64)), pa.array(crc, pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def digest(shards: DataFrame, length: int = LENGTH, records: int = RECORDS) -> DataFrame:
-    """One row for each sequence: its slot, where that lies, and the checksum of its record as written."""
-    return shards.mapInArrow(
+def digest(spark: SparkSession, path: str, length: int = LENGTH, records: int = RECORDS) -> DataFrame:
+    """One row for each sequence written to ``path``: its slot, where that lies, and the checksum of its ids as written."""
+    return shard_files(spark, path).mapInArrow(
         lambda b: _digest(b, length, records),
         "slot long, shard long, record long, doc_id long, start long, n_tokens long, record_crc32 long",
     )
