@@ -184,6 +184,57 @@ def test_dropped_inline_elements_go_alone():
     assert html_text.main_text(PAGE % body) == "Text more\nlong text\na c"
 
 
+LONG_LINE = "A sentence of the article that goes on for quite a while, as those do. "
+
+
+@pytest.mark.parametrize("inside, kept", [
+    ('<h2 id="discussion">Discussion</h2><p>%s</p>', "Discussion"), ('<h2 id="navigation">Navigation</h2><p>%s</p>', "Navigation"),
+    ('<section id="discussion"><p>%s</p><p>So.</p></section>', "So."), ('<section id="related-work"><h2>Related work</h2><p>%s</p></section>', "Related work"),
+    ('<p>At <span class="share-price">42</span> a piece.</p><p>%s</p>', "At 42 a piece."),
+    ('<p class="social-science">Of people.</p><p>%s</p>', "Of people."), ('<div role="note"><p>%s</p></div><p>End.</p>', "End."),
+    ('<div class="notice"><p>%s</p></div><p>End.</p>', "End."),
+])
+def test_names_made_from_headings_do_not_drop_text(inside, kept):
+    text = (LONG_LINE * 4).strip()
+    body = f"<article><h1>T</h1><p>{text}</p>{inside % text}<p>{text}</p></article>"
+    got = html_text.main_text(PAGE % body).split("\n")
+    assert kept in got and got.count(text) == 3
+
+
+def test_doubtful_names_drop_what_is_in_no_cluster():
+    text = (LONG_LINE * 4).strip()
+    note = "<div class='social'>" + "".join(f"<p><a href='/{i}'><b>x{i}</b></a></p>" for i in range(9)) + "</div>"
+    assert html_text.main_text(PAGE % f"<article><p>{text}</p><p>{text}</p>{note}</article>") == f"{text}\n{text}"
+
+
+MISLEADING = [
+    # teasers are marked as articles, the text is not
+    "<div class='story'>%s</div><article><a href='/1'><b>One</b> <i>more</i></a></article>" + "".join(
+        f"<article><h3><a href='/{i}'><b>Read</b> <i>this</i> <u>next</u> <em>one</em> {i}</a></h3></article>" for i in range(40)),
+    # the main element holds a list of links only
+    "<div class='story'>%s</div><main>" + "".join(
+        f"<p><a href='/{i}'><b>a</b><i>short</i><u>link</u></a> <a href='/x'><b>and</b></a> <a href='/y'>one</a> {i}</p>" for i in range(60)) + "</main>",
+]
+
+
+@pytest.mark.parametrize("page", MISLEADING)
+def test_the_clusters_choose_the_region(page):
+    text = [(LONG_LINE * n).strip() for n in (3, 4, 3, 5)]
+    assert html_text.main_text(PAGE % (page % "".join(f"<p>{t}</p>" for t in text))).split("\n") == text
+
+
+def test_without_smoothing_and_threshold_other_regions_are_chosen(monkeypatch):
+    """Where a region is marked wrongly or not at all the clusters decide; given pages mark theirs rightly."""
+    text = "".join(f"<p>{(LONG_LINE * n).strip()}</p>" for n in (1, 1))
+    cards = "".join(f"<p><a href='/{i}'><b>a</b><i>rather</i><u>short</u></a> <a href='/x'><b>teaser</b></a> {i}</p>" for i in range(30))
+    unmarked = "".join(f"<div>{i} <a href='/{i}'>x</a></div>" for i in range(8)) + f"<div><p>{(LONG_LINE * 6).strip()}</p><p>{(LONG_LINE * 5).strip()}</p></div>" + cards
+    pages = [PAGE % f"<div class='story'>{text}</div><main>{cards}</main>", PAGE % unmarked]
+    with_clusters = [html_text.main_text(p) for p in pages]
+    assert all(LONG_LINE.strip() in t and "teaser" not in t for t in with_clusters)
+    monkeypatch.setattr(html_text, "_clustered", lambda lines: (np.array([len(x[0]) for x in lines], float), np.ones(len(lines), bool)))
+    assert all("teaser" in html_text.main_text(p) for p in pages)
+
+
 def test_extract(spark):
     pages = spark.createDataFrame(
         [(1, None, None, "x"), (None, "u", PAGE % f"<article>{BODY}</article>", None), (1, None, None, "x")],

@@ -3,15 +3,18 @@
 The standard library's parser streams events over the whole page. Block elements cut the text into
 lines; each line knows its text, how many tags stand in it, and the elements around it. The ratio
 of text to tags per line is smoothed by a Gaussian, and lines above the threshold (the deviation of
-the smoothed ratios) cluster into content. The content region is the element that holds most of
-that text: an article or main element where there is one (with the rest of the main element around
-an article), else the innermost element around it; where that is the page itself, from the first to
-the last cluster and on over the paragraphs, headings and lists next to them.
+the smoothed ratios) cluster into content. The clusters choose the content region: of the article and main
+elements, the one that holds most clustered text, if it holds at least half as much as the lines outside
+all of them (the mark counts double, and lines out of clusters a tenth); with it goes the rest of the main element around
+an article. Else it is the innermost element around the clusters outside; where that is the page itself, from the
+first to the last cluster and on over the paragraphs, headings and lists next to them.
 Within the region all lines are kept, however short, but for those inside menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, known by element, role,
 class or id. A class, an id or a form does not drop an article or main element inside it: that is a
 region like others (after them among comments or related articles), as it often wraps the page. Of an
-article's own names only whole ones count, since its tags and categories stand there too.
+article's own names, and of names inside a region, only whole ones count: tags and categories stand there, and ids
+made from headings. There an id alone drops only what readers wrote, a heading is never dropped, and a class that
+may as well name a part of the text drops an element only if most of its text is in no cluster.
 
 Text inside a dropped inline element goes alone; the rest of its line stays.
 
@@ -59,6 +62,13 @@ DROPPED_NAMES = frozenset(
 OTHERS_NAMES = frozenset(
     "comment comments commentlist discussion disqus reply replies respond related recommended recommendations".split()
 )
+#: Those of them that may name a part of the text: inside a region they drop only what is mostly out of clusters.
+DOUBTFUL_NAMES = frozenset("discussion social navigation disclaimer notice notices notification alert banner banners copyright".split())
+DOUBTFUL_ROLES = frozenset("note status alert".split())
+#: Those of them that drop a part of a region as an id alone.
+ALONE_NAMES = frozenset("comments commentlist disqus respond".split())
+#: How much more a cluster counts inside a marked region, and what a line outside the clusters counts.
+MARKED, STRAY = 2.0, 0.1
 #: In such a name those words tell about the page, not about the element: "has-sidebar".
 ABOUT_PAGE = frozenset("has with no without is".split())
 #: Names of elements that hold the article even when another word of the name is in the list above.
@@ -100,10 +110,10 @@ class Element:
     ``regions`` holds at most a main and an article element; an article within an article belongs
     to the outer one. ``aside`` is dropped by name or as a form, up to a region inside that is
     rescued: ``rescued`` is the innermost such region, ``others`` tells that it stands among reader
-    comments or related articles.
+    comments or related articles. ``doubt`` is the outermost element whose name may mark what is not the article.
     """
 
-    __slots__ = ("tag", "parent", "depth", "dropped", "header", "regions", "aside", "rescued", "others")
+    __slots__ = ("tag", "parent", "depth", "dropped", "header", "regions", "aside", "rescued", "others", "doubt")
 
     def __init__(self, tag, parent, dropped, header):
         self.tag, self.parent, self.dropped, self.header = tag, parent, dropped, header
@@ -112,6 +122,7 @@ class Element:
         self.aside = parent is not None and parent.aside
         self.rescued = None if parent is None else parent.rescued
         self.others = parent is not None and parent.others
+        self.doubt = None if parent is None else parent.doubt
 
     def mark(self, kind: str):
         if kind not in self.regions:
@@ -196,17 +207,28 @@ class Lines(HTMLParser):
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
         role = (attrs.get("role") or "").lower()
         kind = tag if tag in REGIONS else role if role in REGIONS else "article" if attrs.get("itemprop") == "articleBody" else None
-        words = set() if tag in NEVER_BY_NAME else _dropped_names(names) if kind else _dropped_words(names)
+        within = bool(self.stack[-1].regions) and not kind
+        doubt = set()
+        if tag in NEVER_BY_NAME or (within and tag in HEADINGS):
+            words = set()
+        elif within:
+            words = _dropped_names(attrs.get("class") or "") | ALONE_NAMES.intersection((attrs.get("id") or "").lower().split())
+            doubt = DOUBTFUL_NAMES & words or DOUBTFUL_ROLES & {role}
+            words -= doubt
+        else:
+            words = _dropped_names(names) if kind else _dropped_words(names)
         if tag in REGIONS and not words:
             self.close_unclosed()
         parent = self.stack[-1]
         hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
-        dropped = parent.dropped or tag in DROPPED or role in DROPPED_ROLES or hidden or (tag == "header" and not parent.regions)
+        by_role = role in DROPPED_ROLES and not (within and role in DOUBTFUL_ROLES)
+        dropped = parent.dropped or tag in DROPPED or by_role or hidden or (tag == "header" and not parent.regions)
         header = parent.header or tag == "header"
         if header and parent.regions and not parent.dropped and tag not in DROPPED:
             dropped = dropped or not (tag in HEADINGS or tag in INLINE or tag in ("header", "div", "hgroup"))
         element = Element(tag, parent, dropped, header)
         element.aside = element.aside or tag == "form" or bool(words)
+        element.doubt = element.doubt or (element if doubt else None)
         element.others = element.others or not OTHERS_NAMES.isdisjoint(words) or bool(kind and words)
         if kind and not dropped:
             if element.aside:
@@ -265,6 +287,15 @@ def _clustered(lines) -> tuple[np.ndarray, np.ndarray]:
     return chars, smooth >= min(smooth.std(), smooth.max())
 
 
+def _doubtful(lines, chars: np.ndarray, content: np.ndarray) -> dict[Element | None, float]:
+    """Of each element in doubt, by how many characters its text in clusters exceeds the rest of it."""
+    found: dict[Element | None, float] = {}
+    for line, n, clustered in zip(lines, chars, content):
+        if line[2].doubt is not None:
+            found[line[2].doubt] = found.get(line[2].doubt, 0) + (n if clustered else -n)
+    return found
+
+
 def main_text(html: str | None) -> str:
     """The article's lines, joined by newlines; empty if there is none."""
     html = html or ""
@@ -280,7 +311,7 @@ def main_text(html: str | None) -> str:
     chars, content = _clustered(lines)
 
     weights: dict[Element | None, float] = {}
-    for weight, line in zip(chars * (1 + content), lines):
+    for weight, line in zip(chars * np.where(content, 1.0, STRAY), lines):
         region = line[2].region()
         weights[region] = weights.get(region, 0) + weight
     plain = weights.pop(None, 0)
@@ -288,10 +319,10 @@ def main_text(html: str | None) -> str:
     weights = {r: w for r, w in weights.items() if not r.others} or weights
     if weights:
         region = max(weights, key=weights.get)
-        # rescued articles alone are not known to be the page's own
-        if weights[region] >= plain or any(r.rescued is None or "main" in r.regions for r in weights):
+        if MARKED * weights[region] >= plain:
             around = [region, region.regions.get("main")]
-            return "\n".join(x[0] for x in lines if any(
+            kept = _doubtful(lines, chars, content)
+            return "\n".join(x[0] for x in lines if kept.get(x[2].doubt, 0) >= 0 and any(
                 r is not None and r in x[2].regions.values() and x[2].rescued is r.rescued for r in around
             ))
         lines = [x for x in lines if x[2].region() is None]
