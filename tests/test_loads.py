@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from pathlib import Path
 from types import SimpleNamespace
@@ -229,6 +230,103 @@ def test_wider_staged_types_are_brought_to_the_table(spark, table, mode):
     assert [f.dataType.simpleString() for f in spark.table(name).schema] == ["int", "string", "int", "string"]
 
 
+class Killed(BaseException):
+    pass
+
+
+@pytest.mark.parametrize("partition", [(), ("part",)])
+@pytest.mark.parametrize("dies", ["prepare", "note", "apply", "applied", "record"])
+def test_a_conditional_upsert_killed_anywhere_replays_once(spark, table, tmp_path, monkeypatch, partition, dies):
+    name = table(OLD, partition)
+    batch = spark.createDataFrame([(1, "a", 5, "new"), (2, "c", 50, "new"), (None, "b", 1, "new")], SCHEMA)
+    log = micro_batch.BatchLog(spark, str(tmp_path / "batches"))
+    args = (batch, 0, log, name, "upsert")
+    options = {"keys": ["k"], "condition": "src.v > trg.v"}
+    where = {"prepare": (loads, "_prepare"), "note": (loads, "prepared"), "apply": (loads, "_apply"), "applied": (loads, "applied"),
+             "record": (micro_batch.BatchLog, "record")}[dies]
+    with monkeypatch.context() as patch:
+        real = getattr(*where)
+
+        def dying(*given, **named):
+            if dies in ("apply", "note"):  # half way: done, but its caller never knows; or not even begun
+                real(*given, **named)
+            raise Killed
+
+        patch.setattr(*where, dying)
+        with pytest.raises(Killed):
+            micro_batch.load_batch(*args, **options)
+    assert micro_batch.load_batch(*args, **options)
+    assert not micro_batch.load_batch(*args, **options)
+    # the row that fails the condition is inserted once, as is the row without a key
+    expected = [(1, "a", 10, "old"), (1, "a", 5, "new"), (2, "c", 50, "old"), (None, "b", 30, "old"), (None, "b", 1, "new")]
+    assert rows(spark, name) == sorted(expected, key=str)
+    assert loads.pending(spark, name) is None
+
+
+def test_append_partitions_stay_few(spark, tmp_path):
+    for fanout in (2, 3, 16):  # by the plan alone
+        held = set()
+        for batch in range(1000):
+            held.add(batch)
+            for first, last in micro_batch.merges(batch, fanout):
+                held -= set(range(first, last))
+            assert len(held) <= (fanout - 1) * (math.log(batch + 1, fanout) + 1)
+    name = f"s_{uuid.uuid4().hex[:8]}"
+    loads.create_table(spark.createDataFrame([], "id bigint, batch_id bigint"), name, ["batch_id"])
+    log = micro_batch.BatchLog(spark, str(tmp_path / "batches"))
+    for batch in range(14):
+        assert micro_batch.load_batch(spark.range(batch * 5, batch * 5 + 5), batch, log, name, "append", fanout=3)
+        assert not micro_batch.load_batch(spark.range(99), batch, log, name, "append", fanout=3)
+        assert not micro_batch.load_batch(spark.range(99), 0, log, name, "append", fanout=3)
+    found = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    assert sorted(r[0] for r in found) == ["batch_id=11", "batch_id=12", "batch_id=13", "batch_id=8"]
+    assert sorted(r.id for r in spark.table(name).collect()) == list(range(70))
+
+
+@pytest.mark.parametrize("step", ["overwrite_partitions", "applied"])
+def test_a_merge_that_is_interrupted_is_ended(spark, tmp_path, monkeypatch, step):
+    name = f"s_{uuid.uuid4().hex[:8]}"
+    loads.create_table(spark.createDataFrame([], "id bigint, batch_id bigint"), name, ["batch_id"])
+    log = micro_batch.BatchLog(spark, str(tmp_path / "batches"))
+    micro_batch.load_batch(spark.range(5), 0, log, name, "append", fanout=2)
+    real, calls = getattr(loads, step), []
+
+    def dying(*given, **named):
+        calls.append(1)
+        if step == "applied" or len(calls) == 2:  # the second overwrite is the merge's
+            if step == "overwrite_partitions":
+                real(*given, **named)
+            raise Killed
+        return real(*given, **named)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(loads, step, dying)
+        with pytest.raises(Killed):
+            micro_batch.load_batch(spark.range(5, 10), 1, log, name, "append", fanout=2)
+    assert log.highest() == 1 and loads.pending(spark, name) is not None
+    assert not micro_batch.load_batch(spark.range(5, 10), 1, log, name, "append", fanout=2)  # the replay ends it
+    assert sorted(r.id for r in spark.table(name).collect()) == list(range(10)) and loads.pending(spark, name) is None
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["batch_id=1"]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    def session_of(master, scheme, **settings):
+        conf = {"spark.sql.warehouse.dir": "/some/warehouse", **settings}
+        system = SimpleNamespace(getScheme=lambda: scheme)
+        path = SimpleNamespace(getFileSystem=lambda _: system)
+        hadoop = SimpleNamespace(fs=SimpleNamespace(Path=lambda _: path))
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)),
+            sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None, _jsc=SimpleNamespace(hadoopConfiguration=lambda: None)),
+            _jvm=SimpleNamespace(org=SimpleNamespace(apache=SimpleNamespace(hadoop=hadoop))))
+
+    assert session.shared_dir(session_of("local[4]", "file")) == "/some/warehouse/_tidemark"
+    assert session.shared_dir(session_of("yarn", "hdfs")) == "/some/warehouse/_tidemark"
+    assert session.shared_dir(session_of("yarn", "file", **{"spark.checkpoint.dir": "/shared"})) == "/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(session_of("yarn", "file"))
+
+
 VALUES = ["x\\y", "it's", "a/b=c", "') --", "é%", None, "\\'"]
 
 

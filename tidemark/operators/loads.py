@@ -14,19 +14,24 @@ is below the broadcast threshold. Larger staging sort-merges, with skewed keys s
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import delete, fresh_path, owns
+from tidemark.session import delete, exists, fresh_path, owns
 
 # Fixed value: the load time column keeps its old value on update.
 NEVER_UPDATED = ("load_ts",)
 LOAD_MODES = ("full_load", "overwrite", "append", "upsert", "update")
 
 
+# Table properties: the last version a rewrite was given, and one that is prepared but perhaps not applied.
+VERSION, PENDING = "tidemark.version", "tidemark.pending"
+
+
 # Table formats with a MERGE of their own, and those rewritten as files.
 MERGING_FORMATS = ("delta", "iceberg")
 FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv")
@@ -114,12 +119,49 @@ def _by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 def _point_at(spark: SparkSession, table: str, path: str, keep_old: bool) -> None:
     before = location(spark, table)
+    if before.rstrip("/").rsplit("/", 1)[-1] == path.rstrip("/").rsplit("/", 1)[-1]:
+        return  # it points there already
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
     if not keep_old:
         _retire(spark, before)
 
 
+# --- versions ----------------------------------------------------------------------------
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _set_properties(spark: SparkSession, table: str, **values: str) -> None:
+    names = {"version": VERSION, "pending": PENDING}
+    given = ", ".join(f"'{names[k]}' = '{v}'" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({given})")
+
+
+def prepared(spark: SparkSession, table: str, version: str, change: dict) -> None:
+    """Commit a change whose result lies ready: from here on it happens, whoever applies it.
+
+    The table's own property is the one thing that is written; what went before has touched nothing of
+    the table, and what follows repeats itself.
+    """
+    _set_properties(spark, table, pending=json.dumps({"version": version, **change}))
+
+
+def pending(spark: SparkSession, table: str) -> dict | None:
+    found = _properties(spark, table).get(PENDING)
+    return json.loads(found) if found else None
+
+
+def applied(spark: SparkSession, table: str, version: str) -> None:
+    _set_properties(spark, table, version=version, pending="")
+
+
+def has_version(spark: SparkSession, table: str, version: str) -> bool:
+    return _properties(spark, table).get(VERSION) == version
+
+
 def full_load(
     staged: DataFrame, table: str, partition_by: Sequence[str] = (), keep_old: bool = False
 ) -> None:
@@ -322,20 +364,39 @@ def _merge(staged: DataFrame, table: str, **clauses) -> None:
 def _rewrite(
     spark: SparkSession, table: str, staged: DataFrame, keys: Sequence[str],
     change: Callable[[DataFrame], DataFrame], adds_rows: bool, sets: Sequence[str], keep_old: bool,
+    version: str | None = None,
 ) -> None:
     """Apply ``change`` to the table, or only to its partitions that change.
 
-    Touched are the partitions of matched rows and, for inserts, of staged rows. The
-    result is written to the shared folder first, because Spark cannot overwrite what it
-    is reading. Rows leave a partition only when one of its columns is set; folders of partitions that end up empty are deleted, and the catalog is
-    brought in line with the folders once.
+    The result is written to the shared folder first, because Spark cannot overwrite what it
+    is reading, and then applied. With a ``version`` the table notes in between that it lies ready.
+    """
+    path = fresh_path(spark, table.replace(".", "-"))
+    _prepare(spark, table, path, staged, keys, change, adds_rows, sets)
+    if version is not None:
+        prepared(spark, table, version, {"path": path})
+    _apply(spark, table, path, keep_old)
+    if version is not None:
+        applied(spark, table, version)
+
+
+def _emptied(path: str) -> str:
+    return f"{path}-emptied"
+
+
+def _prepare(
+    spark: SparkSession, table: str, path: str, staged: DataFrame, keys: Sequence[str],
+    change: Callable[[DataFrame], DataFrame], adds_rows: bool, sets: Sequence[str],
+) -> None:
+    """The changed table, or its changed partitions and a list of those that end up empty, at ``path``.
+
+    Touched are the partitions of matched rows and, for inserts, of staged rows. Rows leave a partition only when one
+    of its columns is set.
     """
     target, found = spark.table(table), _format(spark, table)
     partitions = _partition_columns(spark, table)
-    path = fresh_path(spark, table.replace(".", "-"))
     if not partitions:
         _as_table(change(target), table).write.format(found).save(path)
-        _point_at(spark, table, path, keep_old)
         return
     matched = target.alias("trg").join(
         staged.select(*keys).alias("src"), _matches(keys, None), "left_semi"
@@ -345,21 +406,52 @@ def _rewrite(
     same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in partitions]
     affected = target.alias("old").join(touched.alias("new"), same, "left_semi")
     _as_table(change(affected), table).write.parquet(path)
-    rewritten = spark.read.schema(target.schema).parquet(path)
-    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
-    files = target.select(*partitions, folder).distinct().alias("old")
-    emptied = files.join(touched.alias("new"), same, "left_semi").join(rewritten.alias("new"), same, "left_anti")
-    folders = [row["folder"] for row in emptied.select("folder").toLocalIterator()] if set(sets) & set(partitions) else []
+    if set(sets) & set(partitions):
+        rewritten = spark.read.schema(target.schema).parquet(path)
+        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
+        files = target.select(*partitions, folder).distinct().alias("old")
+        emptied = files.join(touched.alias("new"), same, "left_semi").join(rewritten.alias("new"), same, "left_anti")
+        emptied.select("folder").write.parquet(_emptied(path))
+
+
+def _apply(spark: SparkSession, table: str, path: str, keep_old: bool) -> None:
+    """Bring the table to what was prepared at ``path``; again, if that was interrupted.
+
+    Folders of partitions that ended up empty are deleted, and the catalog is brought in line with the folders once.
+    """
+    if not _partition_columns(spark, table):
+        _point_at(spark, table, path, keep_old)
+        return
+    if not exists(spark, path):
+        return  # the last step was done
+    rewritten = spark.read.schema(spark.table(table).schema).parquet(path)
     if not rewritten.isEmpty():
         overwrite_partitions(rewritten, table)
-    for gone in folders:
-        delete(spark, spark._jvm.java.net.URI(gone))
-    if folders:
-        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
-        spark.catalog.refreshTable(table)
+    if exists(spark, _emptied(path)):
+        folders = [row["folder"] for row in spark.read.schema("folder string").parquet(_emptied(path)).toLocalIterator()]
+        for gone in folders:
+            delete(spark, spark._jvm.java.net.URI(gone))
+        if folders:
+            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+            spark.catalog.refreshTable(table)
+        delete(spark, _emptied(path))
     delete(spark, path)
 
 
+def _done_before(spark: SparkSession, table: str, version: str | None, keep_old: bool) -> bool:
+    """Was this version applied already, or is it now, as it lay ready?"""
+    if version is None:
+        return False
+    if has_version(spark, table, version):
+        return True
+    waiting = pending(spark, table)
+    if waiting is None or waiting["version"] != version:
+        return False
+    _apply(spark, table, waiting["path"], keep_old)
+    applied(spark, table, version)
+    return True
+
+
 def _checked(
     staged: DataFrame, table: str, keys: Sequence[str], columns: Sequence[str], all_columns: bool
 ) -> DataFrame:
@@ -378,12 +470,19 @@ def _checked(
 def upsert(
     staged: DataFrame, table: str, keys: Sequence[str], condition: str | None = None,
     update_columns: Sequence[str] | None = None, update_when: str | None = None,
-    keep_old: bool = False,
+    keep_old: bool = False, version: str | None = None,
 ) -> None:
+    """``version`` names this load: given again, after whatever interruption, it changes nothing more.
+
+    Only the table's last version is remembered, so loads that may be repeated come one after another.
+    """
     spark = staged.sparkSession
     condition = (condition or "").strip() or None
     staged = _checked(staged, table, keys, update_columns or (), all_columns=True)
-    if _format(spark, table) in MERGING_FORMATS:
+    found = _format(spark, table)
+    if found in FILE_FORMATS and _done_before(spark, table, version, keep_old):
+        return
+    if found in MERGING_FORMATS:
         columns = spark.table(table).columns
         chosen = columns if update_columns is None else update_columns
         updates = [c for c in chosen if c not in NEVER_UPDATED]
@@ -395,6 +494,7 @@ def upsert(
         spark, table, staged, keys,
         lambda target: merged(target, staged, keys, condition, update_columns, update_when),
         adds_rows=True, sets=staged.columns if update_columns is None else update_columns, keep_old=keep_old,
+        version=version,
     )
 
 
@@ -422,12 +522,13 @@ def update(
 def load(
     staged: DataFrame, table: str, mode: str, partition_by: Sequence[str] = (),
     keys: Sequence[str] = (), condition: str | None = None,
-    update_columns: Sequence[str] | None = None, update_when: str | None = None,
+    update_columns: Sequence[str] | None = None, update_when: str | None = None, version: str | None = None,
 ) -> None:
     """Load by the configured mode, whatever its case.
 
     An overwrite by partitions must name the columns the table is partitioned by.
-    ``update_when`` is asked of the rows an upsert or update matches.
+    ``update_when`` is asked of the rows an upsert or update matches; ``version`` keeps a repeated upsert from
+    inserting again. The other modes repeat themselves, but for append.
     """
     kind = mode.lower()
     if kind == "full_load" or (kind == "overwrite" and not partition_by):
@@ -440,7 +541,7 @@ def load(
     elif kind == "append":
         append(staged, table)
     elif kind == "upsert":
-        upsert(staged, table, keys, condition, update_columns, update_when)
+        upsert(staged, table, keys, condition, update_columns, update_when, version=version)
     elif kind == "update":
         both = " AND ".join(f"({c})" for c in (condition, update_when) if (c or "").strip())
         update(staged, table, keys, update_columns or (), both)

@@ -29,10 +29,17 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse.
 
-    A machine-local folder is never used: it would be lost with its machine.
+    On a cluster a warehouse on the driver's own disk is refused: executors would write to theirs, and lose
+    it with their machine.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    return configured or f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_tidemark"
+    if configured:
+        return configured
+    warehouse = spark.conf.get(WAREHOUSE_DIR).rstrip("/")
+    remote = "://" in warehouse and not warehouse.startswith("file:")
+    if not remote and not spark.sparkContext.master.startswith("local") and _file_system(spark, warehouse)[0].getScheme() == "file":
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share: {warehouse} is a machine's own")
+    return f"{warehouse}/_tidemark"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -68,6 +75,11 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
 def owns(spark: SparkSession, path: str) -> bool:
     """Is ``path`` a folder of ours, below the shared folder?"""
     system, place = _file_system(spark, path)
