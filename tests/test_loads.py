@@ -230,6 +230,111 @@ def test_wider_staged_types_are_brought_to_the_table(spark, table, mode):
     assert [f.dataType.simpleString() for f in spark.table(name).schema] == ["int", "string", "int", "string"]
 
 
+# --- buckets --------------------------------------------------------------------------
+
+
+@pytest.fixture
+def bucketed(spark):
+    def make(rows, buckets=8):
+        name = f"b_{uuid.uuid4().hex[:10]}"
+        loads.create_table(spark.createDataFrame(rows, SCHEMA), name, buckets=buckets, bucket_by=["k"])
+        return name
+
+    return make
+
+
+def files_of(spark, name):
+    return set(session.file_names(spark, loads.location(spark, name)))
+
+
+MANY = [(i, "a", i, "old") for i in range(200)] + [(None, "n", 1, "old")]
+
+
+def test_only_touched_buckets_are_rewritten(spark, bucketed):
+    name = bucketed(MANY)
+    before = files_of(spark, name)
+    staged = spark.createDataFrame([(7, "b", 70, "new")], SCHEMA)
+    loads.load(staged, name, "upsert", keys=["k"])
+    after = files_of(spark, name)
+    bucket = staged.select(loads.bucket_of(["k"], 8)).first()[0]
+    assert len(before) == 8 and {loads._bucket_in_name(n) for n in before - after} == {bucket} == {loads._bucket_in_name(n) for n in after - before}
+    assert rows(spark, name) == sorted([r if r[0] != 7 else (7, "b", 70, "old") for r in MANY], key=str)
+    # what Spark makes of the files as buckets is right: each key is found in its own
+    for k in (7, 8, 199):
+        assert spark.table(name).filter(F.col("k") == k).count() == 1
+    read = loads._of_buckets(spark, name, list(after)[:2]).select("k")
+    read.collect()
+    found, todo = [], [read._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan"):
+            found.append(node.metrics().apply("numFiles").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert found == [2]
+
+
+def test_a_bucketed_target_is_not_moved(spark, bucketed):
+    name = bucketed(MANY)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staged = spark.createDataFrame([(i, "b", 5, "new") for i in range(50, 300)], SCHEMA)
+        target = loads._of_buckets(spark, name, files_of(spark, name))
+        plan = loads.merged(target, staged, ["k"])._jdf.queryExecution().executedPlan().toString()
+        # every exchange lies above staged rows alone
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange hashpartitioning" in line:
+                depth = len(line) - len(line.lstrip(" :+-"))
+                below = []
+                for other in lines[i + 1 :]:
+                    if len(other) - len(other.lstrip(" :+-")) <= depth:
+                        break
+                    below.append(other)
+                assert not any(name in other for other in below)
+        assert plan.count("SortMergeJoin") >= 2 and "Exchange hashpartitioning" in plan
+        loads.load(staged, name, "upsert", keys=["k"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    expected = [r for r in MANY if r[0] is None or r[0] < 50] + [(i, "b", 5, "old" if i < 200 else "new") for i in range(50, 300)]
+    assert rows(spark, name) == sorted(expected, key=str)
+
+
+def test_bucketed_loads_equal_others(spark, bucketed, table):
+    staged = spark.createDataFrame([(3, "b", 1, "new"), (500, "c", 2, "new"), (None, "d", 3, "new"), (9, "e", 900, "new")], SCHEMA)
+    for mode, options in (("upsert", {"keys": ["k"]}), ("upsert", {"keys": ["k"], "condition": "src.v > trg.v"}),
+                          ("upsert", {"keys": ["k", "part"]}), ("update", {"keys": ["k"], "update_columns": ["v"]}),
+                          ("update", {"keys": ["part"], "update_columns": ["k"]}), ("append", {}), ("full_load", {})):
+        names = bucketed(MANY), table(MANY)
+        for name in names:
+            loads.load(staged, name, mode, **options)
+            loads.load(staged.filter("k = 9"), name, "upsert", keys=["k"])
+        assert rows(spark, names[0]) == rows(spark, names[1]), (mode, options)
+        assert loads._buckets(spark, names[0]) == (8, ["k"])
+
+
+@pytest.mark.parametrize("step", ["_replaced", "move", "delete"])
+def test_buckets_killed_half_way_are_applied_once(spark, bucketed, monkeypatch, step):
+    name = bucketed(MANY)
+    staged = spark.createDataFrame([(i, "b", -1, "new") for i in range(20)], SCHEMA)
+    options = {"keys": ["k"], "condition": "src.v > trg.v", "version": "s#4"}
+    with monkeypatch.context() as patch:
+        real, calls = getattr(loads, step), []
+
+        def dying(*given):
+            calls.append(given)
+            if len(calls) == 2:
+                raise Killed
+            return real(*given)
+
+        patch.setattr(loads, step, dying)
+        with pytest.raises(Killed):
+            loads.upsert(staged, name, **options)
+    loads.upsert(staged, name, **options)
+    loads.upsert(staged, name, **options)
+    assert rows(spark, name) == sorted(MANY + [(i, "b", -1, "new") for i in range(20)], key=str)
+
+
 class Killed(BaseException):
     pass
 

@@ -7,6 +7,9 @@ and update rewrite: a whole table into a new version its name is then pointed at
 partitioned table only in the partitions that change. The version before is deleted,
 unless the load is told to ``keep_old``, for readers that still hold it.
 
+A table bucketed by keys is rewritten only in the buckets that staged rows fall into, and joins staged rows of any
+size without being moved; files of other buckets stay as they are.
+
 The target is never shuffled for a small staging table: updates arrive by a left join and
 inserts are found among the staged keys, and Spark broadcasts the staged side whenever it
 is below the broadcast threshold. Larger staging sort-merges, with skewed keys split.
@@ -15,13 +18,14 @@ is below the broadcast threshold. Larger staging sort-merges, with skewed keys s
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import delete, exists, fresh_path, owns
+from tidemark.session import delete, exists, file_names, fresh_path, move, owns
 
 # Fixed value: the load time column keeps its old value on update.
 NEVER_UPDATED = ("load_ts",)
@@ -65,6 +69,14 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def _buckets(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """How many buckets the table has, by which columns; None without."""
+    rows = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if "Num Buckets" not in rows:
+        return None
+    return int(rows["Num Buckets"]), re.findall("`((?:[^`]|``)+)`", rows["Bucket Columns"])
+
+
 def _require(columns: Sequence[str], available: Sequence[str], where: str) -> None:
     lacking = [c for c in columns if c not in available]
     if lacking:
@@ -88,13 +100,14 @@ def _retyped(df: DataFrame, table: str) -> DataFrame:
 
 
 def create_table(
-    df: DataFrame, table: str, partition_by: Sequence[str] = (), table_format: str = "parquet"
+    df: DataFrame, table: str, partition_by: Sequence[str] = (), table_format: str = "parquet",
+    buckets: int = 0, bucket_by: Sequence[str] = (),
 ) -> None:
-    """Create the table from ``df`` with its data in the shared folder."""
+    """Create the table from ``df`` with its data in the shared folder, in ``buckets`` by the columns ``bucket_by`` if given."""
     path = fresh_path(df.sparkSession, table.replace(".", "-"))
-    _by_partition(df, partition_by).write.format(table_format).option("path", path).partitionBy(
-        *partition_by
-    ).saveAsTable(table)
+    rows = df.repartition(buckets, *bucket_by) if buckets else _by_partition(df, partition_by)
+    writer = rows.write.format(table_format).option("path", path).partitionBy(*partition_by)
+    (writer.bucketBy(buckets, *bucket_by) if buckets else writer).saveAsTable(table)
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
@@ -181,7 +194,8 @@ def full_load(
         return
     before, path = location(spark, table), fresh_path(spark, table.replace(".", "-"))
     rows = _by_partition(staged, columns).write.format(found).option("path", path)
-    rows.partitionBy(*columns).mode("overwrite").saveAsTable(table)
+    rows, buckets = rows.partitionBy(*columns), _buckets(spark, table)
+    (rows.bucketBy(buckets[0], *buckets[1]) if buckets else rows).mode("overwrite").saveAsTable(table)
     if not keep_old:
         _retire(spark, before)
 
@@ -372,7 +386,11 @@ def _rewrite(
     is reading, and then applied. With a ``version`` the table notes in between that it lies ready.
     """
     path = fresh_path(spark, table.replace(".", "-"))
-    _prepare(spark, table, path, staged, keys, change, adds_rows, sets)
+    buckets = _buckets(spark, table)
+    if buckets and set(buckets[1]) <= set(keys) and not _partition_columns(spark, table) and not set(sets) & (set(buckets[1]) - set(keys)):
+        _prepare_buckets(spark, table, path, staged, *buckets, change)
+    else:
+        _prepare(spark, table, path, staged, keys, change, adds_rows, sets)
     if version is not None:
         prepared(spark, table, version, {"path": path})
     _apply(spark, table, path, keep_old)
@@ -396,7 +414,11 @@ def _prepare(
     target, found = spark.table(table), _format(spark, table)
     partitions = _partition_columns(spark, table)
     if not partitions:
-        _as_table(change(target), table).write.format(found).save(path)
+        writer, buckets = _as_table(change(target), table).write.format(found), _buckets(spark, table)
+        if buckets:
+            _write_bucketed(writer, path, *buckets)
+        else:
+            writer.save(path)
         return
     matched = target.alias("trg").join(
         staged.select(*keys).alias("src"), _matches(keys, None), "left_semi"
@@ -414,11 +436,71 @@ def _prepare(
         emptied.select("folder").write.parquet(_emptied(path))
 
 
+def _replaced(path: str) -> str:
+    return f"{path}-replaced"
+
+
+def bucket_of(columns: Sequence[str], buckets: int) -> Column:
+    """The bucket Spark puts a row in."""
+    return F.pmod(F.hash(*columns), F.lit(buckets))
+
+
+def _bucket_in_name(name: str) -> int:
+    """Spark ends the names of a bucketed table's files with the bucket."""
+    return int(re.search(r"_(\d+)(?:\..*)?$", name)[1])
+
+
+def _write_bucketed(writer, path: str, buckets: int, columns: Sequence[str]) -> None:
+    """Only tables of the catalog are written in buckets: one that is gone once its files are there."""
+    table = f"bucketed_{uuid.uuid4().hex}"
+    spark = writer._spark
+    writer.bucketBy(buckets, *columns).option("path", path).saveAsTable(table)
+    spark.sql(f"DROP TABLE {table}")  # a table with a path of its own leaves its files
+
+
+def _of_buckets(spark: SparkSession, table: str, names: Sequence[str]) -> DataFrame:
+    """The table's rows in these files; still in buckets, so a join by them does not move the rows."""
+    return spark.table(table).filter(F.col("_metadata.file_name").isin(list(names)))
+
+
+def _prepare_buckets(
+    spark: SparkSession, table: str, path: str, staged: DataFrame, buckets: int, columns: Sequence[str],
+    change: Callable[[DataFrame], DataFrame],
+) -> None:
+    """New files at ``path`` for the buckets that staged rows fall into, and a list of the files they replace.
+
+    A row that matches by the keys has the staged row's bucket, as the table is bucketed by some of them. The
+    driver sees a number a touched bucket and the names of their files.
+    """
+    touched = {r[0] for r in staged.select(bucket_of(columns, buckets)).distinct().collect()}
+    names = [n for n in file_names(spark, location(spark, table)) if _bucket_in_name(n) in touched]
+    rows = _as_table(change(_of_buckets(spark, table, names)), table)
+    _write_bucketed(rows.write.format(_format(spark, table)), path, buckets, columns)
+    spark.createDataFrame([(n,) for n in names], "name string").write.parquet(_replaced(path))
+
+
+def _apply_buckets(spark: SparkSession, table: str, path: str) -> None:
+    """New files in, replaced ones out; a reader in between may see rows of a bucket twice."""
+    folder = location(spark, table)
+    for name in file_names(spark, path):
+        move(spark, f"{path}/{name}", f"{folder}/{name}")
+    for row in spark.read.schema("name string").parquet(_replaced(path)).collect():
+        delete(spark, f"{folder}/{row['name']}")
+    spark.catalog.refreshTable(table)
+    delete(spark, path)
+    delete(spark, _replaced(path))
+
+
 def _apply(spark: SparkSession, table: str, path: str, keep_old: bool) -> None:
     """Bring the table to what was prepared at ``path``; again, if that was interrupted.
 
     Folders of partitions that ended up empty are deleted, and the catalog is brought in line with the folders once.
     """
+    if exists(spark, _replaced(path)):
+        _apply_buckets(spark, table, path)
+        return
+    if _buckets(spark, table) and not exists(spark, path) and not _partition_columns(spark, table):
+        return  # the last step was done
     if not _partition_columns(spark, table):
         _point_at(spark, table, path, keep_old)
         return

@@ -80,6 +80,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files directly in a folder; of one that is not there, none."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    names = [entry.getPath().getName() for entry in system.listStatus(place) if entry.isFile()]
+    return [name for name in names if not name.startswith(("_", "."))]
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; nothing happens if that was done before."""
+    system, place = _file_system(spark, source)
+    if system.exists(place) and not system.rename(place, _file_system(spark, target)[1]):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def owns(spark: SparkSession, path: str) -> bool:
     """Is ``path`` a folder of ours, below the shared folder?"""
     system, place = _file_system(spark, path)
