@@ -169,6 +169,14 @@ def test_dates_done_before_are_passed_over(spark, table):
     assert [r[5] for r in content(spark, name)] == ["20240107", "20240109"] and watermarks(done) == {"j": "20240110"}
 
 
+def test_a_daily_run_counts_while_it_stages(spark, table):
+    """One date: the row count is the staging write's own; the staged rows are read once, by the load."""
+    name = table()
+    staged = {"j": [(i, "a", 1, 1, "x", "20240110") for i in range(7)] + [(9, "a", 1, 1, "x", "20240111")]}
+    done = run(spark, jobs_of(spark, [job("j", name, "append", "20240109")]), staged)
+    assert [(r["row_cnt"], r["status"]) for r in done.state.collect()] == [(7, "SUCCESS")] and len(content(spark, name)) == 7
+
+
 def test_nothing_due(spark, table):
     done = run(spark, jobs_of(spark, [job("j", table(), "append", "20240110")]), {})
     assert watermarks(done) == {"j": "20240110"} and done.events.count() == 0 and done.state.count() == 0

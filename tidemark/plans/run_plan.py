@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import audit, backlog, guards, loads, planning, readiness, validation
-from tidemark.session import fresh_path, materialize
+from tidemark.session import fresh_path, materialize, materialize_counted
 
 
 def planned(jobs: DataFrame) -> DataFrame:
@@ -207,15 +207,19 @@ def _load_all(
     spark = jobs.sparkSession
     due = starting.groupBy("job_nm").agg(F.min("run_ts").alias("first"), F.max("run_ts").alias("last"))
     counts = fresh_path(spark, "staged-counts")
+    counted_rows: list[tuple] = []
 
     def one(numbered: tuple[int, Row]) -> Loaded:
         number, job = numbered
         try:
             runs = starting.filter(F.col("job_nm") == job["job_nm"]).select("ictrl_dt", "run_ts")
             rows = staged[job["job_nm"]]
-            rows = materialize(rows.join(runs, "ictrl_dt").select(*rows.columns, "run_ts"), "staged")
-            per_run = rows.groupBy("run_ts").agg(F.count("*").alias("row_cnt"))
-            per_run.select(F.lit(job["job_nm"]).alias("job_nm"), "run_ts", "row_cnt").write.parquet(f"{counts}/{number}")
+            rows, n = materialize_counted(rows.join(runs, "ictrl_dt").select(*rows.columns, "run_ts"), "staged")
+            if job["first"] == job["last"]:  # one date: what the write counted
+                counted_rows.append((job["job_nm"], job["first"], n))
+            else:
+                per_run = rows.groupBy("run_ts").agg(F.count("*").alias("row_cnt"))
+                per_run.select(F.lit(job["job_nm"]).alias("job_nm"), "run_ts", "row_cnt").write.parquet(f"{counts}/{number}")
             return load_job(job, runs, rows, rules, job["first"], job["last"])
         except Exception as problem:  # nothing of the job could be staged
             return Loaded(job["job_nm"], None, job["first"], _described(problem))
@@ -223,10 +227,10 @@ def _load_all(
     started = jobs.join(due, "job_nm").orderBy("job_nm").collect()
     with ThreadPoolExecutor(max(1, parallel)) as pool:
         results = list(pool.map(inheritable_thread_target(spark)(one), enumerate(started)))
-    counted = spark.createDataFrame([], _COUNTS)
-    if started:
+    counted = spark.createDataFrame(counted_rows, _COUNTS)
+    if any(job["first"] != job["last"] for job in started):
         spark.createDataFrame([], _COUNTS).write.parquet(f"{counts}/none")
-        counted = spark.read.schema(_COUNTS).parquet(f"{counts}/*")
+        counted = counted.unionByName(spark.read.schema(_COUNTS).parquet(f"{counts}/*"))
     return spark.createDataFrame([astuple(r) for r in results], _LOADED), counted
 
 

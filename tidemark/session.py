@@ -7,7 +7,8 @@ from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
@@ -64,6 +65,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """As ``materialize``, with the number of rows, which the write itself counts."""
+    rows = Observation()
+    written = materialize(df.observe(rows, F.count(F.lit(1)).alias("n")), name)
+    return written, rows.get["n"]
+
+
 def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place

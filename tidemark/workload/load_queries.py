@@ -218,6 +218,15 @@ def column_decrypt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CONDITION = "src.o_totalprice > 250000"
 _UPDATE_WHEN = "trg.o_totalprice < src.o_totalprice AND trg.o_orderpriority = '1-URGENT'"
+def load_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Into a target bucketed by the order; its rows are not moved."""
+    table = _name("bucketed")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    loads.create_table(_target(spark, sf_dir), table, buckets=buckets, bucket_by=KEYS)
+    loads.load(_staged(spark, sf_dir), table, "upsert", keys=KEYS)
+    return _shown(spark, table)
+
+
 QUERIES = {
     "load_full": _loaded("Full_Load"),
     "load_partition": load_partition,
@@ -226,6 +235,7 @@ QUERIES = {
     "load_upsert_cond": _loaded("upsert", keys=KEYS, condition=_CONDITION),
     "load_upsert_cols": _loaded("upsert", keys=KEYS, update_columns=["o_orderpriority", "load_ts"]),
     "load_upsert_partitioned": load_upsert_partitioned,
+    "load_upsert_bucketed": load_upsert_bucketed,
     "load_update": _loaded("update", keys=KEYS, update_columns=["o_totalprice"], condition=_UPDATE_WHEN),
     "load_feed_partition": load_feed_partition,
     "load_dup_source": load_dup_source,
@@ -261,6 +271,7 @@ ORACLES = {
       + " UNION ALL " + _PART.format(ts="new", extra=_MONTH,
                                      where="year(o_orderdate) = 1997 AND o_orderstatus = 'O'"),
     "load_upsert": _BOTH + _UPSERTED,
+    "load_upsert_bucketed": _BOTH + _UPSERTED,
     "load_upsert_cond": _BOTH + """SELECT t.* REPLACE (CASE WHEN s.o_totalprice > 250000
         THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice, CASE WHEN s.o_totalprice > 250000
         THEN s.o_orderpriority ELSE t.o_orderpriority END AS o_orderpriority)
