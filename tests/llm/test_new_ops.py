@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -293,3 +294,107 @@ def test_drawn_strings_measured():
     assert sum(bool(secrets.spans(f"a {d} b")) for d in drawn) >= 990
     long = "".join(rng.choice(alphabet) for _ in range(300_000))  # measured in pieces
     assert secrets.spans(long) == [("random", 0, 300_000)] and secrets.spans("z1" + "information" * 30_000) == []
+
+
+# 10 the additive model, fitted again by plain loops
+
+
+def plain_cut(cells, ridge):
+    """The first best place to cut a row of (g, h) cells: (gain, place)."""
+    g, h = sum(c[0] for c in cells), sum(c[1] for c in cells)
+    best = (0.0, None)
+    for at in range(1, len(cells)):
+        a, b = sum(c[0] for c in cells[:at]), sum(c[1] for c in cells[:at])
+        gain = a * a / (b + ridge) + (g - a) ** 2 / (h - b + ridge) - g * g / (h + ridge)
+        if best[1] is None or gain > best[0]:
+            best = (gain, at)
+    return best
+
+
+def plain_leaves(cells, cuts, ridge):
+    out = []
+    for a, b in zip([0, *cuts], [*cuts, len(cells)]):
+        value = sum(c[0] for c in cells[a:b]) / (sum(c[1] for c in cells[a:b]) + ridge)
+        out += [value] * (b - a)
+    return out
+
+
+def plain_row_step(cells, ridge):
+    gain, cut = plain_cut(cells, ridge)
+    if cut is None or gain <= 0:
+        return plain_leaves(cells, [], ridge)
+    (left, a), (right, b) = plain_cut(cells[:cut], ridge), plain_cut(cells[cut:], ridge)
+    second, at = (left, a) if left >= right else (right, None if b is None else cut + b)
+    return plain_leaves(cells, [cut] if at is None or second <= 0 else sorted([cut, at]), ridge)
+
+
+def plain_square_step(cells, ridge):
+    """(step, gain) of the best tree that cuts a square of cells one way, then each side the other way."""
+    n, best, step = len(cells), -1.0, None
+    for turned in (False, True):
+        rows = [[cells[j][i] for j in range(n)] for i in range(n)] if turned else cells
+        for cut in range(1, n):
+            gain, out = 0.0, []
+            for part in (rows[:cut], rows[cut:]):
+                line = [(sum(r[i][0] for r in part), sum(r[i][1] for r in part)) for i in range(n)]
+                sums = [(sum(c[0] for c in line[:at]), sum(c[1] for c in line[:at])) for at in range(1, n + 1)]
+                g, h = sums[-1]
+                scores = [a * a / (b + ridge) + (g - a) ** 2 / (h - b + ridge) for a, b in sums]
+                at = scores.index(max(scores))
+                gain += scores[at]
+                a, b = sums[at]
+                out += [[a / (b + ridge)] * (at + 1) + [(g - a) / (h - b + ridge)] * (n - at - 1)] * len(part)
+            if gain > best:
+                best, step = gain, [[out[j][i] for j in range(n)] for i in range(n)] if turned else out
+    g, h = (sum(c[k] for row in cells for c in row) for k in (0, 1))
+    return step, best - g * g / (h + ridge)
+
+
+def plain_model(x, y, m):
+    """Scores of the training rows."""
+    n, width = len(x), len(x[0])
+    share = (sum(y) + 0.5) / (n + 1)
+    total = [math.log(share / (1 - share))] * n
+    edges = [sorted({float(v) for v in np.quantile([r[f] for r in x], np.linspace(0, 1, m.BINS + 1)[1:-1])}) for f in range(width)]
+    bins = [[sum(e <= r[f] for e in edges[f]) for f in range(width)] for r in x]
+
+    def slopes():
+        p = [1 / (1 + math.exp(-t)) for t in total]
+        return [(a - b, b * (1 - b)) for a, b in zip(y, p)]
+
+    for _ in range(m.ROUNDS):
+        for f in range(width):
+            cells = [(0.0, 0.0)] * (len(edges[f]) + 1)
+            for (g, h), row in zip(slopes(), bins):
+                cells[row[f]] = (cells[row[f]][0] + g, cells[row[f]][1] + h)
+            step = plain_row_step(cells, m.RIDGE)
+            total = [t + m.RATE * step[row[f]] for t, row in zip(total, bins)]
+    coarse = [[b * m.PAIR_BINS // (m.BINS + 1) for b in row] for row in bins]
+
+    def square(a, b):
+        cells = [[(0.0, 0.0)] * m.PAIR_BINS for _ in range(m.PAIR_BINS)]
+        for (g, h), row in zip(slopes(), coarse):
+            old = cells[row[a]][row[b]]
+            cells[row[a]][row[b]] = (old[0] + g, old[1] + h)
+        return cells
+
+    every = [(a, b) for a in range(width) for b in range(a)]
+    gains = {p: plain_square_step(square(*p), m.RIDGE)[1] for p in every}
+    chosen = sorted(every, key=lambda p: -gains[p])[: m.PAIRS]
+    for _ in range(m.PAIR_ROUNDS):
+        for a, b in chosen:
+            step = plain_square_step(square(a, b), m.RIDGE)[0]
+            total = [t + m.RATE * step[row[a]][row[b]] for t, row in zip(total, coarse)]
+    return [1 / (1 + math.exp(-t)) for t in total]
+
+
+def test_the_additive_model_against_plain_loops(monkeypatch):
+    from tidemark.llm import quality_model as model
+
+    for name, value in (("ROUNDS", 5), ("PAIR_ROUNDS", 4), ("BINS", 7), ("PAIR_BINS", 4), ("PAIRS", 2)):
+        monkeypatch.setattr(model, name, value)
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(90, 4)), 2)
+    y = ((x[:, 0] * x[:, 1] > 0) ^ (rng.random(90) < 0.1)).astype(float)
+    got = model.fit(x, y).scores(x)
+    assert np.allclose(got, plain_model(x.tolist(), y.tolist(), model), rtol=0, atol=1e-9)
