@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import uuid
 from datetime import datetime
 
@@ -325,6 +326,42 @@ def test_run_plan(spark):
     assert [tuple(r) for r in left] == [("down", "20240110")]
 
 
+# --- the newest run without a sort ---------------------------------------------------------------
+
+
+def test_facts_against_plain_rows(spark):
+    rng = random.Random(6)
+    times = [None, datetime(1969, 12, 31, 23), datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 0, 1), datetime(9999, 12, 31)]
+    logs = [(rng.choice(["trans", "ingest"]), rng.choice(["up", "UP", "b"]), rng.choice([None, "s"]), "t", rng.choice([None, "r1", "r2", "r10"]),
+             rng.choice(times), rng.choice(times), rng.choice([None, "20240101", "20240102"]), rng.choice(["SUCCEED", "SUCCESS", "FAILED"]), rng.choice([None, 1, 5]))
+            for _ in range(500)]
+    logs = list({row[:8]: row for row in logs}.values())  # no run twice
+    expected = {}
+    for kind, name, schema, table, run, round_, start, label, status, n in logs:
+        if label is None:
+            continue
+        fact = expected.setdefault((kind, name.upper(), schema, table, label), [None, None, None])
+        rows = (n or 0) if status != "FAILED" else None
+        order = [(x is not None, x) if x is not None else (False,) for x in (start, round_, run)]
+        if rows is not None and (fact[0] is None or rows > fact[0]):
+            fact[0] = rows
+        if fact[2] is None or order > fact[2]:
+            fact[1], fact[2] = rows, order
+    got = rd.log_facts(spark.createDataFrame(logs, LOG)).collect()
+    assert {(r.route, r.job_key, r.schema_nm, r.table_nm, r.label): [r.best_rows, r.latest_rows] for r in got} == {
+        k: v[:2] for k, v in expected.items()}
+    assert len(got) == len(expected)
+
+
+def test_the_log_is_not_sorted(spark):
+    plan = rd.newest_by_hash(spark.createDataFrame([log("trans", "20240101", "SUCCEED", 1)], LOG), ["SUCCEED"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "SortAggregate" not in text and "ObjectHashAggregate" not in text
+    only = rd.newest_by_hash(spark.createDataFrame([log("trans", "20240101", "SUCCEED", i, run="same") for i in range(3)], LOG), ["SUCCEED"])
+    several = rd.newest_by_hash(spark.createDataFrame([log("trans", "20240101", "SUCCEED", 1, run=r) for r in "ab"], LOG), ["SUCCEED"])
+    assert not only.first().tied and several.first().tied
+
+
 # --- read as little as can be -----------------------------------------------------------------
 
 

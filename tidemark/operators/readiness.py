@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,17 +74,22 @@ def prerequisite_names(dependencies: DataFrame) -> DataFrame:
     )
 
 
-def _run_order() -> Column:
-    return F.struct("job_start_time", "round_time", "dag_run_id")
+# A time and a hash in one number: 18 digits of microseconds from the year 1 on, 20 of the hash.
+_FIRST_MICROS, _LAST_MICROS, _HASHES, _HASH_UNIT = 63 * 10**15, 10**18 - 1, 2**64 - 1, 10**20
 
 
-def log_facts(log: DataFrame, succeeded: Sequence[str] = schemas.SUCCEEDED) -> DataFrame:
-    """One row per logged (job, table, label).
+def newest_by_hash(log: DataFrame, succeeded: Sequence[str]) -> DataFrame:
+    """One row per logged (job, table, label), by aggregates that hold numbers only, so nothing is sorted for them.
 
-    ``best_rows`` is the largest row count of any success, ``latest_rows`` that of the
-    newest run when it succeeded; both are null otherwise, and a null count is 0.
+    Rows are ordered by start and, among those of one start, by a hash of round and run id; both ends of that order
+    are kept, so ``tied`` tells whether the newest start is more than one run's.
     """
     rows = F.when(F.col("status").isin(*succeeded), F.coalesce("row_cnt", F.lit(0)))
+    micros = F.unix_micros(F.col("job_start_time").cast("timestamp"))
+    at = F.least(F.greatest(F.coalesce(micros, F.lit(-_FIRST_MICROS)) + _FIRST_MICROS, F.lit(0)), F.lit(_LAST_MICROS))
+    at = at.cast("decimal(18,0)") * F.lit(Decimal(_HASH_UNIT))
+    run = F.xxhash64("round_time", "dag_run_id").cast("decimal(20,0)") + F.lit(Decimal(2**63))
+    high, low = at + run, at + (F.lit(Decimal(_HASHES)) - run)
     return (
         log.filter(F.col("ictrl_dt").isNotNull())
         .groupBy(
@@ -91,22 +97,53 @@ def log_facts(log: DataFrame, succeeded: Sequence[str] = schemas.SUCCEEDED) -> D
             "schema_nm", "table_nm", F.col("ictrl_dt").alias("label"),
         )
         .agg(
-            F.max(rows).alias("best_rows"),
-            F.max_by(rows, _run_order()).alias("latest_rows"),
-            F.max(_run_order()).alias("latest_run"),
+            F.max(rows).alias("best_rows"), F.max_by(rows, high).alias("latest_rows"),
+            F.max("job_start_time").alias("latest_start"), F.max_by("round_time", high).alias("latest_round"),
+            F.max(high).alias("_high"), F.max(low).alias("_low"),
         )
-        .withColumn("match_len", F.lit(0))
+        .withColumn("tied", F.expr(f"cast(_high % {_HASH_UNIT} + _low % {_HASH_UNIT} AS decimal(21,0)) <> {_HASHES}"))
+        .drop("_high", "_low")
     )
 
 
+def _untied(log: DataFrame, tied: DataFrame, succeeded: Sequence[str]) -> DataFrame:
+    """Facts whose newest start is several runs': the newest of those by round, then run id."""
+    key = ["route", "job_key", "schema_nm", "table_nm", "label"]
+    rows = F.when(F.col("status").isin(*succeeded), F.coalesce("row_cnt", F.lit(0)))
+    named = log.select(
+        F.col("log_kind").alias("route"), F.upper("job_nm").alias("job_key"), "schema_nm", "table_nm",
+        F.col("ictrl_dt").alias("label"), F.col("job_start_time").alias("latest_start"),
+        F.struct("round_time", F.col("dag_run_id"), rows.alias("rows")).alias("run"),
+    )
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"t.{c}")) for c in [*key, "latest_start"]]
+    newest = named.alias("l").join(tied.alias("t"), same).groupBy(
+        *[F.col(f"t.{c}").alias(c) for c in [*key, "best_rows", "latest_start"]]).agg(F.max("l.run").alias("run"))
+    return newest.select(*key, "best_rows", F.col("run.rows").alias("latest_rows"), "latest_start", F.col("run.round_time").alias("latest_round"))
+
+
+def log_facts(log: DataFrame, succeeded: Sequence[str] = schemas.SUCCEEDED) -> DataFrame:
+    """One written row per logged (job, table, label).
+
+    ``best_rows`` is the largest row count of any success, ``latest_rows`` that of the
+    newest run when it succeeded; both are null otherwise, and a null count is 0. The newest run is that of the last
+    start, then round, then run id. The log is read once; a second time only for labels whose last start several
+    runs share, and then only those rows go on.
+    """
+    found = materialize(newest_by_hash(log, succeeded), "log-facts")
+    tied = found.filter("tied").drop("tied")
+    facts = found.filter("NOT tied").drop("tied")
+    if not tied.isEmpty():
+        facts = facts.unionByName(materialize(_untied(log, tied, succeeded), "untied-facts"))
+    return facts.withColumn("match_len", F.lit(0))
+
+
 def raw_facts(dates: DataFrame) -> DataFrame:
     """Distinct business dates (``schema_nm, table_nm, data_column, label``) as facts."""
     return dates.select(
         F.lit("raw").alias("route"), F.col("data_column").alias("job_key"),
         "schema_nm", "table_nm", "label", F.lit(None).cast("bigint").alias("best_rows"),
         F.lit(None).cast("bigint").alias("latest_rows"),
-        F.lit(None).cast("struct<job_start_time:timestamp_ntz,round_time:timestamp_ntz,dag_run_id:string>")
-        .alias("latest_run"),
+        *[F.lit(None).cast("timestamp_ntz").alias(c) for c in ("latest_start", "latest_round")],
         F.lit(0).alias("match_len"),
     )
 
@@ -303,7 +340,8 @@ def prefix_facts(facts: DataFrame, checks: DataFrame) -> DataFrame:
     """Facts cut to the label lengths that prefix checks ask for, so the match is equal.
 
     ``label LIKE 'x%'`` becomes an equality on the first characters; the newest run and
-    best row count of all labels sharing the prefix are combined from the facts.
+    best row count of all labels sharing the prefix are combined from the facts. Of runs of one start and
+    round the later label's counts.
     """
     # such checks expect one date each, so its label tells the length without expanding windows
     lengths = (
@@ -315,13 +353,11 @@ def prefix_facts(facts: DataFrame, checks: DataFrame) -> DataFrame:
     return (
         facts.filter(F.col("route") == "ingest").drop("match_len").join(lengths, SOURCE_KEY)
         .filter(F.length("label") >= F.col("match_len"))
+        .withColumn("_run", F.struct("latest_start", "latest_round", "label", "latest_rows"))
         .withColumn("label", F.expr("substring(label, 1, match_len)"))
         .groupBy(*FACT_KEY)
-        .agg(
-            F.max("best_rows").alias("best_rows"),
-            F.max_by("latest_rows", "latest_run").alias("latest_rows"),
-            F.max("latest_run").alias("latest_run"),
-        )
+        .agg(F.max("best_rows").alias("best_rows"), F.max("_run").alias("_run"))
+        .select(*FACT_KEY, "best_rows", "_run.latest_rows", "_run.latest_start", "_run.latest_round")
     )
 
 
@@ -488,9 +524,7 @@ def verdicts_by_route(
     relevant = relevance(prepared)
     observed = log_facts(relevant.of_log(*_log_and_labels(checks.sparkSession, log)), succeeded)
     dates = None if raw is None else relevant.of_raw(raw)
-    if dates is not None:
-        observed = observed.unionByName(raw_facts(dates))
-    facts = materialize(observed, "facts")
+    facts = observed if dates is None else observed.unionByName(materialize(raw_facts(dates), "raw-facts"))
     needed = expected_labels(prepared)
     missing = missing_labels(needed, facts.unionByName(prefix_facts(facts, prepared)))
     newest = newest_succeeded(prepared, facts)
