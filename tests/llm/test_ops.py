@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
@@ -28,6 +29,7 @@ from tidemark.llm import (
 )
 from tidemark.llm.byte_tokens import Encoder
 from tidemark.llm.common import on_workers, tokenizer
+from tidemark.session import fresh_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, slot int, size string, number int, row long"
@@ -603,8 +605,8 @@ def test_token_shards(spark, docs, empty):
     assert Counter((r["doc_id"], r["start"], r["n_tokens"], r["record_crc32"]) for r in got) == expected
     assert sorted(r["slot"] for r in got) == list(range(len(got)))
     assert all(r["slot"] == r["shard"] * 64 + r["record"] for r in got)
-    # a file a shard; record k begins at k strides
-    size = 25 + 2 * 512 + 1
+    # a file a shard: frames of 256 records of one stride, then their places
+    size = 25 + 2 * 512
     assert token_shards.stride() == size
     files = {}
     for folder, _, names in os.walk(path):
@@ -616,9 +618,12 @@ def test_token_shards(spark, docs, empty):
     seen = Counter()
     for shard, name in files.items():
         data = open(name, "rb").read()
-        assert len(data) == size * sum(r["shard"] == shard for r in got)
-        for k in range(len(data) // size):
-            body = data[k * size + 25 : k * size + 25 + 1024]
+        frames = int.from_bytes(data[-5:-1], "little")
+        places = [int.from_bytes(data[len(data) - 5 - 4 * i :][:4], "little") for i in range(frames + 1, 0, -1)]
+        records = b"".join(zstandard.ZstdDecompressor().decompress(data[a : b - 1]) for a, b in zip(places, places[1:]))
+        assert len(records) == size * sum(r["shard"] == shard for r in got)
+        for k in range(len(records) // size):
+            body = records[k * size + 25 : (k + 1) * size]
             assert zlib.crc32(body) == by_slot[shard * 64 + k]["record_crc32"]
             seen[body] += 1
     assert seen == bodies
@@ -630,6 +635,33 @@ def test_token_shards(spark, docs, empty):
     assert token_shards.digest(spark, token_shards.write_shards(empty)).count() == 0
 
 
+def test_reading_on_at_any_slot(spark, docs, monkeypatch):
+    """Several frames a shard; reading from anywhere gives what reading from the start does."""
+    monkeypatch.setattr(token_shards, "FRAME", 5)
+    path = fresh_path(spark, "frames")
+    parts = []
+
+    def frames(index, body):
+        parts.append(list(real(index, body)))
+        return iter(parts[-1])
+
+    real = token_shards._frames
+    count, records = 103, 20
+    body = np.arange(count * 512, dtype="<u2").reshape(count, 512)
+    rows = []
+    for shard in range(6):
+        part = body[shard * records : (shard + 1) * records]
+        index = np.zeros(len(part), token_shards.HEADER)
+        index["record"], index["n_tokens"] = np.arange(len(part)), 512
+        rows += [(shard, i, r) for i, r in enumerate(frames(index, part))]
+    df = spark.createDataFrame(rows, "shard long, row long, value binary").repartitionById(6, F.col("shard").cast("int"))
+    df.sortWithinPartitions("shard", "row").select("shard", F.col("value").cast("string").alias("value")).write.partitionBy("shard").text(path)
+    whole = list(token_shards.read_from(spark, path, 0, 1000, records=records))
+    assert [s for s, _ in whole] == list(range(count)) and b"".join(b for _, b in whole) == body.tobytes()
+    for start, n in ((0, 1), (4, 2), (19, 3), (20, 20), (37, 50), (102, 5), (103, 1), (250, 1)):
+        assert list(token_shards.read_from(spark, path, start, n, records=records)) == whole[start : start + n]
+
+
 def test_slots_of_numbered_sequences(spark, docs):
     """The order in the files is the permutation of the numbers the sequences were given."""
     path = token_shards.write_shards(docs.coalesce(1), records=32)

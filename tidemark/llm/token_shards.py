@@ -4,13 +4,13 @@ Every document's ids, with an end token, are cut into sequences of up to ``LENGT
 that length. The sequences are numbered, and a keyed Feistel network permutes the numbers: on a
 domain of 2 to an even number of bits, walking along the cycle until it lands below the count, it is
 a permutation of exactly the sequences' numbers, computed for each row alone. The result is the
-sequence's global slot. Slots are cut into ranges; each range is one partition and one shard: a file of records of
-the same stride in order of their slots, each a short header that tells whose sequence it is, the ids, and one
-closing byte. Record k of shard s is the sequence at slot s * records + k and begins at byte k * stride of the one file
-in folder ``shard=s``, so a reader starts, or resumes, at any step by arithmetic alone, and reads on without
-unpacking anything.
+sequence's global slot. Slots are cut into ranges; each range is one partition and one shard. A shard holds
+records of the same stride in order of their slots, each a short header that tells whose sequence it is, and the
+ids: record k of shard s is the sequence at slot s * records + k. ``FRAME`` records make a frame, which is compressed on
+its own, and the file, the one in folder ``shard=s``, ends with the places of its frames. So a reader starts, or
+resumes, at any step by arithmetic and one look at that list, unpacks a frame and reads on from there.
 
-The files are written through Spark's committed output (its text format writes a row's bytes as they are, then the
+The files are written through Spark's committed output (its text format writes a row's bytes as they are, then a
 closing byte), so that a task that runs again leaves no half-written shard, on any store Spark writes to.
 Sequences travel to their shard in compressed packs, one for each shard and input batch; a shard is put together in one
 buffer of fixed size. Neither depends on the data: slots are uniform.
@@ -43,8 +43,9 @@ KEY = 42
 ROUNDS = 6
 #: Sequences in a shard.
 RECORDS = 1 << 13
-#: Records handed on at once.
-BATCH = 1 << 10
+#: Records that are compressed, and read, together.
+FRAME = 1 << 8
+PLACE = np.dtype("<u4")
 ID = np.dtype("<u2")
 
 
@@ -158,12 +159,24 @@ def _counting(lengths: np.ndarray) -> np.ndarray:
 
 
 def stride(length: int = LENGTH) -> int:
-    """Bytes of a record: header, ids, closing byte."""
-    return HEADER.itemsize + length * ID.itemsize + 1
+    """Bytes of a record: header and ids."""
+    return HEADER.itemsize + length * ID.itemsize
+
+
+def _frames(index: np.ndarray, body: np.ndarray) -> Iterator[bytes]:
+    """A shard's frames, each a row of its file, and the row that ends it: the frames' places, their end, their number."""
+    import zstandard
+
+    squeeze, places = zstandard.ZstdCompressor(level=3).compress, [0]
+    for at in range(0, len(index), FRAME):
+        frame = squeeze(b"".join(h.tobytes() + r.tobytes() for h, r in zip(index[at : at + FRAME], body[at : at + FRAME])))
+        places.append(places[-1] + len(frame) + 1)  # the closing byte
+        yield frame
+    yield np.array([*places, len(places) - 1], PLACE).tobytes()
 
 
 def _to_shards(batches: Iterator[pa.RecordBatch], count: int, records: int, length: int, pad: int) -> Iterator[pa.RecordBatch]:
-    """The packs of one shard -> its records in order."""
+    """The packs of one shard -> the rows of its file in order."""
     shard, packs = None, []
     for batch in batches:
         for shard, pack in zip(batch.column("shard").to_pylist(), batch.column("pack").to_pylist()):
@@ -171,11 +184,9 @@ def _to_shards(batches: Iterator[pa.RecordBatch], count: int, records: int, leng
     if shard is None:
         return
     body, index = _assemble(shard, packs, count, records, length, pad)
-    for at in range(0, len(index), BATCH):
-        rows = [h.tobytes() + r.tobytes() for h, r in zip(index[at : at + BATCH], body[at : at + BATCH])]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(rows), shard)), pa.array(np.arange(at, at + len(rows))), pa.array(rows, pa.binary())],
-            ["shard", "record", "value"])
+    rows = list(_frames(index, body))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(rows), shard)), pa.array(np.arange(len(rows))), pa.array(rows, pa.binary())], ["shard", "row", "value"])
 
 
 def write_shards(
@@ -191,8 +202,8 @@ def write_shards(
     )
     (
         packs.repartitionById(shards, F.col("shard").cast("int"))  # a range of slots each
-        .mapInArrow(lambda b: _to_shards(b, count, records, length, pad), "shard long, record long, value binary")
-        .sortWithinPartitions("shard", "record")  # as they come: no other order is put upon them
+        .mapInArrow(lambda b: _to_shards(b, count, records, length, pad), "shard long, row long, value binary")
+        .sortWithinPartitions("shard", "row")  # as they come: no other order is put upon them
         .select("shard", F.col("value").cast("string").alias("value"))
         .write.partitionBy("shard").text(path)
     )
@@ -205,15 +216,21 @@ def shard_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.regexp_extract("path", "shard=([0-9]+)", 1).cast("long").alias("shard"), "content")
 
 
+def _unpacked(frame: bytes, length: int) -> np.ndarray:
+    """The records of a frame, a row of bytes each."""
+    import zstandard
+
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(frame), np.uint8).reshape(-1, stride(length))
+
+
 def read_from(
     spark: SparkSession, path: str, slot: int, n: int, length: int = LENGTH, records: int = RECORDS
 ) -> Iterator[tuple[int, bytes]]:
-    """(slot, ids) of the ``n`` records from ``slot`` on, or up to the end, read one after another at their offsets.
+    """(slot, ids) of the ``n`` records from ``slot`` on, or up to the end, read one after another at their places.
 
-    Each file is opened where the first record wanted of it begins; of the others nothing is read.
+    Of a shard the list of places and the frames wanted are read, of others nothing.
     """
-    hadoop, size = spark._jvm.org.apache.hadoop.fs, stride(length)
-    end = slot + n
+    hadoop, end = spark._jvm.org.apache.hadoop.fs, slot + n
     while slot < end:
         shard, record = divmod(slot, records)
         pattern = hadoop.Path(f"{path}/shard={shard}/part-*")
@@ -221,38 +238,49 @@ def read_from(
         found = system.globStatus(pattern)
         if not len(found):
             return
-        held = found[0].getLen() // size
-        wanted = min(end - slot, held - record)
-        if wanted <= 0:
-            return
         stream = system.open(found[0].getPath())
+
+        def take(at: int, size: int, stream=stream) -> bytes:
+            stream.seek(at)
+            return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size))
+
         try:
-            stream.seek(record * size)
-            for at in range(0, wanted, BATCH):
-                some = min(BATCH, wanted - at)
-                data = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, some * size))
-                for i in range(some):
-                    yield slot + at + i, data[i * size + HEADER.itemsize : (i + 1) * size - 1]
+            # the last row: the places of the frames, their end, their number, and its closing byte
+            tail = found[0].getLen() - PLACE.itemsize - 1
+            frames = int(np.frombuffer(take(tail, PLACE.itemsize), PLACE)[0])
+            width = (frames + 1) * PLACE.itemsize
+            places = np.frombuffer(take(tail - width, width), PLACE).tolist()
+            for frame in range(record // FRAME, frames):
+                rows = _unpacked(take(places[frame], places[frame + 1] - places[frame] - 1), length)
+                for row in rows[record - frame * FRAME :]:
+                    if slot >= end:
+                        return
+                    yield slot, row[HEADER.itemsize :].tobytes()
+                    slot, record = slot + 1, record + 1
         finally:
             stream.close()
-        slot += wanted
+        if slot % records:
+            return  # the last shard ends before its range does
 
 
 def _digest(batches: Iterator[pa.RecordBatch], length: int, records: int) -> Iterator[pa.RecordBatch]:
     names = ["slot", "shard", "record", "doc_id", "start", "n_tokens", "record_crc32"]
-    size = stride(length)
     for batch in batches:
         for shard, content in zip(batch.column("shard").to_pylist(), values(batch.column("content"), 1)):
-            n = len(content) // size
-            parts = np.frombuffer(content, np.uint8).reshape(n, size)
-            who = np.frombuffer(parts[:, : HEADER.itemsize].tobytes(), HEADER)
-            crc = [zlib.crc32(parts[i, HEADER.itemsize : -1]) for i in range(n)]
-            columns = [
-                pa.array(shard * records + np.arange(n)), pa.array(np.full(n, shard)), pa.array(who["record"].astype(np.int64)),
-                pa.array(who["doc_id"].copy(), mask=who["known"] == 0), pa.array(who["start"].copy()),
-                pa.array(who["n_tokens"].astype(np.int64)), pa.array(crc, pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            frames = int(np.frombuffer(content[-PLACE.itemsize - 1 : -1], PLACE)[0])
+            at = len(content) - 1 - (frames + 2) * PLACE.itemsize
+            places = np.frombuffer(content[at : at + (frames + 1) * PLACE.itemsize], PLACE).tolist()
+            for frame, (a, b) in enumerate(zip(places, places[1:])):
+                rows = _unpacked(content[a : b - 1], length)
+                who = np.frombuffer(rows[:, : HEADER.itemsize].tobytes(), HEADER)
+                place = frame * FRAME + np.arange(len(rows))
+                crc = [zlib.crc32(row[HEADER.itemsize :]) for row in rows]
+                columns = [
+                    pa.array(shard * records + place), pa.array(np.full(len(rows), shard)), pa.array(who["record"].astype(np.int64)),
+                    pa.array(who["doc_id"].copy(), mask=who["known"] == 0), pa.array(who["start"].copy()),
+                    pa.array(who["n_tokens"].astype(np.int64)), pa.array(crc, pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def digest(spark: SparkSession, path: str, length: int = LENGTH, records: int = RECORDS) -> DataFrame:
