@@ -227,9 +227,10 @@ def test_the_clusters_choose_the_region(page):
 
 def test_without_smoothing_and_threshold_other_regions_are_chosen(monkeypatch):
     """Where a region is marked wrongly or not at all the clusters decide; given pages mark theirs rightly."""
-    text = "".join(f"<p>{(LONG_LINE * n).strip()}</p>" for n in (1, 1))
+    text = "".join(f"<p>{(LONG_LINE * n).strip()}</p>" for n in (2, 2))
     cards = "".join(f"<p><a href='/{i}'><b>a</b><i>rather</i><u>short</u></a> <a href='/x'><b>teaser</b></a> {i}</p>" for i in range(30))
-    unmarked = "".join(f"<div>{i} <a href='/{i}'>x</a></div>" for i in range(8)) + f"<div><p>{(LONG_LINE * 6).strip()}</p><p>{(LONG_LINE * 5).strip()}</p></div>" + cards
+    unmarked = "".join(f"<div>{i} <a href='/{i}'>x</a></div>" for i in range(8)) + f"<div><p>{(LONG_LINE * 6).strip()}</p><p>{(LONG_LINE * 5).strip()}</p></div>"
+    unmarked += "<div>-</div>" * 4 + cards.replace("<p>", "<div>").replace("</p>", "</div>")
     pages = [PAGE % f"<div class='story'>{text}</div><main>{cards}</main>", PAGE % unmarked]
     with_clusters = [html_text.main_text(p) for p in pages]
     assert all(LONG_LINE.strip() in t and "teaser" not in t for t in with_clusters)
