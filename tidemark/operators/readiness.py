@@ -121,20 +121,24 @@ def _untied(log: DataFrame, tied: DataFrame, succeeded: Sequence[str]) -> DataFr
     return newest.select(*key, "best_rows", F.col("run.rows").alias("latest_rows"), "latest_start", F.col("run.round_time").alias("latest_round"))
 
 
-def log_facts(log: DataFrame, succeeded: Sequence[str] = schemas.SUCCEEDED) -> DataFrame:
-    """One written row per logged (job, table, label).
+def log_facts(log: DataFrame, succeeded: Sequence[str] = schemas.SUCCEEDED, raw: DataFrame | None = None) -> DataFrame:
+    """One written row per logged (job, table, label), and those of ``raw_facts``, if given.
 
     ``best_rows`` is the largest row count of any success, ``latest_rows`` that of the
     newest run when it succeeded; both are null otherwise, and a null count is 0. The newest run is that of the last
     start, then round, then run id. The log is read once; a second time only for labels whose last start several
     runs share, and then only those rows go on.
     """
-    found = materialize(newest_by_hash(log, succeeded), "log-facts")
+    found = newest_by_hash(log, succeeded).withColumn("match_len", F.lit(0))
+    if raw is not None:
+        found = found.unionByName(raw.withColumn("tied", F.lit(False)))
+    found = materialize(found, "facts")
     tied = found.filter("tied").drop("tied")
     facts = found.filter("NOT tied").drop("tied")
     if not tied.isEmpty():
-        facts = facts.unionByName(materialize(_untied(log, tied, succeeded), "untied-facts"))
-    return facts.withColumn("match_len", F.lit(0))
+        untied = _untied(log, tied, succeeded).withColumn("match_len", F.lit(0))
+        facts = facts.unionByName(materialize(untied, "untied-facts"))
+    return facts
 
 
 def raw_facts(dates: DataFrame) -> DataFrame:
@@ -522,9 +526,9 @@ def verdicts_by_route(
     """Readiness before the fallback from one log to the next is applied."""
     prepared = materialize(prepare(checks), "checks")
     relevant = relevance(prepared)
-    observed = log_facts(relevant.of_log(*_log_and_labels(checks.sparkSession, log)), succeeded)
     dates = None if raw is None else relevant.of_raw(raw)
-    facts = observed if dates is None else observed.unionByName(materialize(raw_facts(dates), "raw-facts"))
+    asked = relevant.of_log(*_log_and_labels(checks.sparkSession, log))
+    facts = log_facts(asked, succeeded, None if dates is None else raw_facts(dates))
     needed = expected_labels(prepared)
     missing = missing_labels(needed, facts.unionByName(prefix_facts(facts, prepared)))
     newest = newest_succeeded(prepared, facts)
