@@ -511,6 +511,31 @@ def test_old_versions_do_not_pile_up(spark, table):
     assert size() == 0
 
 
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+def test_no_task_holds_both_the_updated_and_the_inserted_rows(spark, table, monkeypatch, partition_by):
+    """In one plan Spark gave a task the same keys of both parts, and the sorts of both were in its memory."""
+    name = table([(k, "a", k, "old") for k in range(400)] + [(None, "a", 7, "old")], partition_by)
+    staged = spark.createDataFrame([(k, "a", -k, "new") for k in range(200, 600)] + [(None, "a", 8, "new")], SCHEMA)
+    written, apply = [], loads._apply
+
+    def kinds_by_file(spark, table, path, keep_old):
+        files = spark.read.schema(SCHEMA).parquet(path).groupBy(F.col("_metadata.file_name")).agg(F.collect_set("load_ts").alias("kinds"))
+        written.extend(sorted(row["kinds"]) for row in files.collect())
+        assert not Path(f"{path}-touched".removeprefix("file:")).exists()
+        apply(spark, table, path, keep_old)
+
+    monkeypatch.setattr(loads, "_apply", kinds_by_file)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        loads.upsert(staged, name, ["k"], update_columns=["v", "load_ts"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert ["old"] in written and ["new"] in written and ["new", "old"] not in written
+    expected = [(k, "a", k if k < 200 else -k, "old" if k < 400 else "new") for k in range(600)]
+    assert rows(spark, name) == sorted(expected + [(None, "a", 7, "old"), (None, "a", 8, "new")], key=str)
+
+
 def test_scratch_deletes_what_was_written_inside(spark):
     with session.scratch(spark):
         df = session.materialize(spark.range(5), "inside")

@@ -317,7 +317,16 @@ def merged(
     target: DataFrame, staged: DataFrame, keys: Sequence[str], condition: str | None = None,
     update_columns: Sequence[str] | None = None, update_when: str | None = None,
 ) -> DataFrame:
-    """The target after an upsert.
+    """The target after an upsert, as one DataFrame."""
+    kept, inserts = merged_parts(target, staged, keys, condition, update_columns, update_when)
+    return kept.unionByName(inserts)
+
+
+def merged_parts(
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], condition: str | None = None,
+    update_columns: Sequence[str] | None = None, update_when: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The target's rows after an upsert and the rows it inserts.
 
     A staged row matches on equal keys and the condition together, so a key match that
     fails the condition inserts a second row, and a null key always inserts. Matched rows
@@ -335,7 +344,7 @@ def merged(
     if not (condition or "").strip():
         reached = reached.select(*keys).distinct()
     inserts = staged.alias("src").join(reached.alias("trg"), on, "left_anti")
-    return kept.unionByName(inserts.select(*target.columns))
+    return kept, inserts.select(*target.columns)
 
 
 def updated(
@@ -377,11 +386,13 @@ def _merge(staged: DataFrame, table: str, **clauses) -> None:
 
 def _rewrite(
     spark: SparkSession, table: str, staged: DataFrame, keys: Sequence[str],
-    change: Callable[[DataFrame], DataFrame], adds_rows: bool, sets: Sequence[str], keep_old: bool,
+    change: Callable[[DataFrame], Sequence[DataFrame]], adds_rows: bool, sets: Sequence[str], keep_old: bool,
     version: str | None = None,
 ) -> None:
     """Apply ``change`` to the table, or only to its partitions that change.
 
+    ``change`` gives the result in parts, which are written one after another: in a union a task holds the sorts of
+    all parts that are partitioned alike, and the others share the cores.
     The result is written to the shared folder first, because Spark cannot overwrite what it
     is reading, and then applied. With a ``version`` the table notes in between that it lies ready.
     """
@@ -402,9 +413,18 @@ def _emptied(path: str) -> str:
     return f"{path}-emptied"
 
 
+def _touched(path: str) -> str:
+    return f"{path}-touched"
+
+
+def _save(parts: Sequence[DataFrame], table: str, path: str, file_format: str) -> None:
+    for n, part in enumerate(parts):
+        _as_table(part, table).write.format(file_format).mode("append" if n else "errorifexists").save(path)
+
+
 def _prepare(
     spark: SparkSession, table: str, path: str, staged: DataFrame, keys: Sequence[str],
-    change: Callable[[DataFrame], DataFrame], adds_rows: bool, sets: Sequence[str],
+    change: Callable[[DataFrame], Sequence[DataFrame]], adds_rows: bool, sets: Sequence[str],
 ) -> None:
     """The changed table, or its changed partitions and a list of those that end up empty, at ``path``.
 
@@ -414,26 +434,29 @@ def _prepare(
     target, found = spark.table(table), _format(spark, table)
     partitions = _partition_columns(spark, table)
     if not partitions:
-        writer, buckets = _as_table(change(target), table).write.format(found), _buckets(spark, table)
+        parts, buckets = change(target), _buckets(spark, table)
         if buckets:
-            _write_bucketed(writer, path, *buckets)
+            _write_bucketed(parts, table, path, *buckets)
         else:
-            writer.save(path)
+            _save(parts, table, path, found)
         return
     matched = target.alias("trg").join(
         staged.select(*keys).alias("src"), _matches(keys, None), "left_semi"
     ).select(*partitions)
     touched = matched.unionByName(staged.select(*partitions)) if adds_rows else matched
-    touched = touched.distinct()
+    # Once, as each part needs them; a row a partition.
+    touched.distinct().write.parquet(_touched(path))
+    touched = spark.read.schema(touched.schema).parquet(_touched(path))
     same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in partitions]
     affected = target.alias("old").join(touched.alias("new"), same, "left_semi")
-    _as_table(change(affected), table).write.parquet(path)
+    _save(change(affected), table, path, "parquet")
     if set(sets) & set(partitions):
         rewritten = spark.read.schema(target.schema).parquet(path)
         folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
         files = target.select(*partitions, folder).distinct().alias("old")
         emptied = files.join(touched.alias("new"), same, "left_semi").join(rewritten.alias("new"), same, "left_anti")
         emptied.select("folder").write.parquet(_emptied(path))
+    delete(spark, _touched(path))
 
 
 def _replaced(path: str) -> str:
@@ -450,12 +473,13 @@ def _bucket_in_name(name: str) -> int:
     return int(re.search(r"_(\d+)(?:\..*)?$", name)[1])
 
 
-def _write_bucketed(writer, path: str, buckets: int, columns: Sequence[str]) -> None:
+def _write_bucketed(parts: Sequence[DataFrame], table: str, path: str, buckets: int, columns: Sequence[str]) -> None:
     """Only tables of the catalog are written in buckets: one that is gone once its files are there."""
-    table = f"bucketed_{uuid.uuid4().hex}"
-    spark = writer._spark
-    writer.bucketBy(buckets, *columns).option("path", path).saveAsTable(table)
-    spark.sql(f"DROP TABLE {table}")  # a table with a path of its own leaves its files
+    spark, written = parts[0].sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    for n, part in enumerate(parts):
+        writer = _as_table(part, table).write.format(_format(spark, table)).mode("append" if n else "errorifexists")
+        writer.bucketBy(buckets, *columns).option("path", path).saveAsTable(written)
+    spark.sql(f"DROP TABLE {written}")  # a table with a path of its own leaves its files
 
 
 def _of_buckets(spark: SparkSession, table: str, names: Sequence[str]) -> DataFrame:
@@ -465,7 +489,7 @@ def _of_buckets(spark: SparkSession, table: str, names: Sequence[str]) -> DataFr
 
 def _prepare_buckets(
     spark: SparkSession, table: str, path: str, staged: DataFrame, buckets: int, columns: Sequence[str],
-    change: Callable[[DataFrame], DataFrame],
+    change: Callable[[DataFrame], Sequence[DataFrame]],
 ) -> None:
     """New files at ``path`` for the buckets that staged rows fall into, and a list of the files they replace.
 
@@ -474,8 +498,7 @@ def _prepare_buckets(
     """
     touched = {r[0] for r in staged.select(bucket_of(columns, buckets)).distinct().collect()}
     names = [n for n in file_names(spark, location(spark, table)) if _bucket_in_name(n) in touched]
-    rows = _as_table(change(_of_buckets(spark, table, names)), table)
-    _write_bucketed(rows.write.format(_format(spark, table)), path, buckets, columns)
+    _write_bucketed(change(_of_buckets(spark, table, names)), table, path, buckets, columns)
     spark.createDataFrame([(n,) for n in names], "name string").write.parquet(_replaced(path))
 
 
@@ -574,7 +597,7 @@ def upsert(
     check_single_source(spark.table(table), staged, keys, condition)
     _rewrite(
         spark, table, staged, keys,
-        lambda target: merged(target, staged, keys, condition, update_columns, update_when),
+        lambda target: merged_parts(target, staged, keys, condition, update_columns, update_when),
         adds_rows=True, sets=staged.columns if update_columns is None else update_columns, keep_old=keep_old,
         version=version,
     )
@@ -596,7 +619,7 @@ def update(
     check_single_source(spark.table(table), staged, keys)
     _rewrite(
         spark, table, staged, keys,
-        lambda target: updated(target, staged, keys, update_columns, condition),
+        lambda target: [updated(target, staged, keys, update_columns, condition)],
         adds_rows=False, sets=update_columns, keep_old=keep_old,
     )
 
